@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.operators import recipes as R
 from ledgerlake.session import apply_result_conf
@@ -149,3 +150,178 @@ from (select date, count(*) filter (where status = 0) as failed_txs, count(*) as
 """)
 def h3(spark, sf_dir):
     return R.running_totals(fx.decoded(spark, sf_dir, "txs"))
+
+
+# ------------------------------------------------------------------ decode
+from ledgerlake.functions import hexnum as H  # noqa: E402
+from ledgerlake.operators import contract as D  # noqa: E402
+from ledgerlake.operators import lookups as L  # noqa: E402
+from ledgerlake.schemas import INT_COLUMNS, WEI_COLUMNS  # noqa: E402
+
+
+@register("c1_wei", f"""
+select tx_hash, value as value_hex, {fx.duck_wei('value')} as value_wei,
+       max_priority_fee_per_gas as tip_hex, {fx.duck_wei('max_priority_fee_per_gas')} as tip_wei
+from raw_txs
+""")
+def c1(spark, sf_dir):
+    t = fx.raw(spark, sf_dir, "txs")
+    return t.select("tx_hash", F.col("value").alias("value_hex"), H.wei("value").alias("value_wei"),
+                    F.col("max_priority_fee_per_gas").alias("tip_hex"),
+                    H.wei("max_priority_fee_per_gas").alias("tip_wei"))
+
+
+@register("c2_log_index", f"""
+select tx_hash, block_number, log_index as log_index_hex, {fx.duck_int('log_index')} as log_index
+from raw_events
+""")
+def c2(spark, sf_dir):
+    e = fx.raw(spark, sf_dir, "events")
+    return e.select("tx_hash", "block_number", F.col("log_index").alias("log_index_hex"),
+                    H.hex_int("log_index").alias("log_index"))
+
+
+@register("c3_decode_txs", """
+select * from txs
+""")
+def c3(spark, sf_dir):
+    return H.decode_hex_columns(fx.raw(spark, sf_dir, "txs"), "txs")
+
+
+def _duck_audit(kind: str) -> str:
+    parts = []
+    for name in WEI_COLUMNS[kind] + INT_COLUMNS[kind]:
+        dec = fx.duck_wei(name) if name in WEI_COLUMNS[kind] else fx.duck_int(name)
+        pat = f"regexp_matches({name}, '^0[xX][0-9a-fA-F]+$')"
+        parts.append(f"""select '{kind}' as kind, '{name}' as "column", count(*) as rows,
+  count(*) filter (where {name} is null) as nulls,
+  count(*) filter (where {name} = '') as empties,
+  count(*) filter (where {name} = '0x') as zero_markers,
+  count(*) filter (where {name} is not null and {name} <> '' and {name} <> '0x' and not {pat}) as invalid,
+  count(*) filter (where {pat} and ({dec}) is null) as too_large,
+  count(*) filter (where ({dec}) is not null) as decoded
+from raw_{kind}""")
+    return "\nunion all\n".join(parts)
+
+
+@register("c4_audit", "\nunion all\n".join(_duck_audit(k) for k in ("blocks", "txs", "events")))
+def c4(spark, sf_dir):
+    parts = [H.decode_audit(fx.raw(spark, sf_dir, k), k) for k in ("blocks", "txs", "events")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("c5_key_norm", """
+select t.tx_hash, lower(upper(t.input_prefix)) as key, b.signature
+from txs t left join (
+  select key, arg_min(signature, struct_pack(neg := -coalesce(count, 0), p := pos)) as signature
+  from selector_candidates group by key) b
+on b.key = lower(upper(t.input_prefix))
+""")
+def c5(spark, sf_dir):
+    t = fx.decoded(spark, sf_dir, "txs").select("tx_hash", F.upper("input_prefix").alias("shouted"))
+    out = L.label(t, "shouted", fx.candidates(spark, sf_dir, "selector"))
+    return out.select("tx_hash", H.norm_key("shouted").alias("key"), "signature")
+
+
+# ------------------------------------------------------------------ integrity
+@register("d3_contract", """
+select 'dup_block_number' as "check", count(*) as violations, min(cast(number as varchar)) as example
+from (select number from blocks group by number having count(*) > 1) d
+union all
+select 'dup_event_key', count(*), min(concat_ws(':', cast(block_number as varchar), cast(log_index as varchar)))
+from (select block_number, log_index from events group by block_number, log_index having count(*) > 1) d
+union all
+select 'tx_without_block', count(*), min(tx_hash)
+from txs t where not exists (select 1 from blocks b where b.number = t.block_number)
+union all
+select 'event_without_block', count(*), min(tx_hash)
+from events e where not exists (select 1 from blocks b where b.number = e.block_number)
+union all
+select 'event_block_mismatch', count(*), min(e.tx_hash)
+from events e join txs t on t.tx_hash = e.tx_hash where e.block_number <> t.block_number
+""")
+def d3(spark, sf_dir):
+    b, t, e = _bte(spark, sf_dir)
+    return D.contract_checks(b, t, e)
+
+
+# ------------------------------------------------------------------ lookups
+_DUCK_BEST = """(select key, arg_min(signature, struct_pack(neg := -coalesce(count, 0), p := pos)) as signature,
+        arg_min(abi, struct_pack(neg := -coalesce(count, 0), p := pos)) as abi
+ from {c} group by key)"""
+
+
+@register("e2_candidates", """
+select key, signature, count, pos, abi,
+       row_number() over (partition by key order by coalesce(count, 0) desc, pos) as rank
+from selector_candidates where key in (select lower(input_prefix) from txs)
+""")
+def e2(spark, sf_dir):
+    return L.resolve_keys(fx.candidates(spark, sf_dir, "selector"),
+                          fx.decoded(spark, sf_dir, "txs"), "input_prefix")
+
+
+@register("e3_best", """
+select key, arg_min(signature, struct_pack(neg := -coalesce(count, 0), p := pos)) as signature,
+       arg_min(count, struct_pack(neg := -coalesce(count, 0), p := pos)) as count,
+       arg_min(abi, struct_pack(neg := -coalesce(count, 0), p := pos)) as abi
+from selector_candidates group by key
+""")
+def e3(spark, sf_dir):
+    return L.best_candidates(fx.candidates(spark, sf_dir, "selector"))
+
+
+@register("e4_label_txs", f"""
+select t.*, b.signature, b.abi
+from txs t left join {_DUCK_BEST.format(c='selector_candidates')} b on b.key = lower(t.input_prefix)
+""")
+def e4(spark, sf_dir):
+    return L.label_txs(fx.decoded(spark, sf_dir, "txs"), fx.candidates(spark, sf_dir, "selector"))
+
+
+@register("e5_label_events", f"""
+select e.*, b.signature, b.abi
+from events e left join {_DUCK_BEST.format(c='topic_candidates')} b on b.key = lower(e.topic0)
+""")
+def e5(spark, sf_dir):
+    return L.label_events(fx.decoded(spark, sf_dir, "events"), fx.candidates(spark, sf_dir, "topic"))
+
+
+@register("e6_all_candidates", """
+select t.tx_hash, t.input_prefix, c.n_candidates, c.candidate_signatures, c.candidate_counts
+from txs t left join (
+  select key, count(*) as n_candidates,
+         string_agg(signature, ';' order by coalesce(count, 0) desc, pos) as candidate_signatures,
+         string_agg(cast(count as varchar), ';' order by coalesce(count, 0) desc, pos) as candidate_counts
+  from selector_candidates group by key) c on c.key = lower(t.input_prefix)
+""")
+def e6(spark, sf_dir):
+    t = fx.decoded(spark, sf_dir, "txs").select("tx_hash", "input_prefix")
+    out = L.all_candidates(t, "input_prefix", fx.candidates(spark, sf_dir, "selector"))
+    return out.select(
+        "tx_hash", "input_prefix",
+        F.when(F.col("candidates").isNotNull(), F.size("candidates").cast("bigint")).alias("n_candidates"),
+        F.array_join(F.transform("candidates", lambda x: x["signature"]), ";").alias("candidate_signatures"),
+        F.array_join(F.transform("candidates", lambda x: x["count"].cast("string")), ";").alias("candidate_counts"))
+
+
+@register("e7_unresolved", """
+select lower(input_prefix) as key, count(*) as rows from txs
+where input_prefix is not null and input_prefix not in ('', '0x')
+  and lower(input_prefix) not in (select key from selector_candidates)
+group by lower(input_prefix)
+union all
+select lower(topic0) as key, count(*) as rows from events
+where topic0 is not null and topic0 not in ('', '0x')
+  and lower(topic0) not in (select key from topic_candidates)
+group by lower(topic0)
+""")
+def e7(spark, sf_dir):
+    a = L.unresolved(fx.decoded(spark, sf_dir, "txs"), "input_prefix",
+                     fx.candidates(spark, sf_dir, "selector"))
+    b = L.unresolved(fx.decoded(spark, sf_dir, "events"), "topic0",
+                     fx.candidates(spark, sf_dir, "topic"))
+    return a.unionByName(b)
