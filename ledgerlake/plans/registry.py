@@ -325,3 +325,85 @@ def e7(spark, sf_dir):
     b = L.unresolved(fx.decoded(spark, sf_dir, "events"), "topic0",
                      fx.candidates(spark, sf_dir, "topic"))
     return a.unionByName(b)
+
+
+# ------------------------------------------------------------------ catalog
+from ledgerlake.operators import catalog as A  # noqa: E402
+
+# Fixed parameters of the registered catalog queries: the whole fixture span.
+SPAN = ("1990-01-01", "2100-12-31")
+BASE = "/data/archive"
+
+_DUCK_RESOLVED = """(select date, kind, arg_min(key, pos) as key, arg_min(size, pos) as size,
+        arg_min(md5, pos) as md5, arg_min(schema_version, pos) as schema_version, min(pos) as pos
+ from {m} group by date, kind)"""
+
+
+@register("a3_available_dates", """
+select distinct cast(date as date) as date from manifest_files where kind = 'events'
+""")
+def a3(spark, sf_dir):
+    return A.available_dates(fx.manifest_files(spark, sf_dir), "events")
+
+
+@register("a4_latest_complete", """
+select max(d) as latest_complete_date, cast(null as date) as declared_latest_complete_date
+from (select cast(date as date) as d from manifest_files group by 1
+      having count(distinct kind) = 3) c
+""")
+def a4(spark, sf_dir):
+    return A.latest_complete(fx.manifest_files(spark, sf_dir))
+
+
+@register("a5_entry", f"select * from {_DUCK_RESOLVED.format(m='manifest_files')} r")
+def a5(spark, sf_dir):
+    return A.resolve(fx.manifest_files(spark, sf_dir))
+
+
+@register("a6_range", f"""
+select * from {_DUCK_RESOLVED.format(m='manifest_files')} r
+where kind = 'events' and date between '{SPAN[0]}' and '{SPAN[1]}'
+""")
+def a6(spark, sf_dir):
+    return A.range_entries(fx.manifest_files(spark, sf_dir), SPAN[0], SPAN[1], "events")
+
+
+@register("a7_locate", f"""
+select *, concat('{BASE}', '/', key) as url from {_DUCK_RESOLVED.format(m='manifest_files')} r
+where kind = 'txs' and date between '{SPAN[0]}' and '{SPAN[1]}'
+""")
+def a7(spark, sf_dir):
+    return A.locate(A.range_entries(fx.manifest_files(spark, sf_dir), SPAN[0], SPAN[1], "txs"), BASE)
+
+
+@register("a8_summary", """
+select kind, count(*) as files, cast(sum(size) as bigint) as bytes, min(date) as first_date,
+       max(date) as last_date, cast(sum(size) / 1073741824.0 as decimal(20,3)) as gib
+from manifest_files group by rollup(kind)
+""")
+def a8(spark, sf_dir):
+    return A.summary(fx.manifest_files(spark, sf_dir))
+
+
+@register("a9_gaps", """
+select kind, prev, cur, cast(datediff('day', prev, cur) - 1 as bigint) as missing_days
+from (select kind, lag(d) over (partition by kind order by d) as prev, d as cur
+      from (select distinct kind, cast(date as date) as d from manifest_files) x) y
+where prev is not null and datediff('day', prev, cur) > 1
+""")
+def a9(spark, sf_dir):
+    return A.gaps(fx.manifest_files(spark, sf_dir))
+
+
+@register("a10_diff", f"""
+select coalesce(p.date, c.date) as date, coalesce(p.kind, c.kind) as kind,
+       case when p.md5 is null and p.size is null then 'new'
+            when c.md5 is null and c.size is null then 'vanished'
+            else 'rebuilt' end as status,
+       p.md5 as old_md5, c.md5 as new_md5, p.size as old_size, c.size as new_size
+from {_DUCK_RESOLVED.format(m='manifest_prev')} p
+full outer join {_DUCK_RESOLVED.format(m='manifest_files')} c on p.date = c.date and p.kind = c.kind
+where p.date is null or c.date is null or p.md5 <> c.md5 or p.size <> c.size
+""")
+def a10(spark, sf_dir):
+    return A.diff(fx.manifest_files(spark, sf_dir, previous=True), fx.manifest_files(spark, sf_dir))
