@@ -407,3 +407,119 @@ where p.date is null or c.date is null or p.md5 <> c.md5 or p.size <> c.size
 """)
 def a10(spark, sf_dir):
     return A.diff(fx.manifest_files(spark, sf_dir, previous=True), fx.manifest_files(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ scans
+from ledgerlake.sources.archive import Archive  # noqa: E402
+from ledgerlake.sources.writer import fixture_archive  # noqa: E402
+
+_LATEST = "(select max(date) from txs)"
+
+
+def _archive(spark, sf_dir) -> Archive:
+    return Archive(spark, fixture_archive(spark, sf_dir))
+
+
+@register("b1_day_txs", f"""
+select * exclude (date) from txs where date = {_LATEST}
+""")
+def b1(spark, sf_dir):
+    a = _archive(spark, sf_dir)
+    return a.load_day(a.latest_complete_date(), "txs")
+
+
+@register("b2_range_txs", """
+select * from txs
+""")
+def b2(spark, sf_dir):
+    return _archive(spark, sf_dir).load_range(SPAN[0], SPAN[1], "txs")
+
+
+@register("b3_per_day", """
+select date, count(*) as txs, count(*) filter (where status = 0) as failed_txs,
+       sum(value) as value_wei
+from txs group by date
+""")
+def b3(spark, sf_dir):
+    t = _archive(spark, sf_dir).load_range(SPAN[0], SPAN[1], "txs")
+    return t.groupBy("date").agg(F.count(F.lit(1)).alias("txs"),
+                                 F.count_if(F.col("status") == 0).alias("failed_txs"),
+                                 F.sum("value").alias("value_wei"))
+
+
+@register("b4_rows_projected", f"""
+select tx_hash, log_index, topic0 from events where date = {_LATEST}
+""")
+def b4(spark, sf_dir):
+    a = _archive(spark, sf_dir)
+    return a.rows(a.latest_complete_date(), "events", ["tx_hash", "log_index", "topic0"])
+
+
+@register("b5_rows_range", """
+select block_number, topic0 from events
+""")
+def b5(spark, sf_dir):
+    return _archive(spark, sf_dir).rows_range(SPAN[0], SPAN[1], "events", ["block_number", "topic0"])
+
+
+_F2_SQL = """
+select b.number as block_number, t.tx_hash, t.status, count(e.tx_hash) as event_count
+from {p}txs t join {p}blocks b on b.number = t.block_number
+left join {p}events e on e.tx_hash = t.tx_hash
+group by 1, 2, 3
+order by event_count desc, t.tx_hash
+limit 20
+"""
+
+
+@register("b6_open_day_sql", f"""
+select b.number as block_number, t.tx_hash, t.status, count(e.tx_hash) as event_count
+from (select * from txs where date = {_LATEST}) t
+join (select * from blocks where date = {_LATEST}) b on b.number = t.block_number
+left join (select * from events where date = {_LATEST}) e on e.tx_hash = t.tx_hash
+group by 1, 2, 3 order by event_count desc, t.tx_hash limit 20
+""")
+def b6(spark, sf_dir):
+    a = _archive(spark, sf_dir)
+    a.open_day(a.latest_complete_date(), prefix="ll_day_")
+    return spark.sql(_F2_SQL.format(p="ll_day_"))
+
+
+@register("b7_open_range_sql", """
+select block_number, count(*) as failed_txs from txs where status = 0
+group by block_number order by failed_txs desc, block_number limit 20
+""")
+def b7(spark, sf_dir):
+    _archive(spark, sf_dir).open_range(SPAN[0], SPAN[1], prefix="ll_range_")
+    return spark.sql("""
+        select block_number, count(*) as failed_txs from ll_range_txs where status = 0
+        group by block_number order by failed_txs desc, block_number limit 20""")
+
+
+@register("b8_day_lineage", """
+select date, block_number, tx_hash, log_index from events
+""")
+def b8(spark, sf_dir):
+    e = _archive(spark, sf_dir).load_range(SPAN[0], SPAN[1], "events",
+                                           columns=["block_number", "tx_hash", "log_index"])
+    return e.select("date", "block_number", "tx_hash", "log_index")
+
+
+@register("b9_head", f"""
+select * exclude (date) from events where date = {_LATEST}
+order by block_number nulls first, log_index nulls first, tx_hash nulls first,
+         address nulls first, topic0 nulls first, topic1 nulls first, topic2 nulls first,
+         topic3 nulls first, data nulls first
+limit 20
+""")
+def b9(spark, sf_dir):
+    a = _archive(spark, sf_dir)
+    return a.head(a.latest_complete_date(), "events", 20)
+
+
+@register("f11_sql", _F2_SQL.format(p=""))
+def f11(spark, sf_dir):
+    from ledgerlake.sources.archive import register_views
+    b, t, e = _bte(spark, sf_dir)
+    register_views({"blocks": b, "txs": t, "events": e}, prefix="ll_fx_")
+    return spark.sql(_F2_SQL.format(p="ll_fx_"))
