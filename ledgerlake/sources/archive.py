@@ -39,11 +39,16 @@ class Archive:
         self.spark = spark
         self.root = root.rstrip("/")
         self.decode = decode
-        self.manifest = M.read_manifest(spark, self.root).cache()
-        self.header = M.header(self.manifest)
-        # The exploded catalog is small (the contract caps the manifest at
-        # 16 MiB) and every resolve reads it, so it is cached once.
-        self._files = M.files_table(self.manifest).cache()
+        self.manifest = M.read_manifest(spark, self.root)
+        # The manifest is read once per Archive and kept as a local relation:
+        # it is catalog-sized (the contract caps it at 16 MiB) and every
+        # resolve reads it.  Not ``cache()``: the cache is keyed by plan, so a
+        # rewritten manifest at the same path would come back stale.
+        row = self.manifest.first()
+        self.header = {k: row[k] for k in ("chain_id", "generated_at", "schema_version",
+                                           "latest_complete_date")} if row else {}
+        entries = [(i, *e) for i, e in enumerate(row["files"] if row else [])]
+        self._files = spark.createDataFrame(entries, M.FILES_DDL)
         if chain_id is not None and self.header.get("chain_id") != chain_id:
             raise ValueError(f"manifest chain_id {self.header.get('chain_id')} is not {chain_id}")
 

@@ -48,9 +48,12 @@ def _split_read(spark: SparkSession, path: str, sep: str) -> DataFrame:
     return rec.select(F.lower(key).alias("key"), body.alias("body"))
 
 
-def _whole_read(spark: SparkSession, path: str) -> DataFrame:
-    whole = spark.read.option("wholetext", True).text(path)
-    entries = whole.select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "body"))
+def _whole_read(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
+    whole = (spark.read.option("wholetext", True).text(path)
+                  .select(F.from_json("value", "map<string,string>").alias("m")))
+    if check and whole.where(F.col("m").isNull()).limit(1).count() > 0:
+        raise ValueError(f"lookup file does not parse as a JSON object: {path}")
+    entries = whole.select(F.explode("m").alias("key", "body"))
     return entries.select(F.lower("key").alias("key"), "body")
 
 
@@ -70,10 +73,14 @@ def read_lookup(spark: SparkSession, path: str, check: bool = True) -> DataFrame
     parsed = None
     if sep is not None:
         parsed = _explode(_split_read(spark, path, sep))
-        if check and parsed.where(F.col("c").isNull()).limit(1).count() > 0:
+        # ``from_json`` ignores text after the first value, so a fragment that
+        # is not a list (a legacy object swallowing the next entry) is caught
+        # by its first character, not by a null.
+        not_list = ~F.ltrim(F.col("body")).startswith("[")
+        if check and parsed.where(F.col("c").isNull() | not_list).limit(1).count() > 0:
             parsed = None
     if parsed is None:
-        parsed = _explode(_whole_read(spark, path))
+        parsed = _explode(_whole_read(spark, path, check))
         if check:
             bad = parsed.where(F.col("c").isNull()).select("key").limit(3).collect()
             if bad:

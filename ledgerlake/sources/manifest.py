@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ledgerlake.schemas import DEFAULT_CHAIN_ID, MANIFEST
 
 MANIFEST_NAME = "manifest.json"
+FILES_DDL = ("pos bigint, date string, kind string, key string, size bigint, md5 string, "
+             "schema_version string")
 
 
 def manifest_path(root: str) -> str:
