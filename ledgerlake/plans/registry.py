@@ -523,3 +523,79 @@ def f11(spark, sf_dir):
     b, t, e = _bte(spark, sf_dir)
     register_views({"blocks": b, "txs": t, "events": e}, prefix="ll_fx_")
     return spark.sql(_F2_SQL.format(p="ll_fx_"))
+
+
+# ------------------------------------------------ operators checked by rows
+# (file bytes, footers, streams): registered without an oracle unless one is
+# expressible over the same tables.
+from ledgerlake.operators import integrity as I  # noqa: E402
+from ledgerlake.session import scratch_path  # noqa: E402
+from ledgerlake.sources import lookups as LK  # noqa: E402
+from ledgerlake.streaming import ingest as ING  # noqa: E402
+
+
+@register("a1_manifest_files")
+def a1(spark, sf_dir):
+    return _archive(spark, sf_dir).files()
+
+
+@register("a2_rejected_entries")
+def a2(spark, sf_dir):
+    return A.split_valid(A.file_violations(_archive(spark, sf_dir).files()))[1]
+
+
+@register("a11_conformance")
+def a11(spark, sf_dir):
+    return _archive(spark, sf_dir).conformance()
+
+
+@register("d1_verify")
+def d1(spark, sf_dir):
+    a = _archive(spark, sf_dir)
+    return I.verify_objects(spark, a.root, a.files())
+
+
+@register("d2_mirror")
+def d2(spark, sf_dir):
+    import hashlib
+    a = _archive(spark, sf_dir)
+    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
+    return I.mirror(spark, a.root, scratch_path(spark, f"mirror-{tag}"), a.files())
+
+
+@register("e1_lookup_rows", """
+select key, pos, signature, count, abi from selector_candidates
+union all
+select key, pos, signature, count, abi from topic_candidates
+""")
+def e1(spark, sf_dir):
+    root = fixture_archive(spark, sf_dir)
+    return (LK.read_lookup(spark, f"{root}/lookups/function_selectors.json")
+              .unionByName(LK.read_lookup(spark, f"{root}/lookups/event_topics.json")))
+
+
+@register("h1_ingest_txs", """
+select * from txs
+""")
+def h1(spark, sf_dir):
+    import hashlib
+    a = _archive(spark, sf_dir)
+    lake = scratch_path(spark, f"lake-{hashlib.md5(sf_dir.encode()).hexdigest()[:10]}")
+    ING.ingest(spark, a, lake, kinds=("txs",))
+    return ING.read_lake(spark, lake, "txs")
+
+
+@register("h4_replay_txs", """
+select * from txs
+""")
+def h4(spark, sf_dir):
+    import hashlib
+    a = _archive(spark, sf_dir)
+    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
+    mirror_root = scratch_path(spark, f"mirror-txs-{tag}")
+    I.mirror_range(spark, a, mirror_root, SPAN[0], SPAN[1], kinds=("txs",))
+    run = scratch_path(spark, "replay", unique=True)
+    q = ING.replay(spark, mirror_root, "txs", f"{run}/sink", f"{run}/ckpt",
+                   files_per_trigger=500)
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/sink")

@@ -166,7 +166,19 @@ def render(name: str, dialect: str, params: dict | None = None) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  A file with fewer splits than the cluster has cores
+    (one row group is one task) is spread round-robin first, so the per-row
+    hashing and decoding above it runs on every core; a table that already
+    splits wide is left as scanned."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark, df)
+
+
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str, params: dict | None = None) -> DataFrame:
