@@ -23,12 +23,17 @@ from ledgerlake.schemas import DEFAULT_CHAIN_ID, KINDS, ORDER_KEYS, check_kind
 from ledgerlake.sources import manifest as M
 
 # Fixed value: the day at the start of every daily file name.
-FILE_DATE = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})"
+FILE_DATE = r"/([0-9]{4}-[0-9]{2}-[0-9]{2})[^/]*$"
 
 
 def day_lineage() -> "F.Column":
-    """The day of each row, from the name of the file it came from."""
-    return F.to_date(F.regexp_extract(F.col("_metadata.file_name"), FILE_DATE, 1))
+    """The day of each row, from the name of the file it came from.
+
+    ``input_file_name()`` rather than ``_metadata.file_name``: when the day
+    goes unused, the latter still adds a row-index column to the Parquet
+    scan, the former is pruned away entirely.
+    """
+    return F.to_date(F.regexp_extract(F.input_file_name(), FILE_DATE, 1))
 
 
 class Archive:
