@@ -71,6 +71,9 @@ def scratch_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - Spark Connect has no context
             d = None
     if not d:
+        master = spark.sparkContext.master if hasattr(spark, "sparkContext") else ""
+        if not str(master).startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
