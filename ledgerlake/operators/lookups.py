@@ -9,9 +9,11 @@ Join strategy for labelling (E4, E5): the lookup is first reduced to the best
 candidate per key (E3) and then to the keys the data actually uses (a
 left-semi join with the distinct keys, which is combined map-side), so the
 side that meets the big table is bounded by the distinct selectors in use,
-not by the ~650 MB lookup.  AQE then broadcasts it if its runtime size is
-under the threshold; otherwise it stays a sort-merge join and AQE's skew
-handling splits the hot keys (value transfers, ``transfer``) across tasks.
+not by the ~650 MB lookup.  That side is materialised and measured
+(:func:`ledgerlake.plans.joins.join_checked`) and broadcast only under the
+limit, so the big table is never shuffled by a hot selector; beyond the limit
+it stays a sort-merge join and AQE's skew handling splits the hot keys (value
+transfers, ``transfer``) across tasks.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.hexnum import norm_key
+from ledgerlake.plans.joins import join_checked
 
 # Keys that never resolve (fixed values: value-only transfer markers).
 NO_SELECTOR = ("", "0x")
@@ -75,7 +78,7 @@ def label(data: DataFrame, key_col: str, cands: DataFrame, prefix: str = "") ->
     best = _used_best(cands, data, key_col).select(
         F.col("key").alias("_lk"), F.col("signature").alias(f"{prefix}signature"),
         F.col("abi").alias(f"{prefix}abi"))
-    return (data.join(best, _key(key_col) == F.col("_lk"), "left").drop("_lk"))
+    return join_checked(data, best, _key(key_col) == F.col("_lk"), "left").drop("_lk")
 
 
 def label_txs(txs: DataFrame, selectors: DataFrame) -> DataFrame:
@@ -108,7 +111,7 @@ def all_candidates(data: DataFrame, key_col: str, cands: DataFrame) -> DataFrame
                             F.transform("ranked", lambda x: F.struct(
                                 x["signature"].alias("signature"), x["count"].alias("count"),
                                 x["abi"].alias("abi"))).alias("candidates")))
-    return data.join(per_key, _key(key_col) == F.col("_lk"), "left").drop("_lk")
+    return join_checked(data, per_key, _key(key_col) == F.col("_lk"), "left").drop("_lk")
 
 
 def unresolved(data: DataFrame, key_col: str, cands: DataFrame) -> DataFrame:

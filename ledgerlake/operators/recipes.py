@@ -6,9 +6,10 @@ shapes follow the cookbook; the physical choices are Spark's:
 * aggregate-before-join for the 1:N side (events per tx, per block), so a hot
   tx or block is combined map-side before any shuffle and the join sees at
   most one row per key;
-* no forced broadcast: AQE turns a join into a broadcast only when the
-  runtime size of a side is under ``autoBroadcastJoinThreshold`` and splits
-  skewed partitions otherwise;
+* no blind broadcast: the per-block side of F1-F3 is materialised and
+  measured first and broadcast only under the limit
+  (:func:`ledgerlake.plans.joins.join_checked`); beyond it the join stays
+  sort-merge and AQE splits skewed partitions;
 * top-k is ``orderBy(...).limit(k)`` with a total order, which plans as
   ``TakeOrderedAndProject`` (per-partition heaps, no global sort).
 """
@@ -18,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.plans.joins import join_checked
+
 
 def _count_by(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
@@ -29,7 +32,7 @@ def blocks_txs(blocks: DataFrame, txs: DataFrame) -> DataFrame:
                       F.col("timestamp").alias("block_timestamp"),
                       F.col("base_fee_per_gas"))
     t = txs.select("block_number", "tx_hash", "from_address", "to_address", "value", "status")
-    return t.join(b, "block_number", "inner")
+    return join_checked(t, b, "block_number", "inner")
 
 
 def events_per_tx_top(blocks: DataFrame, txs: DataFrame, events: DataFrame,
@@ -42,7 +45,7 @@ def events_per_tx_top(blocks: DataFrame, txs: DataFrame, events: DataFrame,
     ev = _count_by(events, "tx_hash", "n")
     t = txs.select("tx_hash", "block_number", "status")
     b = blocks.select(F.col("number").alias("block_number"))
-    joined = t.join(ev, "tx_hash", "left").join(b, "block_number", "inner")
+    joined = join_checked(t.join(ev, "tx_hash", "left"), b, "block_number", "inner")
     return (joined.groupBy("block_number", "tx_hash", "status")
                   .agg(F.sum(F.coalesce(F.col("n"), F.lit(0))).cast("bigint").alias("event_count"))
                   .orderBy(F.desc("event_count"), F.asc("tx_hash"))
@@ -55,8 +58,7 @@ def tx_detail(blocks: DataFrame, txs: DataFrame, events: DataFrame) -> DataFrame
     b = blocks.select(F.col("number").alias("block_number"),
                       F.col("timestamp").alias("block_timestamp"))
     t = txs.select("tx_hash", "block_number", "status")
-    return (t.join(ev, "tx_hash", "left")
-             .join(b, "block_number", "left")
+    return (join_checked(t.join(ev, "tx_hash", "left"), b, "block_number", "left")
              .select("tx_hash", "block_number", "status", "block_timestamp",
                      F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("event_count")))
 
