@@ -37,7 +37,7 @@ def rank_candidates(cands: DataFrame) -> DataFrame:
     list position; stable on ties."""
     w = Window.partitionBy("key").orderBy(
         F.coalesce(F.col("count"), F.lit(0)).desc(), F.col("pos").asc())
-    return cands.withColumn("rank", F.row_number().over(w))
+    return cands.withColumn("rank", F.row_number().over(w).cast("bigint"))
 
 
 def lookup(cands: DataFrame, keys: list[str]) -> DataFrame:
