@@ -185,6 +185,12 @@ class Archive:
             frames = {k: df.join(days, "date", "left_semi") for k, df in frames.items()}
         return register_views(frames, prefix)
 
+    def summary(self) -> dict:
+        """Chain, version, lookup names and the per-kind file summary
+        (a DataFrame; its null-``kind`` row is the total)."""
+        lookups = sorted(r["name"] for r in M.lookups_table(self.manifest).collect())
+        return {**self.header, "lookups": lookups, "files": A.summary(self.files())}
+
     # ------------------------------------------------------------- A11
     def conformance(self) -> DataFrame:
         """Declared columns (manifest) against each file's footer."""

@@ -176,3 +176,26 @@ def test_column_conformance(spark, scratch):
     # txs declares five columns; the file has more.
     assert ("txs", "status", "extra") in probs
     assert not any(p[2] == "missing" for p in probs)
+
+
+def test_half_published_day_and_summary(spark, scratch):
+    from ledgerlake.functions.hexnum import decode_audit
+    root = os.path.join(scratch, "half")
+    doc = make_archive(root, days=("2026-04-18", "2026-04-19"))
+    doc["files"] = [f for f in doc["files"] if not (f["date"] == "2026-04-19" and f["kind"] == "events")]
+    with open(os.path.join(root, "manifest.json"), "w") as f:
+        json.dump(doc, f)
+    a = Archive(spark, root)
+    assert a.latest_complete_date() == date(2026, 4, 18)
+    views = a.open_range("2026-04-18", "2026-04-19", prefix="h_")
+    assert views["txs"].count() == 4  # each kind resolves its own days
+    views = a.open_range("2026-04-18", "2026-04-19", prefix="c_", complete_days_only=True)
+    assert views["txs"].count() == 2 and views["events"].count() == 3
+    s = a.summary()
+    assert s["chain_id"] == 43114 and s["lookups"] == ["event_topics", "function_selectors"]
+    per = {r["kind"]: (r["files"], r["first_date"], r["last_date"]) for r in s["files"].collect()}
+    assert per["events"] == (1, "2026-04-18", "2026-04-18") and per[None][0] == 5
+    raw = a.load_range("2026-04-18", "2026-04-19", "txs", decode=False)
+    audit = decode_audit(raw, "txs", by=["date"]).filter("column = 'value'").collect()
+    assert sorted((r["date"].isoformat(), r["decoded"]) for r in audit) == \
+        [("2026-04-18", 2), ("2026-04-19", 2)]
