@@ -411,7 +411,7 @@ def a10(spark, sf_dir):
 
 # ------------------------------------------------------------------ scans
 from ledgerlake.sources.archive import Archive  # noqa: E402
-from ledgerlake.sources.writer import fixture_archive  # noqa: E402
+from ledgerlake.sources.writer import fixture_archive, fixture_tag  # noqa: E402
 
 _LATEST = "(select max(date) from txs)"
 
@@ -557,10 +557,8 @@ def d1(spark, sf_dir):
 
 @register("d2_mirror")
 def d2(spark, sf_dir):
-    import hashlib
     a = _archive(spark, sf_dir)
-    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
-    return I.mirror(spark, a.root, scratch_path(spark, f"mirror-{tag}"), a.files())
+    return I.mirror(spark, a.root, scratch_path(spark, f"mirror-{fixture_tag(sf_dir)}"), a.files())
 
 
 @register("e1_lookup_rows", """
@@ -578,9 +576,8 @@ def e1(spark, sf_dir):
 select * from txs
 """)
 def h1(spark, sf_dir):
-    import hashlib
     a = _archive(spark, sf_dir)
-    lake = scratch_path(spark, f"lake-{hashlib.md5(sf_dir.encode()).hexdigest()[:10]}")
+    lake = scratch_path(spark, f"lake-{fixture_tag(sf_dir)}")
     ING.ingest(spark, a, lake, kinds=("txs",))
     return ING.read_lake(spark, lake, "txs")
 
@@ -589,10 +586,8 @@ def h1(spark, sf_dir):
 select * from txs
 """)
 def h4(spark, sf_dir):
-    import hashlib
     a = _archive(spark, sf_dir)
-    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
-    mirror_root = scratch_path(spark, f"mirror-txs-{tag}")
+    mirror_root = scratch_path(spark, f"mirror-txs-{fixture_tag(sf_dir)}")
     I.mirror_range(spark, a, mirror_root, SPAN[0], SPAN[1], kinds=("txs",))
     run = scratch_path(spark, "replay", unique=True)
     q = ING.replay(spark, mirror_root, "txs", f"{run}/sink", f"{run}/ckpt",

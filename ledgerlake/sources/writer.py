@@ -3,9 +3,9 @@
 Used to build test inputs from the driver tables (the fixture views) and by
 the registered scan queries: ``daily/YYYY-MM-DD.{kind}.parquet`` files, the
 two lookup JSON files and ``manifest.json``.  The daily files are written by
-``applyInPandas`` grouped by day, because the format itself is one file per
-day and kind; each task writes to the exact key and returns the entry
-(size, md5) for the manifest.  A retried task rewrites the same key, so the
+``mapInPandas`` over rows partitioned and sorted by day, because the format
+itself is one file per day and kind; each task writes to the exact key and
+returns the entry (size, md5) for the manifest.  A retried task rewrites the same key, so the
 write survives a lost executor; the manifest is written last.
 """
 
@@ -33,40 +33,59 @@ LOOKUP_KEYS = {"function_selectors": "lookups/function_selectors.json",
 def write_days(df: DataFrame, root: str, kind: str, schema_version: str = "v2",
                drop: tuple[str, ...] = ()) -> DataFrame:
     """Write one Parquet file per day of ``df`` (which has a ``date``
-    column) and return the manifest entries as a DataFrame."""
+    column) and return the manifest entries as a DataFrame.
+
+    Rows are hash-partitioned by day and sorted, so each task sees its days
+    as contiguous runs; ``mapInPandas`` streams the batches, keeps only the
+    current day, and writes it when the day changes (memory: one day).
+    """
     root = root.rstrip("/")
     fields = [f for f in RAW[kind].fields if f.name in df.columns and f.name not in drop]
     extra = [c for c in df.columns if c != "date" and c not in RAW[kind].names and c not in drop]
     names = [f.name for f in fields] + extra
+    longs = {f.name for f in fields if f.dataType.typeName() == "long"}
+    order = [c for c in ("block_number", "number", "tx_hash") if c in df.columns]
 
-    def write(pdf):
+    def write_one(day, frames):
         import pandas as pd
         import pyarrow as pa
         import pyarrow.parquet as pq
-        day = str(pdf["date"].iloc[0])[:10]
-        key = f"daily/{day}.{kind}.parquet"
-        table = pa.Table.from_pandas(pdf[names], preserve_index=False)
-        typed = []
-        for name in names:
-            col = table.column(name)
-            f = RAW[kind].names.index(name) if name in RAW[kind].names else None
-            if f is not None:
-                want = pa.int64() if RAW[kind].fields[f].dataType.typeName() == "long" else pa.string()
-                col = col.cast(want)
-            typed.append(col)
-        table = pa.Table.from_arrays(typed, names=names)
+        pdf = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+        cols = [pa.array(pdf[n], type=pa.int64() if n in longs else
+                         (pa.string() if n in RAW[kind].names else None), from_pandas=True)
+                for n in names]
         buf = io.BytesIO()
-        pq.write_table(table, buf)
+        pq.write_table(pa.Table.from_arrays(cols, names=names), buf)
         body = buf.getvalue()
+        key = f"daily/{day}.{kind}.parquet"
         with fsio.open_write(f"{root}/{key}") as out:
             out.write(body)
-        return pd.DataFrame([{"date": day, "kind": kind, "key": key, "size": len(body),
-                              "md5": hashlib.md5(body).hexdigest(),
-                              "schema_version": schema_version}])
+        return {"date": day, "kind": kind, "key": key, "size": len(body),
+                "md5": hashlib.md5(body).hexdigest(), "schema_version": schema_version}
 
-    order = [c for c in ("block_number", "number", "tx_hash") if c in df.columns]
-    src = df.sortWithinPartitions(*order) if order else df
-    return src.groupBy("date").applyInPandas(write, ENTRY_DDL)
+    def write(batches):
+        import pandas as pd
+        day, frames, done = None, [], []
+        for pdf in batches:
+            days = pdf["date"].astype(str).str.slice(0, 10)
+            for d, part in pdf.groupby(days, sort=False):
+                if d != day and frames:
+                    done.append(write_one(day, frames))
+                    frames = []
+                day = d
+                frames.append(part)
+            if done:
+                yield pd.DataFrame(done)
+                done = []
+        if frames:
+            yield pd.DataFrame([write_one(day, frames)])
+
+    # An explicit partition count: AQE would coalesce a small input into one
+    # task, and then one task would write every file.
+    n = df.sparkSession.sparkContext.defaultParallelism * 2
+    src = (df.repartition(n, "date").sortWithinPartitions("date", *order)
+             .select("date", *names))
+    return src.mapInPandas(write, ENTRY_DDL)
 
 
 def lookup_json(cands: DataFrame, spacing: str = "compact") -> bytes:
@@ -135,13 +154,28 @@ def write_archive(spark: SparkSession, frames: dict[str, DataFrame], root: str,
     return write_manifest(root, entries, lk, chain_id=chain_id, schema_version=schema_version)
 
 
+# Bump when the layout written by this module changes.
+WRITER_VERSION = "2"
+
+
+def fixture_tag(sf_dir: str) -> str:
+    """Fingerprint of a fixture archive: the input folder, the SQL of the
+    views it is written from, and the writer version, so a changed view never
+    reuses an archive written by an older one."""
+    from ledgerlake.sources import fixtures as fx
+    h = hashlib.md5(sf_dir.rstrip("/").encode())
+    for name in ("raw_blocks", "raw_txs", "raw_events", "selector_candidates", "topic_candidates"):
+        h.update(fx.TEMPLATES[name].encode())
+    h.update(WRITER_VERSION.encode())
+    return h.hexdigest()[:12]
+
+
 def fixture_archive(spark: SparkSession, sf_dir: str) -> str:
     """The archive written from the fixture views of ``sf_dir``, under the
     shared scratch root; written once and reused while its manifest exists."""
     from ledgerlake.session import scratch_path
     from ledgerlake.sources import fixtures as fx
-    tag = hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:10]
-    root = scratch_path(spark, f"archive-{tag}")
+    root = scratch_path(spark, f"archive-{fixture_tag(sf_dir)}")
     if fsio.size_of(f"{root}/{MANIFEST_NAME}") is None:
         frames = {k: fx.raw(spark, sf_dir, k) for k in KINDS}
         lookups = {"function_selectors": fx.candidates(spark, sf_dir, "selector"),
