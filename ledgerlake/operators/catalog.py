@@ -140,7 +140,7 @@ def range_entries(files: DataFrame, start: str, end: str, kind: str) -> DataFram
     check_kind(kind)
     if str(end) < str(start):
         raise ValueError(f"end {end} is before start {start}")
-    f = files.filter((F.col("kind") == kind)
+    f = files.filter((F.col("kind") == kind) & _day().isNotNull()
                      & (F.col("date") >= str(start)) & (F.col("date") <= str(end)))
     return resolve(f)
 

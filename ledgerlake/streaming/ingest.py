@@ -92,10 +92,13 @@ def read_lake(spark: SparkSession, lake: str, kind: str) -> DataFrame:
 
 
 def follow(spark: SparkSession, archive: Archive, snapshots: str, lake: str,
-           checkpoint: str, kinds=KINDS, once: bool = True, interval: str = "10 minutes"):
+           checkpoint: str, kinds=KINDS, once: bool = True, interval: str = "10 minutes",
+           after=None):
     """H2: every new manifest snapshot file in ``snapshots`` triggers H1 with
     that snapshot's entries.  ``once`` runs what is there (``availableNow``);
-    otherwise a processing-time trigger of ``interval``.  Returns the query."""
+    otherwise a processing-time trigger of ``interval``.  ``after(ingested)``
+    runs after each batch (e.g. :func:`refresh_running_totals`).  Returns the
+    query."""
     stream = (spark.readStream.schema(MANIFEST).option("multiLine", True)
                    .json(snapshots))
 
@@ -103,7 +106,9 @@ def follow(spark: SparkSession, archive: Archive, snapshots: str, lake: str,
         latest = batch.orderBy(F.desc("generated_at")).limit(1)
         if latest.isEmpty():
             return
-        ingest(spark, archive, lake, kinds, files=M.files_table(latest))
+        done = ingest(spark, archive, lake, kinds, files=M.files_table(latest))
+        if after is not None:
+            after(done)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=interval)
@@ -139,3 +144,13 @@ def snapshot(archive_root: str, snapshots: str, name: str | None = None) -> str:
         fout.write(fin.read())
     fsio.rename(tmp, dest)
     return dest
+
+
+def refresh_running_totals(spark: SparkSession, lake: str, dest: str) -> DataFrame:
+    """H3 (streaming form): after an H2 batch, recompute the per-day failed
+    and total txs with running sums from the lake (per-day aggregates over a
+    ``date``-partitioned table, then a window over one row per day) and
+    replace ``dest``.  Equal to the one-pass total over the same days."""
+    from ledgerlake.operators.recipes import running_totals
+    running_totals(read_lake(spark, lake, "txs")).write.mode("overwrite").parquet(dest)
+    return spark.read.parquet(dest)

@@ -45,9 +45,14 @@ def test_follow_snapshots(spark, scratch):
     # A new day is published: a new snapshot picks it up.
     make_archive(root, days=(DAY, "2026-04-19"))
     H.snapshot(root, snaps, "m2.json")
-    q = H.follow(spark, Archive(spark, root), snaps, lake, ckpt)
+    totals = os.path.join(scratch, "totals")
+    q = H.follow(spark, Archive(spark, root), snaps, lake, ckpt,
+                 after=lambda done: H.refresh_running_totals(spark, lake, totals))
     q.awaitTermination(120)
     assert H.read_lake(spark, lake, "events").count() == 6
+    run = [(r["date"].isoformat(), r["txs"], r["txs_running"])
+           for r in spark.read.parquet(totals).orderBy("date").collect()]
+    assert run == [(DAY, 2, 2), ("2026-04-19", 2, 4)]
 
 
 def test_replay_equals_range(spark, scratch):
