@@ -33,11 +33,34 @@ def _significant(c: Column) -> Column:
     return F.regexp_extract(c, SIGNIFICANT, 1)
 
 
+# The same expressions as SQL text: a column given by name is decoded with one
+# ``expr`` call instead of a few dozen Column-builder round trips.
+_SIG = "regexp_extract({c}, '" + SIGNIFICANT + "', 1)"
+_WEI_SQL = (
+    "CASE WHEN {c} = '0x' THEN CAST(0 AS DECIMAL(38,0)) "
+    "WHEN {c} RLIKE '" + HEX_PATTERN + "' AND length(" + _SIG + ") <= 32 THEN CAST(try_add("
+    "try_multiply(CAST(conv(substring(lpad(" + _SIG + ", 32, '0'), 1, 16), 16, 10) AS DECIMAL(38,0)), "
+    "CAST(18446744073709551616 AS DECIMAL(20,0))), "
+    "CAST(conv(substring(lpad(" + _SIG + ", 32, '0'), 17, 16), 16, 10) AS DECIMAL(38,0))) "
+    "AS DECIMAL(38,0)) ELSE CAST(NULL AS DECIMAL(38,0)) END")
+_INT_SQL = (
+    "CASE WHEN {c} = '0x' THEN CAST(0 AS BIGINT) "
+    "WHEN {c} RLIKE '" + HEX_PATTERN + "' AND length(" + _SIG + ") <= 16 "
+    "THEN try_cast(conv(lpad(" + _SIG + ", 16, '0'), 16, 10) AS BIGINT) "
+    "ELSE CAST(NULL AS BIGINT) END")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def wei(c) -> Column:
     """Hex string to DECIMAL(38,0) via two 64-bit limbs.
 
     Above 32 significant hex digits, or above 10^38-1, the result is null.
     """
+    if isinstance(c, str):
+        return F.expr(_WEI_SQL.format(c=_quoted(c)))
     c = _col(c)
     digits = F.lpad(_significant(c), 32, "0")
     hi = F.conv(F.substring(digits, 1, 16), 16, 10).cast(WEI_TYPE)
@@ -55,6 +78,8 @@ def hex_int(c) -> Column:
     ``conv`` alone stops at the first bad digit and raises above 64 bits under
     ANSI, so the pattern and length are tested first.
     """
+    if isinstance(c, str):
+        return F.expr(_INT_SQL.format(c=_quoted(c)))
     c = _col(c)
     fits = c.rlike(HEX_PATTERN) & (F.length(_significant(c)) <= 16)
     value = F.conv(F.lpad(_significant(c), 16, "0"), 16, 10).try_cast(LongType())
@@ -86,7 +111,7 @@ AUDIT_MEASURES = ("rows", "nulls", "empties", "zero_markers", "invalid", "too_la
 
 def _audit_exprs(name: str, is_wei: bool) -> list[Column]:
     c = F.col(name)
-    dec = wei(c) if is_wei else hex_int(c)
+    dec = wei(name) if is_wei else hex_int(name)
     valid = c.rlike(HEX_PATTERN)
     return [
         F.count(F.lit(1)),

@@ -6,10 +6,12 @@ shapes follow the cookbook; the physical choices are Spark's:
 * aggregate-before-join for the 1:N side (events per tx, per block), so a hot
   tx or block is combined map-side before any shuffle and the join sees at
   most one row per key;
-* no blind broadcast: the per-block side of F1-F3 is materialised and
-  measured first and broadcast only under the limit
-  (:func:`ledgerlake.plans.joins.join_checked`); beyond it the join stays
-  sort-merge and AQE splits skewed partitions;
+* no blind broadcast: where the big side is a bare scan (F1), the per-block
+  side is materialised and measured first and broadcast only under the limit
+  (:func:`ledgerlake.plans.joins.join_checked`); where the join sits above
+  another shuffle (F2, F3), AQE decides from the finished blocks stage before
+  the big side's exchange starts; beyond the limit joins stay sort-merge and
+  AQE splits skewed partitions;
 * top-k is ``orderBy(...).limit(k)`` with a total order, which plans as
   ``TakeOrderedAndProject`` (per-partition heaps, no global sort).
 """
@@ -40,12 +42,15 @@ def events_per_tx_top(blocks: DataFrame, txs: DataFrame, events: DataFrame,
     """event count per tx (0 without events), top ``k``.
 
     Events are counted per ``tx_hash`` first; summing after the join keeps the
-    result equal to ``COUNT(e.tx_hash)`` even for duplicate txs.
+    result equal to ``COUNT(e.tx_hash)`` even for duplicate txs.  The blocks
+    join sits above the ``tx_hash`` shuffle: the blocks scan is a leaf stage
+    that has finished before the joined side's exchange would start, so AQE
+    already knows its size and broadcasts it without shuffling the big side.
     """
     ev = _count_by(events, "tx_hash", "n")
     t = txs.select("tx_hash", "block_number", "status")
     b = blocks.select(F.col("number").alias("block_number"))
-    joined = join_checked(t.join(ev, "tx_hash", "left"), b, "block_number", "inner")
+    joined = t.join(ev, "tx_hash", "left").join(b, "block_number", "inner")
     return (joined.groupBy("block_number", "tx_hash", "status")
                   .agg(F.sum(F.coalesce(F.col("n"), F.lit(0))).cast("bigint").alias("event_count"))
                   .orderBy(F.desc("event_count"), F.asc("tx_hash"))
@@ -53,12 +58,15 @@ def events_per_tx_top(blocks: DataFrame, txs: DataFrame, events: DataFrame,
 
 
 def tx_detail(blocks: DataFrame, txs: DataFrame, events: DataFrame) -> DataFrame:
-    """per tx, its block timestamp (or null) and event count (or 0)."""
+    """per tx, its block timestamp (or null) and event count (or 0).
+
+    As in F2, the blocks join comes after the ``tx_hash`` shuffle, where AQE
+    decides from the finished blocks stage."""
     ev = _count_by(events, "tx_hash", "n")
     b = blocks.select(F.col("number").alias("block_number"),
                       F.col("timestamp").alias("block_timestamp"))
     t = txs.select("tx_hash", "block_number", "status")
-    return (join_checked(t.join(ev, "tx_hash", "left"), b, "block_number", "left")
+    return (t.join(ev, "tx_hash", "left").join(b, "block_number", "left")
              .select("tx_hash", "block_number", "status", "block_timestamp",
                      F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("event_count")))
 

@@ -170,14 +170,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     (one row group is one task) is spread round-robin first, so the per-row
     hashing and decoding above it runs on every core; a table that already
     splits wide is left as scanned."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(spark, df)
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    k = (spark.sparkContext.applicationId, id(spark), path)
+    if k not in _TABLES:  # plans only: the driver tables are read-only
+        _TABLES[k] = spread(spark, spark.read.parquet(path), key=path)
+    return _TABLES[k]
 
 
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+_SPLITS: dict[tuple, int] = {}
+
+
+def spread(spark: SparkSession, df: DataFrame, key: str | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cores when its scan has fewer splits.
+    Counting splits plans the scan, so the count is kept per input path."""
     try:
         cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
+        k = (key, cores, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+        if key is None or k not in _SPLITS:
+            _SPLITS[k] = df.rdd.getNumPartitions()
+        splits = _SPLITS[k]
     except Exception:  # noqa: BLE001 - Spark Connect exposes neither
         return df
     return df.repartition(cores) if splits < cores else df

@@ -11,13 +11,18 @@ MAX_DEC = 10 ** 38 - 1
 
 
 def _wei(spark, values):
+    """Both forms (SQL text for a name, Column builder for a Column) agree."""
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    return [r[0] for r in df.select(wei("v")).collect()]
+    rows = df.select(wei("v"), wei(F.col("v"))).collect()
+    assert all(r[0] == r[1] for r in rows)
+    return [r[0] for r in rows]
 
 
 def _int(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    return [r[0] for r in df.select(hex_int("v")).collect()]
+    rows = df.select(hex_int("v"), hex_int(F.col("v"))).collect()
+    assert all(r[0] == r[1] for r in rows)
+    return [r[0] for r in rows]
 
 
 def test_wei_contract_cases(spark):
