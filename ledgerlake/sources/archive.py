@@ -54,6 +54,14 @@ class Archive:
                                            "latest_complete_date")} if row else {}
         entries = [(i, *e) for i, e in enumerate(row["files"] if row else [])]
         self._files = spark.createDataFrame(entries, M.FILES_DDL)
+        # The same rows on the driver, for resolving the file list of a load
+        # without a Spark job (first entry wins, impossible dates skipped).
+        names = ("pos",) + A.ENTRY_FIELDS
+        self._winners: dict[tuple[str, str], dict] = {}
+        for e in entries:
+            d = dict(zip(names, e))
+            if _real_day(d["date"]) and (d["date"], d["kind"]) not in self._winners:
+                self._winners[(d["date"], d["kind"])] = d
         if chain_id is not None and self.header.get("chain_id") != chain_id:
             raise ValueError(f"manifest chain_id {self.header.get('chain_id')} is not {chain_id}")
 
@@ -65,13 +73,40 @@ class Archive:
         return [r[0] for r in A.available_dates(self.files(), kind).collect()]
 
     def latest_complete_date(self) -> _date | None:
-        return A.latest_complete(self.files()).first()[0]
+        by_day: dict[str, set] = {}
+        for d, k in self._winners:
+            by_day.setdefault(d, set()).add(k)
+        full = [d for d, ks in by_day.items() if set(KINDS) <= ks]
+        return _date.fromisoformat(max(full)) if full else None
 
     def path(self, key: str) -> str:
         return f"{self.root}/{key}"
 
     def url_for(self, date: str, kind: str) -> str:
-        return self.path(A.entry(self.files(), str(date), kind)["key"])
+        return self.path(self._entry(str(date), kind)["key"])
+
+    def _entry(self, date: str, kind: str) -> dict:
+        """A5 on the driver-held catalog rows (same rule as ``catalog.entry``)."""
+        check_kind(kind)
+        e = self._winners.get((str(date), kind))
+        if e is None:
+            raise FileNotFoundError(
+                f"no {kind} file for {date} in the manifest; latest complete date is "
+                f"{self.latest_complete_date()}")
+        return e
+
+    def _range(self, start, end, kind: str) -> list[dict]:
+        """A6 on the driver-held catalog rows: inclusive, date order, gaps
+        skipped, empty raises (same rule as ``catalog.range_list``)."""
+        check_kind(kind)
+        start, end = str(start), str(end)
+        if end < start:
+            raise ValueError(f"end {end} is before start {start}")
+        out = sorted((e for (d, k), e in self._winners.items()
+                      if k == kind and start <= d <= end), key=lambda e: e["date"])
+        if not out:
+            raise FileNotFoundError(f"no {kind} files between {start} and {end}")
+        return out
 
     # ------------------------------------------------------------- scans
     def _read(self, entries: list[dict], kind: str, decode: bool | None,
@@ -124,16 +159,14 @@ class Archive:
     def load_day(self, date, kind: str, decode: bool | None = None,
                  columns: list[str] | None = None, with_date: bool = False) -> DataFrame:
         """B1: one day of ``kind``; missing raises ``FileNotFoundError``."""
-        check_kind(kind)
-        e = A.entry(self.files(), str(date), kind)
+        e = self._entry(str(date), kind)
         return self._read([e], kind, decode, columns, with_date)
 
     def load_range(self, start, end, kind: str, decode: bool | None = None,
                    columns: list[str] | None = None, with_date: bool = True) -> DataFrame:
         """B2: inclusive range; gaps skipped; empty raises.  ``date`` (B8) is
         added by default so per-day work is a ``groupBy("date")``."""
-        check_kind(kind)
-        entries = A.range_list(self.files(), str(start), str(end), kind)
+        entries = self._range(start, end, kind)
         return self._read(entries, kind, decode, columns, with_date)
 
     def iter_range(self, start, end, kind: str, decode: bool | None = None,
@@ -141,8 +174,7 @@ class Archive:
         """B3 (driver hand-over form): ``(date, DataFrame)`` per day in date
         order.  Each frame is lazy; prefer ``load_range(...).groupBy("date")``
         for work that can stay distributed."""
-        check_kind(kind)
-        for e in A.range_list(self.files(), str(start), str(end), kind):
+        for e in self._range(start, end, kind):
             yield _date.fromisoformat(e["date"]), self._read([e], kind, decode, columns, False)
 
     def rows(self, date, kind: str, columns: list[str]) -> DataFrame:
@@ -198,6 +230,13 @@ class Archive:
                                   M.columns_table(self.manifest))
 
 
+def _real_day(text) -> bool:
+    try:
+        return bool(text) and len(text) == 10 and _date.fromisoformat(text).isoformat() == text
+    except ValueError:
+        return False
+
+
 def register_views(frames: dict[str, DataFrame], prefix: str = "") -> dict[str, DataFrame]:
     """Register each frame as a temp view named ``prefix + kind``."""
     for kind, df in frames.items():

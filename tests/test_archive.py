@@ -199,3 +199,21 @@ def test_half_published_day_and_summary(spark, scratch):
     audit = decode_audit(raw, "txs", by=["date"]).filter("column = 'value'").collect()
     assert sorted((r["date"].isoformat(), r["decoded"]) for r in audit) == \
         [("2026-04-18", 2), ("2026-04-19", 2)]
+
+
+def test_driver_resolution_matches_catalog(spark, scratch):
+    root = os.path.join(scratch, "dups")
+    doc = make_archive(root, days=("2026-04-18", "2026-04-19"))
+    # A duplicate (later entry loses) and an impossible date.
+    dup = dict(doc["files"][1], size=1, md5="f" * 32)
+    bad = dict(doc["files"][1], date="2026-13-45")
+    doc["files"] += [dup, bad]
+    with open(os.path.join(root, "manifest.json"), "w") as f:
+        json.dump(doc, f)
+    a = Archive(spark, root)
+    for kind in ("blocks", "txs", "events"):
+        local = [(e["date"], e["key"], e["size"]) for e in a._range("2000-01-01", "2030-12-31", kind)]
+        cat = [(e["date"], e["key"], e["size"]) for e in
+               A.range_list(a.files(), "2000-01-01", "2030-12-31", kind)]
+        assert local == cat
+    assert a.latest_complete_date() == A.latest_complete(a.files()).first()[0]
