@@ -25,9 +25,13 @@ MIRROR_DDL = ("date string, kind string, key string, size long, md5 string, "
               "schema_version string, dest_key string, status string")
 
 
-def _spread(spark: SparkSession, entries: DataFrame, per_task: int | None) -> DataFrame:
-    n = spark.sparkContext.defaultParallelism * 4 if per_task is None else per_task
-    return entries.repartition(max(int(n), 1))
+def _spread(spark: SparkSession, entries: DataFrame, tasks: int | None) -> DataFrame:
+    """Round-robin the entry rows over tasks: one file per task on a large
+    cluster (so the scheduler balances multi-GB days dynamically), up to 16
+    tasks per core on a small one.  The count is of catalog rows."""
+    if tasks is None:
+        tasks = min(entries.count(), spark.sparkContext.defaultParallelism * 16)
+    return entries.repartition(max(int(tasks), 1))
 
 
 def verify_objects(spark: SparkSession, root: str, entries: DataFrame,
