@@ -73,6 +73,11 @@ def read_lookup(spark: SparkSession, path: str, check: bool = True) -> DataFrame
     parsed = None
     if sep is not None:
         parsed = _explode(_split_read(spark, path, sep))
+        if check:
+            # Parse once: the check and the result both read the checkpoint.
+            from ledgerlake.session import scratch_root
+            scratch_root(spark)
+            parsed = parsed.checkpoint(eager=True)
         # ``from_json`` ignores text after the first value, so a fragment that
         # is not a list (a legacy object swallowing the next entry) is caught
         # by its first character, not by a null.
