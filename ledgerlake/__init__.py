@@ -1 +1,3 @@
 """ledgerlake: a PySpark engine over a daily, manifest-published chain archive."""
+
+__version__ = "0.1.0"

@@ -1 +1 @@
-
+"""Scalar functions as native Spark expressions: hex decoding."""
