@@ -217,3 +217,14 @@ def test_driver_resolution_matches_catalog(spark, scratch):
                A.range_list(a.files(), "2000-01-01", "2030-12-31", kind)]
         assert local == cat
     assert a.latest_complete_date() == A.latest_complete(a.files()).first()[0]
+
+
+def test_lookup_entry_validation(spark):
+    rows = [("function_selectors", "lookups/function_selectors.json", 10, "a" * 32),
+            ("event_topics", "lookups/event_topics.json.gz", 10, "b" * 32),
+            ("other", "lookups/x.parquet", 0, "c" * 32),
+            ("bad", "daily/x.json", -5, "nope")]
+    df = spark.createDataFrame(rows, "name string, key string, size long, md5 string")
+    v = {r["name"]: r["violations"] for r in A.lookup_violations(df).collect()}
+    assert v == {"function_selectors": [], "event_topics": [], "other": [],
+                 "bad": ["key", "md5", "size"]}
