@@ -5,15 +5,15 @@ A candidate table has one row per ``(key, pos)``: ``key`` (lower-case hex),
 (JSON text).  It is produced from the lookup JSON by
 :func:`ledgerlake.sources.lookups.read_lookup`.
 
-Join strategy for labelling (E4, E5): the lookup is first reduced to the best
-candidate per key (E3) and then to the keys the data actually uses (a
-left-semi join with the distinct keys, which is combined map-side), so the
-side that meets the big table is bounded by the distinct selectors in use,
-not by the ~650 MB lookup.  That side is materialised and measured
-(:func:`ledgerlake.plans.joins.join_checked`) and broadcast only under the
-limit, so the big table is never shuffled by a hot selector; beyond the limit
-it stays a sort-merge join and AQE's skew handling splits the hot keys (value
-transfers, ``transfer``) across tasks.
+Join strategy for labelling (E4, E5, E6): the lookup is reduced to the best
+candidate per key (E3, an aggregate over the lookup, not the data), then
+materialised and measured (:func:`ledgerlake.plans.joins.join_checked`).
+Under the limit it is broadcast and the big table is never shuffled by a hot
+selector.  Over the limit (the ~650 MB selector file) it is cut to the keys
+the data actually uses (a left-semi join with the distinct keys, combined
+map-side) and measured again; only beyond that does the join stay sort-merge,
+with AQE's skew handling splitting the hot keys (value transfers,
+``transfer``) across tasks.
 """
 
 from __future__ import annotations
@@ -67,18 +67,15 @@ def best_candidates(cands: DataFrame) -> DataFrame:
                          F.col("b.count").alias("count"), F.col("b.abi").alias("abi")))
 
 
-def _used_best(cands: DataFrame, data: DataFrame, key_col: str) -> DataFrame:
-    used = data.select(_key(key_col).alias("key")).distinct()
-    return best_candidates(cands.join(used, "key", "left_semi"))
-
-
 def label(data: DataFrame, key_col: str, cands: DataFrame, prefix: str = "") -> DataFrame:
     """Add ``signature`` (and ``abi``) of the best candidate for
     ``data[key_col]``.  Unresolved, empty and ``0x`` keys stay, with null."""
-    best = _used_best(cands, data, key_col).select(
+    best = best_candidates(cands).select(
         F.col("key").alias("_lk"), F.col("signature").alias(f"{prefix}signature"),
         F.col("abi").alias(f"{prefix}abi"))
-    return join_checked(data, best, _key(key_col) == F.col("_lk"), "left").drop("_lk")
+    used = data.select(_key(key_col).alias("_lk")).distinct()
+    return join_checked(data, best, _key(key_col) == F.col("_lk"), "left",
+                        reduce=lambda b: b.join(used, "_lk", "left_semi")).drop("_lk")
 
 
 def label_txs(txs: DataFrame, selectors: DataFrame) -> DataFrame:
@@ -98,9 +95,7 @@ def all_candidates(data: DataFrame, key_col: str, cands: DataFrame) -> DataFrame
     The array is built per key from the lookup's own list (bounded by what
     the published JSON held for that key), then left-joined like E4.
     """
-    used = data.select(_key(key_col).alias("key")).distinct()
-    per_key = (cands.join(used, "key", "left_semi")
-                    .groupBy("key")
+    per_key = (cands.groupBy("key")
                     .agg(F.array_sort(F.collect_list(F.struct(
                         (-F.coalesce(F.col("count"), F.lit(0))).alias("neg_count"),
                         F.col("pos").alias("pos"),
@@ -111,7 +106,9 @@ def all_candidates(data: DataFrame, key_col: str, cands: DataFrame) -> DataFrame
                             F.transform("ranked", lambda x: F.struct(
                                 x["signature"].alias("signature"), x["count"].alias("count"),
                                 x["abi"].alias("abi"))).alias("candidates")))
-    return join_checked(data, per_key, _key(key_col) == F.col("_lk"), "left").drop("_lk")
+    used = data.select(_key(key_col).alias("_lk")).distinct()
+    return join_checked(data, per_key, _key(key_col) == F.col("_lk"), "left",
+                        reduce=lambda p: p.join(used, "_lk", "left_semi")).drop("_lk")
 
 
 def unresolved(data: DataFrame, key_col: str, cands: DataFrame) -> DataFrame:

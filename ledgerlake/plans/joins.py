@@ -61,10 +61,17 @@ def measure(small: DataFrame) -> tuple[DataFrame, int, int]:
 
 
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "left",
-                 limit: int | None = None) -> DataFrame:
+                 limit: int | None = None, reduce=None) -> DataFrame:
     """``big.join(small, on, how)`` with ``small`` broadcast only when its
-    measured size is under ``limit`` (default :func:`broadcast_limit`)."""
-    m, _, nbytes = measure(small)
+    measured size is under ``limit`` (default :func:`broadcast_limit`).
+
+    ``reduce(small) -> DataFrame`` is tried when ``small`` is over the limit
+    (e.g. keep only the keys ``big`` uses); its result is measured in turn.
+    Beyond the limit the join is left to sort-merge and AQE's skew handling.
+    """
     lim = broadcast_limit(big.sparkSession) if limit is None else limit
+    m, _, nbytes = measure(small)
+    if nbytes > lim and reduce is not None:
+        m, _, nbytes = measure(reduce(m))
     side = F.broadcast(m) if nbytes <= lim else m
     return big.join(side, on, how)

@@ -72,3 +72,21 @@ def test_partial_aggregation_before_shuffle(spark):
     assert "partial_count" in plan
     r = {x["check"]: x["violations"] for x in contract_checks(b, t, e).collect()}
     assert r["event_block_mismatch"] == 0 and r["tx_without_block"] == 0
+
+
+def test_large_lookup_is_cut_to_used_keys(spark):
+    from ledgerlake.plans.joins import measure
+    cands = spark.createDataFrame(
+        [(f"0x{i:08x}", 0, f"f{i}()", i, "x" * 200) for i in range(2000)],
+        "key string, pos long, signature string, count long, abi string")
+    data = spark.createDataFrame([("0x00000007",), ("0x00000007",), ("",)], "input_prefix string")
+    _, _, whole = measure(L.best_candidates(cands))
+    spark.conf.set(LIMIT_CONF, str(whole // 10))  # the whole lookup is over, the used part under
+    try:
+        out = L.label_txs(data, cands)
+        rows = sorted((r["input_prefix"], r["signature"] or "") for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(LIMIT_CONF)
+    assert rows == [("", ""), ("0x00000007", "f7()"), ("0x00000007", "f7()")]
+    assert "BroadcastHashJoin" in plan
