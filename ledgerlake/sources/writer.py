@@ -30,6 +30,16 @@ LOOKUP_KEYS = {"function_selectors": "lookups/function_selectors.json",
                "event_topics": "lookups/event_topics.json"}
 
 
+def _put(path: str, body: bytes) -> None:
+    """Write then rename, so a reader never sees a partial file (a retried or
+    concurrent writer replaces it whole)."""
+    import uuid
+    tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+    with fsio.open_write(tmp) as out:
+        out.write(body)
+    fsio.rename(tmp, path)
+
+
 def write_days(df: DataFrame, root: str, kind: str, schema_version: str = "v2",
                drop: tuple[str, ...] = ()) -> DataFrame:
     """Write one Parquet file per day of ``df`` (which has a ``date``
@@ -58,8 +68,7 @@ def write_days(df: DataFrame, root: str, kind: str, schema_version: str = "v2",
         pq.write_table(pa.Table.from_arrays(cols, names=names), buf)
         body = buf.getvalue()
         key = f"daily/{day}.{kind}.parquet"
-        with fsio.open_write(f"{root}/{key}") as out:
-            out.write(body)
+        _put(f"{root}/{key}", body)
         return {"date": day, "kind": kind, "key": key, "size": len(body),
                 "md5": hashlib.md5(body).hexdigest(), "schema_version": schema_version}
 
@@ -103,8 +112,7 @@ def lookup_json(cands: DataFrame, spacing: str = "compact") -> bytes:
 
 def write_lookup(root: str, name: str, body: bytes) -> dict:
     key = LOOKUP_KEYS.get(name, f"lookups/{name}.json")
-    with fsio.open_write(f"{root.rstrip('/')}/{key}") as out:
-        out.write(body)
+    _put(f"{root.rstrip('/')}/{key}", body)
     return {"key": key, "size": len(body), "md5": hashlib.md5(body).hexdigest()}
 
 
