@@ -119,22 +119,21 @@ class Archive:
         if len(by_version) > 1:
             warnings.warn(f"range spans multiple schema versions: {sorted(by_version)}",
                           UserWarning, stacklevel=3)
-        frames = []
+        frames, seen = [], set()
         for _, paths in sorted(by_version.items()):
             df = self._parquet(paths, schema)
-            if columns is not None:
-                missing = [c for c in columns if c not in df.columns]
-                if missing:
-                    raise KeyError(f"columns not in {kind}: {missing}")
-                keep = list(columns)
-            else:
-                keep = list(df.columns)
-            df = df.select(*keep, *( [day_lineage().alias("date")] if with_date else []))
+            keep = list(df.columns) if columns is None else [c for c in columns if c in df.columns]
+            seen.update(keep)
+            df = df.select(*keep, *([day_lineage().alias("date")] if with_date else []))
             frames.append(df)
+        if columns is not None and set(columns) - seen:
+            raise KeyError(f"columns not in {kind}: {sorted(set(columns) - seen)}")
         out = frames[0]
         for df in frames[1:]:
             _check_union(out, df)
             out = out.unionByName(df, allowMissingColumns=True)
+        if columns is not None:  # requested order; a column absent in one version is null there
+            out = out.select(*columns, *(["date"] if with_date else []))
         return decode_hex_columns(out, kind) if decode else out
 
     def _parquet(self, paths: list[str], schema: StructType | None) -> DataFrame:

@@ -228,3 +228,21 @@ def test_lookup_entry_validation(spark):
     v = {r["name"]: r["violations"] for r in A.lookup_violations(df).collect()}
     assert v == {"function_selectors": [], "event_topics": [], "other": [],
                  "bad": ["key", "md5", "size"]}
+
+
+def test_projection_across_versions(spark, scratch):
+    root = os.path.join(scratch, "proj")
+    t2 = day_table("blocks").append_column("extra", pa.array(["a", "b", "c"]))
+    e = put(root, "daily/2026-04-19.blocks.parquet", parquet_bytes(t2))
+    e.update(date="2026-04-19", kind="blocks", schema_version="v3")
+    make_archive(root, days=("2026-04-18",), extra_files=[e])
+    a = Archive(spark, root)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        df = a.load_range("2026-04-18", "2026-04-19", "blocks", columns=["extra", "number"])
+        assert df.columns == ["extra", "number", "date"]
+        got = sorted((r["date"].isoformat(), r["extra"] or "") for r in df.collect())
+        assert got == [("2026-04-18", ""), ("2026-04-18", ""), ("2026-04-18", ""),
+                       ("2026-04-19", "a"), ("2026-04-19", "b"), ("2026-04-19", "c")]
+        with pytest.raises(KeyError):
+            a.load_range("2026-04-18", "2026-04-19", "blocks", columns=["nope"])
