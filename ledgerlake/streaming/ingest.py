@@ -45,15 +45,19 @@ def _ledger(spark: SparkSession, lake: str) -> DataFrame:
 
 def pending(spark: SparkSession, files: DataFrame, lake: str,
             kinds=KINDS, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Entries (winning per day and kind) not yet in the ledger with the same
-    key and md5: new days and rebuilt days."""
-    cur = A.resolve(files.filter(F.col("kind").isin(*kinds)))
+    """Valid entries (winning per day and kind) whose key and md5 differ
+    from the *latest* ledger row of their day and kind: new days and rebuilt
+    days (a day rebuilt back to an earlier md5 included)."""
+    valid, _ = A.split_valid(A.file_violations(files, strict_key=False))
+    cur = A.resolve(valid.filter(F.col("kind").isin(*kinds)))
     if start:
         cur = cur.filter(F.col("date") >= str(start))
     if end:
         cur = cur.filter(F.col("date") <= str(end))
-    done = _ledger(spark, lake).select("date", "kind", "key", "md5")
-    return cur.join(done, ["date", "kind", "key", "md5"], "left_anti")
+    last = (_ledger(spark, lake).groupBy("date", "kind")
+            .agg(F.max_by(F.struct("key", "md5"), "ingested_at").alias("l"))
+            .select("date", "kind", "l.key", "l.md5"))
+    return cur.join(last, ["date", "kind", "key", "md5"], "left_anti")
 
 
 def ingest(spark: SparkSession, archive: Archive, lake: str, kinds=KINDS,
@@ -79,7 +83,7 @@ def ingest(spark: SparkSession, archive: Archive, lake: str, kinds=KINDS,
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("date").parquet(f"{lake}/{kind}"))
     if todo:
-        now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+        now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")  # sortable
         rows = [(e["date"], e["kind"], e["key"], e["md5"], e["size"], now) for e in todo]
         spark.createDataFrame(rows, LEDGER_DDL).write.mode("append").parquet(f"{lake}/{LEDGER}")
     return todo
