@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 from ledgerlake.functions.hexnum import decode_hex_columns
 from ledgerlake.operators import catalog as A
 from ledgerlake.schemas import DEFAULT_CHAIN_ID, KINDS, ORDER_KEYS, check_kind
+from ledgerlake.sources import fsio
 from ledgerlake.sources import manifest as M
 
 # Fixed value: the day at the start of every daily file name.
@@ -141,19 +142,8 @@ class Archive:
         listed on the driver (a listing job costs more than it saves there);
         on an object store Spark's parallel listing is kept."""
         reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
-        local = "://" not in self.root or self.root.startswith("file:")
-        key = "spark.sql.sources.parallelPartitionDiscovery.threshold"
-        if not local:
+        with fsio.driver_listing(self.spark, self.root, len(paths)):
             return reader.parquet(*paths)
-        old = self.spark.conf.get(key, None)
-        self.spark.conf.set(key, str(max(len(paths) + 1, 32)))
-        try:
-            return reader.parquet(*paths)
-        finally:
-            if old is None:
-                self.spark.conf.unset(key)
-            else:
-                self.spark.conf.set(key, old)
 
     def load_day(self, date, kind: str, decode: bool | None = None,
                  columns: list[str] | None = None, with_date: bool = False) -> DataFrame:

@@ -86,3 +86,38 @@ def md5_of(path: str, limit: int | None = None) -> tuple[int, str]:
 
 def local_path(path: str) -> str:
     return _split(path)[1]
+
+
+def is_local(root: str) -> bool:
+    """A local or mounted path (no scheme, or ``file:``)."""
+    return "://" not in root or root.startswith("file:")
+
+
+class driver_listing:
+    """Context manager: list files on the driver for a local root.
+
+    Spark lists many paths with a distributed job (above
+    ``spark.sql.sources.parallelPartitionDiscovery.threshold``).  On an object
+    store that pays off; on a local or mounted disk the job costs more than
+    the listing, so the threshold is raised for the duration of the read.
+    """
+
+    KEY = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+
+    def __init__(self, spark, root: str, paths: int = 1 << 30):
+        self.spark, self.active, self.paths = spark, is_local(root), paths
+        self.old = None
+
+    def __enter__(self):
+        if self.active:
+            self.old = self.spark.conf.get(self.KEY, None)
+            self.spark.conf.set(self.KEY, str(max(self.paths + 1, 32)))
+        return self
+
+    def __exit__(self, *exc):
+        if self.active:
+            if self.old is None:
+                self.spark.conf.unset(self.KEY)
+            else:
+                self.spark.conf.set(self.KEY, self.old)
+        return False

@@ -92,7 +92,9 @@ def ingest(spark: SparkSession, archive: Archive, lake: str, kinds=KINDS,
 def read_lake(spark: SparkSession, lake: str, kind: str) -> DataFrame:
     """The ingested table of ``kind``; ``date`` is a partition column, so a
     date filter prunes directories."""
-    return spark.read.parquet(f"{lake.rstrip('/')}/{check_kind(kind)}")
+    path = f"{lake.rstrip('/')}/{check_kind(kind)}"
+    with fsio.driver_listing(spark, path):
+        return spark.read.parquet(path)
 
 
 def follow(spark: SparkSession, archive: Archive, snapshots: str, lake: str,
