@@ -155,3 +155,20 @@ def decode_audit(df: DataFrame, kind: str, by: list[str] | None = None) -> DataF
 def norm_key(c) -> Column:
     """Lookup keys are compared lower-case."""
     return F.lower(_col(c))
+
+
+def register_sql_functions(spark, prefix: str = "ll_") -> list[str]:
+    """Make C1, C2 and C5 callable from SQL as temporary SQL functions
+    (``ll_wei``, ``ll_hex_int``, ``ll_norm_key``).  Their bodies are SQL
+    expressions, inlined into the plan like any built-in (no Python)."""
+    bodies = {
+        "wei": ("DECIMAL(38,0)", _WEI_SQL.format(c="s")),
+        "hex_int": ("BIGINT", _INT_SQL.format(c="s")),
+        "norm_key": ("STRING", "lower(s)"),
+    }
+    names = []
+    for name, (rtype, body) in bodies.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}(s STRING) "
+                  f"RETURNS {rtype} RETURN {body}")
+        names.append(prefix + name)
+    return names

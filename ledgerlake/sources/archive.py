@@ -227,9 +227,14 @@ def _real_day(text) -> bool:
 
 
 def register_views(frames: dict[str, DataFrame], prefix: str = "") -> dict[str, DataFrame]:
-    """Register each frame as a temp view named ``prefix + kind``."""
+    """Register each frame as a temp view named ``prefix + kind``, plus the
+    decode functions (``ll_wei``, ``ll_hex_int``, ``ll_norm_key``) for SQL
+    over raw columns."""
+    from ledgerlake.functions.hexnum import register_sql_functions
     for kind, df in frames.items():
         df.createOrReplaceTempView(f"{prefix}{kind}")
+    if frames:
+        register_sql_functions(next(iter(frames.values())).sparkSession)
     return frames
 
 

@@ -90,3 +90,18 @@ def test_norm_key(spark):
     df = spark.createDataFrame([("0xA9059CBB",)], "k string")
     assert df.select(norm_key("k")).first()[0] == "0xa9059cbb"
     assert df.select(norm_key(F.col("k"))).first()[0] == "0xa9059cbb"
+
+
+def test_sql_functions(spark):
+    from ledgerlake.functions.hexnum import register_sql_functions
+    assert register_sql_functions(spark) == ["ll_wei", "ll_hex_int", "ll_norm_key"]
+    vals = ["0x", "0xde0b6b3a7640000", "0xzz", None, "0x" + "f" * 40]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    df.createOrReplaceTempView("hexvals")
+    got = spark.sql("select ll_wei(v) as w, ll_hex_int(v) as i, ll_norm_key('0xABC') as k "
+                    "from hexvals").collect()
+    assert [r["w"] for r in got] == [0, Decimal(10 ** 18), None, None, None]
+    assert [r["i"] for r in got] == [0, 10 ** 18, None, None, None]
+    assert got[0]["k"] == "0xabc"
+    plan = spark.sql("select ll_wei(v) from hexvals")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
