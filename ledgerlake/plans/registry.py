@@ -594,3 +594,17 @@ def h4(spark, sf_dir):
                    files_per_trigger=500)
     q.awaitTermination()
     return spark.read.parquet(f"{run}/sink")
+
+
+@register("f11_sql_raw_decode", f"""
+select date, count(*) as txs, sum({fx.duck_wei('value')}) as value_wei,
+       sum({fx.duck_wei('gas_price')}) as gas_price_wei
+from raw_txs group by date
+""")
+def f11_raw(spark, sf_dir):
+    from ledgerlake.sources.archive import register_views
+    register_views({"txs": fx.raw(spark, sf_dir, "txs")}, prefix="ll_raw_")
+    return spark.sql("""
+        select date, count(*) as txs, sum(ll_wei(value)) as value_wei,
+               sum(ll_wei(gas_price)) as gas_price_wei
+        from ll_raw_txs group by date""")
