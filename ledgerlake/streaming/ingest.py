@@ -97,6 +97,14 @@ def read_lake(spark: SparkSession, lake: str, kind: str) -> DataFrame:
         return spark.read.parquet(path)
 
 
+def lake_range(spark: SparkSession, lake: str, kind: str, start, end) -> DataFrame:
+    """Days ``start..end`` of an ingested table; the date filter is a
+    partition filter, so only those folders are listed into the scan."""
+    df = read_lake(spark, lake, kind)
+    return df.filter((F.col("date") >= F.lit(str(start)).cast("date"))
+                     & (F.col("date") <= F.lit(str(end)).cast("date")))
+
+
 def follow(spark: SparkSession, archive: Archive, snapshots: str, lake: str,
            checkpoint: str, kinds=KINDS, once: bool = True, interval: str = "10 minutes",
            after=None):

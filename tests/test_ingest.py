@@ -40,6 +40,10 @@ def test_ingest_rerun_and_rebuild(spark, scratch):
     back = H.ingest(spark, Archive(spark, root), lake)
     assert [(x["date"], x["kind"]) for x in back] == [("2026-04-19", "txs")]
     assert H.read_lake(spark, lake, "txs").count() == 4
+    one = H.lake_range(spark, lake, "txs", "2026-04-19", "2026-04-19")
+    assert one.count() == 2
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
 
 
 def test_follow_snapshots(spark, scratch):
