@@ -23,6 +23,9 @@ CANDIDATES_DDL = "array<struct<signature:string,count:bigint,abi:string>>"
 # The two entry boundaries (compact and default json.dumps spacing).
 BOUNDARIES = ('],"0x', '], "0x')
 HEAD_BYTES = 1 << 20
+# A list or object closing, then another hex key: an entry boundary.
+UNSPLIT = r'[\]}]\s*,\s*"0[xX][0-9a-fA-F]*"\s*:'
+
 
 
 def _boundary(path: str) -> str | None:
@@ -82,7 +85,12 @@ def read_lookup(spark: SparkSession, path: str, check: bool = True) -> DataFrame
         # is not a list (a legacy object swallowing the next entry) is caught
         # by its first character, not by a null.
         not_list = ~F.ltrim(F.col("body")).startswith("[")
-        if check and parsed.where(F.col("c").isNull() | not_list).limit(1).count() > 0:
+        # An entry boundary the split did not cut at (other spacing, an
+        # upper-case ``0X`` key, a legacy object) leaves a second key inside
+        # the fragment, which ``from_json`` would silently drop.  Any sign of
+        # one sends the file to the exact whole-text read instead.
+        unsplit = F.col("body").rlike(UNSPLIT)
+        if check and parsed.where(F.col("c").isNull() | not_list | unsplit).limit(1).count() > 0:
             parsed = None
     if parsed is None:
         parsed = _explode(_whole_read(spark, path, check))

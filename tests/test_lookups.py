@@ -109,3 +109,13 @@ def test_topic_labels(spark, scratch):
     ev = spark.createDataFrame([(key,), ("0xddf",), (None,)], "topic0 string")
     got = sorted((r["topic0"] or "", r["signature"] or "") for r in L.label_events(ev, cands).collect())
     assert got == [("", ""), ("0xddf", ""), (key, "Transfer(address,address,uint256)")]
+
+
+def test_uppercase_keys_and_empty_lists(spark, scratch):
+    p = os.path.join(scratch, "mixed.json")
+    with open(p, "w") as f:
+        f.write('{"0xAA":[{"signature":"a()","count":2,"abi":null}],'
+                '"0XBB":[{"signature":"b()","count":1,"abi":{"inputs":[{"x":[1]}]}}],'
+                '"0xcc":[],"0xdd":[{"signature":"d()","count":3,"abi":null}]}')
+    got = sorted((r["key"], r["signature"]) for r in read_lookup(spark, p).collect())
+    assert got == [("0xaa", "a()"), ("0xbb", "b()"), ("0xdd", "d()")]
