@@ -52,6 +52,12 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    dtypes = dict(zip(dcols, (str(d[1]) for d in cur.description)))
+    want = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE",
+            "boolean": "BOOLEAN", "double": "DOUBLE"}
+    spark_types = {f.name: want.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+                   for f in df.schema.fields}
+    assert spark_types == dtypes
     assert len(srows) == len(drows)
     assert _digest(df.columns, srows) == _digest(dcols, drows)
 
