@@ -180,21 +180,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _TABLES: dict[tuple, DataFrame] = {}
 
 
-_SPLITS: dict[tuple, int] = {}
+_SPLITS: dict[tuple, tuple[int, int]] = {}
+# About one task per this many input bytes when a scan is spread.
+SPREAD_UNIT = 256 * 1024
 
 
 def spread(spark: SparkSession, df: DataFrame, key: str | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cores when its scan has fewer splits.
-    Counting splits plans the scan, so the count is kept per input path."""
+    """Round-robin ``df`` when its scan has fewer splits than it has work
+    for: the target is one task per ``SPREAD_UNIT`` of input, at most one per
+    core, so a 25-row table is never cut into thousands of partitions.  The
+    split count and input size are kept per input path (counting plans the
+    scan)."""
+    from ledgerlake.sources import fsio
     try:
         cores = spark.sparkContext.defaultParallelism
         k = (key, cores, spark.conf.get("spark.sql.files.maxPartitionBytes"))
         if key is None or k not in _SPLITS:
-            _SPLITS[k] = df.rdd.getNumPartitions()
-        splits = _SPLITS[k]
+            size = sum(fsio.size_of(f) or 0 for f in df.inputFiles())
+            _SPLITS[k] = (df.rdd.getNumPartitions(), size)
+        splits, size = _SPLITS[k]
     except Exception:  # noqa: BLE001 - Spark Connect exposes neither
         return df
-    return df.repartition(cores) if splits < cores else df
+    target = min(cores, max(1, size // SPREAD_UNIT))
+    return df.repartition(target) if splits < target else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str, params: dict | None = None) -> DataFrame:
