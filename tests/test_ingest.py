@@ -85,3 +85,19 @@ def test_replay_equals_range(spark, scratch):
     cols = ["date", "tx_hash", "value", "block_number"]
     assert sorted(map(tuple, got.select(*cols).collect())) == \
         sorted(map(tuple, want.select(*cols).collect()))
+
+
+def test_follow_with_time_trigger(spark, scratch):
+    root = os.path.join(scratch, "a")
+    make_archive(root, days=(DAY,))
+    snaps = os.path.join(scratch, "snaps")
+    os.makedirs(snaps)
+    H.snapshot(root, snaps, "m1.json")
+    lake = os.path.join(scratch, "lake")
+    q = H.follow(spark, Archive(spark, root), snaps, lake, os.path.join(scratch, "ck"),
+                 once=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert H.read_lake(spark, lake, "blocks").count() == 3
