@@ -15,6 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.session import ship_package
+
 # Statuses (fixed values).
 OK, MISSING, SIZE_MISMATCH, MD5_MISMATCH = "ok", "missing", "size_mismatch", "md5_mismatch"
 COPIED, PRESENT, REFUSED = "copied", "present", "refused"
@@ -69,6 +71,7 @@ def verify_objects(spark: SparkSession, root: str, entries: DataFrame,
             yield pd.DataFrame(out, columns=["date", "kind", "key", "size", "md5",
                                              "actual_size", "actual_md5", "status"])
 
+    ship_package(spark)
     return _spread(spark, src, tasks).mapInPandas(check, VERIFY_DDL)
 
 
@@ -143,6 +146,7 @@ def mirror(spark: SparkSession, src_root: str, dest_root: str, entries: DataFram
                                              "schema_version", "dest_key", "status"])
 
     src = entries.select("date", "kind", "key", "size", "md5", "schema_version")
+    ship_package(spark)
     return _spread(spark, src, tasks).mapInPandas(copy, MIRROR_DDL)
 
 

@@ -48,6 +48,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     scratch_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -56,6 +57,7 @@ def apply_result_conf(spark: SparkSession) -> None:
     for k, v in RESULT_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -91,3 +93,47 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = False) -> str:
     """A path under the shared scratch root; ``unique`` adds a fresh suffix."""
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return f"{scratch_root(spark)}/{leaf}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerlake`` importable in Python workers on every executor.
+
+    Functions run by ``mapInPandas`` import this package on the worker; a
+    worker started elsewhere than the repository has no path to it.  The
+    package's ``.py`` files are zipped into the shared scratch folder and
+    registered with ``addPyFile`` once per application.
+    """
+    import hashlib
+    import io
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: ship with addArtifacts instead
+        return
+    if app in _SHIPPED:
+        return
+    import ledgerlake
+    pkg = os.path.dirname(os.path.abspath(ledgerlake.__file__))
+    base = os.path.dirname(pkg)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, names in sorted(os.walk(pkg)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    z.write(full, os.path.relpath(full, base))
+    body = buf.getvalue()
+    path = f"{scratch_root(spark)}/pyfiles/ledgerlake-{hashlib.md5(body).hexdigest()[:12]}.zip"
+    from ledgerlake.sources import fsio
+    if fsio.size_of(path) != len(body):
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+        with fsio.open_write(tmp) as out:
+            out.write(body)
+        fsio.rename(tmp, path)
+    sc.addPyFile(path)
+    _SHIPPED.add(app)

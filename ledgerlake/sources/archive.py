@@ -274,6 +274,8 @@ def column_conformance(spark: SparkSession, root: str, files: DataFrame,
                 out.extend((r.date, r.kind, r.key, n, i) for i, n in enumerate(names))
             yield pd.DataFrame(out, columns=["date", "kind", "key", "column", "file_position"])
 
+    from ledgerlake.session import ship_package
+    ship_package(spark)
     tasks = spark.sparkContext.defaultParallelism * 2
     found = paths.repartition(tasks).mapInPandas(
         footers, "date string, kind string, key string, column string, file_position int")

@@ -92,6 +92,8 @@ def write_days(df: DataFrame, root: str, kind: str, schema_version: str = "v2",
     # An explicit partition count: AQE would coalesce a small input into one
     # task, and then one task would write every file.
     n = df.sparkSession.sparkContext.defaultParallelism * 2
+    from ledgerlake.session import ship_package
+    ship_package(df.sparkSession)
     src = (df.repartition(n, "date").sortWithinPartitions("date", *order)
              .select("date", *names))
     return src.mapInPandas(write, ENTRY_DDL)
