@@ -20,10 +20,18 @@ def _split(path: str):
     if "://" not in path:
         return None, path
     import pyarrow.fs as pafs
+    scheme, rest = path.split("://", 1)
+    # Hadoop's S3 connectors name the scheme s3a / s3n; pyarrow knows it as s3.
+    if scheme in HADOOP_S3:
+        path = f"s3://{rest}"
     fs, p = pafs.FileSystem.from_uri(path)
     return fs, p
 
 
+# Hadoop scheme names for S3.
+HADOOP_S3 = ("s3a", "s3n")
+
+
 def size_of(path: str) -> int | None:
     """Bytes of a file, or None when it does not exist."""
     fs, p = _split(path)
