@@ -246,3 +246,22 @@ def test_projection_across_versions(spark, scratch):
                        ("2026-04-19", "a"), ("2026-04-19", "b"), ("2026-04-19", "c")]
         with pytest.raises(KeyError):
             a.load_range("2026-04-18", "2026-04-19", "blocks", columns=["nope"])
+
+
+def test_invariants_range_is_union_of_days_and_projection_commutes(spark, scratch):
+    from ledgerlake.functions.hexnum import decode_hex_columns
+    root = os.path.join(scratch, "inv")
+    make_archive(root, days=("2026-04-18", "2026-04-19", "2026-04-21"))
+    a = Archive(spark, root)
+    for kind in ("blocks", "txs", "events"):
+        rng = a.load_range("2026-04-18", "2026-04-21", kind, with_date=False)
+        days = None
+        for d in a.available_dates(kind):
+            one = a.load_day(d, kind)
+            days = one if days is None else days.unionByName(one)
+        assert rng.exceptAll(days).count() == 0 and days.exceptAll(rng).count() == 0
+    raw = a.load_range("2026-04-18", "2026-04-21", "txs", decode=False, with_date=False)
+    cols = ["tx_hash", "value", "gas_price"]
+    before = decode_hex_columns(raw.select(*cols), "txs")
+    after = decode_hex_columns(raw, "txs").select(*cols)
+    assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0
