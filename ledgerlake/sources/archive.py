@@ -110,9 +110,12 @@ class Archive:
         return out
 
     # ------------------------------------------------------------- scans
-    def _read(self, entries: list[dict], kind: str, decode: bool | None,
-              columns: list[str] | None, with_date: bool = True,
-              schema: StructType | None = None) -> DataFrame:
+    def read_entries(self, entries: list[dict], kind: str, decode: bool | None = None,
+                     columns: list[str] | None = None, with_date: bool = True,
+                     schema: StructType | None = None) -> DataFrame:
+        """Read exactly these manifest entries (one file each) as one frame:
+        grouped by schema version, unioned by name after a type check,
+        projected to ``columns``, with the ``date`` lineage, decoded."""
         decode = self.decode if decode is None else decode
         by_version: dict[str, list[str]] = {}
         for e in entries:
@@ -149,14 +152,14 @@ class Archive:
                  columns: list[str] | None = None, with_date: bool = False) -> DataFrame:
         """B1: one day of ``kind``; missing raises ``FileNotFoundError``."""
         e = self._entry(str(date), kind)
-        return self._read([e], kind, decode, columns, with_date)
+        return self.read_entries([e], kind, decode, columns, with_date)
 
     def load_range(self, start, end, kind: str, decode: bool | None = None,
                    columns: list[str] | None = None, with_date: bool = True) -> DataFrame:
         """B2: inclusive range; gaps skipped; empty raises.  ``date`` (B8) is
         added by default so per-day work is a ``groupBy("date")``."""
         entries = self._range(start, end, kind)
-        return self._read(entries, kind, decode, columns, with_date)
+        return self.read_entries(entries, kind, decode, columns, with_date)
 
     def iter_range(self, start, end, kind: str, decode: bool | None = None,
                    columns: list[str] | None = None) -> Iterator[tuple[_date, DataFrame]]:
@@ -164,7 +167,7 @@ class Archive:
         order.  Each frame is lazy; prefer ``load_range(...).groupBy("date")``
         for work that can stay distributed."""
         for e in self._range(start, end, kind):
-            yield _date.fromisoformat(e["date"]), self._read([e], kind, decode, columns, False)
+            yield _date.fromisoformat(e["date"]), self.read_entries([e], kind, decode, columns, False)
 
     def rows(self, date, kind: str, columns: list[str]) -> DataFrame:
         """B4 as a DataFrame: only ``columns`` exist (decode still applies)."""

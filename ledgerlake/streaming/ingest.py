@@ -76,7 +76,7 @@ def ingest(spark: SparkSession, archive: Archive, lake: str, kinds=KINDS,
         ents = [e for e in todo if e["kind"] == kind]
         if not ents:
             continue
-        df = archive._read(ents, kind, decode=True, columns=None, with_date=True)
+        df = archive.read_entries(ents, kind, decode=True, columns=None, with_date=True)
         # Input files are one per day, so tasks already align with days: sort
         # within tasks and write, no shuffle; a big day is split by row group.
         (df.sortWithinPartitions("date", BLOCK_COLUMN[kind])
