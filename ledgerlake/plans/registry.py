@@ -416,8 +416,19 @@ from ledgerlake.sources.writer import fixture_archive, fixture_tag  # noqa: E402
 _LATEST = "(select max(date) from txs)"
 
 
+_ARCHIVES: dict[tuple, Archive] = {}
+
+
 def _archive(spark, sf_dir) -> Archive:
-    return Archive(spark, fixture_archive(spark, sf_dir))
+    """The fixture archive, reopened only when its manifest file changes."""
+    import os
+    root = fixture_archive(spark, sf_dir)
+    path = f"{root}/manifest.json"
+    st = os.stat(path) if "://" not in root else None
+    key = (spark.sparkContext.applicationId, root, st and (st.st_size, st.st_mtime_ns))
+    if st is None or key not in _ARCHIVES:
+        _ARCHIVES[key] = Archive(spark, root)
+    return _ARCHIVES[key]
 
 
 @register("b1_day_txs", f"""
