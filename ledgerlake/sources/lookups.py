@@ -23,6 +23,7 @@ CANDIDATES_DDL = "array<struct<signature:string,count:bigint,abi:string>>"
 # The two entry boundaries (compact and default json.dumps spacing).
 BOUNDARIES = ('],"0x', '], "0x')
 HEAD_BYTES = 1 << 20
+KEY_PATTERN = r"^0x[0-9a-f]+$"
 # A list or object closing, then another hex key: an entry boundary.
 UNSPLIT = r'[\]}]\s*,\s*"0[xX][0-9a-fA-F]*"\s*:'
 
@@ -90,7 +91,11 @@ def read_lookup(spark: SparkSession, path: str, check: bool = True) -> DataFrame
         # the fragment, which ``from_json`` would silently drop.  Any sign of
         # one sends the file to the exact whole-text read instead.
         unsplit = F.col("body").rlike(UNSPLIT)
-        if check and parsed.where(F.col("c").isNull() | not_list | unsplit).limit(1).count() > 0:
+        # A key that is not hex means the record edges were not where the
+        # split assumed (a byte-order mark, text before the object).
+        bad_key = ~F.col("key").rlike(KEY_PATTERN)
+        if check and parsed.where(F.col("c").isNull() | not_list | unsplit | bad_key) \
+                           .limit(1).count() > 0:
             parsed = None
     if parsed is None:
         parsed = _explode(_whole_read(spark, path, check))

@@ -119,3 +119,10 @@ def test_uppercase_keys_and_empty_lists(spark, scratch):
                 '"0xcc":[],"0xdd":[{"signature":"d()","count":3,"abi":null}]}')
     got = sorted((r["key"], r["signature"]) for r in read_lookup(spark, p).collect())
     assert got == [("0xaa", "a()"), ("0xbb", "b()"), ("0xdd", "d()")]
+
+
+def test_byte_order_mark_falls_back(spark, scratch):
+    p = os.path.join(scratch, "bom.json")
+    with open(p, "wb") as f:
+        f.write(b"\xef\xbb\xbf" + json.dumps(SELECTORS, separators=(",", ":")).encode())
+    assert _rows(read_lookup(spark, p)) == WANT
