@@ -19,9 +19,11 @@ from pyspark.sql.types import DecimalType, LongType
 
 from ledgerlake.schemas import INT_COLUMNS, WEI_COLUMNS, WEI_TYPE, check_kind
 
-# The accepted pattern and the significant-digit capture.
-HEX_PATTERN = r"^0[xX][0-9a-fA-F]+$"
-SIGNIFICANT = r"^0[xX]0*(.*)$"
+# The accepted pattern (exactly 0x and hex digits; ``\z`` is
+# the absolute end, so a trailing newline does not pass) and the
+# significant-digit capture.
+HEX_PATTERN = r"^0[xX][0-9a-fA-F]+\z"
+SIGNIFICANT = r"^0[xX]0*([0-9a-fA-F]*)\z"
 TWO_POW_64 = Decimal(2 ** 64)
 
 
@@ -34,22 +36,33 @@ def _significant(c: Column) -> Column:
 
 
 # The same expressions as SQL text: a column given by name is decoded with one
-# ``expr`` call instead of a few dozen Column-builder round trips.
-_SIG = "regexp_extract({c}, '" + SIGNIFICANT + "', 1)"
-_WEI_SQL = (
+# ``expr`` call instead of a few dozen Column-builder round trips.  ``{s}`` is
+# the significant digits (only read once the value is known to be valid):
+# ``trim(LEADING '0' FROM substring(c, 3))``, much cheaper than a regex.
+_HEX_SQL = "'" + HEX_PATTERN.replace("\\", "\\\\") + "'"
+_DIGITS_SQL = "trim(LEADING '0' FROM substring({c}, 3))"
+_WEI_FROM = (
     "CASE WHEN {c} = '0x' THEN CAST(0 AS DECIMAL(38,0)) "
-    "WHEN {c} RLIKE '" + HEX_PATTERN + "' AND length(" + _SIG + ") <= 32 THEN CAST(try_add("
-    "try_multiply(CAST(conv(substring(lpad(" + _SIG + ", 32, '0'), 1, 16), 16, 10) AS DECIMAL(38,0)), "
+    "WHEN {c} RLIKE " + _HEX_SQL + " AND length({s}) <= 32 THEN CAST(try_add("
+    "try_multiply(CAST(conv(substring(lpad({s}, 32, '0'), 1, 16), 16, 10) AS DECIMAL(38,0)), "
     "CAST(18446744073709551616 AS DECIMAL(20,0))), "
-    "CAST(conv(substring(lpad(" + _SIG + ", 32, '0'), 17, 16), 16, 10) AS DECIMAL(38,0))) "
+    "CAST(conv(substring(lpad({s}, 32, '0'), 17, 16), 16, 10) AS DECIMAL(38,0))) "
     "AS DECIMAL(38,0)) ELSE CAST(NULL AS DECIMAL(38,0)) END")
-_INT_SQL = (
+_INT_FROM = (
     "CASE WHEN {c} = '0x' THEN CAST(0 AS BIGINT) "
-    "WHEN {c} RLIKE '" + HEX_PATTERN + "' AND length(" + _SIG + ") <= 16 "
-    "THEN try_cast(conv(lpad(" + _SIG + ", 16, '0'), 16, 10) AS BIGINT) "
+    "WHEN {c} RLIKE " + _HEX_SQL + " AND length({s}) <= 16 "
+    "THEN try_cast(conv(lpad({s}, 16, '0'), 16, 10) AS BIGINT) "
     "ELSE CAST(NULL AS BIGINT) END")
 
 
+def _wei_sql(c: str, s: str | None = None) -> str:
+    return _WEI_FROM.format(c=c, s=s or _DIGITS_SQL.format(c=c))
+
+
+def _int_sql(c: str, s: str | None = None) -> str:
+    return _INT_FROM.format(c=c, s=s or _DIGITS_SQL.format(c=c))
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -60,7 +73,7 @@ def wei(c) -> Column:
     Above 32 significant hex digits, or above 10^38-1, the result is null.
     """
     if isinstance(c, str):
-        return F.expr(_WEI_SQL.format(c=_quoted(c)))
+        return F.expr(_wei_sql(_quoted(c)))
     c = _col(c)
     digits = F.lpad(_significant(c), 32, "0")
     hi = F.conv(F.substring(digits, 1, 16), 16, 10).cast(WEI_TYPE)
@@ -79,7 +92,7 @@ def hex_int(c) -> Column:
     ANSI, so the pattern and length are tested first.
     """
     if isinstance(c, str):
-        return F.expr(_INT_SQL.format(c=_quoted(c)))
+        return F.expr(_int_sql(_quoted(c)))
     c = _col(c)
     fits = c.rlike(HEX_PATTERN) & (F.length(_significant(c)) <= 16)
     value = F.conv(F.lpad(_significant(c), 16, "0"), 16, 10).try_cast(LongType())
@@ -95,14 +108,18 @@ def decode_hex_columns(df: DataFrame, kind: str) -> DataFrame:
     """
     check_kind(kind)
     present = set(df.columns)
-    exprs = {}
-    for name in WEI_COLUMNS[kind]:
-        if name in present:
-            exprs[name] = wei(name)
-    for name in INT_COLUMNS[kind]:
-        if name in present:
-            exprs[name] = hex_int(name)
-    return df.withColumns(exprs) if exprs else df
+    todo = [(n, True) for n in WEI_COLUMNS[kind] if n in present]
+    todo += [(n, False) for n in INT_COLUMNS[kind] if n in present]
+    if not todo:
+        return df
+    # The significant digits go in their own projection first: each is used
+    # two or three times below, and a separate (non-collapsed) projection
+    # evaluates it once per value.
+    helper = {n: f"__ll_digits_{n}" for n, _ in todo}
+    staged = df.withColumns({helper[n]: F.expr(_DIGITS_SQL.format(c=_quoted(n))) for n, _ in todo})
+    exprs = {n: F.expr((_wei_sql if is_wei else _int_sql)(_quoted(n), _quoted(helper[n])))
+             for n, is_wei in todo}
+    return staged.withColumns(exprs).drop(*helper.values())
 
 
 # Audit measures, in output order (fixed names).
@@ -162,8 +179,8 @@ def register_sql_functions(spark, prefix: str = "ll_") -> list[str]:
     (``ll_wei``, ``ll_hex_int``, ``ll_norm_key``).  Their bodies are SQL
     expressions, inlined into the plan like any built-in (no Python)."""
     bodies = {
-        "wei": ("DECIMAL(38,0)", _WEI_SQL.format(c="s")),
-        "hex_int": ("BIGINT", _INT_SQL.format(c="s")),
+        "wei": ("DECIMAL(38,0)", _wei_sql("s")),
+        "hex_int": ("BIGINT", _int_sql("s")),
         "norm_key": ("STRING", "lower(s)"),
     }
     names = []

@@ -105,3 +105,23 @@ def test_sql_functions(spark):
     assert got[0]["k"] == "0xabc"
     plan = spark.sql("select ll_wei(v) from hexvals")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_trailing_newline_is_invalid(spark):
+    assert _wei(spark, ["0x1\n", "0x" + "1" * 20 + "\n", " 0x1", "0x1 "]) == [None] * 4
+    assert _int(spark, ["0x1\n", "0x2a\n"]) == [None, None]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.one_of(st.integers(min_value=0, max_value=2 ** 130).map(hex),
+                          st.sampled_from(["", "0x", "0xzz", "0x00", "ff", "0x1\n"]),
+                          st.none()), min_size=1, max_size=30))
+def test_staged_decode_matches_single_expressions(spark, vals):
+    df = spark.createDataFrame([(v, v) for v in vals], "value string, log_index string")
+    staged = decode_hex_columns(df.select("value"), "txs").collect()
+    single = df.select(wei("value")).collect()
+    assert [r[0] for r in staged] == [r[0] for r in single]
+    staged_i = decode_hex_columns(df.select("log_index"), "events").collect()
+    single_i = df.select(hex_int("log_index")).collect()
+    assert [r[0] for r in staged_i] == [r[0] for r in single_i]
+    assert decode_hex_columns(df, "txs").columns == ["value", "log_index"]
