@@ -126,9 +126,8 @@ def decode_hex_columns(df: DataFrame, kind: str) -> DataFrame:
 AUDIT_MEASURES = ("rows", "nulls", "empties", "zero_markers", "invalid", "too_large", "decoded")
 
 
-def _audit_exprs(name: str, is_wei: bool) -> list[Column]:
-    c = F.col(name)
-    dec = wei(name) if is_wei else hex_int(name)
+def _audit_exprs(name: str, decoded: str) -> list[Column]:
+    c, dec = F.col(name), F.col(decoded)
     valid = c.rlike(HEX_PATTERN)
     return [
         F.count(F.lit(1)),
@@ -154,11 +153,15 @@ def decode_audit(df: DataFrame, kind: str, by: list[str] | None = None) -> DataF
     cols += [(n, False) for n in INT_COLUMNS[kind] if n in df.columns]
     if not cols:
         raise ValueError(f"no decodable column of {kind} present")
+    # Decode once (the staged form) next to the raw values, then count.
+    raw = df.select(*by, *[F.col(n).alias(f"__ll_raw_{n}") for n, _ in cols],
+                    *[F.col(n) for n, _ in cols])
+    both = decode_hex_columns(raw, kind)
     aggs = []
-    for i, (name, is_wei) in enumerate(cols):
-        for m, e in zip(AUDIT_MEASURES, _audit_exprs(name, is_wei)):
+    for i, (name, _) in enumerate(cols):
+        for m, e in zip(AUDIT_MEASURES, _audit_exprs(f"__ll_raw_{name}", name)):
             aggs.append(e.alias(f"c{i}_{m}"))
-    wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    wide = both.groupBy(*by).agg(*aggs) if by else both.agg(*aggs)
     # One row per column: an array of structs exploded (no second pass).
     rows = F.array(*[
         F.struct(F.lit(name).alias("column"),
