@@ -126,3 +126,13 @@ def test_byte_order_mark_falls_back(spark, scratch):
     with open(p, "wb") as f:
         f.write(b"\xef\xbb\xbf" + json.dumps(SELECTORS, separators=(",", ":")).encode())
     assert _rows(read_lookup(spark, p)) == WANT
+
+
+def test_key_lookup_is_pushed_to_parquet(spark, scratch):
+    p = _write(os.path.join(scratch, "sel.json"), SELECTORS)
+    cands = normalise_lookup(spark, p, os.path.join(scratch, "norm"))
+    q = L.lookup(cands, ["0xA9059CBB"])
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(key, [0xa9059cbb])]" in plan or \
+        "PushedFilters: [IsNotNull(key), EqualTo(key,0xa9059cbb)]" in plan, plan
+    assert q.count() == 2
