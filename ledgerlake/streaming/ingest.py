@@ -32,6 +32,9 @@ from ledgerlake.sources import manifest as M
 from ledgerlake.sources.archive import Archive, day_lineage
 
 LEDGER = "_ledger"
+# Bound on rows per lake file, so a task holding a large slice of a hot day
+# still writes files of bounded size (sorted by block, so row groups prune).
+MAX_RECORDS_PER_FILE = 5_000_000
 LEDGER_DDL = "date string, kind string, key string, md5 string, size long, ingested_at string"
 
 
@@ -81,6 +84,7 @@ def ingest(spark: SparkSession, archive: Archive, lake: str, kinds=KINDS,
         # within tasks and write, no shuffle; a big day is split by row group.
         (df.sortWithinPartitions("date", BLOCK_COLUMN[kind])
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
            .partitionBy("date").parquet(f"{lake}/{kind}"))
     if todo:
         now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")  # sortable
