@@ -103,3 +103,13 @@ def test_ndjson_csv_parquet(spark, day_archive, scratch):
     back = spark.read.parquet(pq_out)
     assert back.count() == 2 and "date" in back.columns
     assert back.agg({"value": "sum"}).first()[0] == Decimal(10 ** 18)
+
+
+def test_text_safe_binary_and_decimal(spark, scratch):
+    from decimal import Decimal as D
+    df = spark.createDataFrame([(bytearray(b"\xde\xad"), D(10) ** 30, None)],
+                               "b binary, d decimal(38,0), s string")
+    out = os.path.join(scratch, "bin")
+    sinks.write_ndjson(df.coalesce(1), out)
+    row = json.loads(_read_parts(out, "part-*.json").splitlines()[0])
+    assert row == {"b": "dead", "d": "1000000000000000000000000000000", "s": None}
