@@ -106,8 +106,7 @@ def test_ndjson_csv_parquet(spark, day_archive, scratch):
 
 
 def test_text_safe_binary_and_decimal(spark, scratch):
-    from decimal import Decimal as D
-    df = spark.createDataFrame([(bytearray(b"\xde\xad"), D(10) ** 30, None)],
+    df = spark.createDataFrame([(bytearray(b"\xde\xad"), Decimal(10) ** 30, None)],
                                "b binary, d decimal(38,0), s string")
     out = os.path.join(scratch, "bin")
     sinks.write_ndjson(df.coalesce(1), out)
