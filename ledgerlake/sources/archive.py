@@ -80,6 +80,11 @@ class Archive:
         full = [d for d, ks in by_day.items() if set(KINDS) <= ks]
         return _date.fromisoformat(max(full)) if full else None
 
+    def latest_report(self) -> DataFrame:
+        """A4: the derived latest complete date beside the manifest's
+        declared one (they differ when the declaration is stale or wrong)."""
+        return A.latest_complete(self.files(), self.header.get("latest_complete_date"))
+
     def path(self, key: str) -> str:
         return f"{self.root}/{key}"
 

@@ -265,3 +265,11 @@ def test_invariants_range_is_union_of_days_and_projection_commutes(spark, scratc
     before = decode_hex_columns(raw.select(*cols), "txs")
     after = decode_hex_columns(raw, "txs").select(*cols)
     assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0
+
+
+def test_latest_report_declared_vs_derived(spark, scratch):
+    root = os.path.join(scratch, "decl")
+    make_archive(root, days=("2026-04-18", "2026-04-19"), latest="2026-04-30")
+    r = Archive(spark, root).latest_report().first()
+    assert r["latest_complete_date"] == date(2026, 4, 19)
+    assert r["declared_latest_complete_date"] == date(2026, 4, 30)
