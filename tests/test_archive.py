@@ -273,3 +273,20 @@ def test_latest_report_declared_vs_derived(spark, scratch):
     r = Archive(spark, root).latest_report().first()
     assert r["latest_complete_date"] == date(2026, 4, 19)
     assert r["declared_latest_complete_date"] == date(2026, 4, 30)
+
+
+def test_snapshot_diff_statuses(spark):
+    cols = "pos long, date string, kind string, key string, size long, md5 string, schema_version string"
+    prev = spark.createDataFrame([
+        (0, "2026-04-18", "txs", "k1", 10, "a" * 32, "v2"),
+        (1, "2026-04-19", "txs", "k2", 10, "b" * 32, "v2"),
+        (2, "2026-04-20", "txs", "k3", 10, "c" * 32, "v2")], cols)
+    cur = spark.createDataFrame([
+        (0, "2026-04-18", "txs", "k1", 10, "a" * 32, "v2"),
+        (1, "2026-04-19", "txs", "k2", 12, "d" * 32, "v2"),
+        (2, "2026-04-21", "txs", "k4", 10, "e" * 32, "v2")], cols)
+    got = {(r["date"], r["status"]) for r in A.diff(prev, cur).collect()}
+    assert got == {("2026-04-19", "rebuilt"), ("2026-04-20", "vanished"), ("2026-04-21", "new")}
+    assert A.latest_moved_back("2026-04-20", "2026-04-19")
+    assert not A.latest_moved_back("2026-04-19", "2026-04-20")
+    assert not A.latest_moved_back(None, "2026-04-20")
