@@ -105,3 +105,15 @@ def test_rows_only_queries_run(spark, name):
         assert {r[0] for r in df.select("status").distinct().collect()} == {"ok"}
     if name in ("a2_rejected_entries", "a11_conformance"):
         assert n == 0
+
+
+def test_failed_count_and_running_totals_agree(spark):
+    from ledgerlake.operators import recipes as R
+    from ledgerlake.sources import fixtures as fx
+    txs = fx.decoded(spark, SF_SMALL, "txs")
+    n = R.failed_count(txs).first()["failed_txs"]
+    assert n == R.failed_txs(txs).count()
+    per_day = R.failed_per_day(txs).filter("date is null").first()
+    assert per_day["failed_txs"] == n
+    last = R.running_totals(txs).orderBy("date", ascending=False).first()
+    assert last["failed_running"] == n and last["txs_running"] == per_day["txs"]
