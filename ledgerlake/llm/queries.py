@@ -64,3 +64,31 @@ def op8(spark, sf_dir):
     from ledgerlake.llm.packing import pack
     return pack(table(spark, sf_dir, "documents", "doc_id", "text"),
                 _vocabulary("word_bpe_49k.json"))
+
+
+@register("op3_quality_classifier")
+def op3(spark, sf_dir):
+    """Quality score of every document."""
+    from ledgerlake.llm import quality_classifier as Q
+    from ledgerlake.session import scratch_root
+    scratch_root(spark)
+    stats = Q.with_statistics(table(spark, sf_dir, "documents", "doc_id", "text")).checkpoint()
+    model = Q.fit(Q.labelled(stats, table(spark, sf_dir, "labels", "doc_id", "quality")))
+    out = Q.score(stats, model)
+    return out.select("doc_id", (~Q.learnable("doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register("op6_language_id")
+def op6(spark, sf_dir):
+    """Predicted language of every document."""
+    from ledgerlake.llm import language_id as L
+    from ledgerlake.llm.quality_classifier import learnable
+    from ledgerlake.session import scratch_root
+    scratch_root(spark)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    codes = L.fit(docs.where(learnable("doc_id")))
+    margins = L.with_margins(docs, codes).checkpoint()
+    codes = L.weigh(codes, margins.where(learnable("doc_id")))
+    out = L.decode(margins.drop("lang"), codes)
+    return out.select("doc_id", (~learnable("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
