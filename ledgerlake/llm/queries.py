@@ -92,3 +92,34 @@ def op6(spark, sf_dir):
     codes = L.weigh(codes, margins.where(learnable("doc_id")))
     out = L.decode(margins.drop("lang"), codes)
     return out.select("doc_id", (~learnable("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@register("op9_token_rollups")
+def op9(spark, sf_dir):
+    """Totals after three batches over all documents, one of them sent twice.
+
+    Documents come in with the estimate their ``n_chars`` gives, are revised to
+    the tokenizer's counts, and those labelled toxic are withdrawn.
+    """
+    from ledgerlake.llm import token_rollups as R
+    from ledgerlake.session import scratch_path
+    store = scratch_path(spark, "token-rollups", unique=True)
+    docs = table(spark, sf_dir, "documents")
+    exact = R.count_tokens(docs, "word_bpe_49k", _vocabulary("word_bpe_49k.json"), "1").checkpoint()
+    rough = docs.select("doc_id", "source", "lang", F.lit("word_bpe_49k").alias("tokenizer"),
+                        F.lit("1").alias("version"), F.expr("n_chars div 4").alias("tokens"))
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
+    feed = [("load", R.changes(None, rough)), ("count", R.changes(rough, exact)),
+            ("count", R.changes(rough, exact)),
+            ("withdraw", R.changes(exact.join(toxic, "doc_id", "left_semi"), None))]
+    for batch_id, rows in feed:
+        R.commit(spark, store, batch_id, rows)
+    return R.totals(spark, store)
+
+
+@register("op10_html_extraction")
+def op10(spark, sf_dir):
+    """Main text of every page."""
+    from ledgerlake.llm.html_extract import extract
+    out = extract(table(spark, sf_dir, "pages", "page_id", "url", "html"), to="text")
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
