@@ -52,3 +52,28 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        lost_words
 from base
 """
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+DECONTAMINATION = f"""
+with d as (select row_number() over () as rid, doc_id, {_WORDS} as w from documents),
+i as (select item_id, {_WORDS} as w from benchmark where item_id is not null),
+win as (
+  select distinct item_id, k, array_to_string(w[s:s+k-1], ' ') as g
+  from (select item_id, w, least(10, len(w)) as k,
+               unnest(range(1, len(w) - least(10, len(w)) + 2)) as s from i where len(w) > 0)),
+lengths as (select distinct k from win),
+dw as (
+  select rid, k, s, array_to_string(w[s:s+k-1], ' ') as g
+  from (select rid, w, k, unnest(range(1, len(w) - k + 2)) as s from d, lengths where len(w) >= k)),
+hit as (select rid, k, s, item_id from dw join win using (k, g)),
+pos as (select rid, count(distinct p) as n_hit
+        from (select rid, unnest(range(s, s + k)) as p from hit) group by rid),
+it as (select rid, list_sort(list(distinct item_id::varchar)) as ids from hit group by rid)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+       coalesce(len(ids), 0)::bigint as n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from d left join pos using (rid) left join it using (rid)
+"""

@@ -123,3 +123,13 @@ def op10(spark, sf_dir):
     from ledgerlake.llm.html_extract import extract
     out = extract(table(spark, sf_dir, "pages", "page_id", "url", "html"), to="text")
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register("op1_decontamination", oracles.DECONTAMINATION)
+def op1(spark, sf_dir):
+    """Contaminated words of every document."""
+    from ledgerlake.llm.decontaminate import decontaminate
+    out = decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"),
+                        table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
