@@ -77,3 +77,35 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
        coalesce(n_hit, 0) > 0 as contaminated
 from d left join pos using (rid) left join it using (rid)
 """
+
+JACCARD_JOIN = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select distinct doc_id, array_to_string(w[i:i+4], ' ') as g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+rare as (
+  select doc_id, g, row_number() over (partition by doc_id order by c, g) as k
+  from s join (select g, count(*) as c from s group by g) using (g)),
+pre as (select doc_id, g from rare join n using (doc_id) where k <= n - ceil(0.75 * n) + 1),
+cand as (
+  select distinct x.doc_id as a, y.doc_id as b
+  from pre x join pre y using (g) join n nx on nx.doc_id = x.doc_id join n ny on ny.doc_id = y.doc_id
+  where x.doc_id < y.doc_id and 100 * least(nx.n, ny.n) >= 75 * greatest(nx.n, ny.n)),
+link as (
+  select a, b from (
+    select a, b, count(*) as common from cand join s x on x.doc_id = a join s y on y.doc_id = b and y.g = x.g
+    group by a, b)
+  join n nx on nx.doc_id = a join n ny on ny.doc_id = b
+  where 100 * common >= 75 * (nx.n + ny.n - common)),
+edge as (select a, b from link union select b, a from link),
+reach as (
+  select doc_id as root, doc_id from d
+  union
+  select root, b from reach join edge on edge.a = reach.doc_id where root <= b)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, min(root)::bigint as component_id
+from d left join n using (doc_id) join reach using (doc_id)
+group by d.doc_id, n.n
+"""

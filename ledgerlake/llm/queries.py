@@ -133,3 +133,10 @@ def op1(spark, sf_dir):
                         table(spark, sf_dir, "benchmark", "item_id", "text"))
     return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@register("op2_jaccard_join", oracles.JACCARD_JOIN)
+def op2(spark, sf_dir):
+    """Shingle count and component of every document."""
+    from ledgerlake.llm.jaccard_join import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
