@@ -70,7 +70,7 @@ def item_windows(items: DataFrame, item_id: str, text: str, window: int, size: i
     w = F.col("words")
     rows = (items.where(F.col(item_id).isNotNull())
             .select(F.col(item_id).cast("string").alias("item_id"), words_of(F.col(text)).alias("words"))
-            .where(F.size(w) > 0).dropDuplicates()
+            .where(F.size(w) > 0)
             .withColumn("need", F.least(F.size(w), F.lit(window)))
             .withColumn("size", F.least(F.size(w), F.lit(size))))
     tokens = F.when(F.col("size") == size, shingles(w, size))
@@ -103,25 +103,26 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     scratch_root(docs.sparkSession)
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     wins = item_windows(items, item_id, item_text, window, shingle).checkpoint()
-    sizes = sorted(r[0] for r in wins.select("size").distinct().collect())  # at most ``shingle`` rows
-    tokens = wins.select("size", "token").distinct()
-    few = [r for r in tokens.limit(push_limit + 1).collect()]
+    few = wins.select("size", "token").distinct().limit(push_limit + 1).collect()
     pushed = len(few) <= push_limit
 
-    def wanted(rows, k):
-        return [r.token for r in rows if r["size"] == k] if pushed else None
-
     def probe(rows):
         """Per document the (size, pos, token) array worth exploding."""
-        parts = [positions(F.col("words"), k, wanted(rows, k)) for k in sizes]
+        if pushed:
+            by_size = {k: [r.token for r in rows if r["size"] == k] for k in range(1, shingle + 1)}
+        else:
+            by_size = dict.fromkeys(range(1, shingle + 1))
+        parts = [positions(F.col("words"), k, own) for k, own in by_size.items() if own != []]
         return F.concat(*parts) if parts else F.array().cast("array<struct<size:int,pos:int,token:bigint>>")
 
     worded = own.withColumn("words", words_of(F.col("text")))
     seen = (worded.select(F.explode(probe(few)).alias("p")).select("p.size", "p.token")
             .groupBy("size", "token").agg(F.count(F.lit(1)).alias("df")))
     small = (lambda df: F.broadcast(df)) if pushed else (lambda df: df)
-    ranked = wins.join(small(tokens.join(seen, ["size", "token"], "left")
-                             .withColumn("df", F.coalesce("df", F.lit(0)))), ["size", "token"])
+    if not pushed:
+        seen = seen.join(wins.select("size", "token").distinct(), ["size", "token"])
+    ranked = (wins.join(small(seen), ["size", "token"], "left")
+              .withColumn("df", F.coalesce("df", F.lit(0))))
     # Each window's rarest shingle; windows sharing one share the comparison.
     prefix = (ranked.groupBy("item_id", "words", "need", "size", "start")
               .agg(F.min(F.struct("df", "token", "at")).alias("best"))
@@ -130,8 +131,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     left, right = around(F.col("words"), F.col("at"), window)
     prefix = prefix.select("item_id", "need", F.col("size").alias("p_size"), F.col("token").alias("p_token"),
                            left.alias("p_left"), right.alias("p_right")).checkpoint()
-    keys = [r for r in prefix.select(F.col("p_size").alias("size"), F.col("p_token").alias("token"))
-            .distinct().limit(push_limit + 1).collect()] if pushed else few
+    keys = {(r["size"], r.token): r for r in prefix.select(
+        F.col("p_size").alias("size"), F.col("p_token").alias("token")).collect()}.values() if pushed else []
 
     def with_words(x):
         a, b = around(F.col("words"), x["pos"], window)
