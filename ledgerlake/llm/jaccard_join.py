@@ -18,7 +18,8 @@ partner).  Inside a region:
   are replicated into both;
 * a pivot has met everybody and leaves; documents already in one component
   need no comparison, so a region of one component is finished;
-* regions of ``leaf`` documents or fewer are joined directly.
+* regions of ``leaf`` documents or fewer are joined directly, and so, block by
+  block, are larger ones that ``rounds`` levels have not finished.
 
 The recursion is exact: a pair leaves it only compared, separated by the
 triangle inequality, or known to be connected.  A distance is first bounded
@@ -32,7 +33,8 @@ bitmaps and region shingles.  Frequency only orders shingles, so a bounded list
 of the frequent ones (``frequent_limit``) is enough and any list gives the same
 links.  Region membership is a grouped minimum and maximum plus a join, both
 splittable, so a shingle in a third of all documents never has to fit a task;
-pairs are (member, pivot), linear in the region.  Tables of a round are
+pairs of a round are (member, pivot), linear in the region, and the block joins
+give out only pairs that the bitmaps leave open.  Tables of a round are
 checkpointed; links and components stay distributed.
 
 Hashes: shingles are compared by 64-bit hashes cut to 48 bits in stored sets,
@@ -59,7 +61,7 @@ from ledgerlake.llm.textblocks import LOWER, blocks, mix, span_hashes, text_byte
 
 COUNT_BLOCK = 4_000_000          # shingles counted together when looking for frequent ones
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-PIVOTS = 4
+PIVOTS = 8
 
 
 def shingle_sets(raw: np.ndarray, off: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -123,8 +125,8 @@ def frequent_shingles(docs: DataFrame, size: int, limit: int) -> tuple[np.ndarra
 
 
 def parity_bitmap(tokens: np.ndarray) -> bytes:
-    """Parities of the tokens by low bits; as many bits as tokens, a power of two."""
-    bits = max(64, 1 << max(len(tokens) - 1, 1).bit_length())
+    """Parities of the tokens by low bits; eight or more bits a token, a power of two."""
+    bits = max(64, 8 << max(len(tokens) - 1, 1).bit_length())
     odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -267,54 +269,153 @@ def initial_regions(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def split_round(members: DataFrame, labels: DataFrame, leaf: int, turn: int):
-    """Live members with labels, leaf pairs and (rid, pivot) of the larger regions."""
+    """Live members with labels and region size, and (rid, pivot) of regions over ``leaf``."""
     m = (members.join(labels, "key", "left")
          .select("rid", "key", F.coalesce("label", "key").alias("label")))
     per_label = m.groupBy("rid", "label").agg(
         F.count(F.lit(1)).alias("m"), *[F.min(F.struct(F.xxhash64("key", F.lit(turn * PIVOTS + k)).alias("h"),
                                                        "key")).alias(f"p{k}") for k in range(PIVOTS)])
     stats = (per_label.groupBy("rid").agg(
-        F.sum("m").alias("m"), F.count(F.lit(1)).alias("labels"),
+        F.sum("m").alias("size"), F.count(F.lit(1)).alias("labels"),
         *[F.min(F.struct("m", f"p{k}")).alias(f"p{k}") for k in range(PIVOTS)])
         .where("labels > 1").checkpoint())
-    m = m.join(stats.select("rid", F.col("m").alias("size")), "rid").checkpoint()
-    small = m.where(F.col("size") <= leaf)
-    pairs = (small.alias("x").join(small.alias("y"), "rid")
-             .where("x.key < y.key and x.label <> y.label")
-             .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct())
-    pivots = (stats.where(F.col("m") > leaf)
+    pivots = (stats.where(F.col("size") > leaf)
               .select("rid", F.explode(F.array_distinct(F.array(
                   *[F.col(f"p{k}.p{k}.key") for k in range(PIVOTS)]))).alias("pivot")))
-    return m.where(F.col("size") > leaf).select("rid", "key", "label"), pairs, pivots
+    return m.join(stats.select("rid", "size"), "rid").checkpoint(), pivots.checkpoint()
+
+
+def leaf_pairs(members: DataFrame, leaf: int) -> DataFrame:
+    """All pairs of different labels of the regions up to ``leaf`` documents."""
+    small = members.where(F.col("size") <= leaf)
+    return (small.alias("x").join(small.alias("y"), "rid")
+            .where("x.key < y.key and x.label <> y.label")
+            .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")))
 
 
 def recurse(members: DataFrame, pivots: DataFrame, bounds: DataFrame, linked: DataFrame) -> DataFrame:
     """The regions after a round: split at the first pivot, pivots gone.
 
-    Only the first pivot splits; the others have met all members and leave.
+    Pivots have met all members and leave.  A region is split only where that
+    pays, that is where the two windows together hold little more than it.
     """
     first = pivots.groupBy("rid").agg(F.min("pivot").alias("pivot"))
     rest = members.join(pivots.select("rid", F.col("pivot").alias("key")), ["rid", "key"], "left_anti")
     met = (rest.join(first, "rid")
            .select("rid", "key", F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b"))
            .join(bounds.where("far").select("a", "b", "far"), ["a", "b"], "left")
-           .join(linked.select("a", "b", F.lit(True).alias("near")), ["a", "b"], "left"))
-    sides = F.when(F.col("near"), F.array(F.lit(0))).when(F.col("far"), F.array(F.lit(1))).otherwise(
-        F.array(F.lit(0), F.lit(1)))
-    out = met.select("rid", "key", F.explode(sides).alias("side"))
-    # Without a near member the inner region would repeat the outer one.
-    inner = met.where("near").select("rid").distinct().withColumn("side", F.lit(0))
-    outer = met.select("rid").distinct().withColumn("side", F.lit(1))
-    return (out.join(inner.union(outer), ["rid", "side"])
+           .join(linked.select("a", "b", F.lit(True).alias("near")), ["a", "b"], "left")
+           .select("rid", "key", "near", "far").checkpoint())
+    pays = (met.groupBy("rid").agg(F.count(F.lit(1)).alias("m"), F.count("near").alias("n"),
+                                   F.count("far").alias("f"))
+            .select("rid", ((F.col("n") > 0) & (4 * (F.col("m") - F.col("n") - F.col("f")) <= F.col("m")))
+                    .alias("pays")))
+    sides = (F.when(~F.col("pays"), F.array(F.lit(2))).when(F.col("near"), F.array(F.lit(0)))
+             .when(F.col("far"), F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1))))
+    return (met.join(pays, "rid").select("rid", "key", F.explode(sides).alias("side"))
             .select(F.xxhash64("rid", "side").alias("rid"), "key").checkpoint())
 
 
+def possible(bitmaps: list[bytes], n: np.ndarray, labels: np.ndarray, blocks: np.ndarray,
+             percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, js): members of another label (and block, if there are two) that may link with i.
+
+    Bitmaps stand in one matrix for each length, longer ones folded for a
+    comparison; one member meets all others in a few vector operations.  The
+    members of the most common label only meet the others.
+    """
+    size = np.array([len(x) for x in bitmaps])
+    names, count = np.unique(labels, return_counts=True)
+    main = names[count.argmax()]
+    two = len(np.unique(blocks)) > 1
+    rows = {w: np.flatnonzero(size == w) for w in np.unique(size)}
+    full = {w: np.frombuffer(b"".join(bitmaps[i] for i in at), np.uint8).reshape(len(at), w)
+            for w, at in rows.items()}
+    place = np.empty(len(n), np.int64)
+    for at in rows.values():
+        place[at] = np.arange(len(at))
+    for i in np.flatnonzero(labels != main):
+        for w, at in rows.items():
+            if w not in (size[i] // 2, size[i], size[i] * 2):
+                continue                         # lengths differ too much to link
+            x, y = full[size[i]][place[i]], full[w]
+            if w < size[i]:
+                x = x[:w] ^ x[w:]
+            ok = (labels[at] != labels[i]) & (100 * np.minimum(n[at], n[i]) >= percent * np.maximum(n[at], n[i]))
+            ok &= (labels[at] == main) | (at > i)
+            if two:
+                ok &= blocks[at] != blocks[i]
+            at, y = at[ok], y[ok]
+            if not len(at):
+                continue
+            if w > size[i]:
+                y = y[:, :size[i]] ^ y[:, size[i]:]
+            apart = np.bitwise_count(y ^ x).sum(1, dtype=np.int64)
+            most = (n[at] + n[i] - apart) // 2
+            got = at[100 * most >= percent * (n[at] + n[i] - most)]
+            if len(got):
+                yield i, got
+
+
+def block_pairs(members: DataFrame, sets: DataFrame, classes: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b) of the members of large regions that bitmaps do not rule out.
+
+    A region is dealt into blocks of about ``block`` members and every pair of
+    blocks meets in a task of its own, so no region has to fit one; only what
+    may link comes out.
+    """
+    nb = F.greatest(F.ceil(F.col("size") / block), F.lit(1)).cast("int")
+    own = F.pmod(F.xxhash64("key", F.lit(99)), nb).cast("int")
+    dealt = (members.withColumn("own", own).withColumn("nb", nb)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+             .select("rid", "key", "label", "own", F.least("own", "other").alias("i"),
+                     F.greatest("own", "other").alias("j")))
+    maps = (sets.select("row", "bitmap", "n").join(
+        members.select("key").distinct().join(classes.select("key", "row"), "key"), "row")
+        .select("key", "n", "bitmap"))
+
+    def run(t: pa.Table) -> pa.Table:
+        key = t.column("key").to_numpy()
+        a, b = [], []
+        for i, js in possible(t.column("bitmap").to_pylist(), t.column("n").to_numpy(),
+                              t.column("label").to_numpy(), t.column("own").to_numpy(), percent):
+            a.append(np.full(len(js), key[i]))
+            b.append(key[js])
+        a = np.concatenate(a) if a else np.zeros(0, np.int64)
+        b = np.concatenate(b) if b else np.zeros(0, np.int64)
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+    return (dealt.join(maps, "key").groupBy("rid", "i", "j")
+            .applyInArrow(run, "a long, b long").distinct())
+
+
+def relabel(labels: DataFrame, linked: DataFrame) -> DataFrame:
+    """Every linked class takes the least label among its links and its own.
+
+    Equal labels mean connected, which is all that the regions prune by; the
+    components themselves are found once, at the end.
+    """
+    def of(side):
+        return F.coalesce(F.col(f"l{side}"), F.col(side))
+
+    def known(side):
+        return labels.select(F.col("key").alias(side), F.col("label").alias(f"l{side}"))
+
+    least = (linked.join(known("a"), "a", "left").join(known("b"), "b", "left")
+             .withColumn("label", F.least(of("a"), of("b"))))
+    rows = least.select(F.col("a").alias("key"), "label").union(
+        least.select(F.col("b").alias("key"), "label")).union(labels)
+    return rows.groupBy("key").agg(F.min("label").alias("label")).checkpoint()
+
+
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
-                       percent: int = 75, leaf: int = 64, frequent_limit: int = 1 << 20,
-                       small: int = 2_000_000) -> DataFrame:
+                       percent: int = 75, leaf: int = 64, rounds: int = 2, block: int = 2048,
+                       frequent_limit: int = 1 << 20, small: int = 2_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
     ``percent`` is the similarity of a link in whole percents, above 50;
+    ``rounds`` the depth of the recursion before regions over ``leaf`` documents
+    are joined block by block (any depth gives the same links);
     ``small`` the rows of 16 bytes up to which a side may be broadcast.
     """
     from ledgerlake.session import scratch_path
@@ -328,27 +429,31 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                .checkpoint())
     measure = Distances(sets, classes, percent, small)
     pairs, members = initial_regions(sets)
-    every = None
+    links = []
     labels = spark.createDataFrame([], "key long, label long")
-    turn = 0
-    while True:
-        members, leaves, pivots = split_round(members, labels, leaf, turn)
-        pivots = pivots.checkpoint()
-        more = not pivots.isEmpty()
-        pairs = pairs.union(leaves)
-        if more:
-            met = members.join(pivots, "rid").where("key <> pivot")
-            pairs = pairs.union(met.select(F.col("key").alias("a"), F.col("pivot").alias("b")))
+    for turn in range(rounds + 1):
+        members, pivots = split_round(members, labels, leaf, turn)
+        if turn == 0:
+            pairs = pairs.union(leaf_pairs(members, leaf))
+        else:
+            pairs = leaf_pairs(members, leaf)
+        members = members.where(F.col("size") > leaf)
+        if turn == rounds:
+            pairs = pairs.union(block_pairs(members, sets, classes, percent, block))
+        else:
+            pairs = pairs.union(members.join(pivots, "rid").where("key <> pivot")
+                                .select(F.col("key").alias("a"), F.col("pivot").alias("b")))
         bounds = measure.bounded(pairs)
         linked = measure.links(bounds.where("may"))
-        every = linked if every is None else every.union(linked).distinct().checkpoint()
-        found = components(every)
-        labels = found.select(F.col("node").alias("key"), F.col("root").alias("label")).checkpoint()
-        if not more:
+        links.append(linked)
+        if turn == rounds or members.isEmpty():
             break
+        labels = relabel(labels, linked)
         members = recurse(members, pivots, bounds, linked)
-        pairs = linked.limit(0)
-        turn += 1
+    every = links[0]
+    for one in links[1:]:
+        every = every.union(one)
+    labels = components(every).select(F.col("node").alias("key"), F.col("root").alias("label"))
     named = classes.join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label"), "least")
     component = (named.join(named.groupBy("label").agg(F.min("least").alias("component_id")), "label")
                  .select("key", "component_id"))
