@@ -140,3 +140,11 @@ def op2(spark, sf_dir):
     """Shingle count and component of every document."""
     from ledgerlake.llm.jaccard_join import jaccard_components
     return jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op5_suffix_dedup")
+def op5(spark, sf_dir):
+    """Bytes of every document that repeated strings cover."""
+    from ledgerlake.llm.suffix_dedup import suffix_dedup
+    out = suffix_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
