@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.tables import Tables
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One contraction: neighbours of a node are tied to the least of them.
@@ -28,16 +30,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("a") != F.col("b")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, tables: Tables) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b); root is its least node.
 
-    Self-loops and repeated edges do no harm.  Every round is checkpointed; it
-    ends when a round changes nothing, after about log of the longest path.
+    Self-loops and repeated edges do no harm.  Every round is a written table;
+    it ends when a round changes nothing, after about log of the longest path.
     """
-    now = edges.where(F.col("a") != F.col("b")).select("a", "b").distinct().checkpoint()
+    now = tables.settle(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct())
     mark = None
     while True:
-        now = _star(_star(now, True), False).checkpoint()
+        before = now
+        now = tables.settle(_star(_star(before, True), False))
+        tables.drop(before)
         row = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("h")).first()
         if (row.n, row.h) == mark:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(

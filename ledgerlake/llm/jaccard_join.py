@@ -35,7 +35,7 @@ links.  Region membership is a grouped minimum and maximum plus a join, both
 splittable, so a shingle in a third of all documents never has to fit a task;
 pairs of a round are (member, pivot), linear in the region, and the block joins
 give out only pairs that the bitmaps leave open.  Tables of a round are
-checkpointed; links and components stay distributed.
+written to the shared folder; links and components stay distributed.
 
 Hashes: shingles are compared by 64-bit hashes cut to 48 bits in stored sets,
 classes by a 64-bit hash of the set.
@@ -57,6 +57,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.components import components
+from ledgerlake.llm.tables import Tables
 from ledgerlake.llm.textblocks import LOWER, blocks, mix, span_hashes, text_bytes, word_spans
 
 COUNT_BLOCK = 4_000_000          # shingles counted together when looking for frequent ones
@@ -87,7 +88,7 @@ def shingle_sets(raw: np.ndarray, off: np.ndarray, size: int) -> Iterator[np.nda
             yield np.zeros(0, np.uint64)
 
 
-def frequent_shingles(docs: DataFrame, size: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+def frequent_shingles(docs: DataFrame, size: int, limit: int, tables: Tables) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles (48 bits, sorted) and their counts, ``limit`` at most.
 
     A shingle counts in a block of ``COUNT_BLOCK`` when two of its documents
@@ -115,11 +116,12 @@ def frequent_shingles(docs: DataFrame, size: int, limit: int) -> tuple[np.ndarra
         if n:
             yield counted()
 
-    counts = (docs.select("text").mapInArrow(run, "t long, c long, total boolean")
-              .groupBy("total", "t").agg(F.sum("c").alias("c")).checkpoint())
+    counts = tables.settle(docs.select("text").mapInArrow(run, "t long, c long, total boolean")
+                           .groupBy("total", "t").agg(F.sum("c").alias("c")))
     total = counts.where("total").agg(F.sum("c")).first()[0] or 0
     rows = counts.where(~F.col("total") & (F.col("c") > max(3, total // limit))).select("t", "c").toArrow()
     t, c = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+    tables.drop(counts)
     order = np.argsort(t)
     return t[order].astype(np.uint64), c[order].astype(np.int64)
 
@@ -154,7 +156,7 @@ def unpack48(blob: bytes) -> np.ndarray:
 SETS = ("row long, doc_id {id}, n long, key long, bitmap binary, region array<long>, tokens binary")
 
 
-def write_sets(docs: DataFrame, size: int, percent: int, frequent, path: str) -> DataFrame:
+def write_sets(docs: DataFrame, size: int, percent: int, frequent, tables: Tables) -> DataFrame:
     """One row per document: key, length, bitmap, region shingles and set."""
     from pyspark import TaskContext
 
@@ -188,15 +190,15 @@ def write_sets(docs: DataFrame, size: int, percent: int, frequent, path: str) ->
                  pa.array(region, pa.list_(pa.int64())), pa.array(tokens, pa.binary())], names=names)
             row += len(n)
 
-    docs.mapInArrow(run, SETS.format(id=kind)).write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    return tables.settle(docs.mapInArrow(run, SETS.format(id=kind)))
 
 
 class Distances:
     """Bounds and exact overlaps of class pairs, from the written sets."""
 
-    def __init__(self, sets: DataFrame, classes: DataFrame, percent: int, small: int):
+    def __init__(self, sets: DataFrame, classes: DataFrame, percent: int, small: int, tables: Tables):
         self.sets, self.classes, self.percent, self.small = sets, classes, percent, small
+        self.tables = tables
 
     def _both(self, pairs: DataFrame, column: str) -> DataFrame:
         """``pairs`` (a, b, ...) with ``column`` of both classes.
@@ -204,8 +206,8 @@ class Distances:
         The rows needed are found by key, then fetched by row number, so
         copies of a class are never read for it.
         """
-        keys = (pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-                .join(self.classes.select("key", "row"), "key").checkpoint())
+        keys = self.tables.settle(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+                                  .join(self.classes.select("key", "row"), "key"))
         few = keys.count() <= self.small
         side = F.broadcast(keys) if few else keys  # measured: 16 bytes a row
         got = self.sets.select("row", column).join(side, "row").select("key", column)
@@ -220,8 +222,8 @@ class Distances:
                  .join(c.select(F.col("key").alias("a"), F.col("n").alias("na")), "a")
                  .join(c.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b"))
         small, large = F.least("na", "nb"), F.greatest("na", "nb")
-        told = pairs.withColumn("short", 100 * small < p * large).withColumn(
-            "wide", 100 * small < (2 * p - 100) * large).checkpoint()
+        told = self.tables.settle(pairs.withColumn("short", 100 * small < p * large).withColumn(
+            "wide", 100 * small < (2 * p - 100) * large))
         todo = told.where(~F.col("short")).select("a", "b", "na", "nb")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,8 +239,8 @@ class Distances:
 
         near = self._both(todo, "bitmap").select("a", "b", "na", "nb", "x", "y").mapInArrow(
             run, "a long, b long, may boolean, far boolean")
-        return near.union(told.where("short").select("a", "b", F.lit(False).alias("may"),
-                                                     F.col("wide").alias("far"))).checkpoint()
+        return self.tables.settle(near.union(told.where("short").select(
+            "a", "b", F.lit(False).alias("may"), F.col("wide").alias("far"))))
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The (a, b) of ``pairs`` that link, counted on their sets."""
@@ -253,36 +255,34 @@ class Distances:
                     ok.append(100 * both >= p * (len(x) + len(y) - both))
                 yield t.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-        return (self._both(pairs.select("a", "b"), "tokens").select("a", "b", "x", "y")
-                .mapInArrow(run, "a long, b long").checkpoint())
+        return self.tables.settle(self._both(pairs.select("a", "b"), "tokens").select("a", "b", "x", "y")
+                                  .mapInArrow(run, "a long, b long"))
 
 
-def initial_regions(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+def initial_regions(sets: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
     """Pairs of two-document regions, and (rid, key) of the larger ones."""
     posted = sets.where(F.col("key").isNotNull()).select(F.explode("region").alias("rid"), "key")
-    groups = (posted.groupBy("rid").agg(F.count(F.lit(1)).alias("m"), F.min("key").alias("a"),
-                                        F.max("key").alias("b"))
-              .where("a <> b").checkpoint())
+    groups = tables.settle(posted.groupBy("rid").agg(
+        F.count(F.lit(1)).alias("m"), F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b"))
     pairs = groups.where("m = 2").select("a", "b")
-    members = posted.join(groups.where("m > 2").select("rid"), "rid").distinct().checkpoint()
+    members = tables.settle(posted.join(groups.where("m > 2").select("rid"), "rid").distinct())
     return pairs, members
 
 
-def split_round(members: DataFrame, labels: DataFrame, leaf: int, turn: int):
+def split_round(members: DataFrame, labels: DataFrame, leaf: int, turn: int, tables: Tables):
     """Live members with labels and region size, and (rid, pivot) of regions over ``leaf``."""
     m = (members.join(labels, "key", "left")
          .select("rid", "key", F.coalesce("label", "key").alias("label")))
     per_label = m.groupBy("rid", "label").agg(
         F.count(F.lit(1)).alias("m"), *[F.min(F.struct(F.xxhash64("key", F.lit(turn * PIVOTS + k)).alias("h"),
                                                        "key")).alias(f"p{k}") for k in range(PIVOTS)])
-    stats = (per_label.groupBy("rid").agg(
+    stats = tables.settle(per_label.groupBy("rid").agg(
         F.sum("m").alias("size"), F.count(F.lit(1)).alias("labels"),
-        *[F.min(F.struct("m", f"p{k}")).alias(f"p{k}") for k in range(PIVOTS)])
-        .where("labels > 1").checkpoint())
+        *[F.min(F.struct("m", f"p{k}")).alias(f"p{k}") for k in range(PIVOTS)]).where("labels > 1"))
     pivots = (stats.where(F.col("size") > leaf)
               .select("rid", F.explode(F.array_distinct(F.array(
                   *[F.col(f"p{k}.p{k}.key") for k in range(PIVOTS)]))).alias("pivot")))
-    return m.join(stats.select("rid", "size"), "rid").checkpoint(), pivots.checkpoint()
+    return tables.settle(m.join(stats.select("rid", "size"), "rid")), tables.settle(pivots)
 
 
 def leaf_pairs(members: DataFrame, leaf: int) -> DataFrame:
@@ -293,7 +293,8 @@ def leaf_pairs(members: DataFrame, leaf: int) -> DataFrame:
             .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")))
 
 
-def recurse(members: DataFrame, pivots: DataFrame, bounds: DataFrame, linked: DataFrame) -> DataFrame:
+def recurse(members: DataFrame, pivots: DataFrame, bounds: DataFrame, linked: DataFrame,
+            tables: Tables) -> DataFrame:
     """The regions after a round: split at the first pivot, pivots gone.
 
     Pivots have met all members and leave.  A region is split only where that
@@ -301,19 +302,20 @@ def recurse(members: DataFrame, pivots: DataFrame, bounds: DataFrame, linked: Da
     """
     first = pivots.groupBy("rid").agg(F.min("pivot").alias("pivot"))
     rest = members.join(pivots.select("rid", F.col("pivot").alias("key")), ["rid", "key"], "left_anti")
-    met = (rest.join(first, "rid")
-           .select("rid", "key", F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b"))
-           .join(bounds.where("far").select("a", "b", "far"), ["a", "b"], "left")
-           .join(linked.select("a", "b", F.lit(True).alias("near")), ["a", "b"], "left")
-           .select("rid", "key", "near", "far").checkpoint())
+    met = tables.settle(
+        rest.join(first, "rid")
+        .select("rid", "key", F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b"))
+        .join(bounds.where("far").select("a", "b", "far"), ["a", "b"], "left")
+        .join(linked.select("a", "b", F.lit(True).alias("near")), ["a", "b"], "left")
+        .select("rid", "key", "near", "far"))
     pays = (met.groupBy("rid").agg(F.count(F.lit(1)).alias("m"), F.count("near").alias("n"),
                                    F.count("far").alias("f"))
             .select("rid", ((F.col("n") > 0) & (4 * (F.col("m") - F.col("n") - F.col("f")) <= F.col("m")))
                     .alias("pays")))
     sides = (F.when(~F.col("pays"), F.array(F.lit(2))).when(F.col("near"), F.array(F.lit(0)))
              .when(F.col("far"), F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1))))
-    return (met.join(pays, "rid").select("rid", "key", F.explode(sides).alias("side"))
-            .select(F.xxhash64("rid", "side").alias("rid"), "key").checkpoint())
+    return tables.settle(met.join(pays, "rid").select("rid", "key", F.explode(sides).alias("side"))
+                         .select(F.xxhash64("rid", "side").alias("rid"), "key"))
 
 
 def possible(bitmaps: list[bytes], n: np.ndarray, labels: np.ndarray, blocks: np.ndarray,
@@ -389,7 +391,7 @@ def block_pairs(members: DataFrame, sets: DataFrame, classes: DataFrame, percent
             .applyInArrow(run, "a long, b long").distinct())
 
 
-def relabel(labels: DataFrame, linked: DataFrame) -> DataFrame:
+def relabel(labels: DataFrame, linked: DataFrame, tables: Tables) -> DataFrame:
     """Every linked class takes the least label among its links and its own.
 
     Equal labels mean connected, which is all that the regions prune by; the
@@ -405,7 +407,7 @@ def relabel(labels: DataFrame, linked: DataFrame) -> DataFrame:
              .withColumn("label", F.least(of("a"), of("b"))))
     rows = least.select(F.col("a").alias("key"), "label").union(
         least.select(F.col("b").alias("key"), "label")).union(labels)
-    return rows.groupBy("key").agg(F.min("label").alias("label")).checkpoint()
+    return tables.settle(rows.groupBy("key").agg(F.min("label").alias("label")))
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
@@ -418,21 +420,18 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     are joined block by block (any depth gives the same links);
     ``small`` the rows of 16 bytes up to which a side may be broadcast.
     """
-    from ledgerlake.session import scratch_path
-
     spark = docs.sparkSession
+    tables = Tables(spark, "jaccard")
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    path = scratch_path(spark, "jaccard-sets", unique=True)
-    sets = write_sets(own, size, percent, frequent_shingles(own, size, frequent_limit), path)
-    classes = (sets.where(F.col("key").isNotNull()).groupBy("key")
-               .agg(F.min("row").alias("row"), F.first("n").alias("n"), F.min("doc_id").alias("least"))
-               .checkpoint())
-    measure = Distances(sets, classes, percent, small)
-    pairs, members = initial_regions(sets)
+    sets = write_sets(own, size, percent, frequent_shingles(own, size, frequent_limit, tables), tables)
+    classes = tables.settle(sets.where(F.col("key").isNotNull()).groupBy("key").agg(
+        F.min("row").alias("row"), F.first("n").alias("n"), F.min("doc_id").alias("least")))
+    measure = Distances(sets, classes, percent, small, tables)
+    pairs, members = initial_regions(sets, tables)
     links = []
     labels = spark.createDataFrame([], "key long, label long")
     for turn in range(rounds + 1):
-        members, pivots = split_round(members, labels, leaf, turn)
+        members, pivots = split_round(members, labels, leaf, turn, tables)
         if turn == 0:
             pairs = pairs.union(leaf_pairs(members, leaf))
         else:
@@ -448,12 +447,12 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         links.append(linked)
         if turn == rounds or members.isEmpty():
             break
-        labels = relabel(labels, linked)
-        members = recurse(members, pivots, bounds, linked)
+        labels = relabel(labels, linked, tables)
+        members = recurse(members, pivots, bounds, linked, tables)
     every = links[0]
     for one in links[1:]:
         every = every.union(one)
-    labels = components(every).select(F.col("node").alias("key"), F.col("root").alias("label"))
+    labels = components(every, tables).select(F.col("node").alias("key"), F.col("root").alias("label"))
     named = classes.join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label"), "least")
     component = (named.join(named.groupBy("label").agg(F.min("least").alias("component_id")), "label")
                  .select("key", "component_id"))
