@@ -23,8 +23,8 @@ partner).  Inside a region:
 
 The recursion is exact: a pair leaves it only compared, separated by the
 triangle inequality, or known to be connected.  A distance is first bounded
-from lengths and from folded parity bitmaps (``|x ^ y|`` is at least the number
-of differing parity bits); pairs that the bound does not settle are counted on
+from lengths and from parity bitmaps, one bit a shingle for single pairs, eight
+for block joins (``|x ^ y|`` is at least the number of differing parity bits); pairs that the bound does not settle are counted on
 their sets.
 
 Spark: exact copies collapse into one class first (same set, hence same key).
@@ -60,7 +60,7 @@ from ledgerlake.llm.components import components
 from ledgerlake.llm.tables import Tables
 from ledgerlake.llm.textblocks import LOWER, blocks, mix, span_hashes, text_bytes, word_spans
 
-COUNT_BLOCK = 4_000_000          # shingles counted together when looking for frequent ones
+COUNT_BLOCK = 2_000_000          # shingles counted together when looking for frequent ones
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 PIVOTS = 8
 
@@ -126,9 +126,9 @@ def frequent_shingles(docs: DataFrame, size: int, limit: int, tables: Tables) ->
     return t[order].astype(np.uint64), c[order].astype(np.int64)
 
 
-def parity_bitmap(tokens: np.ndarray) -> bytes:
-    """Parities of the tokens by low bits; eight or more bits a token, a power of two."""
-    bits = max(64, 8 << max(len(tokens) - 1, 1).bit_length())
+def parity_bitmap(tokens: np.ndarray, each: int) -> bytes:
+    """Parities of the tokens by low bits; ``each`` or more bits a token, a power of two."""
+    bits = max(64, each << max(len(tokens) - 1, 1).bit_length())
     odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -153,7 +153,8 @@ def unpack48(blob: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-SETS = ("row long, doc_id {id}, n long, key long, bitmap binary, region array<long>, tokens binary")
+SETS = ("row long, doc_id {id}, n long, key long, coarse binary, bitmap binary, region array<long>, "
+        "tokens binary")
 
 
 def write_sets(docs: DataFrame, size: int, percent: int, frequent, tables: Tables) -> DataFrame:
@@ -168,15 +169,18 @@ def write_sets(docs: DataFrame, size: int, percent: int, frequent, tables: Table
         often, count = shared.value
         row = TaskContext.get().partitionId() << 36
         for b in blocks(batches, "text"):
-            n, key, bitmap, region, tokens = [], [], [], [], []
+            n, key, coarse, bitmap, region, tokens = [], [], [], [], [], []
             for s in shingle_sets(*text_bytes(b.column("text")), size):
                 t = s >> np.uint64(16)
                 n.append(len(t))
                 if not len(t):
-                    key.append(None), bitmap.append(b""), region.append(None), tokens.append(b"")
+                    key.append(None), region.append(None)
+                    for empty in (coarse, bitmap, tokens):
+                        empty.append(b"")
                     continue
                 key.append(int((mix(s).sum() ^ mix(np.uint64([len(s)]))[0]).view(np.int64)))
-                bitmap.append(parity_bitmap(t))
+                coarse.append(parity_bitmap(t, 1))
+                bitmap.append(parity_bitmap(t, 8))
                 tokens.append(pack48(t))
                 least = len(t) - (percent * len(t) + 99) // 100 + 1
                 rank = np.zeros(len(t), np.int64)
@@ -186,7 +190,7 @@ def write_sets(docs: DataFrame, size: int, percent: int, frequent, tables: Table
                 region.append(t[np.lexsort((t, rank))[:least]].astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + len(n))), b.column("doc_id"), pa.array(n, pa.int64()),
-                 pa.array(key, pa.int64()), pa.array(bitmap, pa.binary()),
+                 pa.array(key, pa.int64()), pa.array(coarse, pa.binary()), pa.array(bitmap, pa.binary()),
                  pa.array(region, pa.list_(pa.int64())), pa.array(tokens, pa.binary())], names=names)
             row += len(n)
 
@@ -237,7 +241,7 @@ class Distances:
                     [t.column(0), t.column(1), pa.array(may, pa.bool_()), pa.array(far, pa.bool_())],
                     names=["a", "b", "may", "far"])
 
-        near = self._both(todo, "bitmap").select("a", "b", "na", "nb", "x", "y").mapInArrow(
+        near = self._both(todo, "coarse").select("a", "b", "na", "nb", "x", "y").mapInArrow(
             run, "a long, b long, may boolean, far boolean")
         return self.tables.settle(near.union(told.where("short").select(
             "a", "b", F.lit(False).alias("may"), F.col("wide").alias("far"))))
@@ -256,16 +260,18 @@ class Distances:
                 yield t.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
         return self.tables.settle(self._both(pairs.select("a", "b"), "tokens").select("a", "b", "x", "y")
-                                  .mapInArrow(run, "a long, b long"))
+                                  .mapInArrow(run, "a long, b long"), batch_rows=256)
 
 
-def initial_regions(sets: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
+def initial_regions(sets: DataFrame, tables: Tables, small: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of two-document regions, and (rid, key) of the larger ones."""
     posted = sets.where(F.col("key").isNotNull()).select(F.explode("region").alias("rid"), "key")
     groups = tables.settle(posted.groupBy("rid").agg(
         F.count(F.lit(1)).alias("m"), F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b"))
     pairs = groups.where("m = 2").select("a", "b")
-    members = tables.settle(posted.join(groups.where("m > 2").select("rid"), "rid").distinct())
+    larger = groups.where("m > 2").select("rid")
+    side = F.broadcast(larger) if larger.count() <= small else larger  # measured: 8 bytes a row
+    members = tables.settle(posted.join(side, "rid").distinct())
     return pairs, members
 
 
@@ -427,7 +433,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     classes = tables.settle(sets.where(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("row").alias("row"), F.first("n").alias("n"), F.min("doc_id").alias("least")))
     measure = Distances(sets, classes, percent, small, tables)
-    pairs, members = initial_regions(sets, tables)
+    pairs, members = initial_regions(sets, tables, small)
     links = []
     labels = spark.createDataFrame([], "key long, label long")
     for turn in range(rounds + 1):

@@ -19,11 +19,22 @@ class Tables:
         self.spark, self.root, self.n = spark, scratch_path(spark, name, unique=True), 0
         self.held: list[tuple[DataFrame, str]] = []
 
-    def settle(self, df: DataFrame) -> DataFrame:
-        """``df`` written and read again."""
+    def settle(self, df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+        """``df`` written and read again.
+
+        ``batch_rows`` bounds the Arrow batches of this one write, for Python
+        stages whose rows are long.
+        """
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.parquet(path)
+        name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = self.spark.conf.get(name)
+        try:
+            if batch_rows:
+                self.spark.conf.set(name, str(batch_rows))
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(name, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.held.append((out, path))
         return out

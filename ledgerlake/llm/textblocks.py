@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
