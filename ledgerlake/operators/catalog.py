@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from ledgerlake.schemas import KINDS, check_kind
 
-# Fixed validation patterns of the archive contract.
+# Fixed validation patterns of the archive contract; a mirror's keys carry 16
+# digits of the MD5 before the extension.
 DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 MD5_PATTERN = r"^[0-9a-f]{32}$"
-FILE_KEY_PATTERN = r"^daily/[0-9]{4}-[0-9]{2}-[0-9]{2}\.(blocks|txs|events)\.parquet$"
-LOOKUP_KEY_PATTERN = r"^lookups/[A-Za-z0-9_.-]+\.(json|json\.gz|parquet)$"
+FILE_KEY_PATTERN = r"^daily/[0-9]{4}-[0-9]{2}-[0-9]{2}\.(blocks|txs|events)(\.[0-9a-f]{16})?\.parquet$"
+LOOKUP_KEY_PATTERN = r"^lookups/[A-Za-z0-9_-]+(\.[0-9a-f]{16})?\.(json|json\.gz|parquet)$"
 GIB = 1024 ** 3
 
 ENTRY_FIELDS = ("date", "kind", "key", "size", "md5", "schema_version")

@@ -108,9 +108,9 @@ def mirror(spark: SparkSession, src_root: str, dest_root: str, entries: DataFram
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
-                dkey = mirror_key(r.key, r.md5)
+                dkey = mirror_key(r.key or "", r.md5 or "")
                 row = [r.date, r.kind, r.key, r.size, r.md5, r.schema_version, dkey]
-                if not _safe_key(r.key):
+                if not r.md5 or r.size is None or not _safe_key(r.key or ""):
                     out.append(row + [REFUSED])
                     continue
                 dest = f"{dst_base}/{dkey}"
@@ -168,7 +168,34 @@ def mirror_range(spark: SparkSession, archive, dest_root: str, start, end,
     good = [{"date": r["date"], "kind": r["kind"], "key": r["dest_key"], "size": r["size"],
              "md5": r["md5"], "schema_version": r["schema_version"]}
             for r in report if r["status"] in (COPIED, PRESENT)]
+    # The mirror keeps what earlier ranges brought; a rebuilt day's new copy wins.
+    old_files, old_lookups = _manifest_entries(spark, dest_root)
+    done = {(e["date"], e["kind"]) for e in good}
+    good += [e for e in old_files if (e["date"], e["kind"]) not in done]
+    looks = archive.manifest.select(F.explode("lookups").alias("name", "l")).select("name", "l.*")
+    found = mirror(spark, archive.root, dest_root, looks.select(
+        F.lit(None).cast("string").alias("date"), F.col("name").alias("kind"), "key", "size", "md5",
+        F.lit(None).cast("string").alias("schema_version")), tasks).collect()
+    lookups = dict(old_lookups)
+    for r in found:
+        if r["status"] in (COPIED, PRESENT):
+            lookups[r["kind"]] = {"key": r["dest_key"], "size": r["size"], "md5": r["md5"]}
     h = archive.header
-    write_manifest(dest_root, good, {}, chain_id=h.get("chain_id"),
-                   schema_version=h.get("schema_version") or "v2")
+    declared = archive.manifest.first()["columns"]
+    declared = declared.asDict() if hasattr(declared, "asDict") else declared
+    write_manifest(dest_root, good, lookups, chain_id=h.get("chain_id"),
+                   schema_version=h.get("schema_version") or "v2",
+                   **({"columns": {k: list(v) for k, v in declared.items() if v}} if declared else {}))
     return report
+
+
+def _manifest_entries(spark: SparkSession, root: str) -> tuple[list[dict], dict]:
+    """Files and lookups of a manifest, empty where there is none."""
+    from ledgerlake.sources import fsio
+    from ledgerlake.sources import manifest as M
+    if fsio.size_of(M.manifest_path(root)) is None:
+        return [], {}
+    m = M.read_manifest(spark, root)
+    files = [{k: r[k] for k in ("date", "kind", "key", "size", "md5", "schema_version")}
+             for r in M.files_table(m).orderBy("pos").collect()]
+    return files, {r["name"]: {k: r[k] for k in ("key", "size", "md5")} for r in M.lookups_table(m).collect()}

@@ -49,12 +49,17 @@ def fetch(spark: SparkSession, archive: Archive, date: str, kind: str, dest_root
 
 
 def show(archive: Archive, date: str, kind: str, limit: int = 20, fmt: str = "table",
-         out: str | None = None) -> DataFrame:
+         out: str | None = None, decode: bool | None = None) -> DataFrame:
     """``show``: the first ``limit`` rows of a day (0 is all) in the natural
-    order; ``fmt`` 'table' prints, 'ndjson' and 'csv' write to ``out``."""
-    df = archive.head(date, kind, limit)
-    if fmt == "table":
-        df.show(limit or 20, truncate=False)
+    order; ``decode=False`` shows raw hex.  ``fmt`` 'table' prints, 'ndjson'
+    and 'csv' write to ``out``."""
+    df = archive.head(date, kind, limit, decode)
+    if fmt == "table" and limit:
+        df.show(limit, truncate=False)
+    elif fmt == "table":  # all rows: a partition at a time, never the whole day
+        print("|".join(df.columns))
+        for row in df.toLocalIterator(prefetchPartitions=True):
+            print("|".join("NULL" if v is None else str(v) for v in row))
     elif fmt == "ndjson":
         sinks.write_ndjson(df, out)
     elif fmt == "csv":
@@ -73,8 +78,9 @@ def lookup(spark: SparkSession, archive: Archive, which: str, key: str,
         raise ValueError(f"unknown lookup {which!r}; expected selector or topic")
     cands = normalised
     if cands is None:
-        lk = {r["name"]: r["key"] for r in
+        lk = {r["name"]: r.asDict() for r in
               archive.manifest.select(F.explode("lookups").alias("name", "l"))
-                              .select("name", "l.key").collect()}
-        cands = read_lookup(spark, archive.path(lk[LOOKUP_FOR[which]]))
+                              .select("name", "l.key", "l.size", "l.md5").collect()}
+        entry = lk[LOOKUP_FOR[which]]
+        cands = read_lookup(spark, archive.path(entry["key"]), entry)
     return L.lookup(cands, [key]).orderBy("rank")

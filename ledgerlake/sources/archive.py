@@ -13,7 +13,7 @@ import warnings
 from collections.abc import Iterator
 from datetime import date as _date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -24,27 +24,32 @@ from ledgerlake.sources import fsio
 from ledgerlake.sources import manifest as M
 
 # Fixed value: the day at the start of every daily file name.
-FILE_DATE = r"/([0-9]{4}-[0-9]{2}-[0-9]{2})[^/]*$"
+FILE_DATE = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})"
 
 
 def day_lineage() -> "F.Column":
     """The day of each row, from the name of the file it came from.
 
-    ``input_file_name()`` rather than ``_metadata.file_name``: when the day
-    goes unused, the latter still adds a row-index column to the Parquet
-    scan, the former is pruned away entirely.
+    ``_metadata.file_name`` is deterministic, so filters pass the projection
+    that holds it: those on data columns reach the Parquet scan and those on
+    the day prune files.
     """
-    return F.to_date(F.regexp_extract(F.input_file_name(), FILE_DATE, 1))
+    return F.to_date(F.regexp_extract(F.col("_metadata.file_name"), FILE_DATE, 1))
 
 
 class Archive:
     """A mirrored archive root (local, HDFS, S3A, ABFS ...)."""
 
     def __init__(self, spark: SparkSession, root: str, chain_id: int | None = DEFAULT_CHAIN_ID,
-                 decode: bool = True):
+                 decode: bool = True, verify: bool = True, strict: bool = True):
+        """``verify`` checks size and MD5 of files before they are read (once
+        per file and MD5); ``strict`` refuses a manifest with an entry that
+        breaks the contract (A2), else such entries are left out."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.decode = decode
+        self.verify = verify
+        self._verified: set[tuple[str, str]] = set()
         self.manifest = M.read_manifest(spark, self.root)
         # The manifest is read once per Archive and kept as a local relation:
         # it is catalog-sized (the contract caps it at 16 MiB) and every
@@ -55,6 +60,17 @@ class Archive:
                                            "latest_complete_date")} if row else {}
         entries = [(i, *e) for i, e in enumerate(row["files"] if row else [])]
         self._files = spark.createDataFrame(entries, M.FILES_DDL)
+        if chain_id is not None and self.header.get("chain_id") != chain_id:
+            raise ValueError(f"manifest chain_id {self.header.get('chain_id')} is not {chain_id}")
+        bad = {r["pos"]: r["violations"] for r in
+               A.split_valid(A.file_violations(self._files))[1].collect()}
+        wrong = A.split_valid(A.lookup_violations(M.lookups_table(self.manifest)))[1].collect()
+        if strict and (bad or wrong):
+            raise ValueError(f"invalid manifest entries: {dict(list(bad.items())[:5])} "
+                             f"{[r['name'] for r in wrong][:5]}")
+        if bad:
+            entries = [e for e in entries if e[0] not in bad]
+            self._files = spark.createDataFrame(entries, M.FILES_DDL)
         # The same rows on the driver, for resolving the file list of a load
         # without a Spark job (first entry wins, impossible dates skipped).
         names = ("pos",) + A.ENTRY_FIELDS
@@ -63,8 +79,6 @@ class Archive:
             d = dict(zip(names, e))
             if _real_day(d["date"]) and (d["date"], d["kind"]) not in self._winners:
                 self._winners[(d["date"], d["kind"])] = d
-        if chain_id is not None and self.header.get("chain_id") != chain_id:
-            raise ValueError(f"manifest chain_id {self.header.get('chain_id')} is not {chain_id}")
 
     # ------------------------------------------------------------- catalog
     def files(self) -> DataFrame:
@@ -74,6 +88,13 @@ class Archive:
         return [r[0] for r in A.available_dates(self.files(), kind).collect()]
 
     def latest_complete_date(self) -> _date | None:
+        """A4: the manifest's declared date, or the derived one where it
+        declares none; :meth:`latest_report` has both."""
+        declared = self.header.get("latest_complete_date")
+        return _date.fromisoformat(str(declared)) if declared else self.derived_complete_date()
+
+    def derived_complete_date(self) -> _date | None:
+        """The latest day that has all three kinds."""
         by_day: dict[str, set] = {}
         for d, k in self._winners:
             by_day.setdefault(d, set()).add(k)
@@ -122,6 +143,7 @@ class Archive:
         grouped by schema version, unioned by name after a type check,
         projected to ``columns``, with the ``date`` lineage, decoded."""
         decode = self.decode if decode is None else decode
+        self.check_entries(entries)
         by_version: dict[str, list[str]] = {}
         for e in entries:
             by_version.setdefault(e.get("schema_version") or "", []).append(self.path(e["key"]))
@@ -145,13 +167,38 @@ class Archive:
             out = out.select(*columns, *(["date"] if with_date else []))
         return decode_hex_columns(out, kind) if decode else out
 
+    def check_entries(self, entries: list[dict]) -> None:
+        """D1 on the entries about to be read, once per key and MD5; raises."""
+        todo = [e for e in entries if (e["key"], e["md5"]) not in self._verified]
+        if not self.verify or not todo:
+            return
+        from ledgerlake.operators import integrity as D
+        rows = [(e["date"], e["kind"], e["key"], e["size"], e["md5"]) for e in todo]
+        df = self.spark.createDataFrame(
+            rows, "date string, kind string, key string, size long, md5 string")
+        bad = (D.verify_objects(self.spark, self.root, df, tasks=len(todo))
+               .where(F.col("status") != D.OK).select("key", "status").collect())
+        if bad:
+            kind = FileNotFoundError if all(r["status"] == D.MISSING for r in bad) else ValueError
+            raise kind(f"{len(bad)} of {len(todo)} files fail verification: "
+                       f"{[tuple(r) for r in bad[:5]]}")
+        self._verified.update((e["key"], e["md5"]) for e in todo)
+
     def _parquet(self, paths: list[str], schema: StructType | None) -> DataFrame:
-        """Read an exact file list.  On a local or mounted root the files are
+        """Read an exact file list, with the union of all files' columns (the
+        footers are read in a Spark job); a type clash raises.  On a local or mounted root the files are
         listed on the driver (a listing job costs more than it saves there);
         on an object store Spark's parallel listing is kept."""
         reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+        if schema is None and len(paths) > 1:
+            reader = reader.option("mergeSchema", True)
         with fsio.driver_listing(self.spark, self.root, len(paths)):
-            return reader.parquet(*paths)
+            try:
+                return reader.parquet(*paths)
+            except Exception as e:
+                if "CANNOT_MERGE_SCHEMA" in str(e) or "CANNOT_MERGE_INCOMPATIBLE" in str(e):
+                    raise TypeError(f"columns clash across days: {str(e)[:500]}") from e
+                raise
 
     def load_day(self, date, kind: str, decode: bool | None = None,
                  columns: list[str] | None = None, with_date: bool = False) -> DataFrame:
@@ -190,9 +237,9 @@ class Archive:
         """Projected rows of a range on the driver, partition by partition."""
         return self.rows_range(start, end, kind, columns).toLocalIterator(prefetchPartitions=True)
 
-    def head(self, date, kind: str, n: int = 20) -> DataFrame:
+    def head(self, date, kind: str, n: int = 20, decode: bool | None = None) -> DataFrame:
         """The first ``n`` rows of a day in the natural order (§1.5); 0 is all."""
-        df = self.load_day(date, kind)
+        df = self.load_day(date, kind, decode)
         order = list(ORDER_KEYS[kind]) + [c for c in df.columns if c not in ORDER_KEYS[kind]]
         df = df.orderBy(*[F.asc_nulls_first(c) for c in order])
         return df.limit(n) if n else df
@@ -284,7 +331,7 @@ def column_conformance(spark: SparkSession, root: str, files: DataFrame,
 
     from ledgerlake.session import ship_package
     ship_package(spark)
-    tasks = spark.sparkContext.defaultParallelism * 2
+    tasks = min(max(paths.count(), 1), 10_000)  # by entries: cores may not be there yet
     found = paths.repartition(tasks).mapInPandas(
         footers, "date string, kind string, key string, column string, file_position int")
     decl = declared.select("kind", "column", F.col("position").alias("declared_position"))
@@ -293,8 +340,13 @@ def column_conformance(spark: SparkSession, root: str, files: DataFrame,
     expected = keys.join(decl, "kind")
     j = (expected.join(found, ["date", "kind", "key", "column"], "full_outer")
                  .join(kinds_declared, "kind", "left_semi"))
+    # Order is compared among the columns both sides have.
+    shared = F.col("file_position").isNotNull() & F.col("declared_position").isNotNull()
+    per_file = Window.partitionBy("date", "kind", "key", shared)
+    j = (j.withColumn("file_rank", F.rank().over(per_file.orderBy("file_position")))
+          .withColumn("declared_rank", F.rank().over(per_file.orderBy("declared_position"))))
     problem = (F.when(F.col("file_position").isNull(), "missing")
                 .when(F.col("declared_position").isNull(), "extra")
-                .when(F.col("file_position") != F.col("declared_position"), "out_of_order"))
+                .when(F.col("file_rank") != F.col("declared_rank"), "out_of_order"))
     return (j.withColumn("problem", problem).where(F.col("problem").isNotNull())
              .select("date", "kind", "key", "column", "declared_position", "file_position", "problem"))

@@ -47,6 +47,14 @@ def open_read(path: str):
     return open(p, "rb") if fs is None else fs.open_input_stream(p)
 
 
+def read_tail(path: str, size: int) -> bytes:
+    """The last ``size`` bytes of a file."""
+    fs, p = _split(path)
+    with (open(p, "rb") if fs is None else fs.open_input_file(p)) as f:
+        f.seek(max(0, size_of(path) - size))
+        return f.read(size)
+
+
 def open_write(path: str):
     fs, p = _split(path)
     if fs is None:

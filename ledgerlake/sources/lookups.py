@@ -14,6 +14,8 @@ value parsed on its own (a single object becomes a one-element list).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,10 +54,10 @@ def _split_read(spark: SparkSession, path: str, sep: str) -> DataFrame:
     return rec.select(F.lower(key).alias("key"), body.alias("body"))
 
 
-def _whole_read(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
+def _whole_read(spark: SparkSession, path: str) -> DataFrame:
     whole = (spark.read.option("wholetext", True).text(path)
                   .select(F.from_json("value", "map<string,string>").alias("m")))
-    if check and whole.where(F.col("m").isNull()).limit(1).count() > 0:
+    if whole.where(F.col("m").isNull()).limit(1).count() > 0:
         raise ValueError(f"lookup file does not parse as a JSON object: {path}")
     entries = whole.select(F.explode("m").alias("key", "body"))
     return entries.select(F.lower("key").alias("key"), "body")
@@ -66,22 +68,42 @@ def _explode(entries: DataFrame) -> DataFrame:
     return parsed
 
 
-def read_lookup(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
+def _ends_with_list(path: str) -> bool:
+    """Whether the file ends as an object of lists does; else only the whole
+    text tells a legacy file from one that is cut off."""
+    if fsio.size_of(path) is None:
+        raise FileNotFoundError(path)
+    return re.search(rb"\]\s*\}\s*$", fsio.read_tail(path, 4096)) is not None
+
+
+def verify_lookup(path: str, entry: dict) -> None:
+    """Size and MD5 of a lookup file against its manifest entry; raises."""
+    size = fsio.size_of(path)
+    if size is None:
+        raise FileNotFoundError(path)
+    if size != entry["size"] or fsio.md5_of(path, limit=entry["size"])[1] != entry["md5"]:
+        raise ValueError(f"lookup file does not match its manifest entry: {path}")
+
+
+def read_lookup(spark: SparkSession, path: str, entry: dict | None = None) -> DataFrame:
     """Candidate rows ``(key, pos, signature, count, abi)``.
 
-    ``check`` runs one pass to make sure every fragment parsed; a split read
-    with an unparsable fragment falls back to the whole-text form, which
-    raises if a value still does not parse.
+    ``entry`` is the manifest's entry of the file: size and MD5 are checked
+    first.  Without it the object must at least be closed.  One pass
+    makes sure that every fragment parsed; a split read with an unparsable
+    fragment falls back to the whole-text form, which raises if a value still
+    does not parse.
     """
-    sep = None if path.endswith(".gz") else _boundary(path)
+    if entry is not None:
+        verify_lookup(path, entry)
+    sep = None if path.endswith(".gz") or not _ends_with_list(path) else _boundary(path)
     parsed = None
     if sep is not None:
         parsed = _explode(_split_read(spark, path, sep))
-        if check:
-            # Parse once: the check and the result both read the checkpoint.
-            from ledgerlake.session import scratch_root
-            scratch_root(spark)
-            parsed = parsed.checkpoint(eager=True)
+        # Parse once: the check and the result both read the checkpoint.
+        from ledgerlake.session import scratch_root
+        scratch_root(spark)
+        parsed = parsed.checkpoint(eager=True)
         # ``from_json`` ignores text after the first value, so a fragment that
         # is not a list (a legacy object swallowing the next entry) is caught
         # by its first character, not by a null.
@@ -94,15 +116,14 @@ def read_lookup(spark: SparkSession, path: str, check: bool = True) -> DataFrame
         # A key that is not hex means the record edges were not where the
         # split assumed (a byte-order mark, text before the object).
         bad_key = ~F.col("key").rlike(KEY_PATTERN)
-        if check and parsed.where(F.col("c").isNull() | not_list | unsplit | bad_key) \
-                           .limit(1).count() > 0:
+        if parsed.where(F.col("c").isNull() | not_list | unsplit | bad_key) \
+                 .limit(1).count() > 0:
             parsed = None
     if parsed is None:
-        parsed = _explode(_whole_read(spark, path, check))
-        if check:
-            bad = parsed.where(F.col("c").isNull()).select("key").limit(3).collect()
-            if bad:
-                raise ValueError(f"lookup entries do not parse: {[r[0] for r in bad]}")
+        parsed = _explode(_whole_read(spark, path))
+        bad = parsed.where(F.col("c").isNull()).select("key").limit(3).collect()
+        if bad:
+            raise ValueError(f"lookup entries do not parse: {[r[0] for r in bad]}")
     return (parsed.select("key", F.posexplode("c").alias("pos", "x"))
                   .select("key", F.col("pos").cast("bigint").alias("pos"),
                           "x.signature", "x.count", "x.abi"))

@@ -40,10 +40,20 @@ LEDGER_DDL = "date string, kind string, key string, md5 string, size long, inges
 
 def _ledger(spark: SparkSession, lake: str) -> DataFrame:
     path = f"{lake.rstrip('/')}/{LEDGER}"
-    try:
-        return spark.read.schema(LEDGER_DDL).parquet(path)
-    except Exception:  # noqa: BLE001 - no ledger yet
+    if not _exists(spark, path):
         return spark.createDataFrame([], LEDGER_DDL)
+    return spark.read.schema(LEDGER_DDL).parquet(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and its Path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
 
 def pending(spark: SparkSession, files: DataFrame, lake: str,
@@ -86,6 +96,13 @@ def ingest(spark: SparkSession, archive: Archive, lake: str, kinds=KINDS,
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
            .partitionBy("date").parquet(f"{lake}/{kind}"))
+        # A dynamic overwrite leaves the folder of a day without rows as it
+        # was; days now empty are cleared before the ledger says done.
+        filled = {str(r[0]) for r in df.select("date").distinct().collect()}
+        for e in ents:
+            fs, p = _fs(spark, f"{lake}/{kind}/date={e['date']}")
+            if e["date"] not in filled and fs.exists(p):
+                fs.delete(p, True)
     if todo:
         now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")  # sortable
         rows = [(e["date"], e["kind"], e["key"], e["md5"], e["size"], now) for e in todo]
@@ -117,10 +134,15 @@ def follow(spark: SparkSession, archive: Archive, snapshots: str, lake: str,
     otherwise a processing-time trigger of ``interval``.  ``after(ingested)``
     runs after each batch (e.g. :func:`refresh_running_totals`).  Returns the
     query."""
+    # A cut-off or invalid snapshot stops the query instead of passing as empty.
     stream = (spark.readStream.schema(MANIFEST).option("multiLine", True)
-                   .json(snapshots))
+                   .option("mode", "FAILFAST").json(snapshots))
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        chain = archive.header.get("chain_id")
+        other = batch.where(~F.col("chain_id").eqNullSafe(F.lit(chain))).select("chain_id").limit(1).collect()
+        if other:
+            raise ValueError(f"snapshot chain_id {other[0][0]} is not {chain}")
         latest = batch.orderBy(F.desc("generated_at")).limit(1)
         if latest.isEmpty():
             return
@@ -137,13 +159,19 @@ def replay(spark: SparkSession, mirror_root: str, kind: str, sink: str, checkpoi
            files_per_trigger: int = 1, decode: bool = True):
     """H4: replay the immutable mirror of ``kind`` as micro-batches of
     ``files_per_trigger`` days into Parquet at ``sink`` (``date`` from the
-    file name).  Each file is read once; the result equals B2."""
+    file name).  Only files that the mirror's manifest lists count: after a
+    rebuild and a second mirror the older copy is still in the folder.  Each
+    file is read once; the result equals B2."""
     check_kind(kind)
+    listed = A.resolve(M.files_table(M.read_manifest(spark, mirror_root)).where(F.col("kind") == kind))
+    listed = listed.select(F.regexp_extract("key", "[^/]+$", 0).alias("listed_name"))
     src = (spark.readStream.schema(RAW[kind])
                 .option("maxFilesPerTrigger", files_per_trigger)
                 .option("pathGlobFilter", f"*.{kind}.*parquet")
                 .parquet(f"{mirror_root.rstrip('/')}/daily"))
-    df = src.withColumn("date", day_lineage())
+    df = (src.withColumn("date", day_lineage()).withColumn("own_name", F.col("_metadata.file_name"))
+          .join(F.broadcast(listed), F.col("own_name") == F.col("listed_name"), "left_semi")  # catalog-sized
+          .drop("own_name"))
     if decode:
         df = decode_hex_columns(df, kind)
     q = (df.writeStream.format("parquet").option("path", sink)

@@ -15,12 +15,12 @@ def test_commands(spark, day_archive, scratch):
     assert C.manifest(a)["lookups"] == ["event_topics", "function_selectors"]
     got = C.fetch(spark, a, DAY, "blocks", os.path.join(scratch, "m"))
     assert got["status"] == "copied"
-    ranked = C.lookup(spark, a, "selector", "0xA9059CBB").collect()
+    ranked = C.lookup(spark, a, "selector", "0x51C0FFEE").collect()
     assert [(r["signature"], r["count"]) for r in ranked] == [
-        ("transfer(address,uint256)", 491287), ("transfer(bytes4,bytes32)", 12)]
+        ("settle(uint256,address)", 491287), ("settle(bytes8)", 12)]
     assert C.lookup(spark, a, "topic", "0xdeadbeef").count() == 0
     out = os.path.join(scratch, "show")
     C.show(a, DAY, "txs", 0, "ndjson", out)
     rows = [json.loads(x) for p in glob.glob(out + "/part-*.json") for x in open(p)]
-    assert sorted(r["value"] for r in rows) == ["0", "1000000000000000000"]
+    assert sorted(r["value"] for r in rows) == ["0", "1000000000000000000", "77"]
     assert C.show(a, DAY, "blocks", 2, "csv", os.path.join(scratch, "csv")).count() == 2

@@ -2,7 +2,9 @@ import json
 import os
 import time
 
-from conftest import DAY, day_table, make_archive, parquet_bytes, put
+import pytest
+
+from conftest import DAY, N_BLOCKS, N_EVENTS, N_TXS, day_table, make_archive, parquet_bytes, put
 from ledgerlake.operators import integrity as D
 from ledgerlake.sources.archive import Archive
 from ledgerlake.streaming import ingest as H
@@ -10,38 +12,38 @@ from ledgerlake.streaming import ingest as H
 
 def test_ingest_rerun_and_rebuild(spark, scratch):
     root = os.path.join(scratch, "a")
-    doc = make_archive(root, days=(DAY, "2026-04-19"))
+    doc = make_archive(root, days=(DAY, "2025-11-08"))
     lake = os.path.join(scratch, "lake")
     first = H.ingest(spark, Archive(spark, root), lake)
     assert len(first) == 6
-    assert H.read_lake(spark, lake, "txs").count() == 4
+    assert H.read_lake(spark, lake, "txs").count() == 2 * N_TXS
     assert H.ingest(spark, Archive(spark, root), lake) == []  # rerun is a no-op
     # Rebuild one day: same key, new bytes and md5.
     t = day_table("txs").slice(0, 1)
-    e = put(root, "daily/2026-04-19.txs.parquet", parquet_bytes(t))
+    e = put(root, "daily/2025-11-08.txs.parquet", parquet_bytes(t))
     for f in doc["files"]:
-        if f["date"] == "2026-04-19" and f["kind"] == "txs":
+        if f["date"] == "2025-11-08" and f["kind"] == "txs":
             f.update(size=e["size"], md5=e["md5"])
     with open(os.path.join(root, "manifest.json"), "w") as fh:
         json.dump(doc, fh)
     again = H.ingest(spark, Archive(spark, root), lake)
-    assert [(x["date"], x["kind"]) for x in again] == [("2026-04-19", "txs")]
+    assert [(x["date"], x["kind"]) for x in again] == [("2025-11-08", "txs")]
     by_day = {r["date"].isoformat(): r["count"] for r in
               H.read_lake(spark, lake, "txs").groupBy("date").count().collect()}
-    assert by_day == {DAY: 2, "2026-04-19": 1}
+    assert by_day == {DAY: N_TXS, "2025-11-08": 1}
     # Rebuilt back to the first bytes: the old md5 is in the ledger, but not
     # as the latest row, so the day is ingested again.
-    e = put(root, "daily/2026-04-19.txs.parquet", parquet_bytes(day_table("txs")))
+    e = put(root, "daily/2025-11-08.txs.parquet", parquet_bytes(day_table("txs")))
     for f in doc["files"]:
-        if f["date"] == "2026-04-19" and f["kind"] == "txs":
+        if f["date"] == "2025-11-08" and f["kind"] == "txs":
             f.update(size=e["size"], md5=e["md5"])
     with open(os.path.join(root, "manifest.json"), "w") as fh:
         json.dump(doc, fh)
     back = H.ingest(spark, Archive(spark, root), lake)
-    assert [(x["date"], x["kind"]) for x in back] == [("2026-04-19", "txs")]
-    assert H.read_lake(spark, lake, "txs").count() == 4
-    one = H.lake_range(spark, lake, "txs", "2026-04-19", "2026-04-19")
-    assert one.count() == 2
+    assert [(x["date"], x["kind"]) for x in back] == [("2025-11-08", "txs")]
+    assert H.read_lake(spark, lake, "txs").count() == 2 * N_TXS
+    one = H.lake_range(spark, lake, "txs", "2025-11-08", "2025-11-08")
+    assert one.count() == N_TXS
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
 
@@ -56,32 +58,32 @@ def test_follow_snapshots(spark, scratch):
     H.snapshot(root, snaps, "m1.json")
     q = H.follow(spark, Archive(spark, root), snaps, lake, ckpt)
     q.awaitTermination(120)
-    assert H.read_lake(spark, lake, "events").count() == 3
+    assert H.read_lake(spark, lake, "events").count() == N_EVENTS
     # A new day is published: a new snapshot picks it up.
-    make_archive(root, days=(DAY, "2026-04-19"))
+    make_archive(root, days=(DAY, "2025-11-08"))
     H.snapshot(root, snaps, "m2.json")
     totals = os.path.join(scratch, "totals")
     q = H.follow(spark, Archive(spark, root), snaps, lake, ckpt,
                  after=lambda done: H.refresh_running_totals(spark, lake, totals))
     q.awaitTermination(120)
-    assert H.read_lake(spark, lake, "events").count() == 6
+    assert H.read_lake(spark, lake, "events").count() == 2 * N_EVENTS
     run = [(r["date"].isoformat(), r["txs"], r["txs_running"])
            for r in spark.read.parquet(totals).orderBy("date").collect()]
-    assert run == [(DAY, 2, 2), ("2026-04-19", 2, 4)]
+    assert run == [(DAY, N_TXS, N_TXS), ("2025-11-08", N_TXS, 2 * N_TXS)]
 
 
 def test_replay_equals_range(spark, scratch):
     src = os.path.join(scratch, "src")
-    make_archive(src, days=(DAY, "2026-04-19", "2026-04-21"))
+    make_archive(src, days=(DAY, "2025-11-08", "2025-11-10"))
     mirror = os.path.join(scratch, "mirror")
     a = Archive(spark, src)
-    D.mirror_range(spark, a, mirror, DAY, "2026-04-21")
+    D.mirror_range(spark, a, mirror, DAY, "2025-11-10")
     sink = os.path.join(scratch, "sink")
     q = H.replay(spark, mirror, "txs", sink, os.path.join(scratch, "ck"), files_per_trigger=1)
     q.awaitTermination(120)
     assert q.lastProgress is not None
     got = spark.read.parquet(sink)
-    want = a.load_range(DAY, "2026-04-21", "txs")
+    want = a.load_range(DAY, "2025-11-10", "txs")
     cols = ["date", "tx_hash", "value", "block_number"]
     assert sorted(map(tuple, got.select(*cols).collect())) == \
         sorted(map(tuple, want.select(*cols).collect()))
@@ -100,4 +102,64 @@ def test_follow_with_time_trigger(spark, scratch):
         q.processAllAvailable()
     finally:
         q.stop()
-    assert H.read_lake(spark, lake, "blocks").count() == 3
+    assert H.read_lake(spark, lake, "blocks").count() == N_BLOCKS
+
+
+def _rebuild(root, doc, day, kind, table):
+    e = put(root, f"daily/{day}.{kind}.parquet", parquet_bytes(table))
+    for f in doc["files"]:
+        if f["date"] == day and f["kind"] == kind:
+            f.update(size=e["size"], md5=e["md5"])
+    with open(os.path.join(root, "manifest.json"), "w") as fh:
+        json.dump(doc, fh)
+
+
+def test_day_rebuilt_to_empty_leaves_the_lake(spark, scratch):
+    root, lake = os.path.join(scratch, "a"), os.path.join(scratch, "lake")
+    doc = make_archive(root, days=(DAY, "2025-11-08"))
+    H.ingest(spark, Archive(spark, root), lake)
+    assert H.read_lake(spark, lake, "txs").count() == 2 * N_TXS
+    _rebuild(root, doc, "2025-11-08", "txs", day_table("txs").slice(0, 0))
+    assert len(H.ingest(spark, Archive(spark, root), lake)) == 1
+    assert H.read_lake(spark, lake, "txs").count() == N_TXS
+
+
+def test_damaged_day_is_not_ingested(spark, scratch):
+    root, lake = os.path.join(scratch, "a"), os.path.join(scratch, "lake")
+    doc = make_archive(root)
+    with open(os.path.join(root, doc["files"][1]["key"]), "ab") as f:
+        f.write(b"x")
+    with pytest.raises(ValueError, match="fail verification"):
+        H.ingest(spark, Archive(spark, root), lake)
+    assert not os.path.exists(os.path.join(lake, H.LEDGER))
+
+
+def test_replay_after_rebuild_and_second_mirror(spark, scratch):
+    src, mirror = os.path.join(scratch, "src"), os.path.join(scratch, "mirror")
+    doc = make_archive(src, days=(DAY, "2025-11-08"))
+    D.mirror_range(spark, Archive(spark, src), mirror, DAY, "2025-11-08")
+    _rebuild(src, doc, "2025-11-08", "txs", day_table("txs").slice(0, 1))
+    a = Archive(spark, src)
+    D.mirror_range(spark, a, mirror, "2025-11-08", "2025-11-08")
+    m = Archive(spark, mirror)
+    assert m.files().count() == 6  # the first range is still listed
+    assert m.summary()["lookups"] == ["event_topics", "function_selectors"]
+    assert m.header["schema_version"] == "v2"
+    sink = os.path.join(scratch, "sink")
+    H.replay(spark, mirror, "txs", sink, os.path.join(scratch, "ck")).awaitTermination(120)
+    assert spark.read.parquet(sink).count() == N_TXS + 1 == \
+        a.load_range(DAY, "2025-11-08", "txs").count()
+
+
+@pytest.mark.parametrize("how", ["chain", "cut"])
+def test_follow_refuses_foreign_and_cut_off_snapshots(spark, scratch, how):
+    root, snaps = os.path.join(scratch, "a"), os.path.join(scratch, "snaps")
+    doc = make_archive(root)
+    os.makedirs(snaps)
+    text = json.dumps(dict(doc, chain_id=1) if how == "chain" else doc)
+    with open(os.path.join(snaps, "m1.json"), "w") as f:
+        f.write(text if how == "chain" else text[:len(text) // 2])
+    lake = os.path.join(scratch, "lake")
+    with pytest.raises(Exception):
+        H.follow(spark, Archive(spark, root), snaps, lake, os.path.join(scratch, "ck")).awaitTermination(120)
+    assert not os.path.exists(os.path.join(lake, H.LEDGER))

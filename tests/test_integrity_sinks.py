@@ -3,7 +3,7 @@ import json
 import os
 from decimal import Decimal
 
-from conftest import DAY, make_archive
+from conftest import DAY, N_BLOCKS, N_TXS, make_archive
 from ledgerlake import sinks
 from ledgerlake.operators import integrity as D
 from ledgerlake.operators.contract import contract_checks
@@ -38,19 +38,19 @@ def test_verify_ok_missing_and_mismatch(spark, scratch):
 
 def test_mirror_copy_present_refuse(spark, scratch):
     src = os.path.join(scratch, "src")
-    make_archive(src, days=(DAY, "2026-04-19"))
+    make_archive(src, days=(DAY, "2025-11-08"))
     dest = os.path.join(scratch, "mirror")
     a = Archive(spark, src)
-    rep = D.mirror_range(spark, a, dest, DAY, "2026-04-19")
+    rep = D.mirror_range(spark, a, dest, DAY, "2025-11-08")
     assert sorted(r["status"] for r in rep) == ["copied"] * 6
-    again = D.mirror_range(spark, a, dest, DAY, "2026-04-19")
+    again = D.mirror_range(spark, a, dest, DAY, "2025-11-08")
     assert sorted(r["status"] for r in again) == ["present"] * 6
     names = sorted(os.path.basename(p) for p in glob.glob(os.path.join(dest, "daily", "*")))
     assert all(n.count(".") == 3 for n in names)  # date.kind.md5[:16].parquet
     m = Archive(spark, dest)
-    assert m.load_range(DAY, "2026-04-19", "txs").count() == 4
-    assert m.load_day(DAY, "blocks").count() == 3
-    bad = spark.createDataFrame([("2026-04-18", "txs", "../../etc/passwd", 1, "0" * 32, "v2")],
+    assert m.load_range(DAY, "2025-11-08", "txs").count() == 2 * N_TXS
+    assert m.load_day(DAY, "blocks").count() == N_BLOCKS
+    bad = spark.createDataFrame([("2025-11-07", "txs", "../../etc/passwd", 1, "0" * 32, "v2")],
                                 "date string, kind string, key string, size long, md5 string, "
                                 "schema_version string")
     assert D.mirror(spark, src, dest, bad).first()["status"] == "refused"
@@ -89,20 +89,20 @@ def test_ndjson_csv_parquet(spark, day_archive, scratch):
     out = os.path.join(scratch, "json")
     sinks.write_ndjson(txs, out)
     lines = [json.loads(x) for x in _read_parts(out, "part-*.json").splitlines()]
-    assert [x["value"] for x in lines] == ["0", "1000000000000000000"]
+    assert [x["value"] for x in lines] == ["0", "1000000000000000000", "77"]
     assert "to_address" in lines[1] and lines[1]["to_address"] is None
     csv_out = os.path.join(scratch, "csv")
     sinks.write_csv(txs, csv_out)
     text = _read_parts(csv_out, "part-*.csv")
     rows = text.split("\n")
     assert rows[0].startswith("block_number,tx_hash") and rows[-1] == ""
-    assert len(rows) == 4 and "\r" not in text
+    assert len(rows) == N_TXS + 2 and "\r" not in text
     assert ",,1," in rows[2] or rows[2].count(",,") >= 1  # null to_address is empty
     pq_out = os.path.join(scratch, "pq")
     sinks.write_parquet(a.load_range(DAY, DAY, "txs"), pq_out)
     back = spark.read.parquet(pq_out)
-    assert back.count() == 2 and "date" in back.columns
-    assert back.agg({"value": "sum"}).first()[0] == Decimal(10 ** 18)
+    assert back.count() == N_TXS and "date" in back.columns
+    assert back.agg({"value": "sum"}).first()[0] == Decimal(10 ** 18 + 77)
 
 
 def test_text_safe_binary_and_decimal(spark, scratch):

@@ -24,9 +24,9 @@ def _rows(df):
     return sorted((r["key"], r["pos"], r["signature"], r["count"]) for r in df.collect())
 
 
-WANT = [("0x70a08231", 0, "balanceOf(address)", 88000),
-        ("0xa9059cbb", 0, "transfer(address,uint256)", 491287),
-        ("0xa9059cbb", 1, "transfer(bytes4,bytes32)", 12)]
+WANT = [("0x0badf00d", 0, "quote(address)", 733),
+        ("0x51c0ffee", 0, "settle(uint256,address)", 491287),
+        ("0x51c0ffee", 1, "settle(bytes8)", 12)]
 
 
 @pytest.mark.parametrize("seps", [(",", ":"), (", ", ": ")])
@@ -34,8 +34,8 @@ def test_split_read_both_spacings(spark, scratch, seps):
     p = _write(os.path.join(scratch, "sel.json"), SELECTORS, seps)
     df = read_lookup(spark, p)
     assert _rows(df) == WANT
-    abi = df.filter("pos = 0 and key = '0xa9059cbb'").first()["abi"]
-    assert json.loads(abi) == {"name": "transfer"}
+    abi = df.filter("pos = 0 and key = '0x51c0ffee'").first()["abi"]
+    assert json.loads(abi) == {"name": "settle"}
 
 
 def test_split_read_many_keys_splits_over_tasks(spark, scratch):
@@ -56,8 +56,8 @@ def test_split_read_many_keys_splits_over_tasks(spark, scratch):
 def test_gz_and_legacy_object_fallback(spark, scratch):
     p = _write(os.path.join(scratch, "sel.json.gz"), SELECTORS, gz=True)
     assert _rows(read_lookup(spark, p)) == WANT
-    legacy = {"0x70a08231": {"signature": "balanceOf(address)", "count": 88000, "abi": {}},
-              "0xa9059cbb": SELECTORS["0xa9059cbb"]}
+    legacy = {"0x0badf00d": {"signature": "quote(address)", "count": 733, "abi": {}},
+              "0x51c0ffee": SELECTORS["0x51c0ffee"]}
     p2 = _write(os.path.join(scratch, "legacy.json"), legacy)
     assert _rows(read_lookup(spark, p2)) == WANT
 
@@ -74,20 +74,20 @@ def test_ranked_candidates_best_and_labels(spark, scratch):
     p = _write(os.path.join(scratch, "sel.json"), SELECTORS)
     dest = os.path.join(scratch, "sel.parquet")
     cands = normalise_lookup(spark, p, dest)
-    ranked = L.lookup(cands, ["0xA9059CBB"]).orderBy("rank").collect()
+    ranked = L.lookup(cands, ["0x51C0FFEE"]).orderBy("rank").collect()
     assert [r["count"] for r in ranked] == [491287, 12]
     assert L.lookup(cands, ["0xdeadbeef"]).count() == 0
     best = {r["key"]: r["signature"] for r in L.best_candidates(cands).collect()}
-    assert best["0xa9059cbb"] == "transfer(address,uint256)"
-    txs = spark.createDataFrame([("0xaa", "0x"), ("0xbb", "0xa9059cbb"), ("0xcc", ""),
-                                 ("0xdd", "0x12345678"), ("0xee", "0xA9059CBB")],
+    assert best["0x51c0ffee"] == "settle(uint256,address)"
+    txs = spark.createDataFrame([("0xaa", "0x"), ("0xbb", "0x51c0ffee"), ("0xcc", ""),
+                                 ("0xdd", "0x12345678"), ("0xee", "0x51C0FFEE")],
                                 "tx_hash string, input_prefix string")
     lab = {r["tx_hash"]: r["signature"] for r in L.label_txs(txs, cands).collect()}
-    assert lab == {"0xaa": None, "0xbb": "transfer(address,uint256)", "0xcc": None,
-                   "0xdd": None, "0xee": "transfer(address,uint256)"}
+    assert lab == {"0xaa": None, "0xbb": "settle(uint256,address)", "0xcc": None,
+                   "0xdd": None, "0xee": "settle(uint256,address)"}
     allc = {r["tx_hash"]: r["candidates"] for r in L.all_candidates(txs, "input_prefix", cands).collect()}
-    assert [c["signature"] for c in allc["0xbb"]] == ["transfer(address,uint256)",
-                                                      "transfer(bytes4,bytes32)"]
+    assert [c["signature"] for c in allc["0xbb"]] == ["settle(uint256,address)",
+                                                      "settle(bytes8)"]
     assert allc["0xaa"] is None
     un = {r["key"]: r["rows"] for r in L.unresolved(txs, "input_prefix", cands).collect()}
     assert un == {"0x12345678": 1}
@@ -108,7 +108,7 @@ def test_topic_labels(spark, scratch):
     key = list(TOPICS)[0]
     ev = spark.createDataFrame([(key,), ("0xddf",), (None,)], "topic0 string")
     got = sorted((r["topic0"] or "", r["signature"] or "") for r in L.label_events(ev, cands).collect())
-    assert got == [("", ""), ("0xddf", ""), (key, "Transfer(address,address,uint256)")]
+    assert got == sorted([("", ""), ("0xddf", ""), (key, "Settled(address,uint256)")])
 
 
 def test_uppercase_keys_and_empty_lists(spark, scratch):
@@ -131,8 +131,31 @@ def test_byte_order_mark_falls_back(spark, scratch):
 def test_key_lookup_is_pushed_to_parquet(spark, scratch):
     p = _write(os.path.join(scratch, "sel.json"), SELECTORS)
     cands = normalise_lookup(spark, p, os.path.join(scratch, "norm"))
-    q = L.lookup(cands, ["0xA9059CBB"])
+    q = L.lookup(cands, ["0x51C0FFEE"])
     plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [In(key, [0xa9059cbb])]" in plan or \
-        "PushedFilters: [IsNotNull(key), EqualTo(key,0xa9059cbb)]" in plan, plan
+    assert "PushedFilters: [In(key, [0x51c0ffee])]" in plan or \
+        "PushedFilters: [IsNotNull(key), EqualTo(key,0x51c0ffee)]" in plan, plan
     assert q.count() == 2
+
+
+def test_cut_off_lookup_raises_at_every_cut(spark, scratch):
+    obj = {f"0x{i:08x}": [{"signature": f"f{i}()", "count": i, "abi": None}] for i in range(40)}
+    body = json.dumps(obj, separators=(",", ":")).encode()
+    p = os.path.join(scratch, "cut.json")
+    for end in [1, len(body) // 2, len(body) - 1] + [
+            i + 1 for i, c in enumerate(body[:-1]) if c in b"]}"][::9]:
+        with open(p, "wb") as f:
+            f.write(body[:end])
+        with pytest.raises(Exception):
+            read_lookup(spark, p).count()
+
+
+def test_lookup_must_match_its_entry(spark, scratch):
+    import hashlib
+    p = _write(os.path.join(scratch, "sel.json"), SELECTORS)
+    body = open(p, "rb").read()
+    entry = {"size": len(body), "md5": hashlib.md5(body).hexdigest()}
+    assert read_lookup(spark, p, entry).count() == 3
+    for bad in (dict(entry, md5="0" * 32), dict(entry, size=1)):
+        with pytest.raises(ValueError, match="manifest entry"):
+            read_lookup(spark, p, bad)
