@@ -42,13 +42,12 @@ def contract_checks(blocks: DataFrame, txs: DataFrame, events: DataFrame) -> Dat
                         .filter("n > 1"))
     tx_blocks = (txs.groupBy("block_number")
                     .agg(F.count(F.lit(1)).alias("n"), F.min("tx_hash").alias("ex")))
-    # One aggregate of events by (tx_hash, block_number) feeds two checks;
-    # the per-block counts are rolled up from it rather than rescanning.
-    ev_pairs = (events.groupBy("tx_hash", "block_number")
-                      .agg(F.count(F.lit(1)).alias("n"))
-                      .withColumnRenamed("block_number", "ev_block"))
-    ev_blocks = (ev_pairs.groupBy(F.col("ev_block").alias("block_number"))
-                         .agg(F.sum("n").alias("n"), F.min("tx_hash").alias("ex")))
+    # Events are read once more for their blocks alone, a small key; only the
+    # mismatch check shuffles the wide (tx_hash, block_number).
+    ev_blocks = (events.groupBy("block_number")
+                       .agg(F.count(F.lit(1)).alias("n"), F.min("tx_hash").alias("ex")))
+    ev_pairs = (events.groupBy("tx_hash", F.col("block_number").alias("ev_block"))
+                      .agg(F.count(F.lit(1)).alias("n")))
     mismatch = (ev_pairs.join(txs.select("tx_hash", "block_number"), "tx_hash", "inner")
                         .filter(F.col("ev_block") != F.col("block_number")))
 

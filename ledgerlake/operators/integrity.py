@@ -19,6 +19,7 @@ from ledgerlake.session import ship_package
 
 # Statuses (fixed values).
 OK, MISSING, SIZE_MISMATCH, MD5_MISMATCH = "ok", "missing", "size_mismatch", "md5_mismatch"
+TASK_BYTES = 64 << 20
 COPIED, PRESENT, REFUSED = "copied", "present", "refused"
 
 VERIFY_DDL = ("date string, kind string, key string, size long, md5 string, "
@@ -28,11 +29,12 @@ MIRROR_DDL = ("date string, kind string, key string, size long, md5 string, "
 
 
 def _spread(spark: SparkSession, entries: DataFrame, tasks: int | None) -> DataFrame:
-    """Round-robin the entry rows over tasks: one file per task on a large
-    cluster (so the scheduler balances multi-GB days dynamically), up to 16
-    tasks per core on a small one.  The count is of catalog rows."""
+    """Round-robin the entry rows over tasks of about ``TASK_BYTES`` (a
+    multi-GB day is a task of its own), four a core at least.  Sized by the
+    catalog's bytes, since the cores may not all be there yet."""
     if tasks is None:
-        tasks = min(entries.count(), spark.sparkContext.defaultParallelism * 16)
+        n, total = entries.agg(F.count(F.lit(1)), F.sum(F.greatest("size", F.lit(0)))).first()
+        tasks = min(n, max(spark.sparkContext.defaultParallelism * 4, (total or 0) // TASK_BYTES))
     return entries.repartition(max(int(tasks), 1))
 
 

@@ -421,12 +421,12 @@ _ARCHIVES: dict[tuple, Archive] = {}
 
 def _archive(spark, sf_dir) -> Archive:
     """The fixture archive, reopened only when its manifest file changes."""
-    import os
+    from ledgerlake.streaming.ingest import _fs
     root = fixture_archive(spark, sf_dir)
-    path = f"{root}/manifest.json"
-    st = os.stat(path) if "://" not in root else None
-    key = (spark.sparkContext.applicationId, root, st and (st.st_size, st.st_mtime_ns))
-    if st is None or key not in _ARCHIVES:
+    fs, p = _fs(spark, f"{root}/manifest.json")
+    st = fs.getFileStatus(p)
+    key = (spark.sparkContext.applicationId, root, st.getLen(), st.getModificationTime())
+    if key not in _ARCHIVES:
         _ARCHIVES[key] = Archive(spark, root)
     return _ARCHIVES[key]
 

@@ -29,15 +29,20 @@ PERF_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "ledgerlake", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings this library assumes."""
+    """Build (or reuse) a session with the settings this library assumes.
+
+    The shuffle width is the cluster's unless given: adaptive execution merges
+    partitions but never makes more.
+    """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     conf = dict(PERF_CONF)
     conf.update(RESULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.driver.memory"] = os.environ.get("LEDGERLAKE_DRIVER_MEMORY", "16g")

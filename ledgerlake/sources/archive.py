@@ -176,7 +176,7 @@ class Archive:
         rows = [(e["date"], e["kind"], e["key"], e["size"], e["md5"]) for e in todo]
         df = self.spark.createDataFrame(
             rows, "date string, kind string, key string, size long, md5 string")
-        bad = (D.verify_objects(self.spark, self.root, df, tasks=len(todo))
+        bad = (D.verify_objects(self.spark, self.root, df)
                .where(F.col("status") != D.OK).select("key", "status").collect())
         if bad:
             kind = FileNotFoundError if all(r["status"] == D.MISSING for r in bad) else ValueError
@@ -331,7 +331,8 @@ def column_conformance(spark: SparkSession, root: str, files: DataFrame,
 
     from ledgerlake.session import ship_package
     ship_package(spark)
-    tasks = min(max(paths.count(), 1), 10_000)  # by entries: cores may not be there yet
+    # By entries: the cores may not all be there yet.
+    tasks = max(spark.sparkContext.defaultParallelism * 2, paths.count() // 100)
     found = paths.repartition(tasks).mapInPandas(
         footers, "date string, kind string, key string, column string, file_position int")
     decl = declared.select("kind", "column", F.col("position").alias("declared_position"))

@@ -168,15 +168,23 @@ def write_archive(spark: SparkSession, frames: dict[str, DataFrame], root: str,
 WRITER_VERSION = "2"
 
 
-def fixture_tag(sf_dir: str) -> str:
-    """Fingerprint of a fixture archive: the input folder, the SQL of the
-    views it is written from, and the writer version, so a changed view never
-    reuses an archive written by an older one."""
+def fixture_tag(sf_dir: str, spark: SparkSession | None = None) -> str:
+    """Fingerprint of a fixture archive: the input folder with its files' sizes
+    and times, the SQL of the views it is written from, and the writer
+    version, so neither a changed view nor changed tables reuse an older one."""
     from ledgerlake.sources import fixtures as fx
     h = hashlib.md5(sf_dir.rstrip("/").encode())
     for name in ("raw_blocks", "raw_txs", "raw_events", "selector_candidates", "topic_candidates"):
         h.update(fx.TEMPLATES[name].encode())
     h.update(WRITER_VERSION.encode())
+    if spark is not None:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for name in ("part", "supplier", "customer", "orders", "lineitem", "events"):
+            f = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+            if fs.exists(f):
+                for st in [fs.getFileStatus(f), *(fs.listStatus(f) if fs.isDirectory(f) else [])]:
+                    h.update(f"{st.getPath().getName()} {st.getLen()} {st.getModificationTime()}".encode())
     return h.hexdigest()[:12]
 
 
@@ -185,7 +193,7 @@ def fixture_archive(spark: SparkSession, sf_dir: str) -> str:
     shared scratch root; written once and reused while its manifest exists."""
     from ledgerlake.session import scratch_path
     from ledgerlake.sources import fixtures as fx
-    root = scratch_path(spark, f"archive-{fixture_tag(sf_dir)}")
+    root = scratch_path(spark, f"archive-{fixture_tag(sf_dir, spark)}")
     if fsio.size_of(f"{root}/{MANIFEST_NAME}") is None:
         frames = {k: fx.raw(spark, sf_dir, k) for k in KINDS}
         lookups = {"function_selectors": fx.candidates(spark, sf_dir, "selector"),
