@@ -17,12 +17,14 @@ partner).  Inside a region:
   region becomes two, and the boundary documents between ``r`` and ``2 r``
   are replicated into both;
 * a pivot has met everybody and leaves; documents already in one component
-  need no comparison, so a region of one component is finished;
-* regions of ``leaf`` documents or fewer are joined directly, and so, block by
-  block, are larger ones that ``rounds`` levels have not finished.
+  need no comparison, so a region of one component is finished.
 
-The recursion is exact: a pair leaves it only compared, separated by the
-triangle inequality, or known to be connected.  A distance is first bounded
+Those rounds run on cells, where each document stands once, in the largest of
+its regions.  Then all regions are settled: one component is finished, up to
+``leaf`` documents are joined directly, larger ones block by block.
+
+The join is exact: a pair in a region ends compared or known to be connected;
+the triangle inequality only saves the cells comparisons.  A distance is first bounded
 from lengths and from parity bitmaps, one bit a shingle for single pairs, eight
 for block joins (``|x ^ y|`` is at least the number of differing parity bits); pairs that the bound does not settle are counted on
 their sets.
@@ -422,8 +424,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """(doc_id, n_shingles, component_id) of every row.
 
     ``percent`` is the similarity of a link in whole percents, above 50;
-    ``rounds`` the depth of the recursion before regions over ``leaf`` documents
-    are joined block by block (any depth gives the same links);
+    ``rounds`` the depth of the recursion on cells (any depth gives the same
+    components);
     ``small`` the rows of 16 bytes up to which a side may be broadcast.
     """
     spark = docs.sparkSession
@@ -436,25 +438,27 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     pairs, members = initial_regions(sets, tables, small)
     links = []
     labels = spark.createDataFrame([], "key long, label long")
-    for turn in range(rounds + 1):
-        members, pivots = split_round(members, labels, leaf, turn, tables)
-        if turn == 0:
-            pairs = pairs.union(leaf_pairs(members, leaf))
-        else:
-            pairs = leaf_pairs(members, leaf)
-        members = members.where(F.col("size") > leaf)
-        if turn == rounds:
-            pairs = pairs.union(block_pairs(members, sets, classes, percent, block))
-        else:
-            pairs = pairs.union(members.join(pivots, "rid").where("key <> pivot")
-                                .select(F.col("key").alias("a"), F.col("pivot").alias("b")))
-        bounds = measure.bounded(pairs)
+    # Cells: every document in the largest of its regions.  Rounds of pivots
+    # connect them; what they have not connected is settled in all regions.
+    sized = members.join(members.groupBy("rid").agg(F.count(F.lit(1)).alias("m")), "rid")
+    cells = tables.settle(sized.groupBy("key").agg(F.max(F.struct("m", "rid")).alias("r"))
+                          .select("r.rid", "key"))
+    for turn in range(rounds):
+        live, pivots = split_round(cells, labels, leaf, turn, tables)
+        if pivots.isEmpty():
+            break
+        live = live.where(F.col("size") > leaf)
+        bounds = measure.bounded(live.join(pivots, "rid").where("key <> pivot")
+                                 .select(F.col("key").alias("a"), F.col("pivot").alias("b")))
         linked = measure.links(bounds.where("may"))
         links.append(linked)
-        if turn == rounds or members.isEmpty():
-            break
-        labels = relabel(labels, linked, tables)
-        members = recurse(members, pivots, bounds, linked, tables)
+        for _ in range(3):        # member to pivot to member: labels spread over a cell
+            labels = relabel(labels, linked, tables)
+        cells = recurse(live, pivots, bounds, linked, tables)
+    live, _ = split_round(members, labels, leaf, rounds, tables)
+    pairs = pairs.union(leaf_pairs(live, leaf)).union(
+        block_pairs(live.where(F.col("size") > leaf), sets, classes, percent, block))
+    links.append(measure.links(measure.bounded(pairs).where("may")))
     every = links[0]
     for one in links[1:]:
         every = every.union(one)
