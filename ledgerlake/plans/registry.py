@@ -542,12 +542,22 @@ def f11(spark, sf_dir):
 from ledgerlake.operators import integrity as I  # noqa: E402
 from ledgerlake.session import scratch_path  # noqa: E402
 from ledgerlake.sources import lookups as LK  # noqa: E402
+from ledgerlake.schemas import KINDS  # noqa: E402
+from ledgerlake.sources import manifest as M  # noqa: E402
 from ledgerlake.streaming import ingest as ING  # noqa: E402
 
 
-@register("a1_manifest_files")
+_DAYS = " union all ".join(
+    f"select distinct cast(date as varchar) as date, '{k}' as kind from {k}" for k in KINDS)
+
+
+@register("a1_manifest_files", f"""
+select date, kind, 'daily/' || date || '.' || kind || '.parquet' as key, 'v2' as schema_version
+from ({_DAYS}) d
+""")
 def a1(spark, sf_dir):
-    return _archive(spark, sf_dir).files()
+    m = M.read_manifest(spark, fixture_archive(spark, sf_dir))
+    return M.files_table(m).select("date", "kind", "key", "schema_version")
 
 
 @register("a2_rejected_entries")
@@ -560,16 +570,32 @@ def a11(spark, sf_dir):
     return _archive(spark, sf_dir).conformance()
 
 
-@register("d1_verify")
+_OBJECTS = f"""
+select date, kind, 'STATUS' as status from ({_DAYS}) d
+union all select cast(null as varchar), 'function_selectors', 'STATUS'
+union all select cast(null as varchar), 'event_topics', 'STATUS'
+"""
+
+
+def _objects(spark, a):
+    """Files and lookups of the archive as entries."""
+    looks = M.lookups_table(a.manifest).select(
+        F.lit(None).cast("string").alias("date"), F.col("name").alias("kind"), "key", "size", "md5",
+        F.lit(None).cast("string").alias("schema_version"))
+    return a.files().select("date", "kind", "key", "size", "md5", "schema_version").union(looks)
+
+
+@register("d1_verify", _OBJECTS.replace("STATUS", "ok"))
 def d1(spark, sf_dir):
     a = _archive(spark, sf_dir)
-    return I.verify_objects(spark, a.root, a.files())
+    return I.verify_objects(spark, a.root, _objects(spark, a)).select("date", "kind", "status")
 
 
-@register("d2_mirror")
+@register("d2_mirror", _OBJECTS.replace("STATUS", "copied"))
 def d2(spark, sf_dir):
     a = _archive(spark, sf_dir)
-    return I.mirror(spark, a.root, scratch_path(spark, f"mirror-{fixture_tag(sf_dir)}"), a.files())
+    done = I.mirror(spark, a.root, scratch_path(spark, "mirror", unique=True), _objects(spark, a))
+    return done.select("date", "kind", "status").checkpoint()
 
 
 @register("e1_lookup_rows", """

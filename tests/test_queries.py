@@ -100,10 +100,6 @@ def test_rows_only_queries_run(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     n = df.count()
     assert n >= 0 and len(df.columns) > 0
-    if name in ("a1_manifest_files", "d1_verify", "d2_mirror"):
-        assert n > 0
-    if name == "d1_verify":
-        assert {r[0] for r in df.select("status").distinct().collect()} == {"ok"}
     if name in ("a2_rejected_entries", "a11_conformance"):
         assert n == 0
 
