@@ -21,7 +21,8 @@ partner).  Inside a region:
 
 Those rounds run on cells, where each document stands once, in the largest of
 its regions.  Then all regions are settled: one component is finished, up to
-``leaf`` documents are joined directly, larger ones block by block.
+``leaf`` documents are joined directly, larger ones block by block, first each
+document with its nearest of another component, then all that is left.
 
 The join is exact: a pair in a region ends compared or known to be connected;
 the triangle inequality only saves the cells comparisons.  A distance is first bounded
@@ -327,9 +328,12 @@ def recurse(members: DataFrame, pivots: DataFrame, bounds: DataFrame, linked: Da
 
 
 def possible(bitmaps: list[bytes], n: np.ndarray, labels: np.ndarray, blocks: np.ndarray,
-             percent: int) -> Iterator[tuple[int, np.ndarray]]:
+             percent: int, closest: bool = False) -> Iterator[tuple[int, np.ndarray]]:
     """(i, js): members of another label (and block, if there are two) that may link with i.
 
+    With ``closest`` only the nearest by the bitmaps: most such pairs link, and
+    once they are known to, few others are left to name.
+
     Bitmaps stand in one matrix for each length, longer ones folded for a
     comparison; one member meets all others in a few vector operations.  The
     members of the most common label only meet the others.
@@ -345,6 +349,7 @@ def possible(bitmaps: list[bytes], n: np.ndarray, labels: np.ndarray, blocks: np
     for at in rows.values():
         place[at] = np.arange(len(at))
     for i in np.flatnonzero(labels != main):
+        best, least = None, 2.0
         for w, at in rows.items():
             if w not in (size[i] // 2, size[i], size[i] * 2):
                 continue                         # lengths differ too much to link
@@ -352,7 +357,8 @@ def possible(bitmaps: list[bytes], n: np.ndarray, labels: np.ndarray, blocks: np
             if w < size[i]:
                 x = x[:w] ^ x[w:]
             ok = (labels[at] != labels[i]) & (100 * np.minimum(n[at], n[i]) >= percent * np.maximum(n[at], n[i]))
-            ok &= (labels[at] == main) | (at > i)
+            if not closest:
+                ok &= (labels[at] == main) | (at > i)
             if two:
                 ok &= blocks[at] != blocks[i]
             at, y = at[ok], y[ok]
@@ -362,12 +368,19 @@ def possible(bitmaps: list[bytes], n: np.ndarray, labels: np.ndarray, blocks: np
                 y = y[:, :size[i]] ^ y[:, size[i]:]
             apart = np.bitwise_count(y ^ x).sum(1, dtype=np.int64)
             most = (n[at] + n[i] - apart) // 2
-            got = at[100 * most >= percent * (n[at] + n[i] - most)]
-            if len(got):
-                yield i, got
-
-
-def block_pairs(members: DataFrame, sets: DataFrame, classes: DataFrame, percent: int, block: int) -> DataFrame:
+            fits = 100 * most >= percent * (n[at] + n[i] - most)
+            if closest and fits.any():
+                gap = np.where(fits, apart / (n[at] + n[i]), 2.0)
+                if gap.min() < least:
+                    best, least = at[gap.argmin():gap.argmin() + 1], gap.min()
+            elif fits.any():
+                yield i, at[fits]
+        if best is not None:
+            yield i, best
+
+
+def block_pairs(members: DataFrame, sets: DataFrame, classes: DataFrame, percent: int, block: int,
+                closest: bool = False) -> DataFrame:
     """(a, b) of the members of large regions that bitmaps do not rule out.
 
     A region is dealt into blocks of about ``block`` members and every pair of
@@ -388,7 +401,7 @@ def block_pairs(members: DataFrame, sets: DataFrame, classes: DataFrame, percent
         key = t.column("key").to_numpy()
         a, b = [], []
         for i, js in possible(t.column("bitmap").to_pylist(), t.column("n").to_numpy(),
-                              t.column("label").to_numpy(), t.column("own").to_numpy(), percent):
+                              t.column("label").to_numpy(), t.column("own").to_numpy(), percent, closest):
             a.append(np.full(len(js), key[i]))
             b.append(key[js])
         a = np.concatenate(a) if a else np.zeros(0, np.int64)
@@ -419,7 +432,7 @@ def relabel(labels: DataFrame, linked: DataFrame, tables: Tables) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
-                       percent: int = 75, leaf: int = 64, rounds: int = 2, block: int = 2048,
+                       percent: int = 75, leaf: int = 16, rounds: int = 2, block: int = 2048,
                        frequent_limit: int = 1 << 20, small: int = 2_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
@@ -456,6 +469,13 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
             labels = relabel(labels, linked, tables)
         cells = recurse(live, pivots, bounds, linked, tables)
     live, _ = split_round(members, labels, leaf, rounds, tables)
+    # Nearest first: what they connect needs naming no more.
+    near = block_pairs(live.where(F.col("size") > leaf), sets, classes, percent, block, closest=True)
+    linked = measure.links(measure.bounded(near).where("may"))
+    links.append(linked)
+    for _ in range(3):
+        labels = relabel(labels, linked, tables)
+    live, _ = split_round(members, labels, leaf, rounds, tables)
     pairs = pairs.union(leaf_pairs(live, leaf)).union(
         block_pairs(live.where(F.col("size") > leaf), sets, classes, percent, block))
     links.append(measure.links(measure.bounded(pairs).where("may")))
