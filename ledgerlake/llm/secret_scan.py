@@ -5,9 +5,10 @@ pieces of words, not of keys.  The scan takes the base patterns (assignments,
 access keys, long hex runs) and every other run of ``min_length`` or more
 credential characters, encodes each run with a tiktoken vocabulary and reports
 runs with fewer than ``max_ratio`` characters a token.  Known digests (hex of
-digest lengths under a digest label, ``sha256-`` integrity values), identifiers
-(UUIDs, dotted or snake names, paths, numbers, runs of one letter case) are
-excluded from this added part only; base spans always stay.
+digest lengths under a digest label, ``sha256-`` integrity values), UUIDs and
+runs without a letter (numbers, which all tokenise alike) are excluded from this
+added part only; base spans always stay.  Names and paths are encoded like any
+run: their words keep them above the ratio.
 
 Any style was allowed; this is ``mapInArrow``: regular expressions find spans
 in whole texts, and only candidate runs are encoded.  No shuffle, no state, so
@@ -40,9 +41,11 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
 # Runs that may be credentials; a look-behind keeps a run whole.
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}")
-UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+UUID = re.compile(r"(?<![A-Za-z0-9])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9])")
+LETTER = re.compile("[A-Za-z]")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
+INTEGRITY = re.compile(r"sha(256-[A-Za-z0-9+/]{43}=|384-[A-Za-z0-9+/]{64}|512-[A-Za-z0-9+/]{86}==)")
 DIGEST_LABEL = re.compile(r"(md5|sha-?\d{1,3}|digest|checksum|commit|etag|integrity)\W{0,4}$", re.I)
 
 _ENCODER: dict = {}
@@ -59,28 +62,27 @@ def encoder(path: str, pattern: str):
     return _ENCODER[path]
 
 
-def looks_mixed(run: str) -> bool:
-    """Digits and letters, or both letter cases inside words: worth encoding."""
-    digits = sum(c.isdigit() for c in run)
-    letters = sum(c.isalpha() for c in run)
-    if not letters or letters + digits < 12:
-        return False
-    if digits == 0:
-        flips = len(re.findall(r"[a-z][A-Z]", run))
-        return flips >= 3 and not re.fullmatch(r"(?:[A-Z]?[a-z]{2,})+", run)
-    return len(re.findall(r"\d+", run)) >= 2
+def candidates(text: str, min_length: int) -> Iterator[tuple[int, int, str]]:
+    """Runs of ``min_length`` or more, what stands around a UUID apart: (start, end, run)."""
+    for m in RUN.finditer(text):
+        at = m.start()
+        for u in [*UUID.finditer(text, m.start(), m.end()), None]:
+            end = u.start() if u else m.end()
+            if end - at >= min_length:
+                yield at, end, text[at:end]
+            at = u.end() if u else end
 
 
-def identifier(run: str) -> bool:
-    """Names, paths and numbers that are no secret however they tokenise."""
-    if UUID.fullmatch(run) or run.count("/") >= 3 and "+" not in run:
-        return True
-    parts = [x for x in re.split(r"[_/\-.=+]", run) if x]
-    return all(x.isdigit() or re.fullmatch(r"[A-Z]?[a-z]+|[A-Z]+|[A-Za-z]+\d{1,3}", x) for x in parts)
+def ratio(run: str, enc) -> float:
+    """Characters a token.  Names in capitals (``MAX_SIZE``) are judged in small letters."""
+    if run.upper() == run and not run.isalnum():
+        run = run.lower()
+    return len(run) / len(enc.encode_ordinary(run))
 
 
 def known_digest(text: str, start: int, run: str) -> bool:
-    return (len(run) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-fA-F]+", run) is not None
+    return INTEGRITY.fullmatch(run) is not None or (
+            len(run) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-fA-F]+", run) is not None
             and DIGEST_LABEL.search(text, max(0, start - 24), start) is not None)
 
 
@@ -102,15 +104,12 @@ def random_spans(text: str, taken: list[tuple[int, int, int]], enc, max_ratio: f
                  min_length: int) -> list[tuple[int, int, int]]:
     """Runs that tokenise badly and overlap no base span."""
     out = []
-    for m in RUN.finditer(text):
-        run, start, end = m.group(), m.start(), m.end()
-        if end - start < min_length or not looks_mixed(run):
-            continue
-        if identifier(run) or known_digest(text, start, run):
+    for start, end, run in candidates(text, min_length):
+        if LETTER.search(run) is None or known_digest(text, start, run):
             continue
         if any(a < end and start < b for a, _, b in taken):
             continue
-        if len(run) / len(enc.encode_ordinary(run)) < max_ratio:
+        if ratio(run, enc) < max_ratio:
             out.append((start, 3, end))
     return out
 

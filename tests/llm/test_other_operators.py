@@ -86,6 +86,36 @@ def test_secret_spans_by_hand(spark):
         S.secret_scan(df.withColumn("ss_spans", F.lit(0)), RANKS, P.PATTERN)
 
 
+def test_secret_recall_on_random_keys():
+    """Every random key that tokenises badly is found, whatever its alphabet."""
+    import random
+    import string
+    enc, rng = S.encoder(RANKS, P.PATTERN), random.Random(11)
+    both, digits = string.ascii_letters, string.digits
+    for chars in (both + digits, both + digits + "+/", both + digits + "-_", string.ascii_uppercase + "234567",
+                  string.ascii_lowercase + digits, string.ascii_lowercase, string.ascii_uppercase, both):
+        for size in (16, 20, 24, 40):
+            found = 0
+            for _ in range(200):
+                key = "".join(rng.choices(chars, k=size))
+                got = S.random_spans(f"see {key} or x={key}", [], enc, 2.2, 16)
+                low = size / len(enc.encode_ordinary(key)) < 2.2
+                if low and S.LETTER.search(key) and key.upper() != key:
+                    assert got == [(4, 3, 4 + size), (10 + size, 3, 10 + 2 * size)], key
+                found += len(got) == 2
+            assert found >= 190, (chars, size, found)
+    assert S.random_spans("kQzXwVbTrLpMnHs42", [], enc, 2.2, 16) == [(0, 3, 17)]
+
+
+def test_secret_scan_leaves_names_and_digests():
+    enc = S.encoder(RANKS, P.PATTERN)
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    for run in (uuid, f"/users/{uuid}/settings", "MAX_BUFFER_SIZE_LIMIT", "/usr/share/doc/python3/examples",
+                "internationalization", "Krankenversicherungsgesellschaft", "getUserByIdAndName", "1704182936937500",
+                "2024-01-01-12-30-45", "sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU="):
+        assert S.random_spans(run, [], enc, 2.2, 16) == [], run
+
+
 # ---------------------------------------------------------------- operator 8
 def reference_ids(text):
     from tokenizers import Tokenizer
