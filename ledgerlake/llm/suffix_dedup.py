@@ -12,18 +12,23 @@ each shard's suffixes are sorted by induction:
    occurrences all their windows repeat;
 3. one copy of each fragment of an anchor with several different fragments goes
    to the shard of that anchor, where ``induced_order`` sorts all suffixes and
-   neighbours that share ``length`` bytes are marked.
+   neighbours that share ``length`` bytes are marked;
+4. an anchor with more than ``hold`` bytes of different fragments would fill one
+   shard, so its windows go, each by its 64-bit hash, to all shards, where equal
+   ones are neighbours.  They are not sorted by suffixes.
 
 Induction: suffixes that start a descent-to-ascent turn (LMS) are ranked by
 their substrings, the ranks of following substrings doubling the depth; queues
 by leading byte then carry the others into place, first the descending ones
-from small to large, then the ascending ones from large to small.  Text, types
-and queues live in files of the task's temporary folder (removed at its end)
-beyond ``memory`` bytes, so a shard may be far larger than memory; in memory
-stay the ranks of a third of the positions at most and one block of a queue.
-The order is carried to ``length`` bytes and a little beyond, all that the
-question needs, and shared prefixes are read off for final neighbours instead
-of being carried along.
+from small to large, then the ascending ones from large to small.  Queues are
+read block by block and lie in files of the task's temporary folder (removed at
+its end) beyond ``memory`` bytes.  A shard may be far larger than memory: Spark
+sorts it by anchor, spilling, and as equal windows share an anchor, whole
+anchors are induced ``hold`` bytes at a time, one anchor at least.  In memory
+are such a group's text, its prefix hashes, types and the ranks of its turning
+points, whatever the size of the shard.  The order is carried to ``length``
+bytes and a little beyond, all that the question needs, and shared prefixes are
+read off for final neighbours instead of being carried along.
 
 Spark: anchors move as four numbers; counting is a windowed aggregate that
 spills; texts are shuffled twice (to cut fragments, to cut the result), by a
@@ -38,18 +43,23 @@ apart by a 64-bit hash of id and text.
 from __future__ import annotations
 
 import hashlib
+import os
 import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.textblocks import _BYTE, _INVERSE, _POWER, _powers, blocks, mix, span_hashes, text_bytes
 
 LENGTH, GRAM = 200, 32
+HOLD = 4 << 20            # bytes of fragments sorted at once
 _POS = np.uint64((1 << 28) - 1)
+# What becomes of a fragment: counted only, sorted with its anchor's, or its windows counted.
+ALONE, SORTED, HOT = 0, 1, 2
 
 
 def fragments(raw: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -85,7 +95,7 @@ class Queues:
     def __init__(self, folder: str, name: str, memory: int):
         self.path, self.memory, self.held = f"{folder}/{name}", memory, 0
         self.parts: list[list[np.ndarray]] = [[] for _ in range(256)]
-        self.filed = [False] * 256
+        self.filed, self.turn = [False] * 256, [0] * 256
 
     def push(self, c: int, at: np.ndarray) -> None:
         self.parts[c].append(at)
@@ -93,7 +103,7 @@ class Queues:
         if self.held > self.memory:
             for k, own in enumerate(self.parts):
                 if own:
-                    with open(f"{self.path}-{k}", "ab") as f:
+                    with open(f"{self.path}-{k}-{self.turn[k]}", "ab") as f:
                         for x in own:
                             x.tofile(f)
                     self.filed[k] = True
@@ -110,23 +120,31 @@ class Queues:
             for own in np.split(at, cuts):
                 self.push(int(text[own[0]]), own)
 
-    def pop(self, c: int, block: int = 1 << 20) -> Iterator[np.ndarray]:
-        """The queue's content in order; what is pushed meanwhile stays for the next pop."""
-        own, self.parts[c] = self.parts[c], []
-        self.held -= sum(x.nbytes for x in own)
+    def read(self, c: int, back: bool = False, block: int = 1 << 17) -> Iterator[np.ndarray]:
+        """The queue's content block by block, from its end if ``back``; it stays."""
+        own = self.parts[c]
+        if back:
+            yield from (x[::-1] for x in reversed(own))
         if self.filed[c]:
-            self.filed[c] = False
-            with open(f"{self.path}-{c}", "rb") as f:
-                open(f"{self.path}-{c}", "ab").close()
-                f.seek(0, 2)
-                end, at = f.tell() // 8, 0
-                while at < end:
-                    f.seek(8 * at)
-                    yield np.fromfile(f, np.int64, min(block, end - at))
-                    at += block
-            with open(f"{self.path}-{c}", "rb+") as f:
-                f.truncate(0)
-        yield from own
+            name = f"{self.path}-{c}-{self.turn[c]}"
+            starts = range(0, os.path.getsize(name) // 8, block)
+            for at in reversed(starts) if back else starts:
+                x = np.fromfile(name, np.int64, block, offset=8 * at)
+                yield x[::-1] if back else x
+        if not back:
+            yield from own
+
+    def pop(self, c: int) -> Iterator[np.ndarray]:
+        """The queue's content in order, also what is pushed meanwhile."""
+        while self.parts[c] or self.filed[c]:
+            was = Queues.__new__(Queues)
+            was.path, was.turn, was.filed, was.parts = self.path, self.turn[:], self.filed[:], self.parts[:]
+            self.held -= sum(x.nbytes for x in self.parts[c])
+            self.parts[c], self.filed[c] = [], False
+            self.turn[c] += 1
+            yield from was.read(c)
+            if was.filed[c]:
+                os.truncate(f"{was.path}-{c}-{was.turn[c]}", 0)
 
 
 def substring_ranks(text: np.ndarray, lms: np.ndarray, depth: int) -> np.ndarray:
@@ -198,46 +216,26 @@ def induced_order(text: np.ndarray, folder: str, memory: int, depth: int) -> Ite
     if n > 1:
         waiting.push_by(text, np.array([n - 2]))
     for c in range(256):
-        own = list(waiting.pop(c))
-        while own:
-            following = []
-            for at in own:
-                fallen.push(c, at)
-                before = at[at > 0] - 1
-                before = before[falls[before]]
-                same = text[before] == c
-                following.append(before[same])
-                waiting.push_by(text, before[~same])
-            own = [x for x in following if len(x)]
+        for at in waiting.pop(c):
+            fallen.push(c, at)
+            before = at[at > 0] - 1
+            waiting.push_by(text, before[falls[before]])
         for at in ranked.pop(c):
             before = at[at > 0] - 1
             waiting.push_by(text, before[falls[before]])
     rising, risen = Queues(folder, "s", memory), Queues(folder, "S", memory)
-    kept_l = Queues(folder, "k", memory)
     for c in range(255, -1, -1):
-        own = list(rising.pop(c))
-        while own:
-            following = []
-            for at in own:
-                risen.push(c, at)
-                before = at[at > 0] - 1
-                before = before[~falls[before]]
-                same = text[before] == c
-                following.append(before[same])
-                rising.push_by(text, before[~same])
-            own = [x for x in following if len(x)]
-        parts = list(fallen.pop(c))
-        for at in parts:
-            kept_l.push(c, at)
-        for at in parts[::-1]:
-            at = at[::-1]
+        for at in rising.pop(c):
+            risen.push(c, at)
+            before = at[at > 0] - 1
+            rising.push_by(text, before[~falls[before]])
+        for at in fallen.read(c, back=True):
             before = at[at > 0] - 1
             rising.push_by(text, before[~falls[before]])
     yield np.array([n - 1])
     for c in range(256):
-        yield from kept_l.pop(c)
-        for at in list(risen.pop(c))[::-1]:
-            yield at[::-1]
+        yield from fallen.pop(c)
+        yield from risen.read(c, back=True)
 
 
 def repeated_windows(parts: list[bytes], folder: str, length: int = LENGTH,
@@ -279,10 +277,11 @@ def _runs(at: np.ndarray) -> list[tuple[int, int]]:
 
 
 def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
-                 gram: int = GRAM, shards: int | None = None, with_text: bool = False) -> DataFrame:
+                 gram: int = GRAM, shards: int | None = None, with_text: bool = False,
+                 hold: int = HOLD) -> DataFrame:
     """One row per document: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``,
     ``kept_sha256``, ``spans`` (removed byte spans, end exclusive), and ``kept``
-    (binary) if ``with_text``, else null.
+    (binary) if ``with_text``, else null.  A task sorts about ``hold`` bytes at once.
     """
     from ledgerlake.session import scratch_root
 
@@ -308,33 +307,45 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
            .withColumn("nth", F.row_number().over(by_frag.orderBy("row", "span")))
            .withColumn("least", F.min("frag").over(by_anchor))
            .withColumn("most", F.max("frag").over(by_anchor))
+           .withColumn("bytes", F.sum(F.when(F.col("nth") == 1, F.col("span").bitwiseAND(255) + length))
+                       .over(by_anchor))
            .where("copies > 1 or least <> most")
-           .select("row", "span", "anchor", "copies",
-                   F.expr("least <> most and nth = 1").alias("sorts")).checkpoint())
-    wanted = (met.where("sorts").groupBy("row")
-              .agg(F.collect_list(F.struct("span", "anchor", "copies")).alias("cuts")))
+           .select("row", "span", "anchor", "copies", F.when(F.expr("least = most or nth > 1"), ALONE)
+                   .when(F.col("bytes") <= hold, SORTED).otherwise(HOT).alias("way")).checkpoint())
+    wanted = (met.where(F.col("way") != ALONE).groupBy("row")
+              .agg(F.collect_list(F.struct("span", "anchor", "copies", "way")).alias("cuts")))
     # Rows that are repeated share a hash; one of them stands for all.
     texts = own.select("row", "text").join(wanted, "row").dropDuplicates(["row"])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["row", "span", "key", "copies", "part"]
+        kinds = [pa.int64()] * 4 + [pa.binary()]
         for b in blocks(batches, 1):
-            rows, spans, anchors, copies, parts = [], [], [], [], []
+            out = []
             for row, t, cuts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 t = t.encode()
                 for c in cuts:
-                    lo = c["span"] >> 8
-                    rows.append(row), spans.append(c["span"]), anchors.append(c["anchor"])
-                    copies.append(c["copies"])
-                    parts.append(t[lo:lo + (c["span"] & 255) + length])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), pa.array(spans, pa.int64()), pa.array(anchors, pa.int64()),
-                 pa.array(copies, pa.int64()), pa.array(parts, pa.binary())],
-                names=["row", "span", "anchor", "copies", "part"])
-
-    def induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
+                    lo, more = c["span"] >> 8, c["span"] & 255
+                    part = t[lo:lo + more + length]
+                    if c["way"] == SORTED:
+                        out.append((row, c["span"], c["anchor"], c["copies"], part))
+                    else:
+                        at = np.arange(more + 1)
+                        h = span_hashes(np.frombuffer(part, np.uint8), at, at + length).view(np.int64)
+                        out += [(row, lo + i << 8, k, c["copies"], None) for i, k in enumerate(h.tolist())]
+                    if len(out) >= 1 << 14:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(list(x), k) for x, k in zip(zip(*out), kinds)], names=names)
+                        out = []
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(x), k) for x, k in zip(zip(*out), kinds)], names=names)
+
+    def spans_of(rows, lo, hi) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (rows, lo, hi)],
+                                          names=["row", "lo", "hi"])
+
+    def sort(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(held)
         with tempfile.TemporaryDirectory() as folder:
             found = repeated_windows(t.column("part").to_pylist(), folder, length)
@@ -344,11 +355,44 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
             if copies == 1:                       # others repeat as a whole anyway
                 for a, b in _runs(at):
                     rows.append(row), lo.append((span >> 8) + a), hi.append((span >> 8) + b)
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(lo, pa.int64()),
-                                          pa.array(hi, pa.int64())], names=["row", "lo", "hi"])
+        return spans_of(rows, lo, hi)
 
-    partly = (texts.mapInArrow(take, "row long, span long, anchor long, copies long, part binary")
-              .repartition(width, "anchor").mapInArrow(induce, "row long, lo long, hi long"))
+    def induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorts whole anchors, ``hold`` bytes or one anchor at once; compares the keys of single windows."""
+        held, size, key = [], 0, None
+        last = np.zeros((4, 0), np.int64)
+        for b in batches:
+            single = b.column(4).is_null()
+            if single.true_count:
+                now = np.array([b.filter(single).column(k).to_numpy() for k in range(4)])
+                own = np.concatenate([last, now], 1)
+                same = own[2, 1:] == own[2, :-1]
+                hit = np.append(same, False) | np.append(False, same)
+                hit[:max(last.shape[1] - 1, 0)] = False       # given out before
+                hit &= own[3] == 1
+                yield spans_of(own[0, hit], own[1, hit] >> 8, own[1, hit] >> 8)
+                last = own[:, -2:]
+                b = b.filter(pa.array(~single.to_numpy(zero_copy_only=False)))
+            if not b.num_rows:
+                continue
+            keys = b.column(2).to_numpy()
+            bytes_to = np.cumsum(pc.binary_length(b.column(4)).to_numpy())
+            cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])).tolist() + [len(keys)]
+            start = 0
+            for a, z in zip(cuts, cuts[1:]):
+                more = int(bytes_to[z - 1] - (bytes_to[a - 1] if a else 0))
+                if keys[a] != key and size and size + more > hold:
+                    if a > start:
+                        held.append(b.slice(start, a - start))
+                    yield sort(held)
+                    held, size, start = [], 0, a
+                size, key = size + more, keys[a]
+            held.append(b.slice(start))
+        if held:
+            yield sort(held)
+
+    partly = (texts.mapInArrow(take, "row long, span long, key long, copies long, part binary")
+              .repartition(width, "key").sortWithinPartitions("key").mapInArrow(induce, "row long, lo long, hi long"))
     whole = met.where("copies > 1").select("row", F.shiftright("span", 8).alias("lo"),
                                            (F.shiftright("span", 8) + F.col("span").bitwiseAND(255)).alias("hi"))
     marks = whole.union(partly).groupBy("row").agg(

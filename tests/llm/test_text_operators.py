@@ -225,3 +225,31 @@ def test_suffix_dedup_against_brute_force(spark, awkward):
         assert len(r.kept) == r.n_bytes - r.n_removed
         assert sum(s["b"] - s["a"] for s in r.spans) == r.n_removed
     assert S.suffix_dedup(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("hold", [1, 700, 5000])
+def test_suffix_dedup_hot_anchor_and_small_groups(spark, hold):
+    """A passage under 200 bytes in many rows, in groups and shards of any size."""
+    passage = prose(77, 60)[:190]
+    data = [(i, prose(500 + i, 20) + " " + passage + " " + prose(600 + i % 9, 20)) for i in range(40)]
+    data += [(50 + i, prose(700 + i // 2, 60) + prose(800 + i, 30)) for i in range(20)] + data[:3]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = S.suffix_dedup(df, shards=2, hold=hold)
+    want = dedup_brute([t for _, t in data], 200)
+    assert rows(got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == sorted(
+        ((d, *w) for (d, _), w in zip(data, want)), key=repr)
+
+
+def test_queues_are_read_by_blocks(tmp_path):
+    q = S.Queues(str(tmp_path), "q", 64)
+    for k in range(50):
+        q.push(7, np.arange(10 * k, 10 * k + 10))
+    blocks = list(q.read(7, block=16))
+    assert max(map(len, blocks)) <= 16 and np.concatenate(blocks).tolist() == list(range(500))
+    assert np.concatenate(list(q.read(7, back=True, block=16))).tolist() == list(range(499, -1, -1))
+    seen = []
+    for x in q.pop(7):
+        seen += x.tolist()
+        if len(seen) == 500:
+            q.push(7, np.arange(500, 520))
+    assert seen == list(range(520)) and not list(q.pop(7))
