@@ -1,8 +1,10 @@
 """Main text of web pages by tree scoring (operator 10).
 
-A page's tags build a light tree.  Scripts, menus, headers, footers, sidebars,
-notices, adverts, forms and reader comments are cut off by element, role and
-the words of class and id.  Of what is left, every paragraph earns points for
+A page's tags build a light tree.  Scripts, menus, headers, footers, asides,
+dialogs and hidden parts are cut off by element and role.  Forms and elements
+that look like sidebars, notices, adverts or reader comments by the words of
+class and id are cut unless they hold most of the page's text, so a container of
+the whole article stays whatever its class.  Of what is left, every paragraph earns points for
 its length and commas, less its share of link text, and passes them to its
 ancestors: all to the parent, half to the next, a shrinking part above.  A
 container's points are discounted by its own link density; the best one and
@@ -46,7 +48,7 @@ BLOCK = frozenset(
     "ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 CUT = frozenset(
     "script style noscript template textarea iframe object embed svg canvas math audio video map "
-    "head title nav footer aside form button select input label fieldset dialog menu search "
+    "head title nav footer aside button select input label fieldset dialog menu search "
     "noembed noframes xmp".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog "
                       "menu menubar toolbar form status tooltip".split())
@@ -57,6 +59,12 @@ CUT_WORDS = frozenset(
     "masthead comment comments respond reply replies disqus share sharing social related "
     "recommended newsletter subscribe signup login search hidden skip".split())
 KEEP = frozenset("html body article main".split())
+# Words of content beside which a word above says nothing; elements that may wrap a whole page.
+CONTENT_WORDS = frozenset("article body content entry hentry main page post story text".split())
+DOUBTFUL = frozenset(["form"])
+# Shares of the page's text outside links from which a doubtful element stays: one
+# that holds a title, article or main element, and any other.
+SHARE, BARE_SHARE = 0.4, 0.8
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPH = frozenset("p pre td blockquote li dd div section article figcaption".split())
 # A start tag closes these open elements, up to one of the stops.
@@ -70,38 +78,96 @@ P_STOPS = frozenset("html body article main section div td th li table blockquot
 
 
 class Tree:
-    """Elements in page order: tag, parent, cut flag; texts between them."""
+    """Elements in page order: tag, parent, cut flag, doubt; texts between them.
+
+    ``doubt`` marks elements that look unwanted by class, id or as a form, which
+    ``settle`` cuts or keeps by the text they hold.
+    """
 
     def __init__(self):
-        self.tag, self.parent, self.cut = ["#root"], [-1], [False]
+        self.tag, self.parent, self.cut, self.doubt = ["#root"], [-1], [False], [False]
+        self.proof = [False]           # article and main elements that are no comments or the like
         self.items: list = []          # (element, text) or (element, None) at a block edge
 
-    def element(self, tag: str, parent: int, cut: bool) -> int:
+    def element(self, tag: str, parent: int, cut: bool, doubt: bool, proof: bool) -> int:
         self.tag.append(tag)
         self.parent.append(parent)
         self.cut.append(cut or self.cut[parent])
+        self.doubt.append(doubt)
+        self.proof.append(proof)
         return len(self.tag) - 1
 
 
-def unwanted(tag: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element and all below it are no part of an article."""
+def unwanted(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, bool]:
+    """Whether an element and all below it are surely, or by its looks, no part of an
+    article, and whether it is the element of an article."""
     if tag in CUT or tag == "header" and not in_article:
-        return True
-    if not attrs or attrs.isspace():
-        return False
+        return True, False, False
+    doubt, seen, whole, content = tag in DOUBTFUL, False, False, False
     for m in ATTR.finditer(attrs):
         name = m.group(1).lower()
         value = (m.group(2) or m.group(3) or m.group(4) or "").lower()
         if name == "role" and value.strip() in CUT_ROLES and tag not in KEEP:
-            return True
-        if name in ("class", "id") and tag not in KEEP:
-            if not CUT_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-                return True
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return tag not in ("html", "body")
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return tag not in ("html", "body")
-    return False
+            if value.strip() not in DOUBTFUL:
+                return True, False, False
+            doubt = True
+        if name in ("class", "id"):
+            words = value.split()
+            seen = seen or not CUT_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value))
+            whole = whole or not CUT_WORDS.isdisjoint(words)
+            content = content or not CONTENT_WORDS.isdisjoint(words)
+        if (name == "hidden" or name == "aria-hidden" and value == "true" or name == "style"
+                and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
+            return tag not in ("html", "body"), False, False
+    if tag in KEEP:
+        return False, False, tag in ("article", "main") and not seen
+    # "post has-sidebar" is a post, "widget text" may be anything.
+    return False, doubt or seen and (whole or not content), False
+
+
+def settle(t: Tree) -> None:
+    """Cuts doubtful elements, but those that hold most of the page's text outside links.
+
+    Inner ones are judged first and what they lose counts for nothing further
+    out.  If nothing at all would be left, the doubtful elements stay.
+    """
+    if True not in t.doubt:
+        return
+    n = len(t.tag)
+    linked, size, lost, proof, some = [False] * n, [0] * n, [0] * n, [0] * n, [False] * n
+    for e in range(1, n):
+        linked[e] = linked[t.parent[e]] or t.tag[e] == "a"
+    for e, text in t.items:
+        if text is not None and not t.cut[e]:
+            length = len(text.strip())
+            some[e] = some[e] or length > 0
+            if not linked[e]:
+                size[e] += length
+    whole = sum(size)
+    filled = size[:]
+    for e in range(n - 1, 0, -1):
+        filled[t.parent[e]] += filled[e]
+    mark = [t.proof[e] and not t.cut[e] and filled[e] > 0 for e in range(n)]
+    marks, stays = sum(mark), [True] * n
+    titled = [t.tag[e] == "h1" and not t.cut[e] for e in range(n)]
+    for e in range(n - 1, 0, -1):
+        proof[e] += mark[e]
+        if t.doubt[e]:
+            share = size[e] / max(whole - lost[e], 1)
+            stays[e] = (share >= SHARE if proof[e] or titled[e] else share >= BARE_SHARE and not marks)
+        up = t.parent[e]
+        lost[up] += lost[e]
+        if stays[e]:
+            size[up] += size[e]
+            proof[up] += proof[e]
+            titled[up] = titled[up] or titled[e]
+        else:
+            lost[up] += size[e]
+    gone = [False] * n
+    for e in range(1, n):
+        gone[e] = gone[t.parent[e]] or not stays[e]
+    if any(some[e] and not gone[e] for e in range(n)):
+        t.cut = [a or b for a, b in zip(t.cut, gone)]
 
 
 def parse(html: str) -> Tree:
@@ -166,7 +232,7 @@ def parse(html: str) -> Tree:
             if top:
                 close_to(top)
         inside = any(t.tag[e] in ("article", "main") for e in stack)
-        e = t.element(name, stack[-1], unwanted(name, m.group(3), inside))
+        e = t.element(name, stack[-1], *unwanted(name, m.group(3), inside))
         if name in VOID or m.group(3).endswith("/") and name not in BLOCK and name not in RAW:
             continue
         if name in RAW:
@@ -259,6 +325,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     t = parse(html)
+    settle(t)
     keep = chosen(t)
     out, held = [], []
     for e, text in [*t.items, (0, None)]:

@@ -221,6 +221,31 @@ def test_html_by_hand(spark):
         H.extract(df, to="url")
 
 
+STORY = "<p>It rained, and then, at last, the sun came out over the old town.</p><p>People cheered, and sang.</p>"
+TOLD = "It rained, and then, at last, the sun came out over the old town.\nPeople cheered, and sang."
+
+
+@pytest.mark.parametrize("tag,attrs", [
+    ("div", "class='post has-sidebar'"), ("div", "id='content' class='comments-open'"),
+    ("div", "class='layout hidden-print'"), ("form", "id='aspnetForm'"), ("div", "role='form'"),
+    ("section", "class='widget'")])
+def test_html_containers_of_the_whole_article_stay(tag, attrs):
+    extra = "<div class=comments><p>Nice, very nice!</p></div><form><p>Your name</p></form>"
+    for inner in (STORY, STORY + extra, f"<article>{STORY}</article>{extra}"):
+        for before in ("", "<nav><a href=1>Home</a></nav>", "<div class=ad>Buy now</div>"):
+            page = f"<html><body>{before}<{tag} {attrs}>{inner}</{tag}><footer>f</footer></body></html>"
+            assert H.main_text(page) == TOLD, page
+
+
+def test_html_long_comments_are_no_article():
+    talk = "<p>I, too, was there, and it was wet, cold, grey and long.</p>" * 30
+    for body in (f"<article>{STORY}</article><div class=comments>{talk}</div>",
+                 f"<div class='layout hidden-print'><article>{STORY}</article><div id=comments>{talk}</div></div>",
+                 f"<article>{STORY}</article><div id=comments><article class=comment-body>{talk}</article></div>"):
+        assert H.main_text(f"<body>{body}</body>") == TOLD
+    assert H.main_text("<div class='sidebar'><p>All there is.</p></div>") == "All there is."
+
+
 def test_html_on_the_pages_table(spark):
     from html import unescape
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
