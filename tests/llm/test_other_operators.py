@@ -289,6 +289,18 @@ def test_pipeline_stages(spark):
     assert total.where("n <> m").count() == 0
 
 
+def test_pipeline_quality_removes_the_bad(spark):
+    import corpus_pipeline as C
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    held = spark.read.parquet(f"{sf}/labels.parquet").where(~learnable("doc_id")).select("doc_id", "quality")
+    kept = C.quality(spark, docs, sf).select("doc_id").distinct().withColumn("stays", F.lit(1))
+    got = {r.quality: r for r in held.join(docs.select("doc_id").distinct(), "doc_id").join(kept, "doc_id", "left")
+           .groupBy("quality").agg(F.count("*").alias("n"), F.count("stays").alias("stay")).collect()}
+    assert got[0].n >= 100 and got[0].stay <= 0.03 * got[0].n
+    assert got[1].stay >= 0.98 * got[1].n
+
+
 def test_pipeline_awkward_rows(spark):
     import corpus_pipeline as C
     rows = [(1, None, "en", "s", None), (2, "", None, None, 0), (3, "One two three four five.", "en", "s", 24),
