@@ -6,8 +6,9 @@ the columns of ``documents``.  Stages judge their own input only:
 
 1. quality: documents that the quality classifier rejects go;
 2. near_duplicates: of every group of near-duplicates one document stays, the
-   one with the least ``doc_id``; documents without a word link with nothing,
-   and rows equal in id and text are one document;
+   one with the least ``doc_id``, null last; documents without a word link with
+   nothing, rows are told apart by id and text, and rows equal in both are one
+   document;
 3. decontamination: documents holding a benchmark passage go;
 4. secrets: secrets are masked in the text, ``n_chars`` follows;
 5. packing: the texts become token sequences.
@@ -50,9 +51,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every near-duplicate group: the one that names it."""
-    found = J.jaccard_components(docs.select("doc_id", "text"))
-    losers = found.where("n_shingles > 0 and component_id <> doc_id").select("doc_id").distinct()
-    rest = docs.select(*COLUMNS).join(losers, "doc_id", "left_anti").select(*COLUMNS)
+    # Rows with an id go before those without, so one of these names a group if any can.
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.xxhash64("text").alias("text_key"))
+    own = docs.select(*COLUMNS).withColumn("row_key", key)
+    found = J.jaccard_components(own.select("row_key", "text"), doc_id="row_key")
+    losers = (found.where((F.col("n_shingles") > 0) & ~F.col("component_id").eqNullSafe(F.col("doc_id")))
+              .select(F.col("doc_id").alias("lost_key")).distinct())
+    rest = own.join(losers, own.row_key.eqNullSafe(F.col("lost_key")), "left_anti").select(*COLUMNS)
     # An id on several rows: equal texts are one document.  Only such rows move.
     shared = rest.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("many"))
     several = rest.join(shared, rest.doc_id.eqNullSafe(F.col("many")), "left_semi")

@@ -313,3 +313,16 @@ def test_pipeline_awkward_rows(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
     assert C.STAGES[0][1](spark, docs, SF).columns == C.COLUMNS
     assert C.STAGES[4][1](spark, docs, SF).select("doc_id").distinct().count() == 4
+
+
+def test_pipeline_near_duplicates_by_row(spark):
+    """Repeated and null ids: a loser takes no other row of its id along."""
+    import corpus_pipeline as C
+    one = "The quick brown fox jumps over the lazy dog near the old river bank today."
+    two = "Completely different words stand here about ships, harbours, and storms at sea."
+    data = [(3, one), (5, one), (5, two), (None, one), (None, "Lone words here, with no twin at all, now.")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = C.near_duplicates(spark, docs, SF)
+    assert got.columns == C.COLUMNS
+    assert {(r.doc_id, r.text) for r in got.collect()} == {data[0], data[2], data[4]} and got.count() == 3
