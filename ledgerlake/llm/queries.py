@@ -148,3 +148,16 @@ def op5(spark, sf_dir):
     from ledgerlake.llm.suffix_dedup import suffix_dedup
     out = suffix_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@register("op11_byte_bpe")
+def op11(spark, sf_dir):
+    """Ids of every document and the bytes they decode to."""
+    import public_tokenizers
+    from ledgerlake.llm import byte_bpe as B
+    vocabulary = _vocabulary("byte_bpe_multi_50k.tiktoken")
+    out = B.decode(B.encode(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary,
+                            public_tokenizers.PATTERN), vocabulary)
+    return out.select("doc_id", "n_tokens",
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))

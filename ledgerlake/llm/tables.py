@@ -19,7 +19,7 @@ class Tables:
         self.spark, self.root, self.n = spark, scratch_path(spark, name, unique=True), 0
         self.held: list[tuple[DataFrame, str]] = []
 
-    def settle(self, df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+    def settle(self, df: DataFrame, batch_rows: int | None = None, compression: str = "snappy") -> DataFrame:
         """``df`` written and read again.
 
         ``batch_rows`` bounds the Arrow batches of this one write, for Python
@@ -32,7 +32,7 @@ class Tables:
         try:
             if batch_rows:
                 self.spark.conf.set(name, str(batch_rows))
-            df.write.parquet(path)
+            df.write.parquet(path, compression=compression)
         finally:
             self.spark.conf.set(name, before)
         out = self.spark.read.schema(df.schema).parquet(path)
