@@ -161,3 +161,21 @@ def op11(spark, sf_dir):
     return out.select("doc_id", "n_tokens",
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op12_conversation_repair")
+def op12(spark, sf_dir):
+    """Faults, cheapest edits and repaired text of every conversation, after damage by rule."""
+    from ledgerlake.llm import conversation_repair as C
+    from ledgerlake.llm.tables import Tables
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    hurt = C.damage(rows)
+    found = Tables(spark, "conversation-repair").settle(C.audits(hurt))
+    texts = C.replay(hurt, found, digest=True)
+    every = rows.select(F.col("conv_id").alias("c")).distinct()
+    out = (every.join(found, F.col("c").eqNullSafe(found.conv_id), "left").drop("conv_id")
+           .join(texts, F.col("c").eqNullSafe(texts.conv_id), "left").drop("conv_id"))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select(F.col("c").alias("conv_id"), *[F.coalesce(n, F.lit(0)).alias(n) for n in counts],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))

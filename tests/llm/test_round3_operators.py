@@ -2,12 +2,18 @@
 
 import base64
 import hashlib
+import heapq
+import random
+import re
+import zlib
 
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import byte_bpe as B
+from ledgerlake.llm import conversation_repair as C
 
 SF = "/root/testdata/sf0.001"
 MULTI = str(P.path("byte_bpe_multi_50k.tiktoken"))
@@ -56,3 +62,142 @@ def test_byte_bpe_awkward(spark):
     assert [r.decoded for r in B.decode(odd, MULTI).collect()] == [one, None, b""]
     with pytest.raises(ValueError, match="decoded"):
         B.decode(odd.withColumnRenamed("ids", "Decoded"), MULTI, "Decoded")
+
+
+# --------------------------------------------------------------- operator 12
+def cheapest(rows, c=C.Costs()):
+    """Dijkstra over whole audits: (cost, audit) of (initial, must go, truncated) rows."""
+    heap, shut = [(0, "", 0, "")], set()
+    while heap:
+        cost, audit, i, said = heapq.heappop(heap)
+        if i == len(rows) and re.fullmatch("(s?(ua)+)?", said):
+            return cost, audit
+        if (i, said) in shut:
+            continue
+        shut.add((i, said))
+        steps = [("I", c.insert, i, x) for x in "ua"] if len(said) < len(rows) + 3 else []
+        if i < len(rows):
+            initial, gone, cut = rows[i]
+            steps.append(("D", c.delete, i + 1, ""))
+            if not gone:
+                more = c.truncated * cut
+                steps += [("K", more, i + 1, initial)] * (initial != "")
+                steps += [("R", c.rerole + more, i + 1, x) for x in "ua"]
+        for letter, price, j, x in steps:
+            if re.fullmatch("s?(ua)*u?", said + x):
+                heapq.heappush(heap, (cost + price, audit + letter, j, said + x))
+
+
+def viterbi(rows, costs=C.Costs()):
+    v = C.Viterbi(costs)
+    for r in rows:
+        v.row(*r)
+    return v.finish()
+
+
+def test_viterbi_equals_all_paths():
+    rng = random.Random(5)
+    for n in range(7):
+        for _ in range(120):
+            rows = [(rng.choice("uuuaaas "), rng.random() < 0.15, rng.random() < 0.2) for _ in range(n)]
+            assert viterbi(rows) == cheapest(rows), rows
+    odd = C.Costs(rerole=3, delete=4, insert=1, truncated=2)  # inserting is cheap
+    for _ in range(150):
+        rows = [(rng.choice("uas"), rng.random() < 0.1, rng.random() < 0.2) for _ in range(rng.randrange(6))]
+        assert viterbi(rows, odd) == cheapest(rows, odd), rows
+
+
+def test_viterbi_forgets_what_is_decided():
+    v = C.Viterbi()
+    for k in range(4000):
+        v.row("ua"[k % 2], False, k % 7 == 0)
+        assert len(v.decided) >= k - 8
+    v = C.Viterbi()  # one role only: every second edit depends on how many rows are to come
+    for k in range(20_001):
+        v.row("u", False, False)
+    nodes, todo = 0, [v.root]
+    while todo:
+        nodes, todo = nodes + 1, todo[1:] + todo[0].children
+    assert nodes <= 8 and v.finish() == (10_002, "D" + "KR" * 10_000)
+
+
+def by_hand(rows):
+    """The contract, plainly: rows are (turn, role, text) after damage."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.md5(r[2].encode()).digest()))
+    seen, states, turns = set(), [], {r[0] for r in rows if r[0] is not None}
+    n = {"b": 0, "d": 0, "t": 0}
+    for _, role, text in rows:
+        body = text.strip(" \t\n\x0b\x0c\r")
+        fault = "b" if not body else "d" if (role, text) in seen else "t" if body[-1] not in ".!?" else ""
+        seen.add((role, text))
+        if fault:
+            n[fault] += 1
+        states.append((role[:1], fault in ["b", "d"], fault == "t"))
+    initials = [s[0] for s in states]
+    illegal = sum(x + y not in ("su", "ua", "au") for x, y in zip(initials, initials[1:]))
+    cost, audit = cheapest(states)
+    out, i = [], 0
+    for e in audit:
+        due = "assistant" if out and out[-1][0][:1] == "u" else "user"
+        if e == "I":
+            out.append((due, ""))
+            continue
+        if e != "D":
+            out.append((due if e == "R" else rows[i][1], rows[i][2]))
+        i += 1
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    digest = hashlib.sha256("\n".join(f"{a}:{b}" for a, b in out).encode()).hexdigest()
+    return (gaps, n["b"], n["d"], n["t"], illegal, cost, audit, digest)
+
+
+def hurt(rows):
+    """Damage of (conv, turn, role, text) rows, plainly."""
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        how = zlib.crc32(":".join(" " if x is None else str(x) for x in (conv, turn)).encode()) % 20
+        if how == 0:
+            continue
+        text = "" if how == 1 else re.sub("[.!?]", "", text) if how == 2 else text
+        yield from [(conv, (turn, "user" if how == 4 else role, text))] * (2 if how == 3 else 1)
+
+
+def repaired(rows):
+    want = {r[0]: [] for r in rows}
+    for conv, row in hurt(rows):
+        want[conv].append(row)
+    return {(conv, *by_hand(own)) for conv, own in want.items()}
+
+
+def test_conversation_query(spark):
+    from ledgerlake.llm.queries import QUERIES
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text").collect()]
+    got = {tuple(r) for r in QUERIES["op12_conversation_repair"](spark, SF).collect()}
+    assert len(got) == len({r[0] for r in rows}) and got == repaired(rows)
+
+
+def test_conversation_awkward_rows(spark, tmp_path):
+    from ledgerlake.llm.queries import QUERIES
+    rng = random.Random(3)
+    rows = [(c, rng.choice([None, 0, 1, 2, 3, 9]), rng.choice(["user", "assistant", "system", "tool", "", None]),
+             rng.choice([None, "", " \n", "Yes.", "No", "Why? ", "x" * 50_000 + "!"]))
+            for c in [None, *range(40)] for _ in range(rng.randrange(1, 7))]
+    ddl = "conv_id long, turn long, role string, text string"
+    for name, data in (("some", rows + rows[:9]), ("none", [])):
+        df = spark.createDataFrame(data, ddl)
+        df.withColumns({"digest": F.lit(1), "n": F.lit("x")}).write.parquet(f"{tmp_path}/{name}/conversations.parquet")
+        got = {tuple(r) for r in QUERIES["op12_conversation_repair"](spark, f"{tmp_path}/{name}").collect()}
+        assert got == repaired(data)
+
+
+def test_conversation_rows_come_back(spark):
+    df = spark.createDataFrame([(1, 0, "user", "Hi."), (1, 1, "user", "Ah."), (1, 2, "user", ""), (2, 0, "system", "S.")],
+                               "conv_id long, turn long, role string, text string")
+    found = C.audits(df)
+    assert {(r.conv_id, r.cost, r.audit) for r in found.collect()} == {(1, 3, "KRD"), (2, 2, "D")}
+    got = sorted(tuple(r) for r in C.replay(df, found).collect())
+    assert got == [(1, 0, "K", 0, "user", "Hi."), (1, 1, "R", 1, "assistant", "Ah.")]
+    cheap = C.Costs(rerole=3, delete=4, insert=1)
+    found = C.audits(df.where("conv_id = 2"), costs=cheap)
+    assert [tuple(r)[1:] for r in C.replay(df.where("conv_id = 2"), found).collect()] == [
+        (0, "K", 0, "system", "S."), (1, "I", None, "user", ""), (2, "I", None, "assistant", "")]
