@@ -3,16 +3,17 @@
 Every text is split into pre-tokens by the vocabulary's pattern, and each distinct
 pre-token of the corpus is merged into ids once:
 
-1. a map numbers the distinct pre-tokens of a block of texts (``BLOCK_TEXT`` bytes,
-   one text at least) and writes every text as the sequence of these numbers, which
-   are its exploded pre-tokens in position order;
-2. the blocks' words are exploded and shuffled by word; sorted runs of one word are
-   encoded once, and its ids go to all places that asked for it;
+1. a map gathers the distinct pre-tokens of a block of texts (``BLOCK_TEXT`` characters,
+   one text at least), numbers them by frequency there and writes every text as
+   the sequence of these numbers: its exploded pre-tokens in position order;
+2. the blocks' words are shuffled by a hash of the word, unpacked and sorted; each run
+   of one word is encoded once, and its ids go to all blocks that asked for it;
 3. ids go back to their block, where sequences of numbers become ids by position.
 
 A word is sent once a block however often it occurs, so the hottest word has one
-row a block and no partition of the word shuffle is hot.  Texts are never
-shuffled; sequences are, compressed.  A task holds one block at a time.
+row a block and no partition of the word shuffle is hot.  Words, numbers and ids travel
+packed, many to a row.  Texts are never shuffled; sequences are.  A task holds one
+block at a time; runs are sorted by Spark, which spills.
 
 Decoding joins ids with the token-byte table.  That table has one row a vocabulary
 entry, a bound known before any data is read, so every task holds it and joins
@@ -28,6 +29,7 @@ table, or a null among the ids, decodes to no bytes; null ``ids`` decode to null
 from __future__ import annotations
 
 import base64
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -39,9 +41,11 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from ledgerlake.llm.tables import Tables
 
-BLOCK_TEXT = 16 << 20
-#: A word's place in one long: 21 bits of partition, 14 of block there, 28 of word.
-BLOCK_BITS, WORD_BITS = 14, 28
+BLOCK_TEXT = 32 << 20
+#: Blocks of one partition are numbered in so many bits.
+BLOCK_BITS = 24
+#: Parts of a block's words for each shuffle partition.
+BUCKETS = 2
 #: Pre-tokens turned into ids at a time.
 GATHER = 1 << 19
 _LOADED: dict = {}
@@ -74,63 +78,137 @@ def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray]:
     return _LOADED[key]
 
 
-def gather(values: np.ndarray, off: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Runs ``values[off[w]:off[w + 1]]`` one after the other, and their lengths."""
-    n = off[which + 1] - off[which]
+def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray,
+           which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs ``values[start[w]:start[w] + size[w]]`` one after the other, and their lengths."""
+    n = size[which]
     total = np.cumsum(n)
-    at = np.arange(total[-1] if len(total) else 0) + np.repeat(off[which] - total + n, n)
+    at = np.arange(total[-1] if len(total) else 0) + np.repeat(start[which] - total + n, n)
     return values[at], n
 
 
-def squeeze(numbers: np.ndarray) -> bytes:
-    """uint32 numbers by byte planes, compressed: high planes are nearly all zero."""
-    return pa.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+# Number code: a lead byte each, then the tails of those that need one, by length.
+_ONE = 192
+_TWO = _ONE + 60 * 256
+_THREE = _TWO + 3 * 65536
 
 
-def expand(data: bytes, n: int) -> np.ndarray:
-    raw = pa.decompress(data, 4 * n, codec="zstd", asbytes=True) if n else b""
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def squeeze(numbers: np.ndarray) -> bytes:
+    """uint32 numbers as bytes, small ones in one, compressed."""
+    import zstandard
+    x = numbers.astype(np.uint32)
+    lead = np.minimum(x, _ONE - 1).astype(np.uint8)
+    two, three, five = (x >= _ONE) & (x < _TWO), (x >= _TWO) & (x < _THREE), x >= _THREE
+    a, b = x[two] - np.uint32(_ONE), x[three] - np.uint32(_TWO)
+    lead[two], lead[three], lead[five] = _ONE + (a >> 8), 252 + (b >> 16), 255
+    tails = (a & 255).astype(np.uint8), (b >> 8 & 255).astype(np.uint8), (b & 255).astype(np.uint8), x[five].astype("<u4")
+    return zstandard.ZstdCompressor(1).compress(b"".join(t.tobytes() for t in (lead, *tails)))
 
 
-def _numberer(pattern: str, limit: int, schema: pa.Schema):
-    """Map of texts to sequences of word numbers; a row of words ends each block."""
+def expand(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of ``squeeze``."""
+    import zstandard
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    lead = raw[:n]
+    x = lead.astype(np.uint32)
+    two, three, five = (lead >= _ONE) & (lead < 252), (lead >= 252) & (lead < 255), lead == 255
+    n2, n3 = int(two.sum()), int(three.sum())
+    tail = raw[n:].astype(np.uint32)
+    x[two] = ((x[two] - _ONE) << 8) + tail[:n2] + _ONE
+    x[three] = ((x[three] - 252) << 16) + (tail[n2:n2 + n3] << 8) + tail[n2 + n3:n2 + 2 * n3] + _TWO
+    x[five] = raw[n + n2 + 2 * n3:].view("<u4") if five.any() else 0
+    return x
+
+
+def pack_words(words: list[str]) -> bytes:
+    import zstandard
+    raw = [w.encode() for w in words]
+    sizes = np.array([len(w) for w in raw], "<u4").tobytes()
+    return zstandard.ZstdCompressor(3).compress(sizes + b"".join(raw))
+
+
+def unpack_words(data: bytes, n: int) -> list[str]:
+    import zstandard
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    edge = np.cumsum(np.frombuffer(raw, "<u4", n)).tolist()
+    raw = raw[4 * n:]
+    return [raw[a:b].decode() for a, b in zip([0, *edge], edge)]
+
+
+def _record(schema: pa.Schema, *cols) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+
+class _Block:
+    """Texts of one block: numbers of their pre-tokens as they come, and the words."""
+
+    def __init__(self):
+        self.words: dict[str, int] = defaultdict()
+        self.words.default_factory = self.words.__len__
+        self.ids: list[pa.Array] = []
+        self.seqs: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, text: str, found: list[str]) -> None:
+        self.seqs.append(np.fromiter(map(self.words.__getitem__, found), np.uint32, len(found)))
+        self.size += len(text)
+
+    def rows(self, block: int, buckets: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(self.words), np.int64)
+        for s in self.seqs:
+            np.add.at(total, s, 1)
+        rank = np.empty(len(total), np.uint32)
+        rank[np.argsort(-total, kind="stable")] = np.arange(len(total))
+        start = 0
+        for ids in self.ids:
+            own = self.seqs[start:start + len(ids)]
+            start += len(ids)
+            n = [None] * len(own)
+            yield _record(schema, [block] * len(own), n, ids, [len(s) for s in own],
+                          [squeeze(rank[s]) for s in own], n)
+        parts: dict[int, list] = defaultdict(list)
+        for word, r in zip(self.words, rank.tolist()):
+            parts[zlib.crc32(word.encode()) % buckets].append((r, word))
+        for bucket, own in parts.items():
+            own.sort()
+            ranks = np.array([r for r, _ in own], np.uint32)
+            yield _record(schema, [block], [bucket], pa.nulls(1, schema.field("doc_id").type), [len(own)],
+                          [squeeze(np.diff(ranks, prepend=np.uint32(0)))], [pack_words([w for _, w in own])])
+
+
+def _number(pattern: str, limit: int, buckets: int, schema: pa.Schema):
+    """Map of texts to sequences of word numbers, and the words by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
         from pyspark import TaskContext
         find = regex.compile(pattern).findall
-        block, held = TaskContext.get().partitionId() << BLOCK_BITS, 0
-        numbers: dict[str, int] = defaultdict()
-        numbers.default_factory = numbers.__len__
-
-        def rows(ids, counts, seqs, words):
-            cols = [[block] * len(ids), ids, counts, seqs, words]
-            return pa.RecordBatch.from_arrays(
-                [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
-
-        def dictionary():
-            return rows(pa.nulls(1, schema.field(1).type), [None], [None], [list(numbers)])
-
+        number, block = TaskContext.get().partitionId() << BLOCK_BITS, _Block()
         for batch in batches:
-            start, counts, seqs = 0, [], []
+            start = 0
             for k, text in enumerate(batch.column(1)):
                 text = text.as_py() or ""
-                words = find(text)
-                counts.append(len(words))
-                seqs.append(squeeze(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words))))
-                held += len(text)
-                if held >= limit:
-                    yield rows(batch.column(0).slice(start, len(seqs)), counts, seqs, [None] * len(seqs))
-                    yield dictionary()
-                    numbers.clear()
-                    block, held, start, counts, seqs = block + 1, 0, k + 1, [], []
-            if seqs:
-                yield rows(batch.column(0).slice(start), counts, seqs, [None] * len(seqs))
-        if numbers:
-            yield dictionary()
+                block.add(text, find(text))
+                if block.size >= limit:
+                    block.ids.append(batch.column(0).slice(start, k + 1 - start))
+                    yield from block.rows(number, buckets, schema)
+                    number, block, start = number + 1, _Block(), k + 1
+            if start < batch.num_rows:
+                block.ids.append(batch.column(0).slice(start))
+        yield from block.rows(number, buckets, schema)
     return run
 
 
-def _encode_runs(vocabulary: str):
+def _unpack(schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, n, ranks, words in zip(*(c.to_pylist() for c in batch.columns)):
+                rank = np.cumsum(expand(ranks, n), dtype=np.int64)
+                yield _record(schema, unpack_words(words, n), np.full(n, block), rank)
+    return run
+
+
+def _encode_runs(vocabulary: str, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_encoder(vocabulary).encode_ordinary
         last, found = None, b""
@@ -140,33 +218,52 @@ def _encode_runs(vocabulary: str):
                 if word != last:
                     last, found = word, np.array(encode(word), "<u4").tobytes()
                 out.append(found)
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.binary())], ["place", "ids"])
+            yield _record(schema, batch.column(1), batch.column(2), out)
+    return run
+
+
+def _pack(schema: pa.Schema):
+    """Rows sorted by block and rank, those of one block and batch in one row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks, ranks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            ids = batch.column(2).to_pylist()
+            edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for a, b in zip(edges, edges[1:]):
+                if a < b:
+                    raw = np.frombuffer(b"".join(ids[a:b]), "<u4")
+                    sizes = np.array([len(x) // 4 for x in ids[a:b]], np.uint32)
+                    yield _record(schema, [blocks[a]], [b - a], [squeeze(np.diff(ranks[a:b], prepend=0))],
+                                  [squeeze(sizes)], [squeeze(raw)])
     return run
 
 
 def _assemble(schema: pa.Schema):
+    """A block's ids (packed rows) and texts (sequences of ranks) to the texts' ids."""
     def run(words: pa.Table, docs: pa.Table) -> pa.Table:
-        place = words.column("place").to_numpy() & ((1 << WORD_BITS) - 1)
-        runs = words.column("ids").to_pylist()
-        order = np.argsort(place)
-        runs = [runs[k] for k in order]
-        off = np.zeros(len(runs) + 1, np.int64)
-        np.cumsum([len(r) // 4 for r in runs], out=off[1:])
-        values = np.frombuffer(b"".join(runs), "<u4").astype(np.int32)
-        del runs
-        parts = [schema.empty_table()]
+        ranks, sizes, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for n, rank, size, ids in zip(*(words.column(c).to_pylist() for c in ("n", "ranks", "sizes", "ids"))):
+            ranks.append(np.cumsum(expand(rank, n), dtype=np.int64))
+            sizes.append(expand(size, n).astype(np.int64))
+            values.append(expand(ids, int(sizes[-1].sum())))
+        ranks, sizes, values = (np.concatenate(x) for x in (ranks, sizes, values))
+        starts = np.zeros(len(ranks), np.int64)
+        starts[ranks] = np.cumsum(sizes) - sizes
+        length = np.zeros(len(ranks), np.int64)
+        length[ranks] = sizes
         ids, counts, seqs = (docs.column(c) for c in ("doc_id", "n", "seq"))
-        counts = counts.to_numpy()
-        start = 0
+        counts, total = counts.to_numpy(), np.cumsum(counts.to_numpy())
+        parts, start = [schema.empty_table()], 0
         while start < len(counts):
             # About GATHER pre-tokens at a time, one text at least.
-            end = start + max(1, int(np.searchsorted(np.cumsum(counts[start:]), GATHER, "right")))
-            numbers = [expand(s.as_py(), n) for s, n in zip(seqs.slice(start, end - start), counts[start:end])]
-            got, n = gather(values, off, np.concatenate(numbers).astype(np.int64))
+            before = total[start] - counts[start]
+            end = max(start + 1, int(np.searchsorted(total, before + GATHER, "right")))
+            which = np.concatenate([expand(s.as_py(), n) for s, n in zip(seqs.slice(start, end - start), counts[start:end])])
+            got, n = gather(values, starts, length, which)
             edge = np.zeros(len(n) + 1, np.int64)
             np.cumsum(n, out=edge[1:])
-            bounds = edge[np.concatenate([[0], np.cumsum([len(x) for x in numbers])])]
-            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(got, pa.int32()))
+            bounds = edge[np.concatenate([[0], total[start:end] - before])]
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(got.astype(np.int32)))
             parts.append(pa.Table.from_arrays(
                 [ids.slice(start, end - start).combine_chunks(), pa.array(np.diff(bounds), pa.int64()), lists],
                 schema=schema))
@@ -187,18 +284,21 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id",
     spark = df.sparkSession
     own = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = own.schema[0].dataType.simpleString()
-    numbered = f"block long, doc_id {kind}, n long, seq binary, words array<string>"
-    result = f"doc_id {kind}, n_tokens long, ids array<int>"
-    arrow = {s: to_arrow_schema(spark.createDataFrame([], s).schema) for s in (numbered, result)}
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ddl = {"numbered": f"block long, bucket long, doc_id {kind}, n long, seq binary, words binary",
+           "place": "word string, block long, rank long", "run": "block long, rank long, ids binary",
+           "packed": "block long, n long, ranks binary, sizes binary, ids binary",
+           "result": f"doc_id {kind}, n_tokens long, ids array<int>"}
+    arrow = {k: to_arrow_schema(spark.createDataFrame([], s).schema) for k, s in ddl.items()}
     blocks = Tables(spark, "byte-bpe").settle(
-        own.mapInArrow(_numberer(pattern, block_text, arrow[numbered]), numbered), compression="zstd")
-    asked = blocks.where("words is not null").select("block", F.posexplode("words").alias("k", "word"))
-    place = F.shiftleft("block", WORD_BITS).bitwiseOR(F.col("k").cast("long"))
-    runs = (asked.select("word", place.alias("place")).repartition("word").sortWithinPartitions("word")
-            .mapInArrow(_encode_runs(vocabulary), "place long, ids binary"))
-    back = runs.groupBy(F.shiftright("place", WORD_BITS).alias("block"))
-    docs = blocks.where("words is null").select("block", "doc_id", "n", "seq").groupBy("block")
-    return back.cogroup(docs).applyInArrow(_assemble(arrow[result]), result)
+        own.mapInArrow(_number(pattern, block_text, BUCKETS * width, arrow["numbered"]), ddl["numbered"]))
+    asked = blocks.where("bucket is not null").select("bucket", "block", "n", "seq", "words")
+    found = (asked.repartition(width, "bucket").drop("bucket").mapInArrow(_unpack(arrow["place"]), ddl["place"])
+             .sortWithinPartitions("word").mapInArrow(_encode_runs(vocabulary, arrow["run"]), ddl["run"])
+             .sortWithinPartitions("block", "rank").mapInArrow(_pack(arrow["packed"]), ddl["packed"]))
+    docs = blocks.where("bucket is null").select("block", "doc_id", "n", "seq")
+    return (found.groupBy("block").cogroup(docs.groupBy("block"))
+            .applyInArrow(_assemble(arrow["result"]), ddl["result"]))
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -217,7 +317,7 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", to: str = "decoded"
                     continue
                 which = row.values.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
                 which = which[(which >= 0) & (which < len(off) - 1)]
-                out.append(gather(values, off, which)[0].tobytes())
+                out.append(gather(values, off[:-1], np.diff(off), which)[0].tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*names, to])
 
     names = df.columns

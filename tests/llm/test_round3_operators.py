@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -41,6 +42,17 @@ def test_byte_bpe_equals_library(spark, library, block_text):
     assert all(r.n_tokens == len(r.ids) for r in out)
 
 
+def test_number_code():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 5000):
+        x = rng.integers(0, 1 << 32, n, dtype=np.uint32) >> rng.integers(0, 32, n, dtype=np.uint32)
+        assert (B.expand(B.squeeze(x), n) == x).all()
+    edges = np.array([0, 191, 192, B._TWO - 1, B._TWO, B._THREE - 1, B._THREE, 2 ** 32 - 1], np.uint32)
+    assert (B.expand(B.squeeze(edges), len(edges)) == edges).all()
+    words = [" a", "\x00", "漢字", "", "\n"]
+    assert B.unpack_words(B.pack_words(words), 5) == words
+
+
 def test_byte_bpe_query(spark, library):
     from ledgerlake.llm.queries import QUERIES
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
