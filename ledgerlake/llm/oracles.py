@@ -109,3 +109,30 @@ select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, min(root)::bigint as co
 from d left join n using (doc_id) join reach using (doc_id)
 group by d.doc_id, n.n
 """
+
+HARD_NEGATIVES = """
+with v as (
+  select row_number() over () as rid, vec_id,
+         case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as e
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select a.rid as a, a.vec_id as anchor_id, a.label as anchor_label, b.rid as b, b.vec_id as other_id, b.label,
+         list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2]))::bigint as score
+  from v a join v b on a.rid <> b.rid
+  where a.vec_id % 100 = 0),
+pos as (
+  select a, anchor_id, anchor_label, other_id as positive_id, score as positive_score, k
+  from (select *, row_number() over (partition by a order by score desc, other_id) as k
+        from pairs where label = anchor_label) where k <= 5)
+select anchor_id::bigint as anchor_id, positive_id::bigint as positive_id, rank::int as rank,
+       other_id::bigint as negative_id, positive_score, score as negative_score
+from (
+  select pos.anchor_id, positive_id, positive_score, other_id, score,
+         row_number() over (partition by pos.a, k order by score desc, other_id) as rank
+  from pos join pairs on pairs.a = pos.a and pairs.label <> pos.anchor_label
+    and 80 * positive_score <= 100 * score and score <= positive_score)
+where rank <= 5
+"""

@@ -179,3 +179,12 @@ def op12(spark, sf_dir):
     return out.select(F.col("c").alias("conv_id"), *[F.coalesce(n, F.lit(0)).alias(n) for n in counts],
                       F.coalesce("audit", F.lit("")).alias("audit"),
                       F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+@register("op13_hard_negatives", oracles.HARD_NEGATIVES)
+def op13(spark, sf_dir):
+    """Hard negatives of every hundredth row, some labels moved on."""
+    from ledgerlake.llm.hard_negatives import mine
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label").withColumn("label", label)
+    return mine(rows, F.col("vec_id") % 100 == 0)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import byte_bpe as B
 from ledgerlake.llm import conversation_repair as C
+from ledgerlake.llm import hard_negatives as N
 
 SF = "/root/testdata/sf0.001"
 MULTI = str(P.path("byte_bpe_multi_50k.tiktoken"))
@@ -213,3 +214,58 @@ def test_conversation_rows_come_back(spark):
     found = C.audits(df.where("conv_id = 2"), costs=cheap)
     assert [tuple(r)[1:] for r in C.replay(df.where("conv_id = 2"), found).collect()] == [
         (0, "K", 0, "system", "S."), (1, "I", None, "user", ""), (2, "I", None, "assistant", "")]
+
+
+# --------------------------------------------------------------- operator 13
+def mined(rows, every=100, k=5):
+    """Plainly: (vec_id, vector, label) rows to the result's rows."""
+    fine = [(i, np.floor(256 * np.array(v, float)).astype(np.int64), label) for i, v, label in rows
+            if label is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for n, (anchor, q, label) in enumerate(fine):
+        if anchor is None or anchor % every:
+            continue
+        m = lambda v: int(q[:len(v)] @ v[:len(q)])
+        rest = sorted(((-m(v), i is None, i or 0, i, lab) for j, (i, v, lab) in enumerate(fine) if j != n))
+        for p in [r for r in rest if r[4] == label][:k]:
+            near = [r for r in rest if r[4] != label and -80 * p[0] <= -100 * r[0] <= -100 * p[0]]
+            out += [(anchor, p[3], g + 1, r[3], -p[0], -r[0]) for g, r in enumerate(near[:k])]
+    return sorted(out, key=str)
+
+
+def test_intervals_hold():
+    rng = np.random.default_rng(2)
+    for size in (64, 256):
+        x = np.floor(256 * rng.normal(size=(300, size)) * rng.choice([0, 0.01, 1, 50], (300, 1))).astype(np.int64)
+        x[:3] = [np.zeros(size), np.ones(size), np.full(size, -7)]
+        q = np.concatenate([x[:20], x[5:25] + rng.integers(-9, 9, (20, size))])
+        low, high = N.intervals(q, *N.encode(x, 9), 9)
+        true = q @ x.T
+        assert (low <= true).all() and (true <= high).all()
+        assert np.allclose((N.rotate(x.astype(float), 9) ** 2).sum(1), (x ** 2).sum(1))
+        apart = np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1) + 1
+        assert np.median((high - low) / apart) < 1.4  # Cauchy-Schwarz alone gives 2
+
+
+def test_hard_negatives_query(spark):
+    from ledgerlake.llm.queries import QUERIES
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label").collect()
+    rows = [(i, v, (n + 1) % 10 if i % 7 == 0 else n) for i, v, n in rows]
+    got = QUERIES["op13_hard_negatives"](spark, SF)
+    assert sorted(map(tuple, got.collect()), key=str) == mined(rows) and got.count() > 0
+
+
+@pytest.mark.parametrize("block_rows, anchor_rows", [(4096, 2048), (7, 3)])
+def test_hard_negatives_awkward(spark, block_rows, anchor_rows):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=5).round(1).tolist(), int(rng.integers(0, 3))) for i in range(120)]
+    rows += [(3, None, 1), (4, [1.0, None], 1), (5, [float("nan")] * 5, 2), (6, [float("inf")] * 5, 2),
+             (20, [1.0, 2.0], None), (None, [2.0, 2.0, 2.0], 1), (None, [3.0], 0), (40, [], 1), (10, [0.5] * 70, 2)]
+    rows += rows[:30]  # repeated rows, anchors among them
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    flat = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v], n) for i, v, n in rows]
+    df = df.withColumns({"score": F.lit("x"), "key": F.lit(1), "block": F.lit(0)})
+    got = N.mine(df, F.col("vec_id") % 10 == 0, block_rows=block_rows, anchor_rows=anchor_rows)
+    assert sorted(map(tuple, got.collect()), key=str) == mined(flat, 10)
+    assert N.mine(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
+    assert N.mine(df, F.col("vec_id") < 0).count() == 0
