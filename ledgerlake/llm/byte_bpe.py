@@ -155,26 +155,31 @@ class _Block:
         self.size += len(text)
 
     def rows(self, block: int, buckets: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """Texts as ranks, words by bucket, and the ranks of the words in that order."""
         total = np.zeros(len(self.words), np.int64)
         for s in self.seqs:
             np.add.at(total, s, 1)
         rank = np.empty(len(total), np.uint32)
         rank[np.argsort(-total, kind="stable")] = np.arange(len(total))
-        start = 0
+        no_id, start = pa.nulls(1, schema.field("doc_id").type), 0
         for ids in self.ids:
-            own = self.seqs[start:start + len(ids)]
+            for at in range(0, len(ids), 1000):
+                own = self.seqs[start + at:start + min(at + 1000, len(ids))]
+                n = [None] * len(own)
+                yield _record(schema, [block] * len(own), n, n, ids.slice(at, 1000), [len(s) for s in own],
+                              [squeeze(rank[s]) for s in own])
             start += len(ids)
-            n = [None] * len(own)
-            yield _record(schema, [block] * len(own), n, ids, [len(s) for s in own],
-                          [squeeze(rank[s]) for s in own], n)
-        parts: dict[int, list] = defaultdict(list)
-        for word, r in zip(self.words, rank.tolist()):
-            parts[zlib.crc32(word.encode()) % buckets].append((r, word))
-        for bucket, own in parts.items():
-            own.sort()
-            ranks = np.array([r for r, _ in own], np.uint32)
-            yield _record(schema, [block], [bucket], pa.nulls(1, schema.field("doc_id").type), [len(own)],
-                          [squeeze(np.diff(ranks, prepend=np.uint32(0)))], [pack_words([w for _, w in own])])
+        self.seqs.clear()
+        words = sorted(self.words)
+        came = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        self.words.clear()
+        bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
+        order = np.argsort(bucket, kind="stable")
+        edge = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+        for k, (a, b) in enumerate(zip(edge, edge[1:])):
+            if a < b:
+                yield _record(schema, [block], [k], [a], no_id, [b - a], [pack_words([words[j] for j in order[a:b]])])
+        yield _record(schema, [block], [None], [0], no_id, [len(words)], [squeeze(rank[came[order]])])
 
 
 def _number(pattern: str, limit: int, buckets: int, schema: pa.Schema):
@@ -195,16 +200,16 @@ def _number(pattern: str, limit: int, buckets: int, schema: pa.Schema):
                     number, block, start = number + 1, _Block(), k + 1
             if start < batch.num_rows:
                 block.ids.append(batch.column(0).slice(start))
-        yield from block.rows(number, buckets, schema)
+        if block.ids:
+            yield from block.rows(number, buckets, schema)
     return run
 
 
 def _unpack(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, n, ranks, words in zip(*(c.to_pylist() for c in batch.columns)):
-                rank = np.cumsum(expand(ranks, n), dtype=np.int64)
-                yield _record(schema, unpack_words(words, n), np.full(n, block), rank)
+            for block, slot, n, words in zip(*(c.to_pylist() for c in batch.columns)):
+                yield _record(schema, unpack_words(words, n), np.full(n, block), slot + np.arange(n))
     return run
 
 
@@ -223,51 +228,52 @@ def _encode_runs(vocabulary: str, schema: pa.Schema):
 
 
 def _pack(schema: pa.Schema):
-    """Rows sorted by block and rank, those of one block and batch in one row."""
+    """Rows sorted by block and slot; runs of slots within a batch become one row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks, ranks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            blocks, slots = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             ids = batch.column(2).to_pylist()
-            edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            breaks = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(slots) != 1)) + 1
+            edges = [0, *breaks.tolist(), len(ids)] if ids else []
             for a, b in zip(edges, edges[1:]):
-                if a < b:
-                    raw = np.frombuffer(b"".join(ids[a:b]), "<u4")
-                    sizes = np.array([len(x) // 4 for x in ids[a:b]], np.uint32)
-                    yield _record(schema, [blocks[a]], [b - a], [squeeze(np.diff(ranks[a:b], prepend=0))],
-                                  [squeeze(sizes)], [squeeze(raw)])
+                raw = np.frombuffer(b"".join(ids[a:b]), "<u4")
+                sizes = np.array([len(x) // 4 for x in ids[a:b]], np.uint32)
+                yield _record(schema, [blocks[a]], [slots[a]], [b - a], [squeeze(sizes)], [squeeze(raw)])
     return run
 
 
 def _assemble(schema: pa.Schema):
-    """A block's ids (packed rows) and texts (sequences of ranks) to the texts' ids."""
+    """A block's ids by slot, the ranks of the slots and texts as ranks to the texts' ids."""
     def run(words: pa.Table, docs: pa.Table) -> pa.Table:
-        ranks, sizes, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-        for n, rank, size, ids in zip(*(words.column(c).to_pylist() for c in ("n", "ranks", "sizes", "ids"))):
-            ranks.append(np.cumsum(expand(rank, n), dtype=np.int64))
-            sizes.append(expand(size, n).astype(np.int64))
-            values.append(expand(ids, int(sizes[-1].sum())))
-        ranks, sizes, values = (np.concatenate(x) for x in (ranks, sizes, values))
-        starts = np.zeros(len(ranks), np.int64)
-        starts[ranks] = np.cumsum(sizes) - sizes
-        length = np.zeros(len(ranks), np.int64)
-        length[ranks] = sizes
-        ids, counts, seqs = (docs.column(c) for c in ("doc_id", "n", "seq"))
+        slot = docs.column("slot")
+        [[of, data]] = zip(*(docs.filter(slot.is_valid()).column(c).to_pylist() for c in ("n", "data")))
+        docs = docs.filter(slot.is_null())
+        start, length = np.zeros(of, np.int64), np.zeros(of, np.int64)
+        ranks, values, held = expand(data, of), [np.zeros(0, np.uint32)], 0
+        for at, n, size, ids in zip(*(words.column(c).to_pylist() for c in ("slot", "n", "sizes", "ids"))):
+            size = expand(size, n).astype(np.int64)
+            edge = np.cumsum(size)
+            mine = ranks[at:at + n]
+            start[mine], length[mine] = held + edge - size, size
+            values.append(expand(ids, int(edge[-1])))
+            held += len(values[-1])
+        values = np.concatenate(values).astype(np.int32)
+        ids, counts, seqs = (docs.column(c) for c in ("doc_id", "n", "data"))
         counts, total = counts.to_numpy(), np.cumsum(counts.to_numpy())
-        parts, start = [schema.empty_table()], 0
-        while start < len(counts):
+        parts, a = [schema.empty_table()], 0
+        while a < len(counts):
             # About GATHER pre-tokens at a time, one text at least.
-            before = total[start] - counts[start]
-            end = max(start + 1, int(np.searchsorted(total, before + GATHER, "right")))
-            which = np.concatenate([expand(s.as_py(), n) for s, n in zip(seqs.slice(start, end - start), counts[start:end])])
-            got, n = gather(values, starts, length, which)
+            before = total[a] - counts[a]
+            b = max(a + 1, int(np.searchsorted(total, before + GATHER, "right")))
+            which = np.concatenate([expand(s.as_py(), n) for s, n in zip(seqs.slice(a, b - a), counts[a:b])])
+            got, n = gather(values, start, length, which)
             edge = np.zeros(len(n) + 1, np.int64)
             np.cumsum(n, out=edge[1:])
-            bounds = edge[np.concatenate([[0], total[start:end] - before])]
-            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(got.astype(np.int32)))
+            bounds = edge[np.concatenate([[0], total[a:b] - before])]
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(got))
             parts.append(pa.Table.from_arrays(
-                [ids.slice(start, end - start).combine_chunks(), pa.array(np.diff(bounds), pa.int64()), lists],
-                schema=schema))
-            start = end
+                [ids.slice(a, b - a).combine_chunks(), pa.array(np.diff(bounds), pa.int64()), lists], schema=schema))
+            a = b
         return pa.concat_tables(parts)
     return run
 
@@ -285,18 +291,18 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id",
     own = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = own.schema[0].dataType.simpleString()
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ddl = {"numbered": f"block long, bucket long, doc_id {kind}, n long, seq binary, words binary",
-           "place": "word string, block long, rank long", "run": "block long, rank long, ids binary",
-           "packed": "block long, n long, ranks binary, sizes binary, ids binary",
+    ddl = {"numbered": f"block long, bucket long, slot long, doc_id {kind}, n long, data binary",
+           "place": "word string, block long, slot long", "run": "block long, slot long, ids binary",
+           "packed": "block long, slot long, n long, sizes binary, ids binary",
            "result": f"doc_id {kind}, n_tokens long, ids array<int>"}
     arrow = {k: to_arrow_schema(spark.createDataFrame([], s).schema) for k, s in ddl.items()}
     blocks = Tables(spark, "byte-bpe").settle(
-        own.mapInArrow(_number(pattern, block_text, BUCKETS * width, arrow["numbered"]), ddl["numbered"]))
-    asked = blocks.where("bucket is not null").select("bucket", "block", "n", "seq", "words")
+        own.mapInArrow(_number(pattern, block_text, BUCKETS * width, arrow["numbered"]), ddl["numbered"]), batch_rows=2000)
+    asked = blocks.where("bucket is not null").select("bucket", "block", "slot", "n", "data")
     found = (asked.repartition(width, "bucket").drop("bucket").mapInArrow(_unpack(arrow["place"]), ddl["place"])
              .sortWithinPartitions("word").mapInArrow(_encode_runs(vocabulary, arrow["run"]), ddl["run"])
-             .sortWithinPartitions("block", "rank").mapInArrow(_pack(arrow["packed"]), ddl["packed"]))
-    docs = blocks.where("bucket is null").select("block", "doc_id", "n", "seq")
+             .sortWithinPartitions("block", "slot").mapInArrow(_pack(arrow["packed"]), ddl["packed"]))
+    docs = blocks.where("bucket is null").select("block", "slot", "doc_id", "n", "data")
     return (found.groupBy("block").cogroup(docs.groupBy("block"))
             .applyInArrow(_assemble(arrow["result"]), ddl["result"]))
 
@@ -308,17 +314,18 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", to: str = "decoded"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, off = token_bytes(vocabulary)
+        off, size = off[:-1], np.diff(off)
         for batch in batches:
-            col = batch.column(names.index(ids))
-            out = []
-            for row in col:
-                if not row.is_valid:
-                    out.append(None)
-                    continue
-                which = row.values.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
-                which = which[(which >= 0) & (which < len(off) - 1)]
-                out.append(gather(values, off[:-1], np.diff(off), which)[0].tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*names, to])
+            for at in range(0, batch.num_rows, 1000):
+                part, out = batch.slice(at, 1000), []
+                for row in part.column(names.index(ids)):
+                    if not row.is_valid:
+                        out.append(None)
+                        continue
+                    which = row.values.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
+                    which = which[(which >= 0) & (which < len(size))]
+                    out.append(gather(values, off, size, which)[0].tobytes())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], [*names, to])
 
     names = df.columns
     return df.mapInArrow(run, StructType([*df.schema.fields, StructField(to, BinaryType())]))
