@@ -12,8 +12,9 @@ pre-token of the corpus is merged into ids once:
 
 A word is sent once a block however often it occurs, so the hottest word has one
 row a block and no partition of the word shuffle is hot.  Words, numbers and ids travel
-packed, many to a row.  Texts are never shuffled; sequences are.  A task holds one
-block at a time; runs are sorted by Spark, which spills.
+packed, many to a row.  Texts are never shuffled, nor are sequences: their table is
+bucketed by block, so only ids move to it.  A task holds one block at a time; runs are
+sorted by Spark, which spills.
 
 Decoding joins ids with the token-byte table.  That table has one row a vocabulary
 entry, a bound known before any data is read, so every task holds it and joins
@@ -47,7 +48,7 @@ BLOCK_BITS = 24
 #: Parts of a block's words for each shuffle partition.
 BUCKETS = 2
 #: Pre-tokens turned into ids at a time.
-GATHER = 1 << 19
+GATHER = 1 << 18
 _LOADED: dict = {}
 
 
@@ -120,21 +121,6 @@ def expand(data: bytes, n: int) -> np.ndarray:
     return x
 
 
-def pack_words(words: list[str]) -> bytes:
-    import zstandard
-    raw = [w.encode() for w in words]
-    sizes = np.array([len(w) for w in raw], "<u4").tobytes()
-    return zstandard.ZstdCompressor(3).compress(sizes + b"".join(raw))
-
-
-def unpack_words(data: bytes, n: int) -> list[str]:
-    import zstandard
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    edge = np.cumsum(np.frombuffer(raw, "<u4", n)).tolist()
-    raw = raw[4 * n:]
-    return [raw[a:b].decode() for a, b in zip([0, *edge], edge)]
-
-
 def _record(schema: pa.Schema, *cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
@@ -167,7 +153,7 @@ class _Block:
                 own = self.seqs[start + at:start + min(at + 1000, len(ids))]
                 n = [None] * len(own)
                 yield _record(schema, [block] * len(own), n, n, ids.slice(at, 1000), [len(s) for s in own],
-                              [squeeze(rank[s]) for s in own])
+                              [squeeze(rank[s]) for s in own], n)
             start += len(ids)
         self.seqs.clear()
         words = sorted(self.words)
@@ -178,8 +164,8 @@ class _Block:
         edge = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
         for k, (a, b) in enumerate(zip(edge, edge[1:])):
             if a < b:
-                yield _record(schema, [block], [k], [a], no_id, [b - a], [pack_words([words[j] for j in order[a:b]])])
-        yield _record(schema, [block], [None], [0], no_id, [len(words)], [squeeze(rank[came[order]])])
+                yield _record(schema, [block], [k], [a], no_id, [b - a], [None], [[words[j] for j in order[a:b]]])
+        yield _record(schema, [block], [None], [0], no_id, [len(words)], [squeeze(rank[came[order]])], [None])
 
 
 def _number(pattern: str, limit: int, buckets: int, schema: pa.Schema):
@@ -205,14 +191,6 @@ def _number(pattern: str, limit: int, buckets: int, schema: pa.Schema):
     return run
 
 
-def _unpack(schema: pa.Schema):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, slot, n, words in zip(*(c.to_pylist() for c in batch.columns)):
-                yield _record(schema, unpack_words(words, n), np.full(n, block), slot + np.arange(n))
-    return run
-
-
 def _encode_runs(vocabulary: str, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_encoder(vocabulary).encode_ordinary
@@ -291,15 +269,17 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id",
     own = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = own.schema[0].dataType.simpleString()
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ddl = {"numbered": f"block long, bucket long, slot long, doc_id {kind}, n long, data binary",
-           "place": "word string, block long, slot long", "run": "block long, slot long, ids binary",
+    ddl = {"numbered": f"block long, bucket long, slot long, doc_id {kind}, n long, data binary, words array<string>",
+           "run": "block long, slot long, ids binary",
            "packed": "block long, slot long, n long, sizes binary, ids binary",
            "result": f"doc_id {kind}, n_tokens long, ids array<int>"}
     arrow = {k: to_arrow_schema(spark.createDataFrame([], s).schema) for k, s in ddl.items()}
-    blocks = Tables(spark, "byte-bpe").settle(
-        own.mapInArrow(_number(pattern, block_text, BUCKETS * width, arrow["numbered"]), ddl["numbered"]), batch_rows=2000)
-    asked = blocks.where("bucket is not null").select("bucket", "block", "slot", "n", "data")
-    found = (asked.repartition(width, "bucket").drop("bucket").mapInArrow(_unpack(arrow["place"]), ddl["place"])
+    blocks = Tables(spark, "byte-bpe").bucketed(
+        own.mapInArrow(_number(pattern, block_text, BUCKETS * width, arrow["numbered"]), ddl["numbered"]),
+        width, "block", batch_rows=2000)
+    asked = blocks.where("bucket is not null").select("bucket", "block", "slot", "words").repartition(width, "bucket")
+    place = asked.select("block", "slot", F.posexplode("words").alias("k", "word"))
+    found = (place.select("word", "block", (F.col("slot") + F.col("k")).alias("slot"))
              .sortWithinPartitions("word").mapInArrow(_encode_runs(vocabulary, arrow["run"]), ddl["run"])
              .sortWithinPartitions("block", "slot").mapInArrow(_pack(arrow["packed"]), ddl["packed"]))
     docs = blocks.where("bucket is null").select("block", "slot", "doc_id", "n", "data")

@@ -7,11 +7,27 @@ out of memory.
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.session import scratch_path
 
 
+@contextmanager
+def _batches_of(spark: SparkSession, rows: int | None):
+    """Arrow batches of at most ``rows`` in what runs here."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        if rows:
+            spark.conf.set(name, str(rows))
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Tables:
     """Tables of one operator's run; ``drop`` removes those no longer read."""
 
@@ -27,18 +43,30 @@ class Tables:
         """
         self.n += 1
         path = f"{self.root}/{self.n}"
-        name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        before = self.spark.conf.get(name)
-        try:
-            if batch_rows:
-                self.spark.conf.set(name, str(batch_rows))
+        with _batches_of(self.spark, batch_rows):
             df.write.parquet(path)
-        finally:
-            self.spark.conf.set(name, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.held.append((out, path))
         return out
 
+    def bucketed(self, df: DataFrame, n: int, by: str, batch_rows: int | None = None) -> DataFrame:
+        """``df`` written in ``n`` buckets by a column and read again: grouping or joining
+        by it then shuffles only the other side.
+
+        Buckets need a catalog's table; it is external and leaves the catalog at once.
+        """
+        self.n += 1
+        path, table = f"{self.root}/{self.n}", f"ledgerlake_{uuid.uuid4().hex}"
+        with _batches_of(self.spark, batch_rows):
+            df.write.bucketBy(n, by).option("path", path).format("parquet").saveAsTable(table)
+        try:
+            out = self.spark.table(table)
+            out.schema
+        finally:
+            self.spark.sql(f"DROP TABLE {table}")
+        self.held.append((out, path))
+        return out
+
     def drop(self, *dfs: DataFrame) -> None:
         """Delete tables that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm

@@ -50,8 +50,14 @@ def test_number_code():
         assert (B.expand(B.squeeze(x), n) == x).all()
     edges = np.array([0, 191, 192, B._TWO - 1, B._TWO, B._THREE - 1, B._THREE, 2 ** 32 - 1], np.uint32)
     assert (B.expand(B.squeeze(edges), len(edges)) == edges).all()
-    words = [" a", "\x00", "漢字", "", "\n"]
-    assert B.unpack_words(B.pack_words(words), 5) == words
+
+
+def test_byte_bpe_shuffles_words_and_ids_only(spark):
+    df = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    out = B.encode(df, MULTI, P.PATTERN)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Bucketed: true" in plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("ledgerlake_")]
 
 
 def test_byte_bpe_query(spark, library):
