@@ -1,79 +1,23 @@
 """Normalise a lookup JSON file into candidate rows.
 
 The published file is one JSON object ``{key: [candidate, ...], ...}`` of
-hundreds of MB.  Read as text with the entry boundary as the record
-separator, it splits over tasks like any text file: each record holds one
-key and its list, parsed by ``from_json`` and ``posexplode``d into
-``(key, pos, signature, count, abi)``.  ``abi`` stays a JSON string.
-
-A gzip file cannot be split; it, and a file whose entries are not all lists
-(legacy single-object entries change the boundary), take the fallback: the
-whole text in one row, ``from_json`` to ``map<string,string>``, then each
-value parsed on its own (a single object becomes a one-element list).
+hundreds of MB.  :mod:`ledgerlake.sources.jsonsplit` cuts it into entries over
+many tasks whatever its spacing and the shape of its entries; each entry's list is
+parsed by ``from_json`` and ``posexplode``d into ``(key, pos, signature, count,
+abi)``.  ``abi`` stays a JSON string.  A legacy entry, one candidate without a list,
+is a list of one.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.sources import fsio
+from ledgerlake.sources.jsonsplit import object_entries
 
 CANDIDATES_DDL = "array<struct<signature:string,count:bigint,abi:string>>"
-# The two entry boundaries (compact and default json.dumps spacing).
-BOUNDARIES = ('],"0x', '], "0x')
-HEAD_BYTES = 1 << 20
-KEY_PATTERN = r"^0x[0-9a-f]+$"
-# A list or object closing, then another hex key: an entry boundary.
-UNSPLIT = r'[\]}]\s*,\s*"0[xX][0-9a-fA-F]*"\s*:'
-
-
-
-def _boundary(path: str) -> str | None:
-    """Pick the record separator from the first MiB of the file."""
-    with fsio.open_read(path) as f:
-        head = f.read(HEAD_BYTES).decode("utf-8", errors="replace")
-    for b in BOUNDARIES[::-1]:
-        if b in head:
-            return b
-    return BOUNDARIES[0] if head.strip().startswith("{") else None
-
-
-def _split_read(spark: SparkSession, path: str, sep: str) -> DataFrame:
-    raw = spark.read.option("lineSep", sep).text(path)
-    v = F.col("value")
-    # Drop the object's opening '{' (first record) and closing '}' (last one).
-    v = F.regexp_replace(v, r'^\s*\{\s*"0x', "")
-    v = F.regexp_replace(v, r"\]\s*\}\s*$", "")
-    v = F.regexp_replace(v, r"^\s*\}\s*$", "")
-    rec = raw.select(v.alias("v")).where(F.length(F.trim("v")) > 0)
-    key = F.concat(F.lit("0x"), F.regexp_extract("v", r'^([^"]*)"', 1))
-    body = F.concat(F.regexp_extract("v", r'^[^"]*"\s*:\s*(.*)$', 1), F.lit("]"))
-    return rec.select(F.lower(key).alias("key"), body.alias("body"))
-
-
-def _whole_read(spark: SparkSession, path: str) -> DataFrame:
-    whole = (spark.read.option("wholetext", True).text(path)
-                  .select(F.from_json("value", "map<string,string>").alias("m")))
-    if whole.where(F.col("m").isNull()).limit(1).count() > 0:
-        raise ValueError(f"lookup file does not parse as a JSON object: {path}")
-    entries = whole.select(F.explode("m").alias("key", "body"))
-    return entries.select(F.lower("key").alias("key"), "body")
-
-
-def _explode(entries: DataFrame) -> DataFrame:
-    parsed = entries.select("key", "body", F.from_json("body", CANDIDATES_DDL).alias("c"))
-    return parsed
-
-
-def _ends_with_list(path: str) -> bool:
-    """Whether the file ends as an object of lists does; else only the whole
-    text tells a legacy file from one that is cut off."""
-    if fsio.size_of(path) is None:
-        raise FileNotFoundError(path)
-    return re.search(rb"\]\s*\}\s*$", fsio.read_tail(path, 4096)) is not None
+KEY = r'^\s*("(?:[^"\\]++|\\.)*+")\s*:'
 
 
 def verify_lookup(path: str, entry: dict) -> None:
@@ -89,41 +33,28 @@ def read_lookup(spark: SparkSession, path: str, entry: dict | None = None) -> Da
     """Candidate rows ``(key, pos, signature, count, abi)``.
 
     ``entry`` is the manifest's entry of the file: size and MD5 are checked
-    first.  Without it the object must at least be closed.  One pass
-    makes sure that every fragment parsed; a split read with an unparsable
-    fragment falls back to the whole-text form, which raises if a value still
-    does not parse.
+    first.  The object must be whole, and an entry that does not parse raises.
     """
+    from ledgerlake.session import scratch_root
     if entry is not None:
         verify_lookup(path, entry)
-    sep = None if path.endswith(".gz") or not _ends_with_list(path) else _boundary(path)
-    parsed = None
-    if sep is not None:
-        parsed = _explode(_split_read(spark, path, sep))
-        # Parse once: the check and the result both read the checkpoint.
-        from ledgerlake.session import scratch_root
-        scratch_root(spark)
-        parsed = parsed.checkpoint(eager=True)
-        # ``from_json`` ignores text after the first value, so a fragment that
-        # is not a list (a legacy object swallowing the next entry) is caught
-        # by its first character, not by a null.
-        not_list = ~F.ltrim(F.col("body")).startswith("[")
-        # An entry boundary the split did not cut at (other spacing, an
-        # upper-case ``0X`` key, a legacy object) leaves a second key inside
-        # the fragment, which ``from_json`` would silently drop.  Any sign of
-        # one sends the file to the exact whole-text read instead.
-        unsplit = F.col("body").rlike(UNSPLIT)
-        # A key that is not hex means the record edges were not where the
-        # split assumed (a byte-order mark, text before the object).
-        bad_key = ~F.col("key").rlike(KEY_PATTERN)
-        if parsed.where(F.col("c").isNull() | not_list | unsplit | bad_key) \
-                 .limit(1).count() > 0:
-            parsed = None
-    if parsed is None:
-        parsed = _explode(_whole_read(spark, path))
-        bad = parsed.where(F.col("c").isNull()).select("key").limit(3).collect()
-        if bad:
-            raise ValueError(f"lookup entries do not parse: {[r[0] for r in bad]}")
+    elif fsio.size_of(path) is None:
+        raise FileNotFoundError(path)
+    scratch_root(spark)
+    found = object_entries(spark, path)
+    body = F.trim(F.regexp_replace("entry", KEY, ""), F.lit(" \t\r\n"))
+    key = F.get(F.from_json(F.concat(F.lit("["), F.regexp_extract("entry", KEY, 1), F.lit("]")), "array<string>"), F.lit(0))
+    parsed = found.select(F.lower(key).alias("key"), body.alias("body"),
+                          F.col("entry").rlike(KEY).alias("has_key"))
+    legacy = F.col("body").startswith("{") & F.col("body").endswith("}")
+    lists = F.when(legacy, F.concat(F.lit("["), F.col("body"), F.lit("]"))).otherwise(F.col("body"))
+    is_list = lists.startswith("[") & lists.endswith("]")
+    # Parse once: the check and the result both read the checkpoint.
+    parsed = parsed.select("key", "has_key", is_list.alias("is_list"),
+                           F.from_json(lists, CANDIDATES_DDL).alias("c")).checkpoint(eager=True)
+    bad = parsed.where(~F.col("has_key") | ~F.col("is_list") | F.col("c").isNull()).select("key").limit(3).collect()
+    if bad:
+        raise ValueError(f"lookup entries do not parse: {[r[0] for r in bad]}")
     return (parsed.select("key", F.posexplode("c").alias("pos", "x"))
                   .select("key", F.col("pos").cast("bigint").alias("pos"),
                           "x.signature", "x.count", "x.abi"))

@@ -53,7 +53,7 @@ def test_split_read_many_keys_splits_over_tasks(spark, scratch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
 
 
-def test_gz_and_legacy_object_fallback(spark, scratch):
+def test_gz_and_legacy_object(spark, scratch):
     p = _write(os.path.join(scratch, "sel.json.gz"), SELECTORS, gz=True)
     assert _rows(read_lookup(spark, p)) == WANT
     legacy = {"0x0badf00d": {"signature": "quote(address)", "count": 733, "abi": {}},
@@ -121,7 +121,7 @@ def test_uppercase_keys_and_empty_lists(spark, scratch):
     assert got == [("0xaa", "a()"), ("0xbb", "b()"), ("0xdd", "d()")]
 
 
-def test_byte_order_mark_falls_back(spark, scratch):
+def test_byte_order_mark(spark, scratch):
     p = os.path.join(scratch, "bom.json")
     with open(p, "wb") as f:
         f.write(b"\xef\xbb\xbf" + json.dumps(SELECTORS, separators=(",", ":")).encode())
@@ -159,3 +159,74 @@ def test_lookup_must_match_its_entry(spark, scratch):
     for bad in (dict(entry, md5="0" * 32), dict(entry, size=1)):
         with pytest.raises(ValueError, match="manifest entry"):
             read_lookup(spark, p, bad)
+
+
+AWKWARD = {"0x01": [{"signature": 'a"b\\,}]{[(u)', "count": 1, "abi": {"x": [1, {"y": ","}]}}],
+           "0x02": {"signature": "legacy(a,b)", "count": 2, "abi": None}, "0x03": [],
+           "0xé": [{"signature": "é" * 40, "count": None, "abi": ["\\\\", '\\"']}] * 3,
+           "0x05": [{"signature": "long(" + ",".join(["x"] * 3000) + ")", "count": 5, "abi": None}]}
+
+
+@pytest.mark.parametrize("bytes_a_split", [97, 1000, 1 << 20])
+def test_any_shape_and_split_gives_equal_rows(spark, scratch, bytes_a_split):
+    want = sorted((k, i, c["signature"], c["count"], c["abi"]) for k, v in AWKWARD.items()
+                  for i, c in enumerate(v if isinstance(v, list) else [v]))
+    bodies = [json.dumps(AWKWARD), json.dumps(AWKWARD, separators=(",", ":"), ensure_ascii=False),
+              json.dumps(AWKWARD, indent=1) + "\n\n"]
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, str(bytes_a_split))
+        for body in bodies:
+            p = os.path.join(scratch, f"any-{len(body)}.json")
+            with open(p, "w") as f:
+                f.write(body)
+            got = sorted((r.key, r.pos, r.signature, r["count"], r.abi and json.loads(r.abi))
+                         for r in read_lookup(spark, p).collect())
+            assert got == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_one_odd_entry_keeps_many_tasks(spark, scratch):
+    from ledgerlake.sources import jsonsplit as J
+    big = {f"0x{i:08x}": [{"signature": f"f{i}(address,uint256)", "count": i, "abi": {"inputs": [i]}}] for i in range(30000)}
+    big["0x00003a98"] = {"signature": "odd(a,b)", "count": 7, "abi": None}
+    p = _write(os.path.join(scratch, "odd.json"), big, (", ", ": "))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        pieces = J._pieces(spark, p)
+        assert pieces.rdd.getNumPartitions() > 8 and pieces.select("split").distinct().count() > 8
+        df = read_lookup(spark, p)
+        assert df.rdd.getNumPartitions() > 8 and df.count() == 30000
+        assert df.where("key = '0x00003a98'").first().signature == "odd(a,b)"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+
+
+@pytest.mark.parametrize("body", ["", "[]", "7", '{"0x1":[]}{"0x2":[]}', '{"0x1":[]},{"0x2":[]}', '{"0x1":[]}}',
+                                  '{"0x1":7}', '{"0x1":[1}', '{0x1:[]}', 'x{"0x1":[]}', '{"0x1":[]'])
+def test_what_is_no_lookup_raises(spark, scratch, body):
+    p = os.path.join(scratch, "no.json")
+    with open(p, "w") as f:
+        f.write(body)
+    with pytest.raises(Exception, match="parse|whole|outside"):
+        read_lookup(spark, p).count()
+
+
+def test_empty_object_has_no_rows(spark, scratch):
+    assert read_lookup(spark, _write(os.path.join(scratch, "none.json"), {})).count() == 0
+
+
+def test_summaries_compose():
+    import random
+
+    from ledgerlake.sources.jsonsplit import compose, summarise
+    rng = random.Random(1)
+    for _ in range(2000):
+        a, b, c = (b"".join(rng.choice([b"{", b"}", b"[", b"]", b'"', b",", b"\\\"", b"a"])
+                            for _ in range(rng.randrange(9))) for _ in range(3))
+        x, y, z = map(summarise, (a, b, c))
+        assert compose(x, y) == summarise(a + b)
+        assert compose(compose(x, y), z) == compose(x, compose(y, z))
