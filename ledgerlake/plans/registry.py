@@ -552,7 +552,8 @@ _DAYS = " union all ".join(
 
 
 @register("a1_manifest_files", f"""
-select date, kind, 'daily/' || date || '.' || kind || '.parquet' as key, 'v2' as schema_version
+select date, kind, 'daily/' || date || '.' || kind || '.parquet' as key,
+       case when date < '{fx.FIRST_V2}' then 'v1' else 'v2' end as schema_version
 from ({_DAYS}) d
 """)
 def a1(spark, sf_dir):

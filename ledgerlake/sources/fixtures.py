@@ -52,14 +52,19 @@ select DAYNO(o_orderdate) as block_number,
             else concat('0x', substr(SHA(concat('t', cast(o_orderkey % 50 as varchar(30)))), 1, 40)) end as to_address,
        case when o_orderkey % 101 = 0 then null when o_orderkey % 103 = 0 then ''
             when o_orderkey % 107 = 0 then '0x' when o_orderkey % 109 = 0 then '0xzz'
+            when o_orderkey % 113 = 0 then concat('0x', repeat('f', 40))
+            when o_orderkey % 127 = 0 then concat('0X', hex(o_orderkey))
             else concat('0x', lower(hex(cast(round(o_totalprice * 100) as bigint))), '0000000000000000') end as value,
        cast(21000 + o_orderkey % 1000 as bigint) as gas_used,
        concat('0x', lower(hex(25000000000 + o_orderkey))) as effective_gas_price,
        concat('0x', lower(hex(25000000000 + o_orderkey))) as gas_price,
-       case when o_orderkey % 3 = 2 then concat('0x', lower(hex(o_orderkey))) end as max_priority_fee_per_gas,
+       case when o_orderkey % 3 = 2 and cast(o_orderdate as date) >= date'FIRST_V2'
+            then concat('0x', lower(hex(o_orderkey))) end as max_priority_fee_per_gas,
        cast(o_orderkey % 3 as bigint) as type,
        cast(case when o_orderstatus = 'F' then 0 else 1 end as bigint) as status,
        case when o_orderkey % 5 = 0 then '' when o_orderkey % 7 = 0 then '0x'
+            when o_orderkey % 3 = 1
+              then concat('0x', substr(SHA(concat('k', cast(o_custkey as varchar(30)))), 1, 8))
             else concat('0x', substr(SHA(o_orderpriority), 1, 8)) end as input_prefix,
        cast(o_orderdate as date) as date
 from $orders
@@ -67,10 +72,12 @@ from $orders
     "raw_events": """
 select DAYNO(o_orderdate) as block_number,
        concat('0x', SHA(cast(l_orderkey as varchar(30)))) as tx_hash,
-       case when l_partkey % 211 = 0 then '0x'
+       case when l_partkey % 211 = 0 then '0x' when l_partkey % 223 = 0 then '0xg1'
+            when l_partkey % 227 = 0 then concat('0x1', repeat('f', 16))
             else concat('0x', lower(hex(cast(l_linenumber as bigint)))) end as log_index,
        concat('0x', substr(SHA(concat('s', cast(l_suppkey as varchar(30)))), 1, 40)) as address,
-       concat('0x', SHA(concat(l_returnflag, l_linestatus))) as topic0,
+       case when l_orderkey % 3 = 1 then concat('0x', SHA(concat('p', cast(l_partkey as varchar(30)))))
+            else concat('0x', SHA(concat(l_returnflag, l_linestatus))) end as topic0,
        case when l_quantity > 25 then null
             else concat('0x', SHA(cast(l_partkey as varchar(30)))) end as topic1,
        cast(null as varchar(80)) as topic2, cast(null as varchar(80)) as topic3,
@@ -78,7 +85,8 @@ select DAYNO(o_orderdate) as block_number,
        cast(o_orderdate as date) as date
 from $lineitem join $orders on o_orderkey = l_orderkey
 """,
-    # Several candidates per key; '3-MEDIUM' is left unresolved on purpose.
+    # A few hot keys with several candidates and a key for each customer, so the lookup
+    # grows with the tables; '3-MEDIUM' and every 11th customer are left unresolved.
     "selector_candidates": """
 select key, signature, count,
        cast(row_number() over (partition by key order by count desc, signature) - 1 as bigint) as pos,
@@ -89,9 +97,19 @@ from (
          count(*) as count
   from $orders join $customer on c_custkey = o_custkey
   where o_orderpriority <> '3-MEDIUM' group by o_orderpriority, c_mktsegment
+  union all
+  select concat('0x', substr(SHA(concat('k', cast(c_custkey as varchar(30)))), 1, 8)) as key,
+         concat('call', cast(c_custkey as varchar(30)), '(address,uint256)') as signature,
+         cast(1 + c_custkey % 97 as bigint) as count
+  from $customer where c_custkey % 11 <> 0
+  union all
+  select concat('0x', substr(SHA(concat('k', cast(c_custkey as varchar(30)))), 1, 8)) as key,
+         concat('other', cast(c_custkey as varchar(30)), '(bytes[2])') as signature,
+         cast(c_custkey % 89 as bigint) as count
+  from $customer where c_custkey % 11 <> 0 and c_custkey % 4 = 0
 ) c
 """,
-    # One candidate per key; flag R with status O is left unresolved on purpose.
+    # One candidate per key; flag R with status O and every 13th part are left unresolved.
     "topic_candidates": """
 select key, signature, count, cast(0 as bigint) as pos,
        concat('{"type":"event","name":"', signature, '"}') as abi
@@ -101,6 +119,11 @@ from (
          count(*) as count
   from $lineitem where not (l_returnflag = 'R' and l_linestatus = 'O')
   group by l_returnflag, l_linestatus
+  union all
+  select concat('0x', SHA(concat('p', cast(p_partkey as varchar(30))))) as key,
+         concat('Part', cast(p_partkey as varchar(30)), '(uint256)') as signature,
+         cast(p_partkey % 71 as bigint) as count
+  from $part where p_partkey % 13 <> 0
 ) c
 """,
     # Manifest `files` rows: blocks and txs for every order day, events only
@@ -126,7 +149,7 @@ select cast(d as varchar(30)) as date, kind,
        cast(n * (case kind when 'blocks' then 64 when 'txs' then 420 else 380 end) + 4096 as bigint) as size,
        md5(concat(cast(d as varchar(30)), kind, cast(n as varchar(30)),
                   case when extract(day from d) = SALT_DAY then 'rebuilt' else '' end)) as md5,
-       case when d < date'1998-01-01' then 'v1' else 'v2' end as schema_version,
+       case when d < date'FIRST_V2' then 'v1' else 'v2' end as schema_version,
        DAYNO(d) * 3 + (case kind when 'blocks' then 0 when 'txs' then 1 else 2 end) as pos
 from entries where d < date'LIMIT_DATE'
 """,
@@ -136,6 +159,10 @@ from entries where d < date'LIMIT_DATE'
 MANIFEST_NOW = {"EVENTS_CUTOFF": "2001-06-30", "LIMIT_DATE": "2100-01-01", "SALT_DAY": "0"}
 MANIFEST_PREV = {"EVENTS_CUTOFF": "2001-07-15", "LIMIT_DATE": "2001-07-20", "SALT_DAY": "15"}
 
+# First day of the second schema version; txs of earlier days lack the column.
+FIRST_V2 = "1998-01-01"
+V1_LACKS = {"txs": ("max_priority_fee_per_gas",)}
+
 _TABLE_REF = re.compile(r"\$([a-z_]+)")
 _MACRO_CALL = re.compile(r"\b(SHA|DAYNO|EPOCH)\(")
 
@@ -157,7 +184,7 @@ def _expand_macros(sql: str, dialect: str) -> str:
 def render(name: str, dialect: str, params: dict | None = None) -> str:
     """SQL text of a view for ``dialect`` ('spark' or 'duckdb')."""
     sql = _expand_macros(TEMPLATES[name], dialect)
-    for k, v in (params or {}).items():
+    for k, v in {"FIRST_V2": FIRST_V2, **(params or {})}.items():
         sql = sql.replace(k, v)
     if dialect == "spark":
         sql = sql.replace("{", "{{").replace("}", "}}")
@@ -237,10 +264,10 @@ def manifest_files(spark: SparkSession, sf_dir: str, previous: bool = False) ->
 # ---------------------------------------------------------------- DuckDB side
 _DUCK_WEI = ("case when {c} = '0x' then cast(0 as decimal(38,0)) "
              "when regexp_matches({c}, '^0[xX][0-9a-fA-F]+$') "
-             "then try_cast(try_cast({c} as hugeint) as decimal(38,0)) end")
+             "then try_cast(try_cast(lower({c}) as hugeint) as decimal(38,0)) end")
 _DUCK_INT = ("case when {c} = '0x' then cast(0 as bigint) "
              "when regexp_matches({c}, '^0[xX][0-9a-fA-F]+$') "
-             "then try_cast({c} as bigint) end")
+             "then try_cast(lower({c}) as bigint) end")
 
 
 def duck_wei(c: str) -> str:

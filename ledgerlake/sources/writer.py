@@ -14,7 +14,8 @@ from __future__ import annotations
 import hashlib
 import io
 import json
-from datetime import datetime, timezone
+import uuid
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,44 +34,51 @@ LOOKUP_KEYS = {"function_selectors": "lookups/function_selectors.json",
 def _put(path: str, body: bytes) -> None:
     """Write then rename, so a reader never sees a partial file (a retried or
     concurrent writer replaces it whole)."""
-    import uuid
     tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
     with fsio.open_write(tmp) as out:
         out.write(body)
     fsio.rename(tmp, path)
 
 
-def write_days(df: DataFrame, root: str, kind: str, schema_version: str = "v2",
-               drop: tuple[str, ...] = ()) -> DataFrame:
+def write_days(df: DataFrame, root: str, kind: str, rule=None) -> DataFrame:
     """Write one Parquet file per day of ``df`` (which has a ``date``
     column) and return the manifest entries as a DataFrame.
 
+    ``rule(day, kind)`` gives what is special about a day's file, any of
+    ``schema_version``, ``columns`` (a function of the list of names) and
+    ``spoil`` (a function of the bytes that are put after the entry is taken;
+    None puts no file): test inputs plant differing days and damage by it.
+
     Rows are hash-partitioned by day and sorted, so each task sees its days
     as contiguous runs; ``mapInPandas`` streams the batches, keeps only the
     current day, and writes it when the day changes (memory: one day).
     """
     root = root.rstrip("/")
-    fields = [f for f in RAW[kind].fields if f.name in df.columns and f.name not in drop]
-    extra = [c for c in df.columns if c != "date" and c not in RAW[kind].names and c not in drop]
-    names = [f.name for f in fields] + extra
-    longs = {f.name for f in fields if f.dataType.typeName() == "long"}
+    known = [f.name for f in RAW[kind].fields if f.name in df.columns]
+    names = known + [c for c in df.columns if c != "date" and c not in RAW[kind].names]
+    longs = {f.name for f in RAW[kind].fields if f.dataType.typeName() == "long"}
     order = [c for c in ("block_number", "number", "tx_hash") if c in df.columns]
 
     def write_one(day, frames):
         import pandas as pd
         import pyarrow as pa
         import pyarrow.parquet as pq
+        special = (rule(day, kind) if rule else None) or {}
         pdf = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
-        cols = [pa.array(pdf[n], type=pa.int64() if n in longs else
-                         (pa.string() if n in RAW[kind].names else None), from_pandas=True)
-                for n in names]
+        own = special.get("columns", list)(names)
+        cols = [pa.array(pdf[n] if n in pdf else [None] * len(pdf), type=pa.int64() if n in longs else
+                         (pa.string() if n in RAW[kind].names or n not in pdf else None), from_pandas=True)
+                for n in own]
         buf = io.BytesIO()
-        pq.write_table(pa.Table.from_arrays(cols, names=names), buf)
+        pq.write_table(pa.Table.from_arrays(cols, names=own), buf)
         body = buf.getvalue()
         key = f"daily/{day}.{kind}.parquet"
-        _put(f"{root}/{key}", body)
-        return {"date": day, "kind": kind, "key": key, "size": len(body),
-                "md5": hashlib.md5(body).hexdigest(), "schema_version": schema_version}
+        entry = {"date": day, "kind": kind, "key": key, "size": len(body),
+                 "md5": hashlib.md5(body).hexdigest(), "schema_version": special.get("schema_version", "v2")}
+        body = special.get("spoil", bytes)(body)
+        if body is not None:
+            _put(f"{root}/{key}", body)
+        return entry
 
     def write(batches):
         import pandas as pd
@@ -99,23 +107,51 @@ def write_days(df: DataFrame, root: str, kind: str, schema_version: str = "v2",
     return src.mapInPandas(write, ENTRY_DDL)
 
 
-def lookup_json(cands: DataFrame, spacing: str = "compact") -> bytes:
-    """The lookup file body: ``{key: [{signature, count, abi}, ...]}`` in
-    list order.  Test-input sized; built on the driver."""
-    rows = cands.orderBy("key", "pos").collect()
-    body: dict[str, list] = {}
-    for r in rows:
-        abi = json.loads(r["abi"]) if r["abi"] else None
-        body.setdefault(r["key"], []).append(
-            {"signature": r["signature"], "count": r["count"], "abi": abi})
-    seps = (",", ":") if spacing == "compact" else (", ", ": ")
-    return json.dumps(body, separators=seps).encode()
+def lookup_lines(cands: DataFrame, legacy=None) -> DataFrame:
+    """One line of text per key, ``"key":[{candidate}, ...]``, candidates in list order,
+    sorted by key.  Keys for which the condition ``legacy`` holds and which have one
+    candidate get it without a list, as old files do."""
+    plain = F.to_json(F.struct("signature", "count"), {"ignoreNullFields": "false"})
+    text = F.concat(F.rtrim("plain", F.lit("}")), F.lit(',"abi":'), F.coalesce("abi", F.lit("null")), F.lit("}"))
+    lists = (cands.withColumn("plain", plain).select("key", F.struct("pos", text.alias("text")).alias("one"))
+             .groupBy("key").agg(F.array_sort(F.collect_list("one")).alias("c")))
+    bare = F.array_join(F.transform("c", lambda x: x["text"]), ",")
+    value = F.concat(F.lit("["), bare, F.lit("]"))
+    if legacy is not None:
+        value = F.when((F.size("c") == 1) & legacy, bare).otherwise(value)
+    name = F.regexp_replace(F.to_json(F.array("key")), r"^\[|\]$", "")
+    return (lists.repartitionByRange("key").sortWithinPartitions("key")
+            .select(F.concat(name, F.lit(":"), value).alias("value")))
 
 
-def write_lookup(root: str, name: str, body: bytes) -> dict:
+def write_lookup(cands: DataFrame, root: str, name: str, legacy=None) -> dict:
+    """The lookup file of ``cands``: its lines are written by Spark in parts, and the parts
+    run through the driver line by line into the one object that the format asks for."""
+    from ledgerlake.session import scratch_path
+    spark = cands.sparkSession
+    parts = scratch_path(spark, "lookup-parts", unique=True)
+    lookup_lines(cands, legacy).write.text(parts)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parts)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted(str(f.getPath()) for f in fs.listStatus(at) if f.getPath().getName().startswith("part-"))
     key = LOOKUP_KEYS.get(name, f"lookups/{name}.json")
-    _put(f"{root.rstrip('/')}/{key}", body)
-    return {"key": key, "size": len(body), "md5": hashlib.md5(body).hexdigest()}
+    path = f"{root.rstrip('/')}/{key}"
+    tmp, md5, size, sep = f"{path}.tmp-{uuid.uuid4().hex[:8]}", hashlib.md5(), 0, b"{"
+    with fsio.open_write(tmp) as out:
+        def put(text: bytes) -> None:
+            nonlocal size
+            out.write(text)
+            md5.update(text)
+            size += len(text)
+        for f in files:
+            with fsio.open_read(f) as lines:
+                for line in lines:
+                    put(sep + line.rstrip(b"\n"))
+                    sep = b","
+        put(b"{}" if sep == b"{" else b"}")
+    fsio.rename(tmp, path)
+    fs.delete(at, True)
+    return {"key": key, "size": size, "md5": md5.hexdigest()}
 
 
 def write_manifest(root: str, entries: list[dict], lookups: dict[str, dict] | None = None,
@@ -149,23 +185,21 @@ def write_manifest(root: str, entries: list[dict], lookups: dict[str, dict] | No
 
 
 def write_archive(spark: SparkSession, frames: dict[str, DataFrame], root: str,
-                  lookups: dict[str, DataFrame] | None = None,
-                  schema_version: str = "v2", chain_id: int = DEFAULT_CHAIN_ID) -> dict:
+                  lookups: dict[str, DataFrame] | None = None, rule=None, legacy=None,
+                  chain_id: int = DEFAULT_CHAIN_ID, **manifest) -> dict:
     """Write every kind in ``frames`` (raw rows with a ``date`` column),
     the lookups, then the manifest.  Returns the manifest document."""
-    parts = [write_days(df, root, kind, schema_version) for kind, df in frames.items()]
+    parts = [write_days(df, root, kind, rule) for kind, df in frames.items()]
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
     entries = [r.asDict() for r in allp.collect()]  # one row per file: catalog-sized
-    lk = {}
-    for name, cands in (lookups or {}).items():
-        lk[name] = write_lookup(root, name, lookup_json(cands))
-    return write_manifest(root, entries, lk, chain_id=chain_id, schema_version=schema_version)
+    lk = {name: write_lookup(cands, root, name, legacy) for name, cands in (lookups or {}).items()}
+    return write_manifest(root, entries, lk, chain_id=chain_id, **manifest)
 
 
 # Bump when the layout written by this module changes.
-WRITER_VERSION = "2"
+WRITER_VERSION = "3"
 
 
 def fixture_tag(sf_dir: str, spark: SparkSession | None = None) -> str:
@@ -175,7 +209,7 @@ def fixture_tag(sf_dir: str, spark: SparkSession | None = None) -> str:
     from ledgerlake.sources import fixtures as fx
     h = hashlib.md5(sf_dir.rstrip("/").encode())
     for name in ("raw_blocks", "raw_txs", "raw_events", "selector_candidates", "topic_candidates"):
-        h.update(fx.TEMPLATES[name].encode())
+        h.update(fx.render(name, "spark").encode())
     h.update(WRITER_VERSION.encode())
     if spark is not None:
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
@@ -188,15 +222,52 @@ def fixture_tag(sf_dir: str, spark: SparkSession | None = None) -> str:
     return h.hexdigest()[:12]
 
 
+def two_versions(day: str, kind: str) -> dict:
+    """Days before ``FIRST_V2`` are of version v1 and lack the columns added since."""
+    from ledgerlake.sources.fixtures import FIRST_V2, V1_LACKS
+    if day >= FIRST_V2:
+        return {}
+    lacks = V1_LACKS.get(kind, ())
+    return {"schema_version": "v1", "columns": lambda names: [n for n in names if n not in lacks]}
+
+
+def flawed(day: str, kind: str) -> dict:
+    """By the number of the day since 1970: files with a column missing, an extra one and
+    two swapped, files that are not there, cut off and altered."""
+    k = (date.fromisoformat(day) - date(1970, 1, 1)).days % 11
+    shapes = {1: lambda n: [c for c in n if c != "gas_limit"], 2: lambda n: [*n, "note"],
+              3: lambda n: [{"gas_used": "gas_limit", "gas_limit": "gas_used"}.get(c, c) for c in n]}
+    spoils = {4: lambda b: None, 5: lambda b: b[:-7], 6: lambda b: b[:99] + bytes([b[99] ^ 1]) + b[100:]}
+    return {**({"columns": shapes[k]} if k in shapes else {}), **({"spoil": spoils[k]} if k in spoils else {})}
+
+
 def fixture_archive(spark: SparkSession, sf_dir: str) -> str:
     """The archive written from the fixture views of ``sf_dir``, under the
-    shared scratch root; written once and reused while its manifest exists."""
-    from ledgerlake.session import scratch_path
+    shared scratch root; written once and reused while its manifest exists.  It has
+    two schema versions, and legacy entries in its lookups."""
     from ledgerlake.sources import fixtures as fx
-    root = scratch_path(spark, f"archive-{fixture_tag(sf_dir, spark)}")
-    if fsio.size_of(f"{root}/{MANIFEST_NAME}") is None:
-        frames = {k: fx.raw(spark, sf_dir, k) for k in KINDS}
+
+    def write(root):
         lookups = {"function_selectors": fx.candidates(spark, sf_dir, "selector"),
                    "event_topics": fx.candidates(spark, sf_dir, "topic")}
-        write_archive(spark, frames, root, lookups)
+        write_archive(spark, {k: fx.raw(spark, sf_dir, k) for k in KINDS}, root, lookups, rule=two_versions,
+                      legacy=F.col("key").endswith("7"))
+    return _once(spark, sf_dir, "archive", write)
+
+
+def flawed_archive(spark: SparkSession, sf_dir: str) -> str:
+    """Blocks only, with the flaws of :func:`flawed` and a declared latest complete day."""
+    from ledgerlake.sources import fixtures as fx
+
+    def write(root):
+        write_archive(spark, {"blocks": fx.raw(spark, sf_dir, "blocks")}, root, rule=flawed,
+                      latest_complete_date="1997-03-04")
+    return _once(spark, sf_dir, "flawed", write)
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    from ledgerlake.session import scratch_path
+    root = scratch_path(spark, f"{name}-{fixture_tag(sf_dir, spark)}")
+    if fsio.size_of(f"{root}/{MANIFEST_NAME}") is None:
+        write(root)
     return root
