@@ -6,14 +6,11 @@ A candidate table has one row per ``(key, pos)``: ``key`` (lower-case hex),
 :func:`ledgerlake.sources.lookups.read_lookup`.
 
 Join strategy for labelling (E4, E5, E6): the lookup is reduced to the best
-candidate per key (E3, an aggregate over the lookup, not the data), then
-materialised and measured (:func:`ledgerlake.plans.joins.join_checked`).
-Under the limit it is broadcast and the big table is never shuffled by a hot
-selector.  Over the limit (the ~650 MB selector file) it is cut to the keys
-the data actually uses (a left-semi join with the distinct keys, combined
-map-side) and measured again; only beyond that does the join stay sort-merge,
-with AQE's skew handling splitting the hot keys (value transfers,
-``transfer``) across tasks.
+candidate per key (E3, an aggregate over the lookup, not the data) and joined by
+:func:`ledgerlake.plans.joins.left_join_keyed`: broadcast under a measured size; over
+it (the ~650 MB selector file) cut to the keys the data uses and measured again;
+beyond that split, so that hot selectors, value transfers, ``transfer`` and rows
+without a selector are never shuffled.
 """
 
 from __future__ import annotations
@@ -22,7 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.hexnum import norm_key
-from ledgerlake.plans.joins import join_checked
+from ledgerlake.functions import bloom
+from ledgerlake.plans.joins import DEFAULT_LIMIT, left_join_keyed, measure
 
 # Keys that never resolve (fixed values: value-only transfer markers).
 NO_SELECTOR = ("", "0x")
@@ -49,9 +47,10 @@ def lookup(cands: DataFrame, keys: list[str]) -> DataFrame:
 
 def resolve_keys(cands: DataFrame, data: DataFrame, key_col: str) -> DataFrame:
     """E2 for the keys used in ``data``: ranked candidates of every key that
-    appears in ``data[key_col]`` (left-semi join, keys lower-cased)."""
-    used = data.select(_key(key_col).alias("key")).distinct()
-    return rank_candidates(cands.join(used, "key", "left_semi"))
+    appears in ``data[key_col]`` (left-semi join, keys lower-cased).  A Bloom filter of
+    the used keys cuts the candidates before they are shuffled."""
+    used, n, _ = measure(data.select(_key(key_col).alias("key")).where(F.col("key").isNotNull()).distinct())
+    return rank_candidates(bloom.cut(cands, "key", used, n, DEFAULT_LIMIT).join(used, "key", "left_semi"))
 
 
 def best_candidates(cands: DataFrame) -> DataFrame:
@@ -67,28 +66,28 @@ def best_candidates(cands: DataFrame) -> DataFrame:
                          F.col("b.count").alias("count"), F.col("b.abi").alias("abi")))
 
 
-def label(data: DataFrame, key_col: str, cands: DataFrame, prefix: str = "") -> DataFrame:
+def label(data: DataFrame, key_col: str, cands: DataFrame, prefix: str = "",
+          limit: int | None = None) -> DataFrame:
     """Add ``signature`` (and ``abi``) of the best candidate for
-    ``data[key_col]``.  Unresolved, empty and ``0x`` keys stay, with null."""
+    ``data[key_col]``.  Unresolved, empty and ``0x`` keys stay, with null.
+    ``limit`` is the broadcast limit in bytes, the session's by default."""
     best = best_candidates(cands).select(
         F.col("key").alias("_lk"), F.col("signature").alias(f"{prefix}signature"),
         F.col("abi").alias(f"{prefix}abi"))
-    used = data.select(_key(key_col).alias("_lk")).distinct()
-    return join_checked(data, best, _key(key_col) == F.col("_lk"), "left",
-                        reduce=lambda b: b.join(used, "_lk", "left_semi")).drop("_lk")
+    return left_join_keyed(data, _key(key_col), best, NO_SELECTOR, limit)
 
 
-def label_txs(txs: DataFrame, selectors: DataFrame) -> DataFrame:
+def label_txs(txs: DataFrame, selectors: DataFrame, limit: int | None = None) -> DataFrame:
     """``txs.input_prefix`` to a function signature."""
-    return label(txs, "input_prefix", selectors)
+    return label(txs, "input_prefix", selectors, limit=limit)
 
 
-def label_events(events: DataFrame, topics: DataFrame) -> DataFrame:
+def label_events(events: DataFrame, topics: DataFrame, limit: int | None = None) -> DataFrame:
     """E5: ``events.topic0`` to an event signature."""
-    return label(events, "topic0", topics)
+    return label(events, "topic0", topics, limit=limit)
 
 
-def all_candidates(data: DataFrame, key_col: str, cands: DataFrame) -> DataFrame:
+def all_candidates(data: DataFrame, key_col: str, cands: DataFrame, limit: int | None = None) -> DataFrame:
     """Every candidate per row as ``candidates``
     (``array<struct<signature, count, abi>>``), in E2's rank order.
 
@@ -106,19 +105,19 @@ def all_candidates(data: DataFrame, key_col: str, cands: DataFrame) -> DataFrame
                             F.transform("ranked", lambda x: F.struct(
                                 x["signature"].alias("signature"), x["count"].alias("count"),
                                 x["abi"].alias("abi"))).alias("candidates")))
-    used = data.select(_key(key_col).alias("_lk")).distinct()
-    return join_checked(data, per_key, _key(key_col) == F.col("_lk"), "left",
-                        reduce=lambda p: p.join(used, "_lk", "left_semi")).drop("_lk")
+    return left_join_keyed(data, _key(key_col), per_key, NO_SELECTOR, limit)
 
 
 def unresolved(data: DataFrame, key_col: str, cands: DataFrame) -> DataFrame:
     """Keys with no candidate and how many rows carry them.
 
     Not an error; null, empty and ``0x`` keys are excluded.  Counting per key
-    happens before the anti join, so a hot key costs one row in the shuffle.
+    happens before the anti join, so a hot key costs one row in the shuffle; a Bloom
+    filter of these keys cuts the lookup before its keys are shuffled.
     """
     k = _key(key_col)
     per_key = (data.filter(F.col(key_col).isNotNull() & ~F.col(key_col).isin(*NO_SELECTOR))
                    .groupBy(k.alias("key")).agg(F.count(F.lit(1)).alias("rows")))
-    known = cands.select("key").distinct()
+    per_key, n, _ = measure(per_key)
+    known = bloom.cut(cands.select("key"), "key", per_key.select("key"), n, DEFAULT_LIMIT).distinct()
     return per_key.join(known, "key", "left_anti")

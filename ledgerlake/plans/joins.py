@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
+from ledgerlake.functions import bloom
 from ledgerlake.session import scratch_root
 
 LIMIT_CONF = "ledgerlake.broadcastBytes"
@@ -61,17 +62,54 @@ def measure(small: DataFrame) -> tuple[DataFrame, int, int]:
 
 
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "left",
-                 limit: int | None = None, reduce=None) -> DataFrame:
+                 limit: int | None = None) -> DataFrame:
     """``big.join(small, on, how)`` with ``small`` broadcast only when its
     measured size is under ``limit`` (default :func:`broadcast_limit`).
 
-    ``reduce(small) -> DataFrame`` is tried when ``small`` is over the limit
-    (e.g. keep only the keys ``big`` uses); its result is measured in turn.
     Beyond the limit the join is left to sort-merge and AQE's skew handling.
     """
     lim = broadcast_limit(big.sparkSession) if limit is None else limit
     m, _, nbytes = measure(small)
-    if nbytes > lim and reduce is not None:
-        m, _, nbytes = measure(reduce(m))
     side = F.broadcast(m) if nbytes <= lim else m
     return big.join(side, on, how)
+
+
+# Most keys that a split join treats as frequent, and items its sketch tracks.
+FREQUENT_KEYS, TRACKED = 1000, 50_000
+
+
+def frequent(df: DataFrame, key: Column, share: float) -> list[str]:
+    """Keys that hold at least about ``share`` of the rows, by a mergeable sketch."""
+    r = df.select(key.alias("k")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {FREQUENT_KEYS}, {TRACKED})").alias("top")).first()
+    return [t["item"] for t in r["top"] or [] if t["item"] is not None and t["count"] >= max(1, share * r["n"])]
+
+
+def left_join_keyed(big: DataFrame, key: Column, table: DataFrame, never: tuple[str, ...] = (),
+                    limit: int | None = None) -> DataFrame:
+    """``big`` left-joined with ``table`` (one row a key, in column ``_lk``) on ``key``.
+
+    ``table`` is broadcast if its measured size is under ``limit``; else it is cut to the
+    keys that ``big`` uses (a Bloom filter before any shuffle, then a semi-join) and
+    measured again.  Beyond that the rows are split: those of frequent keys, of the
+    ``never`` keys and without a key meet a broadcast of the few table rows they can
+    match and are not shuffled, the rest is joined by sort-merge.
+    """
+    spark = big.sparkSession
+    lim = broadcast_limit(spark) if limit is None else limit
+    m, _, nbytes = measure(table)
+    if nbytes > lim:
+        used, n, _ = measure(big.select(key.alias("_lk")).where(F.col("_lk").isNotNull()).distinct())
+        m, _, nbytes = measure(bloom.cut(m, "_lk", used, n, DEFAULT_LIMIT).join(used, "_lk", "left_semi"))
+    if nbytes <= lim:
+        return big.join(F.broadcast(m), key == F.col("_lk"), "left").drop("_lk")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = sorted({*never, *frequent(big, key, 1 / (4 * width))})
+    few, _, size = measure(m.where(F.col("_lk").isin(*hot)) if hot else m.limit(0))
+    if size > max(lim, DEFAULT_LIMIT):  # a few huge rows: only keys that match nothing stay apart
+        hot = list(never)
+        few = m.where(F.col("_lk").isin(*hot)) if hot else m.limit(0)
+    apart = key.isNull() | key.isin(*hot) if hot else key.isNull()
+    near = big.where(apart).join(F.broadcast(few), key == F.col("_lk"), "left")
+    far = big.where(~apart).join(m.where(~F.col("_lk").isin(*hot)) if hot else m, key == F.col("_lk"), "left")
+    return near.unionByName(far).drop("_lk")

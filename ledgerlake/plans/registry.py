@@ -308,6 +308,23 @@ def e6(spark, sf_dir):
         F.array_join(F.transform("candidates", lambda x: x["count"].cast("string")), ";").alias("candidate_counts"))
 
 
+# The same over a lookup that may not be broadcast: the split join.
+@register("e4_label_txs_split", f"""
+select t.*, b.signature, b.abi
+from txs t left join {_DUCK_BEST.format(c='selector_candidates')} b on b.key = lower(t.input_prefix)
+""")
+def e4_split(spark, sf_dir):
+    return L.label_txs(fx.decoded(spark, sf_dir, "txs"), fx.candidates(spark, sf_dir, "selector"), limit=0)
+
+
+@register("e5_label_events_split", f"""
+select e.*, b.signature, b.abi
+from events e left join {_DUCK_BEST.format(c='topic_candidates')} b on b.key = lower(e.topic0)
+""")
+def e5_split(spark, sf_dir):
+    return L.label_events(fx.decoded(spark, sf_dir, "events"), fx.candidates(spark, sf_dir, "topic"), limit=0)
+
+
 @register("e7_unresolved", """
 select lower(input_prefix) as key, count(*) as rows from txs
 where input_prefix is not null and input_prefix not in ('', '0x')

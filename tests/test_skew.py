@@ -90,3 +90,43 @@ def test_large_lookup_is_cut_to_used_keys(spark):
         spark.conf.unset(LIMIT_CONF)
     assert rows == [("", ""), ("0x00000007", "f7()"), ("0x00000007", "f7()")]
     assert "BroadcastHashJoin" in plan
+
+
+def test_split_join_shuffles_cold_keys_only(spark):
+    from ledgerlake.plans import joins as J
+    rows = [(i, k) for i, k in enumerate(
+        ["0xhot"] * 3000 + [None, "", "0x"] * 500 + [f"0x{i:04x}" for i in range(700)])]
+    data = spark.createDataFrame(rows, "id long, k string").repartition(4)
+    table = spark.createDataFrame([("0xhot", "hot()")] + [(f"0x{i:04x}", f"f{i}()") for i in range(0, 9000, 2)],
+                                  "_lk string, s string")
+    assert J.frequent(data, F.col("k"), 0.05) == ["0xhot"] or set(J.frequent(data, F.col("k"), 0.05)) == {"0xhot", "", "0x"}
+    out = J.left_join_keyed(data, F.col("k"), table, L.NO_SELECTOR, limit=0)
+    names = {r[0]: r[1] for r in table.collect()}
+    assert {(r.id, r.s) for r in out.collect()} == {(i, names.get(k)) for i, k in rows}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = J.left_join_keyed(data, F.col("k"), table, L.NO_SELECTOR, limit=0)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
+        # The frequent and the never-matching keys are filtered out below the exchange.
+        shuffled = plan[plan.index("SortMergeJoin"):]
+        assert "0xhot" in shuffled and shuffled.index("Exchange") < shuffled.index("0xhot")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_bloom_filter_loses_no_key(spark):
+    from ledgerlake.functions import bloom
+    used = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("key"))
+    table = spark.range(60_000).select(F.sha2(F.col("id").cast("string"), 256).alias("key"), "id")
+    kept = bloom.cut(table, "key", used, 3000, 1 << 20)
+    ids = {r.id for r in kept.select("id").collect()}
+    assert set(range(3000)) <= ids and len(ids) < 3000 + 0.03 * 57_000  # rows that go on to a shuffle
+    assert bloom.cut(table, "key", used, 10 ** 9, 1 << 20).count() == 60_000
+    blocks = bloom.blocks_for(30_000)  # partial filters merge
+    merged = bloom.build(used.union(used.limit(500)).repartition(7), "key", blocks)
+    assert merged.count() == blocks and bloom.may_hold(used, "key", merged, blocks).count() == 3000
+    nulls = spark.createDataFrame([(None,)], "key string")
+    assert bloom.may_hold(nulls, "key", bloom.build(nulls, "key", 1), 1).count() == 0
