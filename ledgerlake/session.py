@@ -91,7 +91,8 @@ def scratch_root(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(d)
     except Exception:  # pragma: no cover
         pass
-    return d.rstrip("/")
+    from ledgerlake.sources import fsio
+    return fsio.qualify(spark, d)
 
 
 def scratch_path(spark: SparkSession, name: str, unique: bool = False) -> str:

@@ -41,12 +41,14 @@ class Archive:
     """A mirrored archive root (local, HDFS, S3A, ABFS ...)."""
 
     def __init__(self, spark: SparkSession, root: str, chain_id: int | None = DEFAULT_CHAIN_ID,
-                 decode: bool = True, verify: bool = True, strict: bool = True):
-        """``verify`` checks size and MD5 of files before they are read (once
-        per file and MD5); ``strict`` refuses a manifest with an entry that
+                 decode: bool = True, verify: bool = True, strict: bool = True, ledger: str | None = None):
+        """``verify`` checks size and MD5 of files before they are read, once per file and
+        time of change over all sessions that share the ``ledger`` folder (by default one
+        in the shared scratch folder); ``strict`` refuses a manifest with an entry that
         breaks the contract (A2), else such entries are left out."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.ledger = ledger
         self.decode = decode
         self.verify = verify
         self._verified: set[tuple[str, str]] = set()
@@ -168,7 +170,7 @@ class Archive:
         return decode_hex_columns(out, kind) if decode else out
 
     def check_entries(self, entries: list[dict]) -> None:
-        """D1 on the entries about to be read, once per key and MD5; raises."""
+        """D1 on the entries about to be read, by the ledger of verified files; raises."""
         todo = [e for e in entries if (e["key"], e["md5"]) not in self._verified]
         if not self.verify or not todo:
             return
@@ -176,7 +178,7 @@ class Archive:
         rows = [(e["date"], e["kind"], e["key"], e["size"], e["md5"]) for e in todo]
         df = self.spark.createDataFrame(
             rows, "date string, kind string, key string, size long, md5 string")
-        bad = (D.verify_objects(self.spark, self.root, df)
+        bad = (D.Ledger(self.spark, self.root, self.ledger).check(df)
                .where(F.col("status") != D.OK).select("key", "status").collect())
         if bad:
             kind = FileNotFoundError if all(r["status"] == D.MISSING for r in bad) else ValueError
@@ -312,7 +314,7 @@ def column_conformance(spark: SparkSession, root: str, files: DataFrame,
     problem)`` with ``problem`` in {missing, extra, out_of_order}.  A kind with
     no declared columns is undeclared and is not reported.
     """
-    base = root.rstrip("/")
+    base = fsio.qualify(spark, root)
     paths = files.select("date", "kind", "key",
                          F.concat(F.lit(base + "/"), F.col("key")).alias("path"))
 

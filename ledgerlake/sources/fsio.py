@@ -1,29 +1,44 @@
 """File access for code that runs inside tasks (hashing, copying, footers).
 
-Local and ``file:`` paths use the OS; any other URI goes through
-``pyarrow.fs`` (HDFS, S3, GCS, ABFS where pyarrow has them).
+Paths are full URIs, as :func:`qualify` makes them on the driver from the session's
+Hadoop settings, so a path without a scheme means the same file system in a task as in
+Spark.  ``file:`` URIs use the OS; any other goes through ``pyarrow.fs`` (HDFS, S3,
+GCS, ABFS where pyarrow has them).  An absolute path without a scheme is taken for a
+local one only here, by code that names local files on purpose; a relative one
+is refused.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 CHUNK = 1 << 20  # 1 MiB hashing and copy chunks
+_SCHEME = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):")
+
+
+def qualify(spark, path: str) -> str:
+    """``path`` as a full URI of the file system that Spark would use for it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString().rstrip("/")
 
 
 def _split(path: str):
-    if path.startswith("file:"):
+    scheme = _SCHEME.match(path)
+    if scheme is None:
+        if not path.startswith("/"):
+            raise ValueError(f"relative path: {path}")
+        return None, path
+    if scheme[1] == "file":
         p = path[len("file:"):]
         while p.startswith("//"):
             p = p[1:]
         return None, p
-    if "://" not in path:
-        return None, path
     import pyarrow.fs as pafs
-    scheme, rest = path.split("://", 1)
     # Hadoop's S3 connectors name the scheme s3a / s3n; pyarrow knows it as s3.
-    if scheme in HADOOP_S3:
-        path = f"s3://{rest}"
+    if scheme[1] in HADOOP_S3:
+        path = f"s3:{path[scheme.end():]}"
     fs, p = pafs.FileSystem.from_uri(path)
     return fs, p
 
@@ -42,17 +57,35 @@ def size_of(path: str) -> int | None:
     return info.size if info.type == pafs.FileType.File else None
 
 
+def stat(path: str) -> tuple[int, int] | None:
+    """(bytes, time of change in ns) of a file, or None when it does not exist."""
+    fs, p = _split(path)
+    if fs is None:
+        if not os.path.isfile(p):
+            return None
+        st = os.stat(p)
+        return st.st_size, st.st_mtime_ns
+    import pyarrow.fs as pafs
+    info = fs.get_file_info(p)
+    return (info.size, info.mtime_ns or 0) if info.type == pafs.FileType.File else None
+
+
 def open_read(path: str):
     fs, p = _split(path)
     return open(p, "rb") if fs is None else fs.open_input_stream(p)
 
 
-def read_tail(path: str, size: int) -> bytes:
-    """The last ``size`` bytes of a file."""
+def read_range(path: str, start: int, length: int):
+    """The bytes ``start .. start + length`` of a file, in pieces of at most 1 MiB."""
     fs, p = _split(path)
     with (open(p, "rb") if fs is None else fs.open_input_file(p)) as f:
-        f.seek(max(0, size_of(path) - size))
-        return f.read(size)
+        f.seek(start)
+        while length > 0:
+            b = f.read(min(CHUNK, length))
+            if not b:
+                return
+            yield b
+            length -= len(b)
 
 
 def open_write(path: str):
@@ -106,7 +139,8 @@ def local_path(path: str) -> str:
 
 def is_local(root: str) -> bool:
     """A local or mounted path (no scheme, or ``file:``)."""
-    return "://" not in root or root.startswith("file:")
+    scheme = _SCHEME.match(root)
+    return scheme is None or scheme[1] == "file"
 
 
 class driver_listing:

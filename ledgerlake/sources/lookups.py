@@ -20,13 +20,16 @@ CANDIDATES_DDL = "array<struct<signature:string,count:bigint,abi:string>>"
 KEY = r'^\s*("(?:[^"\\]++|\\.)*+")\s*:'
 
 
-def verify_lookup(path: str, entry: dict) -> None:
-    """Size and MD5 of a lookup file against its manifest entry; raises."""
-    size = fsio.size_of(path)
-    if size is None:
+def verify_lookup(spark: SparkSession, path: str, entry: dict) -> None:
+    """Size and MD5 of a lookup file against its manifest entry, in a task; raises."""
+    from ledgerlake.operators.integrity import MISSING, OK, Ledger
+    root, _, name = path.rpartition("/")
+    row = spark.createDataFrame([(name, entry["size"], entry["md5"])], "key string, size long, md5 string")
+    status = Ledger(spark, root).check(row).first()["status"]
+    if status == MISSING:
         raise FileNotFoundError(path)
-    if size != entry["size"] or fsio.md5_of(path, limit=entry["size"])[1] != entry["md5"]:
-        raise ValueError(f"lookup file does not match its manifest entry: {path}")
+    if status != OK:
+        raise ValueError(f"lookup file does not match its manifest entry ({status}): {path}")
 
 
 def read_lookup(spark: SparkSession, path: str, entry: dict | None = None) -> DataFrame:
@@ -36,8 +39,9 @@ def read_lookup(spark: SparkSession, path: str, entry: dict | None = None) -> Da
     first.  The object must be whole, and an entry that does not parse raises.
     """
     from ledgerlake.session import scratch_root
+    path = fsio.qualify(spark, path)
     if entry is not None:
-        verify_lookup(path, entry)
+        verify_lookup(spark, path, entry)
     elif fsio.size_of(path) is None:
         raise FileNotFoundError(path)
     scratch_root(spark)

@@ -53,7 +53,7 @@ def write_days(df: DataFrame, root: str, kind: str, rule=None) -> DataFrame:
     as contiguous runs; ``mapInPandas`` streams the batches, keeps only the
     current day, and writes it when the day changes (memory: one day).
     """
-    root = root.rstrip("/")
+    root = fsio.qualify(df.sparkSession, root)
     known = [f.name for f in RAW[kind].fields if f.name in df.columns]
     names = known + [c for c in df.columns if c != "date" and c not in RAW[kind].names]
     longs = {f.name for f in RAW[kind].fields if f.dataType.typeName() == "long"}

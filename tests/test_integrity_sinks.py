@@ -112,3 +112,108 @@ def test_text_safe_binary_and_decimal(spark, scratch):
     sinks.write_ndjson(df.coalesce(1), out)
     row = json.loads(_read_parts(out, "part-*.json").splitlines()[0])
     assert row == {"b": "dead", "d": "1000000000000000000000000000000", "s": None}
+
+
+# ------------------------------------------------------------------- ledger
+def _state(spark, root, ledger, again=False, chunk=100):
+    files, _ = _entries(spark, root)
+    rows = D.Ledger(spark, root, ledger, chunk).check(files, again=again).collect()
+    return {r["kind"]: (r["status"], r["bad_start"]) for r in rows}, sum(r["bytes_read"] for r in rows)
+
+
+def test_second_session_hashes_nothing_and_changes_are_caught(spark, scratch):
+    root, ledger = os.path.join(scratch, "led"), os.path.join(scratch, "ledger")
+    doc = make_archive(root)
+    total = sum(e["size"] for e in doc["files"])
+    fine = {k: ("ok", None) for k in ("blocks", "txs", "events")}
+    assert _state(spark, root, ledger) == (fine, total)
+    assert _state(spark, root, ledger) == (fine, 0)                 # another object, as another session
+    assert _state(spark, root, ledger, again=True) == (fine, total)  # by chunks now
+    n = D.Ledger(spark, root, ledger, 100).chunks().count()
+    assert n == sum(-(-e["size"] // 100) for e in doc["files"])
+    # One byte changed in the middle: same size, another time of change.
+    path = os.path.join(root, doc["files"][1]["key"])
+    body = bytearray(open(path, "rb").read())
+    body[250] ^= 1
+    with open(path, "wb") as f:
+        f.write(body)
+    st, read = _state(spark, root, ledger)
+    assert st[doc["files"][1]["kind"]] == ("md5_mismatch", 200) and read == doc["files"][1]["size"]
+    body[250] ^= 1
+    with open(path, "wb") as f:
+        f.write(body)
+    assert _state(spark, root, ledger) == (fine, doc["files"][1]["size"])
+    os.remove(path)
+    with open(os.path.join(root, doc["files"][0]["key"]), "ab") as f:
+        f.write(b"x")
+    st, read = _state(spark, root, ledger)
+    assert sorted(s for s, _ in st.values()) == ["missing", "ok", "size_mismatch"] and read == 0
+
+
+def test_archive_opens_by_its_ledger(spark, scratch):
+    root, ledger = os.path.join(scratch, "arc"), os.path.join(scratch, "arc-ledger")
+    make_archive(root)
+    assert Archive(spark, root, ledger=ledger).load_day(DAY, "txs").count() == N_TXS
+    before = D.Ledger(spark, root, ledger).verified().count()
+    assert Archive(spark, root, ledger=ledger).load_day(DAY, "txs").count() == N_TXS
+    assert D.Ledger(spark, root, ledger).verified().count() == before == 1
+
+
+def _large(spark, scratch, name, size=3 << 20):
+    import hashlib
+    body = bytes(range(256)) * (size // 256) + b"tail"
+    os.makedirs(os.path.join(scratch, name, "daily"))
+    with open(os.path.join(scratch, name, "daily", "big.bin"), "wb") as f:
+        f.write(body)
+    row = (DAY, "txs", "daily/big.bin", len(body), hashlib.md5(body).hexdigest(), "v2")
+    return os.path.join(scratch, name), body, spark.createDataFrame(
+        [row], "date string, kind string, key string, size long, md5 string, schema_version string")
+
+
+def test_one_large_file_is_verified_by_many_tasks(spark, scratch):
+    root, body, df = _large(spark, scratch, "large")
+    ledger = D.Ledger(spark, root, os.path.join(scratch, "large-ledger"), 256 << 10)
+    assert ledger.check(df).first()["status"] == "ok"
+    chunks = ledger.chunks()
+    assert chunks.count() == 13 and D._tasks(spark, chunks, "length") > 4
+    with open(os.path.join(root, "daily", "big.bin"), "r+b") as f:
+        f.seek(2 << 20)
+        f.write(b"?")
+    r = ledger.check(df).first()
+    assert (r["status"], r["bad_start"], r["bytes_read"]) == ("md5_mismatch", 2 << 20, len(body))
+
+
+def test_mirror_resumes_by_parts(spark, scratch):
+    root, body, df = _large(spark, scratch, "from")
+    dest, chunk = os.path.join(scratch, "to"), 512 << 10
+    assert {r["status"] for r in D.copy_parts(spark, root, dest, df, chunk).collect()} == {"copied"}
+    parts = sorted(glob.glob(os.path.join(dest, "daily", "*.part-*")))
+    assert len(parts) == 7
+    os.remove(parts[3])                       # a mirror that was interrupted
+    st = sorted((r["start"], r["status"]) for r in D.copy_parts(spark, root, dest, df, chunk).collect())
+    assert [s for _, s in st] == ["present"] * 3 + ["copied"] + ["present"] * 3
+    assert D.mirror(spark, root, dest, df, chunk=chunk).first()["status"] == "copied"
+    left = glob.glob(os.path.join(dest, "daily", "*"))
+    assert len(left) == 1 and open(left[0], "rb").read() == body
+    assert D.mirror(spark, root, dest, df, chunk=chunk).first()["status"] == "present"
+    # A part damaged on the way: the file is refused and the parts go.
+    other = os.path.join(scratch, "other")
+    D.copy_parts(spark, root, other, df, chunk).count()
+    bad = sorted(glob.glob(os.path.join(other, "daily", "*.part-*")))[2]
+    with open(bad, "r+b") as f:
+        f.write(b"?")
+    assert D.mirror(spark, root, other, df, chunk=chunk).first()["status"] == "md5_mismatch"
+    assert not glob.glob(os.path.join(other, "daily", "*"))
+    assert D.mirror(spark, root, other, df, chunk=chunk).first()["status"] == "copied"
+
+
+def test_paths_are_qualified(spark, scratch):
+    from ledgerlake.sources import fsio
+    assert fsio.qualify(spark, scratch) == f"file:{scratch}" and fsio.qualify(spark, f"file://{scratch}/x") == f"file:{scratch}/x"
+    assert fsio.is_local("file:/x") and not fsio.is_local("hdfs:/x") and not fsio.is_local("s3a://b/x")
+    for path in ("x/y", "hdfs:/x"):
+        try:
+            fsio.size_of(path)
+        except Exception:
+            continue
+        raise AssertionError(path)
