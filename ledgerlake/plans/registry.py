@@ -347,8 +347,10 @@ def e7(spark, sf_dir):
 # ------------------------------------------------------------------ catalog
 from ledgerlake.operators import catalog as A  # noqa: E402
 
-# Fixed parameters of the registered catalog queries: the whole fixture span.
+# Fixed parameters of the registered catalog queries: the whole fixture span, and one
+# that cuts days at both ends.
 SPAN = ("1990-01-01", "2100-12-31")
+CUT = ("1997-03-05", "2000-11-20")
 BASE = "/data/archive"
 
 _DUCK_RESOLVED = """(select date, kind, arg_min(key, pos) as key, arg_min(size, pos) as size,
@@ -393,6 +395,56 @@ def a7(spark, sf_dir):
     return A.locate(A.range_entries(fx.manifest_files(spark, sf_dir), SPAN[0], SPAN[1], "txs"), BASE)
 
 
+@register("a4_latest_declared", """
+select max(d) as latest_complete_date, date'1997-03-04' as declared_latest_complete_date
+from (select cast(date as date) as d from manifest_files group by 1
+      having count(distinct kind) = 3) c
+""")
+def a4_declared(spark, sf_dir):
+    """A manifest that declares another day than its files give."""
+    return A.latest_complete(fx.manifest_files(spark, sf_dir), "1997-03-04")
+
+
+@register("a6_range_cut", f"""
+select * from {_DUCK_RESOLVED.format(m='manifest_files')} r
+where kind = 'events' and date between '{CUT[0]}' and '{CUT[1]}'
+""")
+def a6_cut(spark, sf_dir):
+    return A.range_entries(fx.manifest_files(spark, sf_dir), CUT[0], CUT[1], "events")
+
+
+@register("a7_locate_cut", f"""
+select *, concat('{BASE}', '/', key) as url from {_DUCK_RESOLVED.format(m='manifest_files')} r
+where kind = 'txs' and date between '{CUT[0]}' and '{CUT[1]}'
+""")
+def a7_cut(spark, sf_dir):
+    return A.locate(A.range_entries(fx.manifest_files(spark, sf_dir), CUT[0], CUT[1], "txs"), BASE)
+
+
+# Entries planted among the manifest's: every rule of A2 broken, alone and together.
+_PLANTED = """
+select pos, case when pos % 13 = 1 then concat(substr(date, 1, 5), '13-45') when pos % 13 = 2 then null else date end as date,
+       case when pos % 13 = 3 then 'logs' else kind end as kind,
+       case when pos % 13 = 4 then concat('daily/../', key) when pos % 13 = 8 then 'x.parquet' else key end as key,
+       case when pos % 13 in (5, 8) then -1 else size end as size,
+       case when pos % 13 = 6 then upper(md5) when pos % 13 = 7 then substr(md5, 1, 31) else md5 end as md5,
+       schema_version
+from {files}
+"""
+
+
+@register("a2_planted_entries", f"""
+select pos, date, kind, key, size, md5, schema_version,
+       case pos % 13 when 1 then 'date' when 2 then 'date' when 3 then 'kind' when 4 then 'key'
+            when 5 then 'size' when 6 then 'md5' when 7 then 'md5' else 'size,key' end as violations
+from ({_PLANTED.replace('{files}', 'manifest_files')}) p where pos % 13 between 1 and 8
+""")
+def a2_planted(spark, sf_dir):
+    planted = spark.sql(_PLANTED, files=fx.manifest_files(spark, sf_dir))
+    bad = A.split_valid(A.file_violations(planted))[1]
+    return bad.withColumn("violations", F.array_join("violations", ","))
+
+
 @register("a8_summary", """
 select kind, count(*) as files, cast(sum(size) as bigint) as bytes, min(date) as first_date,
        max(date) as last_date, cast(sum(size) / 1073741824.0 as decimal(20,3)) as gib
@@ -427,8 +479,8 @@ def a10(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ scans
-from ledgerlake.sources.archive import Archive  # noqa: E402
-from ledgerlake.sources.writer import fixture_archive, fixture_tag  # noqa: E402
+from ledgerlake.sources.archive import Archive, column_conformance  # noqa: E402
+from ledgerlake.sources.writer import fixture_archive, fixture_tag, flawed_archive  # noqa: E402
 
 _LATEST = "(select max(date) from txs)"
 
@@ -448,6 +500,11 @@ def _archive(spark, sf_dir) -> Archive:
     return _ARCHIVES[key]
 
 
+def _flawed(spark, sf_dir) -> Archive:
+    """The archive with flawed files; nothing is verified on open."""
+    return Archive(spark, flawed_archive(spark, sf_dir), verify=False)
+
+
 @register("b1_day_txs", f"""
 select * exclude (date) from txs where date = {_LATEST}
 """)
@@ -463,6 +520,21 @@ def b2(spark, sf_dir):
     return _archive(spark, sf_dir).load_range(SPAN[0], SPAN[1], "txs")
 
 
+@register("b2_range_cut", f"""
+select * from events where date between '{CUT[0]}' and '{CUT[1]}'
+""")
+def b2_cut(spark, sf_dir):
+    return _archive(spark, sf_dir).load_range(CUT[0], CUT[1], "events")
+
+
+@register("b5_rows_range_cut", f"""
+select block_number, max_priority_fee_per_gas, value from txs where date between '{CUT[0]}' and '{CUT[1]}'
+""")
+def b5_cut(spark, sf_dir):
+    """Days before the second version lack one of the columns."""
+    return _archive(spark, sf_dir).rows_range(CUT[0], CUT[1], "txs", ["block_number", "max_priority_fee_per_gas", "value"])
+
+
 @register("b3_per_day", """
 select date, count(*) as txs, count(*) filter (where status = 0) as failed_txs,
        sum(value) as value_wei
@@ -578,16 +650,42 @@ def a1(spark, sf_dir):
     return M.files_table(m).select("date", "kind", "key", "schema_version")
 
 
-@register("a2_rejected_entries")
+@register("a2_rejected_entries", """
+select pos, date, kind, key, size, md5, schema_version, [''] as violations from manifest_files where false
+""")
 def a2(spark, sf_dir):
     return A.split_valid(A.file_violations(_archive(spark, sf_dir).files()))[1]
 
 
-@register("a11_conformance")
+@register("a11_conformance", f"""
+select distinct cast(date as varchar) as date, 'txs' as kind,
+       concat('daily/', cast(date as varchar), '.txs.parquet') as key, 'max_priority_fee_per_gas' as "column",
+       8 as declared_position, cast(null as int) as file_position, 'missing' as problem
+from txs where date < '{fx.FIRST_V2}'
+""")
 def a11(spark, sf_dir):
     return _archive(spark, sf_dir).conformance()
 
 
+# Of the flawed archive: day of 1970 mod 11 says what is wrong with a file.
+_FLAW = """(select distinct cast(date as varchar) as date, concat('daily/', cast(date as varchar), '.blocks.parquet') as key,
+  datediff('day', date'1970-01-01', date) % 11 as k from blocks)"""
+
+
+@register("a11_conformance_flawed", f"""
+select date, 'blocks' as kind, key, "column", declared_position, file_position, problem
+from {_FLAW} d join (values
+  (1, 'gas_limit', 3, cast(null as int), 'missing'), (2, 'note', cast(null as int), 5, 'extra'),
+  (3, 'gas_limit', 3, 2, 'out_of_order'), (3, 'gas_used', 2, 3, 'out_of_order'))
+  f(k, "column", declared_position, file_position, problem) using (k)
+""")
+def a11_flawed(spark, sf_dir):
+    a = _flawed(spark, sf_dir)
+    whole = A.split_valid(A.file_violations(a.files()))[0]
+    fit = I.verify_objects(spark, a.root, whole).where(F.col("status") == I.OK).select("key")
+    return column_conformance(spark, a.root, whole.join(fit, "key", "left_semi"), M.columns_table(a.manifest))
+
+
 _OBJECTS = f"""
 select date, kind, 'STATUS' as status from ({_DAYS}) d
 union all select cast(null as varchar), 'function_selectors', 'STATUS'
@@ -616,6 +714,28 @@ def d2(spark, sf_dir):
     return done.select("date", "kind", "status").checkpoint()
 
 
+_FLAWED = f"""
+select date, 'blocks' as kind, case k when 4 then 'missing' when 5 then 'size_mismatch'
+       when 6 then 'md5_mismatch' else 'STATUS' end as status from {_FLAW} d
+"""
+
+
+@register("d1_verify_flawed", _FLAWED.replace("STATUS", "ok"))
+def d1_flawed(spark, sf_dir):
+    """Files that are not there, cut off or altered, twice: the second time by the ledger."""
+    a = _flawed(spark, sf_dir)
+    ledger = I.Ledger(spark, a.root, scratch_path(spark, "ledger", unique=True), chunk=1024)
+    ledger.check(a.files())
+    return ledger.check(a.files()).select("date", "kind", "status")
+
+
+@register("d2_mirror_flawed", _FLAWED.replace("STATUS", "copied"))
+def d2_flawed(spark, sf_dir):
+    a = _flawed(spark, sf_dir)
+    done = I.mirror(spark, a.root, scratch_path(spark, "mirror", unique=True), a.files(), chunk=1024)
+    return done.select("date", "kind", "status").checkpoint()
+
+
 @register("e1_lookup_rows", """
 select key, pos, signature, count, abi from selector_candidates
 union all
@@ -627,28 +747,80 @@ def e1(spark, sf_dir):
               .unionByName(LK.read_lookup(spark, f"{root}/lookups/event_topics.json")))
 
 
+def _ingested(spark, sf_dir, kind):
+    a = _archive(spark, sf_dir)
+    lake = scratch_path(spark, f"lake-{fixture_tag(sf_dir, spark)}")
+    ING.ingest(spark, a, lake, kinds=(kind,))
+    return ING.read_lake(spark, lake, kind)
+
+
 @register("h1_ingest_txs", """
 select * from txs
 """)
 def h1(spark, sf_dir):
+    return _ingested(spark, sf_dir, "txs")
+
+
+@register("h1_ingest_blocks", """
+select * from blocks
+""")
+def h1_blocks(spark, sf_dir):
+    return _ingested(spark, sf_dir, "blocks")
+
+
+@register("h1_ingest_events", """
+select * from events
+""")
+def h1_events(spark, sf_dir):
+    return _ingested(spark, sf_dir, "events")
+
+
+@register("h2_follow_blocks", """
+select * from blocks
+""")
+def h2(spark, sf_dir):
+    """Two snapshots of a growing archive; the second adds days and rebuilds others."""
+    from ledgerlake.sources.writer import write_archive
+    home = scratch_path(spark, "follow", unique=True)
+    root, snaps, lake, ckpt = (f"{home}/{x}" for x in ("archive", "snapshots", "lake", "checkpoint"))
+    blocks = fx.raw(spark, sf_dir, "blocks")
+    old = blocks.where("date < date'2000-01-01'").withColumn(
+        "gas_used", F.when(F.dayofmonth("date") == 15, F.lit(0).cast("long")).otherwise(F.col("gas_used")))
+    for name, rows in (("1.json", old), ("2.json", blocks)):
+        write_archive(spark, {"blocks": rows}, root)
+        ING.snapshot(root, snaps, name)
+        ING.follow(spark, Archive(spark, root), snaps, lake, ckpt, kinds=("blocks",), max_bytes=1 << 20)
+    return ING.read_lake(spark, lake, "blocks")
+
+
+def _replayed(spark, sf_dir, kind):
     a = _archive(spark, sf_dir)
-    lake = scratch_path(spark, f"lake-{fixture_tag(sf_dir)}")
-    ING.ingest(spark, a, lake, kinds=("txs",))
-    return ING.read_lake(spark, lake, "txs")
+    mirror_root = scratch_path(spark, f"mirror-{kind}-{fixture_tag(sf_dir, spark)}")
+    I.mirror_range(spark, a, mirror_root, SPAN[0], SPAN[1], kinds=(kind,))
+    run = scratch_path(spark, "replay", unique=True)
+    ING.replay(spark, mirror_root, kind, f"{run}/sink", f"{run}/ckpt")
+    return spark.read.parquet(f"{run}/sink")
 
 
 @register("h4_replay_txs", """
 select * from txs
 """)
 def h4(spark, sf_dir):
-    a = _archive(spark, sf_dir)
-    mirror_root = scratch_path(spark, f"mirror-txs-{fixture_tag(sf_dir)}")
-    I.mirror_range(spark, a, mirror_root, SPAN[0], SPAN[1], kinds=("txs",))
-    run = scratch_path(spark, "replay", unique=True)
-    q = ING.replay(spark, mirror_root, "txs", f"{run}/sink", f"{run}/ckpt",
-                   files_per_trigger=500)
-    q.awaitTermination()
-    return spark.read.parquet(f"{run}/sink")
+    return _replayed(spark, sf_dir, "txs")
+
+
+@register("h4_replay_blocks", """
+select * from blocks
+""")
+def h4_blocks(spark, sf_dir):
+    return _replayed(spark, sf_dir, "blocks")
+
+
+@register("h4_replay_events", """
+select * from events
+""")
+def h4_events(spark, sf_dir):
+    return _replayed(spark, sf_dir, "events")
 
 
 @register("f11_sql_raw_decode", f"""

@@ -70,6 +70,18 @@ def stat(path: str) -> tuple[int, int] | None:
     return (info.size, info.mtime_ns or 0) if info.type == pafs.FileType.File else None
 
 
+def list_files(folder: str, suffix: str = "") -> list[str]:
+    """Paths of the visible files in a folder, in name order; none if it is not there."""
+    fs, p = _split(folder)
+    if fs is None:
+        names = [e.name for e in os.scandir(p) if e.is_file()] if os.path.isdir(p) else []
+    else:
+        import pyarrow.fs as pafs
+        found = fs.get_file_info(pafs.FileSelector(p, allow_not_found=True))
+        names = [i.base_name for i in found if i.type == pafs.FileType.File]
+    return [f"{folder.rstrip('/')}/{n}" for n in sorted(names) if n[0] not in "._" and n.endswith(suffix)]
+
+
 def open_read(path: str):
     fs, p = _split(path)
     return open(p, "rb") if fs is None else fs.open_input_stream(p)

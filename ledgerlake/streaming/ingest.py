@@ -8,34 +8,36 @@ rebuilt day (same key, new md5) replaces its partition.  A lost executor
 only retries tasks of the write, and a job that dies before the ledger append
 is simply redone next run (the overwrite is idempotent).
 
-H2 follows new days with Structured Streaming over a folder of manifest
-snapshots (each snapshot a new file).  The daily folder itself is not a
-stream source: a rebuilt file keeps its path and the file source would skip
-it.
-
-H4 replays an immutable mirror (D2) as bounded micro-batches with
-``maxFilesPerTrigger`` and ``availableNow``.
+H2 follows a folder of manifest snapshots as a stream of the entries they bring
+(:mod:`ledgerlake.streaming.source`): every snapshot is diffed in order, and a batch's
+number goes into the ledger with its entries, so a batch that is run again does
+nothing.  The daily folder itself is not a stream source: a rebuilt file keeps its path
+and the file source would skip it.
+
+H4 replays an immutable mirror (D2) in micro-batches bounded by bytes, in the order of
+the mirror's manifest, with the union of the columns of all listed files.
 """
 
 from __future__ import annotations
 
+import warnings
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.hexnum import decode_hex_columns
 from ledgerlake.operators import catalog as A
-from ledgerlake.schemas import BLOCK_COLUMN, KINDS, MANIFEST, RAW, check_kind
+from ledgerlake.schemas import BLOCK_COLUMN, KINDS, RAW, check_kind
 from ledgerlake.sources import fsio
 from ledgerlake.sources import manifest as M
-from ledgerlake.sources.archive import Archive, day_lineage
+from ledgerlake.sources.archive import Archive
 
 LEDGER = "_ledger"
 # Bound on rows per lake file, so a task holding a large slice of a hot day
 # still writes files of bounded size (sorted by block, so row groups prune).
 MAX_RECORDS_PER_FILE = 5_000_000
-LEDGER_DDL = "date string, kind string, key string, md5 string, size long, ingested_at string"
+LEDGER_DDL = ("date string, kind string, key string, md5 string, size long, ingested_at string, "
+              "stream string, batch_id long")
 
 
 def _ledger(spark: SparkSession, lake: str) -> DataFrame:
@@ -75,10 +77,10 @@ def pending(spark: SparkSession, files: DataFrame, lake: str,
 
 def ingest(spark: SparkSession, archive: Archive, lake: str, kinds=KINDS,
            start: str | None = None, end: str | None = None,
-           files: DataFrame | None = None) -> list[dict]:
+           files: DataFrame | None = None, batch: tuple[str, int] | None = None) -> list[dict]:
     """H1: bring ``lake/{kind}`` (decoded, partitioned by ``date``) up to the
-    manifest (or to ``files`` when given, e.g. a snapshot from H2).  Returns
-    the entries ingested (catalog-sized)."""
+    manifest (or to ``files`` when given, e.g. a batch of H2, whose stream and number
+    ``batch`` go into the ledger).  Returns the entries ingested (catalog-sized)."""
     lake = lake.rstrip("/")
     for k in kinds:
         check_kind(k)
@@ -105,7 +107,7 @@ def ingest(spark: SparkSession, archive: Archive, lake: str, kinds=KINDS,
                 fs.delete(p, True)
     if todo:
         now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")  # sortable
-        rows = [(e["date"], e["kind"], e["key"], e["md5"], e["size"], now) for e in todo]
+        rows = [(e["date"], e["kind"], e["key"], e["md5"], e["size"], now, *(batch or (None, None))) for e in todo]
         spark.createDataFrame(rows, LEDGER_DDL).write.mode("append").parquet(f"{lake}/{LEDGER}")
     return todo
 
@@ -126,66 +128,86 @@ def lake_range(spark: SparkSession, lake: str, kind: str, start, end) -> DataFra
                      & (F.col("date") <= F.lit(str(end)).cast("date")))
 
 
+def _start(writer, once: bool, interval: str):
+    """``once`` works off what is there, batch by batch, and stops."""
+    if not once:
+        return writer.trigger(processingTime=interval).start()
+    q = writer.trigger(processingTime="0 seconds").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return q
+
+
 def follow(spark: SparkSession, archive: Archive, snapshots: str, lake: str,
            checkpoint: str, kinds=KINDS, once: bool = True, interval: str = "10 minutes",
-           after=None):
-    """H2: every new manifest snapshot file in ``snapshots`` triggers H1 with
-    that snapshot's entries.  ``once`` runs what is there (``availableNow``);
-    otherwise a processing-time trigger of ``interval``.  ``after(ingested)``
-    runs after each batch (e.g. :func:`refresh_running_totals`).  Returns the
-    query."""
-    # A cut-off or invalid snapshot stops the query instead of passing as empty.
-    stream = (spark.readStream.schema(MANIFEST).option("multiLine", True)
-                   .option("mode", "FAILFAST").json(snapshots))
+           after=None, max_bytes: int | None = None):
+    """H2: every manifest snapshot in ``snapshots`` is taken in by H1, in order.
+
+    Batches hold at most ``max_bytes`` of one snapshot's entries.  ``once`` runs what is
+    there and stops; otherwise a processing-time trigger of ``interval``.
+    ``after(ingested)`` runs after each batch (e.g. :func:`refresh_running_totals`).
+    Returns the query.
+    """
+    from ledgerlake.streaming.source import entry_stream
+    stream_id = fsio.qualify(spark, checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        rows = [r.asDict() for r in batch.collect()]  # catalog rows
         chain = archive.header.get("chain_id")
-        other = batch.where(~F.col("chain_id").eqNullSafe(F.lit(chain))).select("chain_id").limit(1).collect()
+        other = [r["chain_id"] for r in rows if r["chain_id"] != chain]
         if other:
-            raise ValueError(f"snapshot chain_id {other[0][0]} is not {chain}")
-        latest = batch.orderBy(F.desc("generated_at")).limit(1)
-        if latest.isEmpty():
+            raise ValueError(f"snapshot chain_id {other[0]} is not {chain}")
+        done = _ledger(spark, lake).where((F.col("stream") == stream_id) & (F.col("batch_id") == batch_id))
+        rows = [(r["seq"], *(r[f] for f in A.ENTRY_FIELDS)) for r in rows if not r["superseded"]]
+        if not rows or not done.isEmpty():
             return
-        done = ingest(spark, archive, lake, kinds, files=M.files_table(latest))
+        files = spark.createDataFrame(rows, M.FILES_DDL)
+        ingested = ingest(spark, archive, lake, kinds, files=files, batch=(stream_id, batch_id))
         if after is not None:
-            after(done)
+            after(ingested)
 
-    w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if once else w.trigger(processingTime=interval)
-    return w.start()
+    stream = entry_stream(spark, snapshots, max_bytes=max_bytes, kinds=kinds)
+    return _start(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), once, interval)
 
 
 def replay(spark: SparkSession, mirror_root: str, kind: str, sink: str, checkpoint: str,
-           files_per_trigger: int = 1, decode: bool = True):
-    """H4: replay the immutable mirror of ``kind`` as micro-batches of
-    ``files_per_trigger`` days into Parquet at ``sink`` (``date`` from the
-    file name).  Only files that the mirror's manifest lists count: after a
-    rebuild and a second mirror the older copy is still in the folder.  Each
-    file is read once; the result equals B2."""
+           files_per_trigger: int | None = None, decode: bool = True, max_bytes: int = 8 << 30):
+    """H4: replay the immutable mirror of ``kind`` as micro-batches of at most
+    ``max_bytes`` (and ``files_per_trigger`` files) into Parquet at ``sink``, partitioned
+    by ``date``.  Only files that the mirror's manifest lists count: after a
+    rebuild and a second mirror the older copy is still in the folder.  A batch's days
+    replace their partitions, so a batch that is run again changes nothing; the result
+    equals B2, columns that later files add included."""
+    from ledgerlake.streaming.source import FIELDS, entry_stream
     check_kind(kind)
-    listed = A.resolve(M.files_table(M.read_manifest(spark, mirror_root)).where(F.col("kind") == kind))
-    listed = listed.select(F.regexp_extract("key", "[^/]+$", 0).alias("listed_name"))
-    src = (spark.readStream.schema(RAW[kind])
-                .option("maxFilesPerTrigger", files_per_trigger)
-                .option("pathGlobFilter", f"*.{kind}.*parquet")
-                .parquet(f"{mirror_root.rstrip('/')}/daily"))
-    df = (src.withColumn("date", day_lineage()).withColumn("own_name", F.col("_metadata.file_name"))
-          .join(F.broadcast(listed), F.col("own_name") == F.col("listed_name"), "left_semi")  # catalog-sized
-          .drop("own_name"))
-    if decode:
-        df = decode_hex_columns(df, kind)
-    q = (df.writeStream.format("parquet").option("path", sink)
-           .option("checkpointLocation", checkpoint)
-           .partitionBy("date").trigger(availableNow=True).start())
-    return q
+    mirror = Archive(spark, mirror_root)
+    listed = [e for (_, k), e in mirror._winners.items() if k == kind]
+    schema = mirror._parquet([mirror.path(e["key"]) for e in listed], None).schema if listed else RAW[kind]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        entries = [{f: r[f] for f in FIELDS} for r in batch.orderBy("seq").collect()]  # catalog rows
+        if not entries:
+            return
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore", UserWarning)  # several versions are what it is for
+            df = mirror.read_entries(entries, kind, decode=decode, schema=schema)
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("date").parquet(sink))
+
+    stream = entry_stream(spark, M.manifest_path(mirror_root), max_bytes, files_per_trigger, (kind,))
+    return _start(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), True, "")
 
 
 def snapshot(archive_root: str, snapshots: str, name: str | None = None) -> str:
-    """Copy the current manifest into the snapshot folder as a new file."""
+    """Copy the current manifest into the snapshot folder as a new file; names must sort
+    in the order of the snapshots."""
     src = M.manifest_path(archive_root)
+    snapshots = snapshots.rstrip("/")
     stamp = name or datetime.now(timezone.utc).strftime("manifest-%Y%m%dT%H%M%S%f.json")
-    dest = f"{snapshots.rstrip('/')}/{stamp}"
-    tmp = f"{snapshots.rstrip('/')}/.{stamp}.tmp"  # hidden from the file source
+    dest = f"{snapshots}/{stamp}"
+    tmp = f"{snapshots}/.{stamp}.tmp"  # hidden from the file source
     with fsio.open_read(src) as fin, fsio.open_write(tmp) as fout:
         fout.write(fin.read())
     fsio.rename(tmp, dest)
