@@ -39,7 +39,7 @@ PIECES = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, offset long")
 
 _CHUNK = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
-_CACHE_ENTRIES = 1_500_000
+_CACHE_ENTRIES = 200_000
 _ENCODERS: dict = {}
 
 
@@ -185,7 +185,7 @@ def cut_to_powers(pieces, fill: int):
 
 
 def pack(df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-         window: int = 2048, end_id: int = 1, group_tokens: int = 4_000_000,
+         window: int = 2048, end_id: int = 1, group_tokens: int = 1_000_000,
          min_fill: float = 0.97, with_ids: bool = False) -> DataFrame:
     """One row per piece: where its ids stand in the document and the sequence.
 
