@@ -39,7 +39,7 @@ PIECES = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, offset long")
 
 _CHUNK = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
-_CACHE_ENTRIES = 200_000
+_CACHE_ENTRIES = 600_000
 _ENCODERS: dict = {}
 
 
@@ -53,11 +53,34 @@ class ChunkEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.parts: dict[str, bytes] = {"": b""}
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.last = None
+        if suffix:
+            vocab = self.tokenizer.get_vocab()
+            self.last = np.zeros(max(vocab.values()) + 1, bool)
+            self.last[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
 
     def _ids(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
+    def _learn(self, words: list[str]) -> None:
+        """Ids of many parts from one text, cut behind the tokens that end a word.
+
+        A part gives one end of word at least, so if there are as many as parts, each
+        gave one; else they are encoded one by one.
+        """
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1 if self.last is not None else []
+        if len(ends) == len(words) and ends[-1] == len(ids):
+            raw = ids.tobytes()
+            a = 0
+            for word, b in zip(words, (4 * ends).tolist()):
+                self.parts[word] = raw[a:b]
+                a = b
+        else:
+            self.parts.update((w, self._ids(w)) for w in words)
+
     def __missing__(self, chunk: str) -> bytes:
         m = _CHUNK.fullmatch(chunk)
         if m is None:
@@ -83,7 +106,11 @@ class ChunkEncoder(dict):
             self.parts = {"": b""}
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        chunks = text.replace("\n", " ").split(" ")
+        new = {m.group(1).lower() for m in map(_CHUNK.fullmatch, {c for c in chunks if c not in self}) if m}
+        if len(new := [w for w in new if w not in self.parts]) > 1:
+            self._learn(new)
+        return b"".join(map(self.__getitem__, chunks))
 
 
 def chunk_encoder(path: str) -> ChunkEncoder:
