@@ -4,15 +4,25 @@ Reports violations with a count and one example key; never stops the job.
 Every check aggregates before it joins: events are reduced to distinct
 ``(tx_hash, block_number)`` pairs with their counts map-side, so a hot tx or
 block never lands whole in one shuffle partition.
+
+:class:`ContractState` keeps the checks of an ingested lake up to date from the days that
+changed.  Its tables are mergeable summaries: counts per day and block, and, for
+events against txs, the mismatches of every pair of days (nearly all of a day with
+itself).  A changed day replaces its summaries; events of other days meet only its
+txs, cut by a Bloom filter before any shuffle.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions import bloom
+from ledgerlake.plans.joins import DEFAULT_LIMIT, measure
+
 # Check names (fixed values, in report order).
 CHECKS = ("dup_block_number", "dup_event_key", "tx_without_block",
           "event_without_block", "event_block_mismatch")
@@ -63,3 +73,123 @@ def contract_checks(blocks: DataFrame, txs: DataFrame, events: DataFrame) -> Dat
         _report("event_block_mismatch", mismatch, "n", F.col("tx_hash")),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+_STATE = {
+    "blocks": "date date, version string, number long, n long",
+    "txs": "date date, version string, block_number long, n long, ex string",
+    "events": "date date, version string, block_number long, n long, ex string, dup_keys long, dup_ex string",
+    "pairs": "event_date date, tx_date date, n long, ex string",
+    "days": "date string, kind string, md5 string, version string",
+}
+
+
+class ContractState:
+    """D3 kept up to date for a lake of H1, under ``lake/_contract``.
+
+    ``update`` finds the days whose ledger entry changed since the last update and does
+    their part again; ``report`` gives the rows of :func:`contract_checks`.  Summaries are
+    only ever appended, each under its update's version, and the list of days, written
+    last, says which version of a day counts: an update that breaks off leaves nothing
+    behind that is read.
+    """
+
+    def __init__(self, spark: SparkSession, lake: str):
+        self.spark, self.lake = spark, lake.rstrip("/")
+
+    def _stored(self, name: str) -> DataFrame:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.lake}/_contract/{name}")
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return self.spark.createDataFrame([], _STATE[name])
+        return self.spark.read.schema(_STATE[name]).parquet(p.toString())
+
+    def _state(self, name: str) -> DataFrame:
+        """The summaries that count: a row a day of the calendar tells their versions."""
+        days = self._stored("days").select(F.col("date").cast("date").alias("date"), "version").distinct()
+        return self._stored(name).join(F.broadcast(days), ["date", "version"], "left_semi")
+
+    def changed(self) -> tuple[list[str], DataFrame]:
+        """Days to do again, and the ledger's latest entries."""
+        from ledgerlake.streaming.ingest import latest_entries
+        now = latest_entries(self.spark, self.lake).select("date", "kind", "md5").checkpoint()
+        old = self._stored("days")
+        moved = now.join(old, ["date", "kind", "md5"], "left_anti").select("date").union(
+            old.join(now, ["date", "kind"], "left_anti").select("date"))
+        return sorted(r[0] for r in moved.distinct().collect()), now
+
+    def update(self) -> list[str]:
+        """Bring the state up to the lake; returns the days done."""
+        from ledgerlake.streaming.ingest import read_lake
+        days, now = self.changed()
+        if not days:
+            return []
+        version = uuid.uuid4().hex
+        blocks, txs, events = (read_lake(self.spark, self.lake, k) for k in ("blocks", "txs", "events"))
+        of = lambda c: F.col(c).isin(*[F.lit(d).cast("date") for d in days])
+        b, t, e = (x.where(of("date")) for x in (blocks, txs, events))
+        new = {"blocks": b.groupBy("date", "number").agg(F.count(F.lit(1)).alias("n")),
+               "txs": t.groupBy("date", "block_number").agg(F.count(F.lit(1)).alias("n"), F.min("tx_hash").alias("ex")),
+               "events": _event_keys(e)}
+        for name, df in new.items():
+            df.withColumn("version", F.lit(version)).write.mode("append").parquet(f"{self.lake}/_contract/{name}")
+        pairs = self._mismatches(t, e, txs, events.where(~of("date")))
+        kept = self._stored("pairs").where(~of("event_date") & ~of("tx_date"))
+        kept.union(pairs).checkpoint().write.mode("overwrite").parquet(f"{self.lake}/_contract/pairs")
+        same = self._stored("days").where(~F.col("date").isin(*days))
+        done = now.where(F.col("date").isin(*days)).withColumn("version", F.lit(version))
+        same.unionByName(done).checkpoint().write.mode("overwrite").parquet(f"{self.lake}/_contract/days")
+        return days
+
+    def _mismatches(self, changed_txs: DataFrame, changed_events: DataFrame, txs: DataFrame,
+                    other_events: DataFrame) -> DataFrame:
+        """(event_date, tx_date, n, ex) of pairs of days with a changed one among them."""
+        def tx_side(df):
+            return df.select("tx_hash", F.col("block_number").alias("tx_block"), F.col("date").alias("tx_date"))
+
+        def event_side(df):
+            return df.groupBy("tx_hash", "block_number", F.col("date").alias("event_date")).agg(
+                F.count(F.lit(1)).alias("n"))
+
+        def cut(df, keys):
+            used, n, _ = measure(keys.select("tx_hash").where(F.col("tx_hash").isNotNull()).distinct())
+            return bloom.cut(df, "tx_hash", used, n, DEFAULT_LIMIT)
+
+        both = event_side(changed_events).join(tx_side(cut(txs, changed_events)), "tx_hash").union(
+            event_side(cut(other_events, changed_txs)).join(tx_side(changed_txs), "tx_hash"))
+        return (both.where(F.col("block_number") != F.col("tx_block")).groupBy("event_date", "tx_date")
+                .agg(F.sum("n").alias("n"), F.min("tx_hash").alias("ex")))
+
+    def report(self) -> DataFrame:
+        """(check, violations, example), equal to :func:`contract_checks` over the lake."""
+        from ledgerlake.streaming.ingest import read_lake
+        blocks, txs, events = (self._state(k) for k in ("blocks", "txs", "events"))
+        pairs = self._stored("pairs")
+        keys = blocks.select(F.col("number").alias("block_number")).distinct()
+        dup = blocks.groupBy("number").agg(F.sum("n").alias("n")).where("n > 1")
+        # A block on several days: its keys are counted over all of them.
+        spread, n, _ = measure(events.groupBy("block_number").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                               .select("block_number"))
+        once = events.join(spread, events.block_number.eqNullSafe(spread.block_number), "left_anti").select("dup_keys", "dup_ex")
+        if n:
+            raw = read_lake(self.spark, self.lake, "events")
+            raw = raw.join(spread, raw.block_number.eqNullSafe(spread.block_number), "left_semi")
+            once = once.union(_event_keys(raw.withColumn("date", F.lit(None).cast("date"))).select("dup_keys", "dup_ex"))
+        parts = [
+            _report("dup_block_number", dup, None, F.col("number").cast("string")),
+            _report("dup_event_key", once, "dup_keys", F.col("dup_ex")),
+            _report("tx_without_block", txs.join(keys, "block_number", "left_anti"), "n", F.col("ex")),
+            _report("event_without_block", events.join(keys, "block_number", "left_anti"), "n", F.col("ex")),
+            _report("event_block_mismatch", pairs, "n", F.col("ex")),
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+
+def _event_keys(events: DataFrame) -> DataFrame:
+    """Per day and block: rows, an example, keys that occur more than once and the least."""
+    key = F.concat_ws(":", F.col("block_number").cast("string"), F.col("log_index").cast("string"))
+    each = events.groupBy("date", "block_number", "log_index").agg(
+        F.count(F.lit(1)).alias("c"), F.min("tx_hash").alias("ex"))
+    return each.groupBy("date", "block_number").agg(
+        F.sum("c").alias("n"), F.min("ex").alias("ex"), F.count_if(F.col("c") > 1).alias("dup_keys"),
+        F.min(F.when(F.col("c") > 1, key)).alias("dup_ex"))

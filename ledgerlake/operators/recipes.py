@@ -145,17 +145,40 @@ def row_counts(frames: dict[str, DataFrame], by_date: bool = True) -> DataFrame:
     return out.select(*cols)
 
 
+def failed_and_all(txs: DataFrame) -> DataFrame:
+    """Failed txs and all txs of each day."""
+    return (txs.groupBy("date")
+               .agg(F.count_if(F.col("status") == 0).alias("failed_txs"), F.count(F.lit(1)).alias("txs")))
+
+
+def prefix_sums(per_day: DataFrame, day: str, sums: dict[str, str], base: dict[str, int] | None = None) -> DataFrame:
+    """Running sums over days in two levels: within a month by a window, then the months'
+    offsets, which are as many rows as the calendar has months and are summed on the
+    driver.  ``sums`` names the result of each column, ``base`` what came before.
+    ``per_day`` (a row a day) is materialised once.
+    """
+    from pyspark.sql import Window
+
+    from ledgerlake.session import scratch_root
+    spark = per_day.sparkSession
+    scratch_root(spark)
+    days = per_day.withColumn("_month", F.trunc(F.col(day), "month")).checkpoint()
+    months = days.groupBy("_month").agg(*[F.sum(c).alias(c) for c in sums]).collect()
+    total, rows = dict(base or {}), []
+    for r in sorted(months, key=lambda r: (r["_month"] is not None, r["_month"])):
+        rows.append((r["_month"], *[total.get(c, 0) for c in sums]))
+        total = {c: total.get(c, 0) + (r[c] or 0) for c in sums}
+    offsets = spark.createDataFrame(rows, "_of date, " + ", ".join(f"_before_{c} long" for c in sums))
+    w = Window.partitionBy("_month").orderBy(F.asc_nulls_first(day)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = days.join(F.broadcast(offsets), F.col("_month").eqNullSafe(F.col("_of")))
+    return joined.select(*per_day.columns, *[(F.sum(c).over(w) + F.col(f"_before_{c}")).cast("bigint").alias(name)
+                                             for c, name in sums.items()])
+
+
 def running_totals(txs: DataFrame) -> DataFrame:
     """H3 (batch): per-day failed txs and the running total up to that day.
 
-    The window runs over the one-row-per-day aggregate (bounded by the
-    calendar), never over raw rows.
+    Sums run over the one-row-per-day aggregate, never over raw rows, and in two levels
+    (:func:`prefix_sums`), so no window has all days in one partition.
     """
-    from pyspark.sql import Window
-    per_day = (txs.groupBy("date")
-                  .agg(F.count_if(F.col("status") == 0).alias("failed_txs"),
-                       F.count(F.lit(1)).alias("txs")))
-    w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per_day.select("date", "failed_txs", "txs",
-                          F.sum("failed_txs").over(w).cast("bigint").alias("failed_running"),
-                          F.sum("txs").over(w).cast("bigint").alias("txs_running"))
+    return prefix_sums(failed_and_all(txs), "date", {"failed_txs": "failed_running", "txs": "txs_running"})

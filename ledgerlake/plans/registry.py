@@ -227,7 +227,7 @@ def c5(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ integrity
-@register("d3_contract", """
+_D3 = """
 select 'dup_block_number' as "check", count(*) as violations, min(cast(number as varchar)) as example
 from (select number from blocks group by number having count(*) > 1) d
 union all
@@ -242,7 +242,10 @@ from events e where not exists (select 1 from blocks b where b.number = e.block_
 union all
 select 'event_block_mismatch', count(*), min(e.tx_hash)
 from events e join txs t on t.tx_hash = e.tx_hash where e.block_number <> t.block_number
-""")
+"""
+
+
+@register("d3_contract", _D3)
 def d3(spark, sf_dir):
     b, t, e = _bte(spark, sf_dir)
     return D.contract_checks(b, t, e)
@@ -775,6 +778,34 @@ def h1_events(spark, sf_dir):
     return _ingested(spark, sf_dir, "events")
 
 
+@register("d3_contract_incremental", _D3)
+def d3_incremental(spark, sf_dir):
+    """The checks kept by changed days: half of the lake first, then the rest."""
+    a = _archive(spark, sf_dir)
+    lake = scratch_path(spark, "lake-d3", unique=True)
+    for end in ("1999-06-30", None):
+        ING.ingest(spark, a, lake, end=end)
+        D.ContractState(spark, lake).update()
+    return D.ContractState(spark, lake).report()
+
+
+@register("h3_running_refresh", """
+select date, failed_txs, txs,
+       cast(sum(failed_txs) over (order by date rows between unbounded preceding and current row) as bigint) as failed_running,
+       cast(sum(txs) over (order by date rows between unbounded preceding and current row) as bigint) as txs_running
+from (select date, count(*) filter (where status = 0) as failed_txs, count(*) as txs
+      from txs group by date) d
+""")
+def h3_refresh(spark, sf_dir):
+    """Totals kept by changed days: days from 1997 on first, then the earlier ones."""
+    a = _archive(spark, sf_dir)
+    home = scratch_path(spark, "lake-h3", unique=True)
+    for start in ("1997-02-10", None):
+        done = ING.ingest(spark, a, f"{home}/lake", kinds=("txs",), start=start)
+        ING.refresh_running_totals(spark, f"{home}/lake", f"{home}/totals", done)
+    return spark.read.parquet(f"{home}/totals").drop("month")
+
+
 @register("h2_follow_blocks", """
 select * from blocks
 """)

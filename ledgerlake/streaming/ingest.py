@@ -58,6 +58,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def latest_entries(spark: SparkSession, lake: str) -> DataFrame:
+    """(date, kind, key, md5) that each day of the lake was last ingested from."""
+    return (_ledger(spark, lake).groupBy("date", "kind")
+            .agg(F.max_by(F.struct("key", "md5"), "ingested_at").alias("l"))
+            .select("date", "kind", "l.key", "l.md5"))
+
+
 def pending(spark: SparkSession, files: DataFrame, lake: str,
             kinds=KINDS, start: str | None = None, end: str | None = None) -> DataFrame:
     """Valid entries (winning per day and kind) whose key and md5 differ
@@ -69,9 +76,7 @@ def pending(spark: SparkSession, files: DataFrame, lake: str,
         cur = cur.filter(F.col("date") >= str(start))
     if end:
         cur = cur.filter(F.col("date") <= str(end))
-    last = (_ledger(spark, lake).groupBy("date", "kind")
-            .agg(F.max_by(F.struct("key", "md5"), "ingested_at").alias("l"))
-            .select("date", "kind", "l.key", "l.md5"))
+    last = latest_entries(spark, lake)
     return cur.join(last, ["date", "kind", "key", "md5"], "left_anti")
 
 
@@ -214,11 +219,39 @@ def snapshot(archive_root: str, snapshots: str, name: str | None = None) -> str:
     return dest
 
 
-def refresh_running_totals(spark: SparkSession, lake: str, dest: str) -> DataFrame:
-    """H3 (streaming form): after an H2 batch, recompute the per-day failed
-    and total txs with running sums from the lake (per-day aggregates over a
-    ``date``-partitioned table, then a window over one row per day) and
-    replace ``dest``.  Equal to the one-pass total over the same days."""
-    from ledgerlake.operators.recipes import running_totals
-    running_totals(read_lake(spark, lake, "txs")).write.mode("overwrite").parquet(dest)
+def refresh_running_totals(spark: SparkSession, lake: str, dest: str, changed=None) -> DataFrame:
+    """H3 (streaming form): the running totals of the lake's txs in ``dest``, partitioned
+    by month.
+
+    ``changed`` are the entries that H1 took in (as ``follow`` gives them to ``after``).
+    Only their days are counted anew, and only totals from the first of them on are
+    written; None does all.  Equal to the one-pass total over the same days.
+    """
+    from ledgerlake.operators.recipes import failed_and_all, prefix_sums
+    fs, p = _fs(spark, dest)
+    txs = read_lake(spark, lake, "txs")
+    if changed is None or not fs.exists(p):
+        counts, base = failed_and_all(txs), {}
+    else:
+        days = sorted({e["date"] for e in changed if e["kind"] == "txs"})
+        if not days:
+            return spark.read.parquet(dest)
+        old = spark.read.parquet(dest)
+        first = F.trunc(F.lit(days[0]).cast("date"), "month")
+        new = F.col("date").isin(*[F.lit(d).cast("date") for d in days])
+        counts = (old.where((F.col("date") >= first) & ~new).select("date", "failed_txs", "txs")
+                  .union(failed_and_all(txs.where(new))))
+        row = old.where(F.col("date") < first).agg(F.sum("failed_txs"), F.sum("txs")).first()
+        base = {"failed_txs": row[0] or 0, "txs": row[1] or 0}
+    totals = prefix_sums(counts, "date", {"failed_txs": "failed_running", "txs": "txs_running"}, base)
+    month = F.date_format("date", "yyyy-MM").alias("month")
+    out = totals.select("*", month).checkpoint()
+    if changed is not None and fs.exists(p):  # months without a day left
+        left = {r[0] for r in out.select("month").distinct().collect()}
+        for f in fs.listStatus(p):
+            name = f.getPath().getName()
+            if name.startswith("month=") and name[6:] >= days[0][:7] and name[6:] not in left:
+                fs.delete(f.getPath(), True)
+    (out.repartition("month").write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if changed is None else "dynamic").partitionBy("month").parquet(dest))
     return spark.read.parquet(dest)
