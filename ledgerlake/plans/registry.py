@@ -854,6 +854,71 @@ def h4_events(spark, sf_dir):
     return _replayed(spark, sf_dir, "events")
 
 
+_COUNTS = """
+select 'blocks' as kind, date, count(*) as rows from blocks group by date
+union all select 'txs' as kind, date, count(*) as rows from txs group by date
+union all select 'events' as kind, date, count(*) as rows from events group by date
+"""
+
+
+@register("f10_row_counts_footers", _COUNTS)
+def f10_footers(spark, sf_dir):
+    """F10 of the archive's files from their footers alone."""
+    from ledgerlake.sources import footers
+    return footers.row_counts(_archive(spark, sf_dir).footers())
+
+
+@register("a8_block_ranges", """
+select kind, date, count(*) as rows, min(b) as first_block, max(b) as last_block from (
+  select 'blocks' as kind, date, number as b from blocks
+  union all select 'txs', date, block_number from txs
+  union all select 'events', date, block_number from events) x
+group by kind, date
+""")
+def a8_ranges(spark, sf_dir):
+    from ledgerlake.sources import footers
+    return footers.block_ranges(_archive(spark, sf_dir).footers()).drop("row_groups", "bytes")
+
+
+_TEXT_TXS = """
+select block_number, tx_hash, from_address, to_address, cast(value as varchar) as value, gas_used,
+       cast(effective_gas_price as varchar) as effective_gas_price, cast(gas_price as varchar) as gas_price,
+       cast(max_priority_fee_per_gas as varchar) as max_priority_fee_per_gas, type, status, {prefix} as input_prefix,
+       date
+from txs
+"""
+
+
+def _published(spark, sf_dir, form, **options):
+    """Written twice, read back by the manifest of the second publication."""
+    from ledgerlake import sinks
+    path = scratch_path(spark, f"published-{form}", unique=True)
+    txs = fx.decoded(spark, sf_dir, "txs")
+    if form == "parquet":  # a file a day
+        txs = txs.repartition("date")
+    sinks.publish(txs.where("status = 0"), path, form, **options)
+    sinks.publish(txs, path, form, **options)
+    return sinks.published(spark, path, verify=True)
+
+
+@register("g1_ndjson", _TEXT_TXS.format(prefix="input_prefix"))
+def g1(spark, sf_dir):
+    return _published(spark, sf_dir, "ndjson")
+
+
+# CSV has one empty value: an empty selector comes back as null.
+@register("g2_csv", _TEXT_TXS.format(prefix="nullif(input_prefix, '')"))
+def g2(spark, sf_dir):
+    return _published(spark, sf_dir, "csv")
+
+
+@register("g3_parquet", """
+select * from txs
+""")
+def g3(spark, sf_dir):
+    return _published(spark, sf_dir, "parquet")
+
+
 @register("f11_sql_raw_decode", f"""
 select date, count(*) as txs, sum({fx.duck_wei('value')}) as value_wei,
        sum({fx.duck_wei('gas_price')}) as gas_price_wei

@@ -269,6 +269,14 @@ class Archive:
         lookups = sorted(r["name"] for r in M.lookups_table(self.manifest).collect())
         return {**self.header, "lookups": lookups, "files": A.summary(self.files())}
 
+    def footers(self, start=None, end=None) -> DataFrame:
+        """Row groups of the files from their footers (:mod:`ledgerlake.sources.footers`)."""
+        from ledgerlake.sources.footers import row_groups
+        files = A.resolve(self.files())
+        for bound, keep in ((start, F.col("date") >= str(start)), (end, F.col("date") <= str(end))):
+            files = files if bound is None else files.where(keep)
+        return row_groups(self.spark, self.root, files)
+
     # ------------------------------------------------------------- A11
     def conformance(self) -> DataFrame:
         """Declared columns (manifest) against each file's footer."""
@@ -326,7 +334,7 @@ def column_conformance(spark: SparkSession, root: str, files: DataFrame,
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
-                with fsio.open_read(r.path) as fh:
+                with fsio.open_random(r.path) as fh:
                     names = pq.ParquetFile(fh).schema_arrow.names
                 out.extend((r.date, r.kind, r.key, n, i) for i, n in enumerate(names))
             yield pd.DataFrame(out, columns=["date", "kind", "key", "column", "file_position"])

@@ -87,10 +87,15 @@ def open_read(path: str):
     return open(p, "rb") if fs is None else fs.open_input_stream(p)
 
 
+def open_random(path: str):
+    """A file to read from anywhere, as footers are."""
+    fs, p = _split(path)
+    return open(p, "rb") if fs is None else fs.open_input_file(p)
+
+
 def read_range(path: str, start: int, length: int):
     """The bytes ``start .. start + length`` of a file, in pieces of at most 1 MiB."""
-    fs, p = _split(path)
-    with (open(p, "rb") if fs is None else fs.open_input_file(p)) as f:
+    with open_random(path) as f:
         f.seek(start)
         while length > 0:
             b = f.read(min(CHUNK, length))

@@ -3,7 +3,10 @@ import json
 import os
 from decimal import Decimal
 
-from conftest import DAY, N_BLOCKS, N_TXS, make_archive
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import DAY, N_BLOCKS, N_EVENTS, N_TXS, make_archive
 from ledgerlake import sinks
 from ledgerlake.operators import integrity as D
 from ledgerlake.operators.contract import contract_checks
@@ -217,3 +220,133 @@ def test_paths_are_qualified(spark, scratch):
         except Exception:
             continue
         raise AssertionError(path)
+
+
+# ------------------------------------------------------- two-phase publishing
+@pytest.mark.parametrize("form", ["ndjson", "csv", "parquet"])
+def test_killed_publication_leaves_the_old_output(spark, scratch, form):
+    path = os.path.join(scratch, f"pub-{form}")
+    with pytest.raises(Exception):
+        sinks.manifest_of(spark, path)
+    df = spark.createDataFrame([(1, "2020-01-01", Decimal("7")), (2, "2020-01-02", None)],
+                               "id long, date string, wei decimal(38,0)")
+    doc = sinks.publish(df, path, form)
+    want = sorted(map(str, sinks.published(spark, path, verify=True).collect()))
+    assert len(want) == 2 and doc["parts"] and doc["format"] == form
+    broken = df.repartition(4).withColumn("id", F.when(F.col("id") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long"))
+    with pytest.raises(Exception):
+        sinks.publish(broken, path, form)
+    assert sorted(map(str, sinks.published(spark, path, verify=True).collect())) == want
+    assert len(glob.glob(os.path.join(path, "parts-*"))) == 2   # the broken one lies there unread
+    sinks.publish(df.where("id = 1"), path, form)
+    assert sinks.published(spark, path).count() == 1 and len(glob.glob(os.path.join(path, "parts-*"))) == 1
+    part = os.path.join(path, sinks.manifest_of(spark, path)["parts"][0]["path"])
+    with open(part, "r+b") as f:
+        f.write(b"??")
+    with pytest.raises(ValueError, match="verification"):
+        sinks.published(spark, path, verify=True)
+    sinks.publish(df.limit(0), path, form)
+    assert sinks.published(spark, path).count() == 0
+
+
+# ------------------------------------------------------------------- footers
+def test_counts_come_from_footers_alone(spark, scratch):
+    import struct
+
+    from ledgerlake.sources import footers
+    root = os.path.join(scratch, "foot")
+    doc = make_archive(root, days=(DAY, "2025-11-08"))
+    for e in doc["files"]:  # wipe all column pages; the footer stays
+        p = os.path.join(root, e["key"])
+        body = open(p, "rb").read()
+        foot = struct.unpack("<I", body[-8:-4])[0] + 8
+        with open(p, "wb") as f:
+            f.write(b"PAR1" + bytes(len(body) - foot - 4) + body[-foot:])
+    g = Archive(spark, root, verify=False).footers()
+    n = {"blocks": N_BLOCKS, "txs": N_TXS, "events": N_EVENTS}
+    assert {(r.kind, str(r.date), r.rows) for r in footers.row_counts(g).collect()} == {
+        (k, d, v) for k, v in n.items() for d in (DAY, "2025-11-08")}
+    spans = {(r.kind, str(r.date)): (r.first_block, r.last_block) for r in footers.block_ranges(g).collect()}
+    assert spans["blocks", DAY] == (701, 700 + N_BLOCKS)
+    one = Archive(spark, root, verify=False).footers(start="2025-11-08")
+    assert {r.date for r in one.collect()} == {"2025-11-08"}
+
+
+# --------------------------------------------------- checks by changed days
+def test_contract_state_equals_full_check_after_rebuilds(spark, scratch):
+    import random
+
+    from ledgerlake.operators.contract import ContractState
+    from ledgerlake.streaming import ingest as H
+    lake = os.path.join(scratch, "lake-state")
+    rng = random.Random(7)
+    days = [f"2020-01-0{i}" for i in range(1, 6)]
+
+    def put_day(day, stamp, faulty):
+        """A day as H1 leaves it: rows and its ledger entries."""
+        base = 10 * int(day[-1])
+        blocks = [(base + i,) for i in range(4)] + [(base,)] * faulty
+        txs = [(base + rng.randrange(4), f"0x{day[-1]}{i}") for i in range(6)]
+        events = [(b, h, j) for j, (b, h) in enumerate(txs * 2)]
+        if faulty:  # another day's tx, a block twice on the calendar, a key twice, no such block
+            events += [(base, "0x11", 0), (base, "0x11", 0), (10, "0x20", 3), (999, "0xff", None)]
+            txs += [(20, "0x30"), (777, "0x99")]
+        for kind, rows, ddl in (("blocks", blocks, "number long"), ("txs", txs, "block_number long, tx_hash string"),
+                                ("events", events, "block_number long, tx_hash string, log_index long")):
+            (spark.createDataFrame(rows, ddl).withColumn("date", F.lit(day).cast("date")).coalesce(1)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(f"{lake}/{kind}"))
+        spark.createDataFrame([(day, k, "k", stamp + day + k, 1, stamp, None, None) for k in ("blocks", "txs", "events")],
+                              H.LEDGER_DDL).write.mode("append").parquet(f"{lake}/{H.LEDGER}")
+
+    def same():
+        full = contract_checks(*(H.read_lake(spark, lake, k) for k in ("blocks", "txs", "events")))
+        got = ContractState(spark, lake).report()
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.collect()))
+        return {r["check"]: r["violations"] for r in got.collect()}
+
+    for d in days:
+        put_day(d, "1", d == "2020-01-02")
+    assert ContractState(spark, lake).update() == days
+    assert all(same().values())
+    assert ContractState(spark, lake).update() == []
+    put_day("2020-01-02", "2", False)                       # rebuilt, now right
+    put_day("2020-01-04", "2", True)
+    assert ContractState(spark, lake).update() == ["2020-01-02", "2020-01-04"]
+    assert all(same().values())
+    put_day("2020-01-04", "3", False)
+    assert ContractState(spark, lake).update() == ["2020-01-04"]
+    assert not any(same().values())
+
+
+def test_running_totals_in_two_levels(spark, scratch):
+    from ledgerlake.operators import recipes as R
+    from ledgerlake.streaming import ingest as H
+    lake, dest = os.path.join(scratch, "lake-run"), os.path.join(scratch, "totals-run")
+    days = [f"20{y}-{m:02d}-0{d}" for y in (19, 20) for m in (1, 5, 12) for d in (1, 2)]
+
+    def put_txs(sizes):
+        rows = [(d, i % 2) for d, n in sizes.items() for i in range(n)]
+        (spark.createDataFrame(rows, "day string, status long").select("status", F.col("day").cast("date").alias("date"))
+         .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(f"{lake}/txs"))
+
+    def check():
+        want = sorted(map(tuple, R.running_totals(H.read_lake(spark, lake, "txs")).collect()))
+        cols = ["date", "failed_txs", "txs", "failed_running", "txs_running"]
+        got = sorted(map(tuple, spark.read.parquet(dest).select(cols).collect()))
+        assert got == want
+        total = 0
+        for _, _, n, _, run in want:
+            total += n
+            assert run == total
+
+    put_txs({d: 3 + i for i, d in enumerate(days)})
+    H.refresh_running_totals(spark, lake, dest)
+    check()
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{dest}/month=*/*.parquet")}
+    put_txs({"2020-05-02": 9, "2020-07-01": 1})
+    H.refresh_running_totals(spark, lake, dest, [{"date": d, "kind": "txs"} for d in ("2020-07-01", "2020-05-02")])
+    check()
+    kept = {f for f in glob.glob(f"{dest}/month=*/*.parquet") if before.get(f) == os.path.getmtime(f)}
+    assert {f.split("month=")[1][:7] for f in kept} == {"2019-01", "2019-05", "2019-12", "2020-01"}
+    plan = R.running_totals(H.read_lake(spark, lake, "txs"))._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
