@@ -16,18 +16,24 @@ character references are decoded, white space becomes single blanks, blocks are
 joined by one ``\\n``.  Nothing is capped.
 
 Any style was allowed; this is ``mapInArrow``, one page at a time, no shuffle
-and no state between pages; memory is one Arrow batch and one page's tree, and
-all walks are loops, so deep nesting is no risk.
+and no state between pages; memory is one Arrow batch and one page's tree.  Time is
+linear in a page's length whatever its nesting and however broken its tags: open
+elements are counted by tag, the ends of tags that never close are looked for
+once, and points climb ``REACH`` levels, beyond which a paragraph would pass on less
+than a hundredth.
 
 Defined results: null or empty html gives an empty text; a page without tags is
 one block; pages without scoring paragraphs give all that was not cut off;
 unclosed and stray tags are repaired by the usual rules; repeated pages are
-extracted each on their own; other columns pass through by position.
+extracted each on their own; an empty table gives no rows; pages of any length are
+read whole; other columns pass through by position, and a result column whose
+name is there already (in any case) raises ValueError.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -35,8 +41,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+NAME_END = re.compile(r"[\s/>]")
+QUOTE_OR_END = re.compile(r"[>\"']")
+REACH = 40
 ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 # Element names of HTML by their role here.
@@ -48,7 +55,7 @@ BLOCK = frozenset(
     "ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 CUT = frozenset(
     "script style noscript template textarea iframe object embed svg canvas math audio video map "
-    "head title nav footer aside button select input label fieldset dialog menu search "
+    "head title nav footer aside button select input label dialog menu search "
     "noembed noframes xmp".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog "
                       "menu menubar toolbar form status tooltip".split())
@@ -61,7 +68,7 @@ CUT_WORDS = frozenset(
 KEEP = frozenset("html body article main".split())
 # Words of content beside which a word above says nothing; elements that may wrap a whole page.
 CONTENT_WORDS = frozenset("article body content entry hentry main page post story text".split())
-DOUBTFUL = frozenset(["form"])
+DOUBTFUL = frozenset(["form", "fieldset"])
 # Shares of the page's text outside links from which a doubtful element stays: one
 # that holds a title, article or main element, and any other.
 SHARE, BARE_SHARE = 0.4, 0.8
@@ -77,6 +84,9 @@ P_STOPS = frozenset("html body article main section div td th li table blockquot
                     "form fieldset header footer aside nav figure details dd".split())
 
 
+RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
+
+
 class Tree:
     """Elements in page order: tag, parent, cut flag, doubt; texts between them.
 
@@ -170,76 +180,156 @@ def settle(t: Tree) -> None:
         t.cut = [a or b for a, b in zip(t.cut, gone)]
 
 
-def parse(html: str) -> Tree:
-    t = Tree()
-    stack = [0]
-    at, n = 0, len(html)
-    items = t.items
+class Scanner:
+    """Tags of a page from left to right, in time linear in its length.
+
+    Searches remember what they found: the next quote or ``>``, the next end of a name,
+    and from which quote on a tag has no end are the same for every ``<`` before them.
+    """
 
-    def close_to(k: int) -> None:
-        for e in stack[k:]:
+    def __init__(self, html: str):
+        self.html = html
+        self.last = html.rfind(">")
+        self.name_end = self.special = -1
+        self.ends: dict[int, int] = {}       # where a tag ends that is outside quotes here
+        self.quotes = {q: html.rfind(q) for q in "\"'"}
+
+    def _end(self, at: int) -> int:
+        """The place after the ``>`` that closes a tag whose attributes start at ``at``, or -1."""
+        html, path = self.html, []
+        if self.special < at:
+            self.special = self._special(at)
+        s = self.special
+        while s not in self.ends:
+            path.append(s)
+            if s == len(html):
+                self.ends[s] = -1
+            elif html[s] == ">":
+                self.ends[s] = s + 1
+            elif self.quotes[html[s]] == s:  # it is never closed
+                self.ends[s] = -1
+            else:
+                s = self._special(html.find(html[s], s + 1) + 1)
+        end = self.ends[s]
+        for s in path:
+            self.ends[s] = end
+        return end
+
+    def _special(self, at: int) -> int:
+        m = QUOTE_OR_END.search(self.html, at)
+        return m.start() if m else len(self.html)
+
+    def tag(self, lt: int) -> tuple[int, str | None, str, bool] | None:
+        """(end, name or None for a comment, attributes, is an end tag) of the tag at a ``<``."""
+        html = self.html
+        c = html[lt + 1:lt + 2]
+        if c == "!" or c == "?":
+            if html.startswith("<!--", lt):
+                end = html.find("-->", lt + 4)
+                return (end + 3 if end >= 0 else len(html)), None, "", False
+            if lt > self.last:
+                return None
+            return html.find(">", lt) + 1, None, "", False
+        start = lt + 2 if c == "/" else lt + 1
+        c = html[start:start + 1]
+        if lt > self.last or not (c.isascii() and c.isalpha()):
+            return None
+        if self.name_end <= start:
+            m = NAME_END.search(html, start + 1)
+            self.name_end = m.start() if m else len(html)
+        stop = self.name_end
+        end = self._end(stop)
+        if end < 0:
+            return None
+        return end, html[start:stop].lower(), html[stop:end - 1], start == lt + 2
+
+
+class Open:
+    """The stack of open elements, with the places of each tag in it."""
+
+    def __init__(self, t: Tree):
+        self.t, self.stack = t, [0]
+        self.at: dict[str, list[int]] = {}
+        self.paragraphs: list[int] = []    # places of p and of what ends the search for one
+        self.articles = 0
+
+    def push(self, e: int) -> None:
+        tag = self.t.tag[e]
+        self.at.setdefault(tag, []).append(len(self.stack))
+        if tag == "p" or tag in P_STOPS:
+            self.paragraphs.append(len(self.stack))
+        self.articles += tag in ("article", "main")
+        self.stack.append(e)
+
+    def close_to(self, k: int) -> None:
+        t = self.t
+        for e in self.stack[k:]:
             if t.tag[e] in BLOCK:
-                items.append((t.parent[e], None))
+                t.items.append((t.parent[e], None))
                 break
-        del stack[k:]
+        while len(self.stack) > k:
+            tag = t.tag[self.stack.pop()]
+            self.at[tag].pop()
+            if tag == "p" or tag in P_STOPS:
+                self.paragraphs.pop()
+            self.articles -= tag in ("article", "main")
+
+    def end_paragraph(self) -> None:
+        if self.paragraphs and self.t.tag[self.stack[self.paragraphs[-1]]] == "p":
+            self.close_to(self.paragraphs[-1])
+
+    def end_implied(self, name: str) -> None:
+        """Close the outermost element that ``name`` ends, up to the nearest stop."""
+        ends, stops = CLOSES[name]
+        stop = max((self.at[x][-1] for x in stops if self.at.get(x)), default=0)
+        found = [places[k] for places in (self.at.get(x) or () for x in ends)
+                 if (k := bisect_right(places, stop)) < len(places)]
+        if found:
+            self.close_to(min(found))
+
 
+def parse(html: str) -> Tree:
+    t = Tree()
+    items, scan, held = t.items, Scanner(html), Open(t)
+    at, n = 0, len(html)
     while at < n:
         lt = html.find("<", at)
         if lt < 0:
             lt = n
         if lt > at:
-            items.append((stack[-1], html[at:lt]))
+            items.append((held.stack[-1], html[at:lt]))
             at = lt
             continue
-        m = TAG.match(html, at)
+        m = scan.tag(at)
         if m is None:  # a bare "<" is text
-            items.append((stack[-1], "<"))
+            items.append((held.stack[-1], "<"))
             at += 1
             continue
-        at = m.end()
-        name = m.group(2)
+        at, name, attrs, closes = m
         if name is None:
             continue
-        name = name.lower()
-        if m.group(1):
-            for k in range(len(stack) - 1, 0, -1):
-                if t.tag[stack[k]] == name:
-                    close_to(k)
-                    break
-            else:
-                if name == "p":
-                    items.append((stack[-1], None))
+        if closes:
+            if held.at.get(name):
+                held.close_to(held.at[name][-1])
+            elif name == "p":
+                items.append((held.stack[-1], None))
             continue
         if name == "br":
-            items.append((stack[-1], " "))
+            items.append((held.stack[-1], " "))
             continue
         if name in BLOCK:
-            items.append((stack[-1], None))
-            for k in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-                if t.tag[stack[k]] == "p":
-                    close_to(k)
-                    break
-                if t.tag[stack[k]] in P_STOPS:
-                    break
+            items.append((held.stack[-1], None))
+            held.end_paragraph()  # a block ends an open paragraph
         if name in CLOSES:
-            ends, stops = CLOSES[name]
-            k = len(stack) - 1
-            top = 0
-            while k > 0 and t.tag[stack[k]] not in stops:
-                if t.tag[stack[k]] in ends:
-                    top = k
-                k -= 1
-            if top:
-                close_to(top)
-        inside = any(t.tag[e] in ("article", "main") for e in stack)
-        e = t.element(name, stack[-1], *unwanted(name, m.group(3), inside))
-        if name in VOID or m.group(3).endswith("/") and name not in BLOCK and name not in RAW:
+            held.end_implied(name)
+        e = t.element(name, held.stack[-1], *unwanted(name, attrs, held.articles > 0))
+        if name in VOID or attrs.endswith("/") and name not in BLOCK and name not in RAW:
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
+            end = RAW_END[name].search(html, at) if at <= scan.last else None
             at = end.end() if end else n
             continue
-        stack.append(e)
+        held.push(e)
     return t
 
 
@@ -274,7 +364,7 @@ def best_container(t: Tree) -> tuple[int, list[float]]:
         # A paragraph's own block container counts it whole, those above less.
         up = e if t.tag[e] in ("div", "section", "article") else t.parent[e]
         level = 1
-        while up > 0:
+        while up > 0 and level <= REACH:
             points[up] += gain / (level if level < 3 else 3 * (level - 1))
             up = t.parent[up]
             level += 1
@@ -295,19 +385,17 @@ def chosen(t: Tree) -> list[bool]:
         linked: dict[int, int] = {}
         family = [e for e in range(1, len(t.tag)) if t.parent[e] == t.parent[best] and not t.cut[e]]
         under = {e: e for e in family}
+        in_link = {e: t.tag[e] == "a" for e in family}
         for e in range(1, len(t.tag)):
             if e not in under and t.parent[e] in under:
                 under[e] = under[t.parent[e]]
+                in_link[e] = in_link[t.parent[e]] or t.tag[e] == "a"
         for e, text in t.items:
             if text is not None and e in under:
                 k = under[e]
                 size[k] = size.get(k, 0) + len(text.strip())
-                up = e
-                while up != t.parent[k]:
-                    if t.tag[up] == "a":
-                        linked[k] = linked.get(k, 0) + len(text.strip())
-                        break
-                    up = t.parent[up]
+                if in_link[e]:
+                    linked[k] = linked.get(k, 0) + len(text.strip())
         for e in family:
             density = linked.get(e, 0) / max(size.get(e, 0), 1)
             if points[e] >= max(10, 0.2 * points[best]) or density < 0.25 and (

@@ -5,6 +5,7 @@ import hashlib
 import heapq
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm import byte_bpe as B
 from ledgerlake.llm import conversation_repair as C
 from ledgerlake.llm import hard_negatives as N
+from ledgerlake.llm import html_extract as H
 
 SF = "/root/testdata/sf0.001"
 MULTI = str(P.path("byte_bpe_multi_50k.tiktoken"))
@@ -275,3 +277,24 @@ def test_hard_negatives_awkward(spark, block_rows, anchor_rows):
     assert sorted(map(tuple, got.collect()), key=str) == mined(flat, 10)
     assert N.mine(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
     assert N.mine(df, F.col("vec_id") < 0).count() == 0
+
+
+# ------------------------------------------- operator 10: time and fieldsets
+@pytest.mark.parametrize("bit", ["<div>", "<b>", "<div>x", "</i></b>", "<!", '<a href="x ', "<a b='", "<a", "<li>x",
+                                 "<p>a<table><tr><td>", "</script", "<a>x<div>", "<p"])
+def test_html_time_is_linear_however_broken(bit):
+    def spent(n):
+        page = "<p>" + bit * (n // len(bit)) + ">"
+        t = time.process_time()
+        H.main_text(page)
+        return time.process_time() - t
+    spent(10_000)
+    small, large = min(spent(60_000) for _ in range(2)), spent(480_000)
+    assert large < 8 * 3 * small + 0.2            # quadratic time would be 64 times as much
+
+
+def test_html_fieldset_around_the_article_stays():
+    story = "".join(f"<p>Sentence {i}, with commas, and some more words to read here.</p>" for i in range(5))
+    page = f"<body><nav>menu</nav><fieldset><h1>Told</h1>{story}</fieldset><form><fieldset>Name <input></fieldset></form></body>"
+    text = H.main_text(page)
+    assert text.startswith("Told\nSentence 0") and text.count("\n") == 5 and "Name" not in text
