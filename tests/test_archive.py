@@ -42,13 +42,13 @@ def test_manifest_defaults_and_chain(spark, scratch):
 def test_load_day_decoded_and_raw(spark, day_archive):
     a = Archive(spark, day_archive)
     b = a.load_day(DAY, "blocks").orderBy("number").collect()
-    assert [r["base_fee_per_gas"] for r in b] == [Decimal(1), Decimal(42), None, Decimal(25 * 10 ** 9)]
+    assert [r["base_fee_per_gas"] for r in b] == [Decimal(7), Decimal(469), None, Decimal(7 * 67 ** 3)]
     t = a.load_day(DAY, "txs").orderBy("tx_hash").collect()
-    assert [r["value"] for r in t] == [Decimal(0), Decimal(10 ** 18), Decimal(77)]
+    assert [r["value"] for r in t] == [Decimal(0), Decimal(3_500_000_000_000_007), Decimal(77)]
     e = a.load_day(DAY, "events").collect()
     assert sorted(r["log_index"] for r in e) == [0, 0, 0, 1, 1]
     raw = a.load_day(DAY, "txs", decode=False).orderBy("tx_hash").collect()
-    assert raw[1]["value"] == "0xde0b6b3a7640000"
+    assert raw[1]["value"] == "0xc6f3b40b6c007"
 
 
 def test_missing_day_and_bad_kind(spark, day_archive):
@@ -133,7 +133,7 @@ def test_iter_range_and_views(spark, scratch):
                   "on b.number = t.block_number and b.date = t.date").first()[0]
     assert r == 2 * N_TXS
     a.open_day("2025-11-09", prefix="d_")
-    assert spark.sql("select sum(value) from d_txs").first()[0] == Decimal(10 ** 18 + 77)
+    assert spark.sql("select sum(value) from d_txs").first()[0] == Decimal(3_500_000_000_000_007 + 77)
     assert [r["number"] for r in a.head("2025-11-09", "blocks", 2).collect()] == [701, 702]
     assert a.head("2025-11-09", "blocks", 0).count() == N_BLOCKS
 

@@ -26,9 +26,9 @@ def _int(spark, values):
 
 
 def test_wei_contract_cases(spark):
-    got = _wei(spark, [None, "", "0x", "0x0", "0xde0b6b3a7640000", "0xzz", "ff", "123",
-                       "0x2a", "0X2A", "0x000000000000000000000000000000000000001"])
-    assert got == [None, None, 0, 0, Decimal(10 ** 18), None, None, None, 42, 42, 1]
+    got = _wei(spark, [None, "", "0x", "0x0", "0xc6f3b40b6c007", "0xzz", "ff", "123",
+                       "0x1d5", "0X1D5", "0x000000000000000000000000000000000000001"])
+    assert got == [None, None, 0, 0, Decimal(3_500_000_000_000_007), None, None, None, 469, 469, 1]
 
 
 def test_wei_limits(spark):
@@ -40,9 +40,9 @@ def test_wei_limits(spark):
 
 
 def test_log_index_cases(spark):
-    got = _int(spark, [None, "", "0x", "0x0", "0x1", "0x2a", "0x1zz", "zz", "0x7fffffffffffffff",
+    got = _int(spark, [None, "", "0x", "0x0", "0x1", "0x1d5", "0x1zz", "zz", "0x7fffffffffffffff",
                        "0x8000000000000000", "0x" + "0" * 20 + "5"])
-    assert got == [None, None, 0, 0, 1, 42, None, None, 2 ** 63 - 1, None, 5]
+    assert got == [None, None, 0, 0, 1, 469, None, None, 2 ** 63 - 1, None, 5]
 
 
 @settings(max_examples=60, deadline=None)
@@ -57,9 +57,9 @@ def test_wei_random_against_python(spark, nums):
 
 
 def test_decode_skips_absent_and_keeps_others(spark):
-    df = spark.createDataFrame([("0x2a", "0xbeef")], "log_index string, data string")
+    df = spark.createDataFrame([("0x1d5", "0xbeef")], "log_index string, data string")
     out = decode_hex_columns(df, "events").first()
-    assert out["log_index"] == 42 and out["data"] == "0xbeef"
+    assert out["log_index"] == 469 and out["data"] == "0xbeef"
     df2 = spark.createDataFrame([("0x1",)], "value string")
     assert decode_hex_columns(df2, "txs").first()["value"] == 1
 
@@ -95,13 +95,13 @@ def test_norm_key(spark):
 def test_sql_functions(spark):
     from ledgerlake.functions.hexnum import register_sql_functions
     assert register_sql_functions(spark) == ["ll_wei", "ll_hex_int", "ll_norm_key"]
-    vals = ["0x", "0xde0b6b3a7640000", "0xzz", None, "0x" + "f" * 40]
+    vals = ["0x", "0xc6f3b40b6c007", "0xzz", None, "0x" + "f" * 40]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     df.createOrReplaceTempView("hexvals")
     got = spark.sql("select ll_wei(v) as w, ll_hex_int(v) as i, ll_norm_key('0xABC') as k "
                     "from hexvals").collect()
-    assert [r["w"] for r in got] == [0, Decimal(10 ** 18), None, None, None]
-    assert [r["i"] for r in got] == [0, 10 ** 18, None, None, None]
+    assert [r["w"] for r in got] == [0, Decimal(3_500_000_000_000_007), None, None, None]
+    assert [r["i"] for r in got] == [0, 3_500_000_000_000_007, None, None, None]
     assert got[0]["k"] == "0xabc"
     plan = spark.sql("select ll_wei(v) from hexvals")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
@@ -109,7 +109,7 @@ def test_sql_functions(spark):
 
 def test_trailing_newline_is_invalid(spark):
     assert _wei(spark, ["0x1\n", "0x" + "1" * 20 + "\n", " 0x1", "0x1 "]) == [None] * 4
-    assert _int(spark, ["0x1\n", "0x2a\n"]) == [None, None]
+    assert _int(spark, ["0x1\n", "0x1d5\n"]) == [None, None]
 
 
 @settings(max_examples=40, deadline=None)

@@ -92,7 +92,7 @@ def test_ndjson_csv_parquet(spark, day_archive, scratch):
     out = os.path.join(scratch, "json")
     sinks.write_ndjson(txs, out)
     lines = [json.loads(x) for x in _read_parts(out, "part-*.json").splitlines()]
-    assert [x["value"] for x in lines] == ["0", "1000000000000000000", "77"]
+    assert [x["value"] for x in lines] == ["0", "3500000000000007", "77"]
     assert "to_address" in lines[1] and lines[1]["to_address"] is None
     csv_out = os.path.join(scratch, "csv")
     sinks.write_csv(txs, csv_out)
@@ -105,7 +105,7 @@ def test_ndjson_csv_parquet(spark, day_archive, scratch):
     sinks.write_parquet(a.load_range(DAY, DAY, "txs"), pq_out)
     back = spark.read.parquet(pq_out)
     assert back.count() == N_TXS and "date" in back.columns
-    assert back.agg({"value": "sum"}).first()[0] == Decimal(10 ** 18 + 77)
+    assert back.agg({"value": "sum"}).first()[0] == Decimal(3_500_000_000_000_007 + 77)
 
 
 def test_text_safe_binary_and_decimal(spark, scratch):
