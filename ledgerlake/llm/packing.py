@@ -43,11 +43,11 @@ _CACHE_ENTRIES = 600_000
 _ENCODERS: dict = {}
 
 
-class ChunkEncoder(dict):
-    """Chunk to its ids as little-endian bytes; unseen chunks are gathered."""
+class ChunkEncoder:
+    """Texts to ids as little-endian bytes, chunk by chunk; known chunks are kept."""
 
     def __init__(self, path: str):
-        super().__init__()
+        self.chunks: dict[str, bytes] = {}
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -81,36 +81,36 @@ class ChunkEncoder(dict):
         else:
             self.parts.update((w, self._ids(w)) for w in words)
 
-    def __missing__(self, chunk: str) -> bytes:
-        m = _CHUNK.fullmatch(chunk)
-        if m is None:
-            found = self._ids(chunk)
-        else:
-            word, tail = m.group(1).lower(), m.group(2)
-            parts = self.parts
-            a = parts.get(word)
-            if a is None:
-                a = parts[word] = self._ids(word)
-            b = parts.get(tail)
-            if b is None:
-                b = parts[tail] = self._ids(tail)
-            found = a + b
-        self[chunk] = found
-        return found
+    def _add(self, new: set[str]) -> None:
+        chunks, parts, split = self.chunks, self.parts, []
+        for chunk in new:
+            m = _CHUNK.fullmatch(chunk)
+            if m is None:
+                chunks[chunk] = self._ids(chunk)
+            else:
+                split.append((chunk, m[1].lower(), m[2]))
+        words = list({word for _, word, _ in split}.difference(parts))
+        if len(words) > 1:
+            self._learn(words)
+        for chunk, word, tail in split:
+            for part in (word, tail):
+                if part not in parts:
+                    parts[part] = self._ids(part)
+            chunks[chunk] = parts[word] + parts[tail] if tail else parts[word]
 
     def trim(self) -> None:
         """Called between texts: the caches stay under a fixed size."""
-        if len(self) > _CACHE_ENTRIES:
-            self.clear()
+        if len(self.chunks) > _CACHE_ENTRIES:
+            self.chunks = {}
         if len(self.parts) > _CACHE_ENTRIES:
             self.parts = {"": b""}
 
     def encode(self, text: str) -> bytes:
         chunks = text.replace("\n", " ").split(" ")
-        new = {m.group(1).lower() for m in map(_CHUNK.fullmatch, {c for c in chunks if c not in self}) if m}
-        if len(new := [w for w in new if w not in self.parts]) > 1:
-            self._learn(new)
-        return b"".join(map(self.__getitem__, chunks))
+        new = set(chunks).difference(self.chunks)
+        if new:
+            self._add(new)
+        return b"".join(map(self.chunks.__getitem__, chunks))
 
 
 def chunk_encoder(path: str) -> ChunkEncoder:

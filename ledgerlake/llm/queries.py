@@ -53,7 +53,7 @@ def op7(spark, sf_dir):
     import public_tokenizers
     from ledgerlake.llm.secret_scan import secret_scan
     out = secret_scan(table(spark, sf_dir, "documents", "doc_id", "text"),
-                      _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, masked=False)
+                      _vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, masked=False)
     return out.select("doc_id", *[F.col(f"ss_{c}").alias(c) for c in (
         "n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans")])
 

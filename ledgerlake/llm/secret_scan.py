@@ -4,11 +4,13 @@ Random strings cost a public tokenizer many tokens: its vocabulary holds the
 pieces of words, not of keys.  The scan takes the base patterns (assignments,
 access keys, long hex runs) and every other run of ``min_length`` or more
 credential characters, encodes each run with a tiktoken vocabulary and reports
-runs with fewer than ``max_ratio`` characters a token.  Known digests (hex of
-digest lengths under a digest label, ``sha256-`` integrity values), UUIDs and
-runs without a letter (numbers, which all tokenise alike) are excluded from this
-added part only; base spans always stay.  Names and paths are encoded like any
-run: their words keep them above the ratio.
+runs with fewer than ``max_ratio`` characters a token.  Runs that read like words, of
+one case with vowels and consonants in turn, need fewer than ``word_ratio``: long words
+of many languages are rarer in a vocabulary than short ones, and few random strings
+read so.  Known digests (hex of digest lengths under a digest label, ``sha256-``
+integrity values), UUIDs, time stamps and runs without a letter (numbers, which all
+tokenise alike) are excluded from this added part only; base spans always stay.  Names
+and paths are encoded like any run: their words keep them above the ratio.
 
 Any style was allowed; this is ``mapInArrow``: regular expressions find spans
 in whole texts, and only candidate runs are encoded.  No shuffle, no state, so
@@ -17,7 +19,9 @@ Arrow batch.
 
 Defined results: null or empty text has no span; equal spans of two kinds are
 both listed; ties sort by kind as listed; repeated rows are scanned each on
-their own; other columns pass through by position, so their names cannot clash.
+their own; an empty table gives no rows; texts of any length are scanned whole; other
+columns pass through by position, and one that has a result column's name (prefix
+included, in any case) raises ValueError.
 """
 
 from __future__ import annotations
@@ -43,7 +47,11 @@ MIN_ASSIGN, MIN_ACCESS = 6, 20
 # Runs that may be credentials; a look-behind keeps a run whole.
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 UUID = re.compile(r"(?<![A-Za-z0-9])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9])")
+STAMP = re.compile(r"\d{4}-?\d\d-?\d\d[T_-]?\d\d([-_]?\d\d){1,2}(-?\d{3,9})?Z?")
 LETTER = re.compile("[A-Za-z]")
+PART = re.compile(r"[a-z]+|[A-Z][a-z]+|[A-Z]+")
+CONSONANTS = re.compile("[^aeiouy]{5}")
+VOWELS = re.compile("[aeiouy]")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 INTEGRITY = re.compile(r"sha(256-[A-Za-z0-9+/]{43}=|384-[A-Za-z0-9+/]{64}|512-[A-Za-z0-9+/]{86}==)")
 DIGEST_LABEL = re.compile(r"(md5|sha-?\d{1,3}|digest|checksum|commit|etag|integrity)\W{0,4}$", re.I)
@@ -80,6 +88,17 @@ def ratio(run: str, enc) -> float:
     return len(run) / len(enc.encode_ordinary(run))
 
 
+def like_words(run: str) -> bool:
+    """Whether all parts between separators are letters of one case (or capitalised) that
+    could be spoken: near a third of vowels and no five consonants in a row."""
+    parts = re.split("[-_/]", run)
+    if not all(PART.fullmatch(p) for p in parts if p):
+        return False
+    plain = "".join(parts).lower()
+    return 10 * len(VOWELS.findall(plain)) >= 3 * len(plain) and not any(
+        CONSONANTS.search(p.lower()) for p in parts)
+
+
 def known_digest(text: str, start: int, run: str) -> bool:
     return INTEGRITY.fullmatch(run) is not None or (
             len(run) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-fA-F]+", run) is not None
@@ -101,15 +120,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], enc, max_ratio: float,
-                 min_length: int) -> list[tuple[int, int, int]]:
+                 min_length: int, word_ratio: float | None = None) -> list[tuple[int, int, int]]:
     """Runs that tokenise badly and overlap no base span."""
     out = []
     for start, end, run in candidates(text, min_length):
-        if LETTER.search(run) is None or known_digest(text, start, run):
+        if LETTER.search(run) is None or STAMP.fullmatch(run) or known_digest(text, start, run):
             continue
         if any(a < end and start < b for a, _, b in taken):
             continue
-        if ratio(run, enc) < max_ratio:
+        r = ratio(run, enc)
+        if r < max_ratio and (word_ratio is None or r < word_ratio or not like_words(run)):
             out.append((start, 3, end))
     return out
 
@@ -136,7 +156,7 @@ FOUND = T.StructType([
 
 
 def secret_scan(df: DataFrame, vocabulary: str, pattern: str, text: str = "text",
-                prefix: str = "ss_", max_ratio: float = 2.2, min_length: int = 16,
+                prefix: str = "ss_", max_ratio: float = 2.2, word_ratio: float = 1.9, min_length: int = 16,
                 masked: bool = True, by: str = "[SECRET]") -> DataFrame:
     """Every row with its span counts, spans and, if wanted, the masked text.
 
@@ -158,7 +178,7 @@ def secret_scan(df: DataFrame, vocabulary: str, pattern: str, text: str = "text"
             for t in batch.column(at).to_pylist():
                 t = t or ""
                 base = base_spans(t)
-                more = random_spans(t, base, enc, max_ratio, min_length)
+                more = random_spans(t, base, enc, max_ratio, min_length, word_ratio)
                 every = sorted(base + more)
                 told = joined(base)
                 rows.append((sum(k == 0 for _, k, _ in base), sum(k == 1 for _, k, _ in base),

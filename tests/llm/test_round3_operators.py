@@ -18,6 +18,7 @@ from ledgerlake.llm import byte_bpe as B
 from ledgerlake.llm import conversation_repair as C
 from ledgerlake.llm import hard_negatives as N
 from ledgerlake.llm import html_extract as H
+from ledgerlake.llm import secret_scan as S
 
 SF = "/root/testdata/sf0.001"
 MULTI = str(P.path("byte_bpe_multi_50k.tiktoken"))
@@ -298,3 +299,43 @@ def test_html_fieldset_around_the_article_stays():
     page = f"<body><nav>menu</nav><fieldset><h1>Told</h1>{story}</fieldset><form><fieldset>Name <input></fieldset></form></body>"
     text = H.main_text(page)
     assert text.startswith("Told\nSentence 0") and text.count("\n") == 5 and "Name" not in text
+
+
+# ------------------------------------- operator 7: words of many languages, keys
+WORDS = """przedsiebiorczosc odpowiedzialnosc najprawdopodobniej bezpieczenstwo-narodowe niepodleglosciowy
+lentokonesuihkuturbiinimoottori epajarjestelmallisyys tietosuojavaltuutettu ymparistoministerio
+Geschwindigkeitsbegrenzung Rechtsschutzversicherung ganzheitlichkeitsmedizin Donaudampfschifffahrt
+anticonstitutionnellement electroencephalogramme incomprehensibilite rez-de-chaussee-haut
+desafortunadamente internacionalizacion responsabilidades-compartilhadas precipitevolissimevolmente
+felhasznalobarat-szolgaltatas kozlekedesbiztonsagi zdravotnickeho-zarizeni nejkulatoulinkatejsi
+sorumlulugumuzdan uluslararasilastirma arbeidsongeschiktheidsverzekering verantwoordelijkheidsgevoel
+realisationsvinstbeskattning menneskerettighetsorganisasjonene internationalization
+responsibility-driven-design some_long_snake_case_name_12 getElementsByClassName 2024-01-01T00-00-00
+20240101T000000Z 2024-01-01_12-30-59-123456""".split()
+
+
+def test_secret_scan_leaves_words_and_finds_keys(spark):
+    import string
+    rng = random.Random(11)
+    alphabets = {"alnum": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/",
+                 "base32": string.ascii_uppercase + "234567", "lower": string.ascii_lowercase,
+                 "hex": "0123456789ABCDEF", "lower-digits": string.ascii_lowercase + string.digits}
+    rows = [("word", w, f"a {w} b") for w in WORDS]
+    rows += [(a, str(n), "key " + "".join(rng.choice(c) for _ in range(n)) + " end")
+             for a, c in alphabets.items() for n in (16, 24, 40) for _ in range(400)]
+    df = spark.createDataFrame(rows, "kind string, what string, text string")
+    got = S.secret_scan(df, MULTI, P.PATTERN, masked=False).groupBy("kind", "what").agg(
+        F.avg((F.col("ss_n_random") > 0).cast("int")).alias("share")).collect()
+    assert not [r.what for r in got if r.kind == "word" and r.share]
+    assert all(r.share >= 0.95 for r in got if r.kind != "word"), [r for r in got if r.kind != "word" and r.share < 0.95]
+
+
+def test_secret_scan_long_texts_and_edges(spark):
+    key = "Zq8kX2vB7nM4pL9wR3tY6uJ1"
+    long = "plain words. " * 90_000
+    df = spark.createDataFrame([(1, long + key), (2, None), (3, "")], "doc_id long, text string")
+    got = {r.doc_id: r for r in S.secret_scan(df, MULTI, P.PATTERN).collect()}
+    assert got[1].ss_spans == f"random:{len(long)}:{len(long) + len(key)}" and got[1].ss_masked_text == long + "[SECRET]"
+    assert got[2].ss_spans == got[3].ss_spans == "" and S.secret_scan(df.limit(0), MULTI, P.PATTERN).count() == 0
+    with pytest.raises(ValueError, match="exist"):
+        S.secret_scan(df.withColumnRenamed("doc_id", "SS_spans"), MULTI, P.PATTERN)
