@@ -80,7 +80,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, secrets masked."""
     import public_tokenizers
-    out = S.secret_scan(docs.select(*COLUMNS), str(public_tokenizers.path("byte_bpe_50k.tiktoken")),
+    out = S.secret_scan(docs.select(*COLUMNS), str(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")),
                         public_tokenizers.PATTERN)
     text = F.when(F.col("text").isNotNull(), F.col("ss_masked_text"))
     return out.select("doc_id", text.alias("text"), "lang", "source",
