@@ -47,7 +47,9 @@ Defined results: null text and text without a word have an empty set and link
 with nothing (``component_id`` is their own ``doc_id``); fewer words than a
 shingle make one shingle of the whole sequence; a null ``doc_id`` takes part
 but never names a component unless nothing else is in it; repeated rows share a
-component and come out as often as they went in.
+component and come out as often as they went in; the least id names a component, so
+there are no ties; an empty table gives no rows; texts of any length are one row; columns
+other than the two named are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -197,7 +199,9 @@ def write_sets(docs: DataFrame, size: int, percent: int, frequent, tables: Table
                  pa.array(region, pa.list_(pa.int64())), pa.array(tokens, pa.binary())], names=names)
             row += len(n)
 
-    return tables.settle(docs.mapInArrow(run, SETS.format(id=kind)))
+    made = tables.settle(docs.mapInArrow(run, SETS.format(id=kind)))
+    shared.destroy()
+    return made
 
 
 class Distances:
@@ -271,10 +275,11 @@ def initial_regions(sets: DataFrame, tables: Tables, small: int) -> tuple[DataFr
     posted = sets.where(F.col("key").isNotNull()).select(F.explode("region").alias("rid"), "key")
     groups = tables.settle(posted.groupBy("rid").agg(
         F.count(F.lit(1)).alias("m"), F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b"))
-    pairs = groups.where("m = 2").select("a", "b")
+    pairs = tables.settle(groups.where("m = 2").select("a", "b"))
     larger = groups.where("m > 2").select("rid")
     side = F.broadcast(larger) if larger.count() <= small else larger  # measured: 8 bytes a row
     members = tables.settle(posted.join(side, "rid").distinct())
+    tables.drop(groups)
     return pairs, members
 
 
@@ -468,6 +473,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         for _ in range(3):        # member to pivot to member: labels spread over a cell
             labels = relabel(labels, linked, tables)
         cells = recurse(live, pivots, bounds, linked, tables)
+        tables.only(sets, classes, pairs, members, cells, labels, *links)
     live, _ = split_round(members, labels, leaf, rounds, tables)
     # Nearest first: what they connect needs naming no more.
     near = block_pairs(live.where(F.col("size") > leaf), sets, classes, percent, block, closest=True)
@@ -475,10 +481,13 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     links.append(linked)
     for _ in range(3):
         labels = relabel(labels, linked, tables)
+    tables.only(sets, classes, pairs, members, labels, *links)
     live, _ = split_round(members, labels, leaf, rounds, tables)
+    tables.drop(members, labels)
     pairs = pairs.union(leaf_pairs(live, leaf)).union(
         block_pairs(live.where(F.col("size") > leaf), sets, classes, percent, block))
     links.append(measure.links(measure.bounded(pairs).where("may")))
+    tables.only(sets, classes, *links)
     every = links[0]
     for one in links[1:]:
         every = every.union(one)

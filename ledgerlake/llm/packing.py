@@ -29,6 +29,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ PIECES = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, offset long")
 
 _CHUNK = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
-_CACHE_ENTRIES = 600_000
+_CACHE_ENTRIES, _KEPT_ENTRIES = 600_000, 150_000
 _ENCODERS: dict = {}
 
 
@@ -98,12 +99,15 @@ class ChunkEncoder:
                     parts[part] = self._ids(part)
             chunks[chunk] = parts[word] + parts[tail] if tail else parts[word]
 
-    def trim(self) -> None:
-        """Called between texts: the caches stay under a fixed size."""
-        if len(self.chunks) > _CACHE_ENTRIES:
-            self.chunks = {}
-        if len(self.parts) > _CACHE_ENTRIES:
-            self.parts = {"": b""}
+    def trim(self, limit: int | None = None) -> None:
+        """Called between texts and at a task's end: the caches stay under a fixed size.
+
+        What came first stays: frequent chunks come early.
+        """
+        for name in ("chunks", "parts"):
+            held = getattr(self, name)
+            if len(held) > (_CACHE_ENTRIES if limit is None else limit):
+                setattr(self, name, dict(islice(held.items(), _KEPT_ENTRIES)))
 
     def encode(self, text: str) -> bytes:
         chunks = text.replace("\n", " ").split(" ")
@@ -267,6 +271,7 @@ def pack(df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "tex
                     start = k + 1
                     yield flush()
             ids.append(batch.column(0).slice(start))
+        enc.trim(_KEPT_ENTRIES)  # the worker process lives on
         if docs:
             yield flush()
 

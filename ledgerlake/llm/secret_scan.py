@@ -56,18 +56,12 @@ DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 INTEGRITY = re.compile(r"sha(256-[A-Za-z0-9+/]{43}=|384-[A-Za-z0-9+/]{64}|512-[A-Za-z0-9+/]{86}==)")
 DIGEST_LABEL = re.compile(r"(md5|sha-?\d{1,3}|digest|checksum|commit|etag|integrity)\W{0,4}$", re.I)
 
-_ENCODER: dict = {}
-
-
 def encoder(path: str, pattern: str):
-    """The tiktoken vocabulary at ``path``, once per worker process."""
-    if path not in _ENCODER:
-        import tiktoken
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _ENCODER[path] = tiktoken.Encoding("vocabulary", pat_str=pattern,
-                                           mergeable_ranks=ranks, special_tokens={})
-    return _ENCODER[path]
+    """The tiktoken vocabulary at ``path``; a task loads it and lets it go."""
+    import tiktoken
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 def candidates(text: str, min_length: int) -> Iterator[tuple[int, int, str]]:

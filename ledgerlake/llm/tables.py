@@ -67,6 +67,10 @@ class Tables:
         self.held.append((out, path))
         return out
 
+    def only(self, *dfs: DataFrame) -> None:
+        """Delete all tables but these."""
+        self.drop(*[x for x, _ in self.held if not any(x is y for y in dfs)])
+
     def drop(self, *dfs: DataFrame) -> None:
         """Delete tables that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm

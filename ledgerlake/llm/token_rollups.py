@@ -15,7 +15,8 @@ batch that remembers the ids it holds, so even those cannot be counted twice.
 Defined results: null text counts as empty (0 tokens); null source or language
 is a group of its own; repeated rows count each; empty inputs commit an empty
 batch; groups that fall back to no documents and no tokens leave the totals;
-columns of the inputs other than those named are ignored.
+columns of the inputs other than those named are ignored, whatever their names; texts
+of any length are counted whole, one at a time.
 """
 
 from __future__ import annotations
@@ -47,6 +48,7 @@ def count_tokens(df: DataFrame, tokenizer: str, path: str, version: str, doc_id:
                 n.append(len(enc.encode(t.as_py() or "")) // 4)
                 enc.trim()
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64())], names=names)
+        enc.trim(0)  # the worker process lives on
 
     return (df.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
                       F.col(lang).alias("lang"), F.col(text).alias("text"))
@@ -105,6 +107,7 @@ def live(spark: SparkSession, store: str) -> dict[str, set[str]]:
     if not done:
         return {}
     rows = (spark.read.parquet(*done)
+            .where("batch_ids is not null")
             .select(F.col("_metadata.file_path").alias("f"), "batch_ids").distinct().collect())
     ids = {}
     for r in rows:
@@ -119,8 +122,9 @@ def _write(log: DataFrame, ids: list[str], to: str) -> None:
     mark = log.sparkSession.range(1).select(*[F.lit(None).cast("string").alias(k) for k in KEYS],
                                             F.lit(0).cast("long").alias("docs"),
                                             F.lit(0).cast("long").alias("tokens"))
-    (sums.unionByName(mark).withColumn("batch_ids", F.array(*[F.lit(x) for x in ids]))
-     .coalesce(1).write.mode("overwrite").parquet(to))
+    held = F.array(*[F.lit(x) for x in ids])
+    (sums.withColumn("batch_ids", F.lit(None).cast("array<string>"))
+     .unionByName(mark.withColumn("batch_ids", held)).write.mode("overwrite").parquet(to))
 
 
 def commit(spark: SparkSession, store: str, batch_id: str, deltas: DataFrame) -> bool:
