@@ -21,7 +21,10 @@ window has nothing rarer.
 
 Defined results: null and empty texts have no words and are clean; items
 without words have no windows; repeated document rows come out as often as they
-went in; repeated items count once by ``item_id``; null item ids are left out.
+went in; repeated items count once by ``item_id``; null item ids are left out; of equally
+rare shingles the first stands for its window, which changes no result; an empty table of
+documents gives no rows, one of items leaves all clean; texts of any length are one row's
+arrays; columns other than those named are ignored, whatever their names.
 """
 
 from __future__ import annotations

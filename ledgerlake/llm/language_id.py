@@ -17,7 +17,13 @@ text is shuffled.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0;
 with nothing learned every text is.  Rows with a null language teach nothing.
-Ties go to the language first in text order.  Repeated rows count each.
+Ties go to the language first in text order.  Repeated rows count each; an empty
+table teaches nothing and gives no rows; texts of any length are read whole, a block
+or one text at a time; a column named ``li_margins`` in any case is refused with
+ValueError, others pass through by position.
+
+However many values ``lang`` has: a task counts ``HELD`` of them at once, and what the
+driver holds is a codeword and a total for each, and the weights of the bits.
 """
 
 from __future__ import annotations
@@ -35,6 +41,7 @@ from ledgerlake.llm.textblocks import LOWER, blocks, text_bytes
 
 BUCKETS = 1 << 15
 UNKNOWN = "und"
+HELD = 64
 
 _FOLD = LOWER.copy()
 _FOLD[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
@@ -120,11 +127,22 @@ def letters(raw: np.ndarray, off: np.ndarray, texts: pa.Array) -> np.ndarray:
     return has
 
 
+def by_languages(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with ``HELD`` languages at most."""
+    start, seen = 0, set()
+    for i, name in enumerate(b.column(1).to_pylist()):
+        if name not in seen and len(seen) == HELD:
+            yield b.slice(start, i - start)
+            start, seen = i, set()
+        seen.add(name)
+    yield b.slice(start)
+
+
 def count_trigrams(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, bucket, n) over all rows with a language."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
-        for b in blocks(batches, 0):
+        for b in (few for b in blocks(batches, 0) for few in by_languages(b)):
             raw, off = text_bytes(b.column(0))
             at = trigram_buckets(raw, off)
             names = b.column(1).dictionary_encode()
@@ -134,6 +152,12 @@ def count_trigrams(df: DataFrame, text: str = "text", lang: str = "lang") -> Dat
             for i, name in enumerate(names.dictionary.to_pylist()):
                 own = n[i * (BUCKETS + 1):(i + 1) * (BUCKETS + 1) - 1]
                 held[name] = held[name] + own if name in held else own
+            if len(held) > HELD:
+                yield from counted(held)
+                held = {}
+        yield from counted(held)
+
+    def counted(held):
         for name, n in held.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
@@ -147,19 +171,35 @@ def count_trigrams(df: DataFrame, text: str = "text", lang: str = "lang") -> Dat
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang", smooth: float = 0.5) -> Codes:
     """Bit classifiers from all rows of ``df`` that name a language."""
-    counts: dict[str, np.ndarray] = {}
-    for r in count_trigrams(df, text, lang).toLocalIterator():
-        counts.setdefault(r.lang, np.zeros(BUCKETS))[r.bucket] = r.n
-    names = sorted(counts)
+    counts = count_trigrams(df, text, lang).checkpoint()
+    total = {r.lang: r.n + smooth * BUCKETS for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    names = sorted(total)
     book = codebook(len(names))
     if not names:
         return Codes((), book, np.zeros((BUCKETS + 1, 1)))
-    rate = np.array([(counts[x] + smooth) / (counts[x] + smooth).sum() for x in names])
-    weights = np.zeros((BUCKETS + 1, book.shape[1]))
-    for k in range(book.shape[1]):
-        plus, minus = rate[book[:, k] > 0], rate[book[:, k] < 0]
-        if len(plus) and len(minus):
-            weights[:-1, k] = np.log(plus.mean(0)) - np.log(minus.mean(0))
+    size = np.array([total[x] for x in names])
+    plus = book > 0
+    # A bucket's mean rate over the languages on either side of a bit: what smoothing
+    # gives to all, and the counts of the languages that have it.
+    least = np.array([smooth / size @ plus, smooth / size @ ~plus])
+    sides = np.array([plus.sum(0), (~plus).sum(0)])
+    shared = df.sparkSession.sparkContext.broadcast(({x: i for i, x in enumerate(names)}, size, plus))
+
+    def sums(rows: pa.Table) -> pa.Table:
+        place, size, plus = shared.value
+        i = np.array([place[x] for x in rows.column("lang").to_pylist()])
+        rate = rows.column("n").to_numpy() / size[i]
+        both = np.array([rate @ plus[i], rate @ ~plus[i]]).ravel()
+        return pa.table({"bucket": rows.column("bucket").slice(0, 1), "v": pa.array([both], pa.list_(pa.float64()))})
+
+    with np.errstate(divide="ignore", invalid="ignore"):
+        rates = np.repeat(least[None], BUCKETS, 0)
+        for r in counts.groupBy("bucket").applyInArrow(sums, "bucket long, v array<double>").toLocalIterator():
+            rates[r.bucket] += np.array(r.v).reshape(2, -1)
+        rates /= sides
+        weights = np.zeros((BUCKETS + 1, book.shape[1]))
+        weights[:-1] = np.where((sides > 0).all(0), np.log(rates[:, 0]) - np.log(rates[:, 1]), 0)
+    shared.destroy()
     return Codes(tuple(names), book, weights)
 
 
@@ -167,6 +207,8 @@ def with_margins(df: DataFrame, codes: Codes, text: str = "text") -> DataFrame:
     """``df`` with its text replaced by ``li_margins``, null without a letter."""
     at = df.columns.index(text)
     rest = [k for k in range(len(df.columns)) if k != at]
+    if "li_margins" in (df.columns[k].lower() for k in rest):
+        raise ValueError("column li_margins exists")
     schema = T.StructType([df.schema.fields[k] for k in rest] + [
         T.StructField("li_margins", T.ArrayType(T.DoubleType()))])
 

@@ -16,7 +16,9 @@ Defined results: null and empty texts have the vector of an empty text and get
 a score like any other.  Labels null or other than 0 and 1 are ignored; a
 document labelled twice the same way counts once, one labelled both ways is
 left out.  With no training rows of a class the score is 0.5.  Repeated
-documents are scored each on their own, and each teaches with its label.
+documents are scored each on their own, and each teaches with its label.  An empty table
+gives no rows; texts of any length are read whole, a block or one text at a time; a
+column that has the name of an added one raises an error where it is used.
 """
 
 from __future__ import annotations

@@ -16,8 +16,8 @@ Defined results: null text counts as empty; an empty text, or one without a
 word, has all counts 0, fails the base rules (fewer than 20 words) and is not
 kept.  Repeated rows are judged each on its own.  Everything is computed inside
 the row, without a shuffle, so a hot source or very long text moves no data;
-other columns, whatever their names, pass through untouched and the operator's
-own columns are prefixed (``prefix``).
+other columns pass through untouched and the operator's own are prefixed (``prefix``);
+a column that starts with the prefix raises ValueError.  An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -37,7 +37,9 @@ hash of the row, so neither sources nor copies are hot.
 Defined results: null text counts as empty (0 bytes, nothing removed); texts
 under ``length`` bytes cannot match; matches never cross texts; repeated rows
 are each other's copies and come out as often as they went in; rows are told
-apart by a 64-bit hash of id and text.
+apart by a 64-bit hash of id and text; there are no ties, since every occurrence goes; an
+empty table gives no rows; texts of any length are one row; columns other than the two
+named are ignored, whatever their names.
 """
 
 from __future__ import annotations

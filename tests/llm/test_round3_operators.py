@@ -339,3 +339,40 @@ def test_secret_scan_long_texts_and_edges(spark):
     assert got[2].ss_spans == got[3].ss_spans == "" and S.secret_scan(df.limit(0), MULTI, P.PATTERN).count() == 0
     with pytest.raises(ValueError, match="exist"):
         S.secret_scan(df.withColumnRenamed("doc_id", "SS_spans"), MULTI, P.PATTERN)
+
+
+# --------------------------------- operator 6: many languages, names, long texts
+def test_language_of_many_values_and_long_texts(spark):
+    from ledgerlake.llm import language_id as L
+    rows = [(i, f"zz{i} " * 5, f"junk{i}") for i in range(300)]
+    rows += [(1000 + i, "le chat et le chien dans la maison " * 20, "fr") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    codes = L.fit(df)
+    assert len(codes.languages) == 301 and np.isfinite(codes.weights).all()
+    # The same weights as from all counts at once.
+    counts = {}
+    for r in L.count_trigrams(df).collect():
+        counts.setdefault(r.lang, np.zeros(L.BUCKETS))[r.bucket] += r.n
+    rate = np.array([(counts[x] + 0.5) / (counts[x] + 0.5).sum() for x in codes.languages])
+    k = 3
+    want = np.log(rate[codes.book[:, k] > 0].mean(0)) - np.log(rate[codes.book[:, k] < 0].mean(0))
+    assert np.allclose(codes.weights[:-1, k], want)
+    long = spark.createDataFrame([(1, "le chat et le chien " * 100_000, None)], "doc_id long, text string, lang string")
+    assert L.decode(L.with_margins(long, codes), codes).first().lang_pred == "fr"
+    with pytest.raises(ValueError, match="li_margins"):
+        L.with_margins(df.withColumnRenamed("doc_id", "LI_margins"), codes)
+
+
+def test_clashing_columns_are_ignored_or_refused(spark):
+    from ledgerlake.llm import jaccard_join as J
+    from ledgerlake.llm import quality_classifier as Q
+    from ledgerlake.llm import token_rollups as T
+    text = "one two three four five six seven"
+    df = spark.createDataFrame([(1, text, 9, "x"), (2, text, 8, "y")], "doc_id long, text string, key int, row string")
+    assert {tuple(r) for r in J.jaccard_components(df).collect()} == {(1, 3, 1), (2, 3, 1)}
+    assert J.jaccard_components(df.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="qc_stats"):
+        Q.with_statistics(df.withColumnRenamed("row", "QC_stats"))
+    own = df.withColumns({"source": F.lit("s"), "lang": F.lit("en"), "tokens": F.lit(-1), "version": F.lit("z")})
+    got = T.count_tokens(own, "word_bpe_49k", str(P.path("word_bpe_49k.json")), "1").collect()
+    assert {r.version for r in got} == {"1"} and all(r.tokens > 0 for r in got)
