@@ -639,6 +639,15 @@ from ledgerlake.sources import manifest as M  # noqa: E402
 from ledgerlake.streaming import ingest as ING  # noqa: E402
 
 
+def _kept(df, *paths):
+    """``df`` as it is now; the scratch folders it came from go."""
+    out = df.checkpoint()
+    for path in paths:
+        fs, p = ING._fs(df.sparkSession, path)
+        fs.delete(p, True)
+    return out
+
+
 _DAYS = " union all ".join(
     f"select distinct cast(date as varchar) as date, '{k}' as kind from {k}" for k in KINDS)
 
@@ -713,8 +722,8 @@ def d1(spark, sf_dir):
 @register("d2_mirror", _OBJECTS.replace("STATUS", "copied"))
 def d2(spark, sf_dir):
     a = _archive(spark, sf_dir)
-    done = I.mirror(spark, a.root, scratch_path(spark, "mirror", unique=True), _objects(spark, a))
-    return done.select("date", "kind", "status").checkpoint()
+    to = scratch_path(spark, "mirror", unique=True)
+    return _kept(I.mirror(spark, a.root, to, _objects(spark, a)).select("date", "kind", "status"), to)
 
 
 _FLAWED = f"""
@@ -729,14 +738,14 @@ def d1_flawed(spark, sf_dir):
     a = _flawed(spark, sf_dir)
     ledger = I.Ledger(spark, a.root, scratch_path(spark, "ledger", unique=True), chunk=1024)
     ledger.check(a.files())
-    return ledger.check(a.files()).select("date", "kind", "status")
+    return _kept(ledger.check(a.files()).select("date", "kind", "status"), ledger.folder)
 
 
 @register("d2_mirror_flawed", _FLAWED.replace("STATUS", "copied"))
 def d2_flawed(spark, sf_dir):
     a = _flawed(spark, sf_dir)
-    done = I.mirror(spark, a.root, scratch_path(spark, "mirror", unique=True), a.files(), chunk=1024)
-    return done.select("date", "kind", "status").checkpoint()
+    to = scratch_path(spark, "mirror", unique=True)
+    return _kept(I.mirror(spark, a.root, to, a.files(), chunk=1024).select("date", "kind", "status"), to)
 
 
 @register("e1_lookup_rows", """
@@ -786,7 +795,7 @@ def d3_incremental(spark, sf_dir):
     for end in ("1999-06-30", None):
         ING.ingest(spark, a, lake, end=end)
         D.ContractState(spark, lake).update()
-    return D.ContractState(spark, lake).report()
+    return _kept(D.ContractState(spark, lake).report(), lake)
 
 
 @register("h3_running_refresh", """
@@ -803,7 +812,7 @@ def h3_refresh(spark, sf_dir):
     for start in ("1997-02-10", None):
         done = ING.ingest(spark, a, f"{home}/lake", kinds=("txs",), start=start)
         ING.refresh_running_totals(spark, f"{home}/lake", f"{home}/totals", done)
-    return spark.read.parquet(f"{home}/totals").drop("month")
+    return _kept(spark.read.parquet(f"{home}/totals").drop("month"), home)
 
 
 @register("h2_follow_blocks", """
@@ -821,16 +830,16 @@ def h2(spark, sf_dir):
         write_archive(spark, {"blocks": rows}, root)
         ING.snapshot(root, snaps, name)
         ING.follow(spark, Archive(spark, root), snaps, lake, ckpt, kinds=("blocks",), max_bytes=1 << 20)
-    return ING.read_lake(spark, lake, "blocks")
+    return _kept(ING.read_lake(spark, lake, "blocks"), home)
 
 
 def _replayed(spark, sf_dir, kind):
     a = _archive(spark, sf_dir)
-    mirror_root = scratch_path(spark, f"mirror-{kind}-{fixture_tag(sf_dir, spark)}")
+    mirror_root = scratch_path(spark, f"mirror-{kind}", unique=True)
     I.mirror_range(spark, a, mirror_root, SPAN[0], SPAN[1], kinds=(kind,))
     run = scratch_path(spark, "replay", unique=True)
     ING.replay(spark, mirror_root, kind, f"{run}/sink", f"{run}/ckpt")
-    return spark.read.parquet(f"{run}/sink")
+    return _kept(spark.read.parquet(f"{run}/sink"), run, mirror_root)
 
 
 @register("h4_replay_txs", """
@@ -898,7 +907,7 @@ def _published(spark, sf_dir, form, **options):
         txs = txs.repartition("date")
     sinks.publish(txs.where("status = 0"), path, form, **options)
     sinks.publish(txs, path, form, **options)
-    return sinks.published(spark, path, verify=True)
+    return _kept(sinks.published(spark, path, verify=True), path)
 
 
 @register("g1_ndjson", _TEXT_TXS.format(prefix="input_prefix"))
