@@ -20,9 +20,9 @@ partner).  Inside a region:
   need no comparison, so a region of one component is finished.
 
 Those rounds run on cells, where each document stands once, in the largest of
-its regions.  Then all regions are settled: one component is finished, up to
-``leaf`` documents are joined directly, larger ones block by block, first each
-document with its nearest of another component, then all that is left.
+its regions.  In a few turns more, each document, in one of its regions, is linked with
+its nearest of another component.  Then all regions are settled: one component is
+finished, up to ``leaf`` documents are joined directly, larger ones block by block.
 
 The join is exact: a pair in a region ends compared or known to be connected;
 the triangle inequality only saves the cells comparisons.  A distance is first bounded
@@ -438,7 +438,8 @@ def relabel(labels: DataFrame, linked: DataFrame, tables: Tables) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
                        percent: int = 75, leaf: int = 16, rounds: int = 2, block: int = 2048,
-                       frequent_limit: int = 1 << 20, small: int = 2_000_000) -> DataFrame:
+                       frequent_limit: int = 1 << 20, small: int = 2_000_000,
+                       near_turns: int = 3) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
     ``percent`` is the similarity of a link in whole percents, above 50;
@@ -474,14 +475,22 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
             labels = relabel(labels, linked, tables)
         cells = recurse(live, pivots, bounds, linked, tables)
         tables.only(sets, classes, pairs, members, cells, labels, *links)
-    live, _ = split_round(members, labels, leaf, rounds, tables)
-    # Nearest first: what they connect needs naming no more.
-    near = block_pairs(live.where(F.col("size") > leaf), sets, classes, percent, block, closest=True)
-    linked = measure.links(measure.bounded(near).where("may"))
-    links.append(linked)
-    for _ in range(3):
-        labels = relabel(labels, linked, tables)
-    tables.only(sets, classes, pairs, members, labels, *links)
+    # Nearest first, every document in one region a turn (the largest, then others by a
+    # hash): what they connect needs naming no more, and bitmaps move once a turn.
+    for turn in range(near_turns):
+        live, _ = split_round(members, labels, leaf, rounds + turn, tables)
+        order = F.col("size") if turn == 0 else F.xxhash64("rid", F.lit(turn))
+        one = (live.where(F.col("size") > leaf).groupBy("key")
+               .agg(F.max(F.struct(order.alias("order"), "rid", "size", "label")).alias("r"))
+               .select("r.rid", "key", "r.label", "r.size"))
+        near = block_pairs(one, sets, classes, percent, block, closest=True)
+        linked = measure.links(measure.bounded(near).where("may"))
+        if linked.isEmpty():
+            break
+        links.append(linked)
+        for _ in range(3):
+            labels = relabel(labels, linked, tables)
+        tables.only(sets, classes, pairs, members, labels, *links)
     live, _ = split_round(members, labels, leaf, rounds, tables)
     tables.drop(members, labels)
     pairs = pairs.union(leaf_pairs(live, leaf)).union(
@@ -489,8 +498,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     links.append(measure.links(measure.bounded(pairs).where("may")))
     tables.only(sets, classes, *links)
     every = links[0]
-    for one in links[1:]:
-        every = every.union(one)
+    for more in links[1:]:
+        every = every.union(more)
     labels = components(every, tables).select(F.col("node").alias("key"), F.col("root").alias("label"))
     named = classes.join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label"), "least")
     component = (named.join(named.groupBy("label").agg(F.min("least").alias("component_id")), "label")

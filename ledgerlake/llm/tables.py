@@ -44,7 +44,7 @@ class Tables:
         self.n += 1
         path = f"{self.root}/{self.n}"
         with _batches_of(self.spark, batch_rows):
-            df.write.parquet(path)
+            df.write.parquet(path, compression="zstd")
         out = self.spark.read.schema(df.schema).parquet(path)
         self.held.append((out, path))
         return out
