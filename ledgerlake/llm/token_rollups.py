@@ -35,7 +35,7 @@ DELTAS = "source string, lang string, tokenizer string, version string, docs lon
 def count_tokens(df: DataFrame, tokenizer: str, path: str, version: str, doc_id: str = "doc_id",
                  text: str = "text", source: str = "source", lang: str = "lang") -> DataFrame:
     """(doc_id, source, lang, tokenizer, version, tokens) of every row."""
-    from ledgerlake.llm.packing import chunk_encoder
+    from ledgerlake.llm.packing import _KEPT_ENTRIES, chunk_encoder
 
     kind = df.select(doc_id).schema[0].dataType.simpleString()
     names = ["doc_id", "source", "lang", "tokens"]
@@ -48,7 +48,7 @@ def count_tokens(df: DataFrame, tokenizer: str, path: str, version: str, doc_id:
                 n.append(len(enc.encode(t.as_py() or "")) // 4)
                 enc.trim()
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64())], names=names)
-        enc.trim(0)  # the worker process lives on
+        enc.trim(_KEPT_ENTRIES)  # the worker process lives on
 
     return (df.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
                       F.col(lang).alias("lang"), F.col(text).alias("text"))
@@ -124,7 +124,7 @@ def _write(log: DataFrame, ids: list[str], to: str) -> None:
                                             F.lit(0).cast("long").alias("tokens"))
     held = F.array(*[F.lit(x) for x in ids])
     (sums.withColumn("batch_ids", F.lit(None).cast("array<string>"))
-     .unionByName(mark.withColumn("batch_ids", held)).write.mode("overwrite").parquet(to))
+     .unionByName(mark.withColumn("batch_ids", held)).coalesce(1).write.mode("overwrite").parquet(to))
 
 
 def commit(spark: SparkSession, store: str, batch_id: str, deltas: DataFrame) -> bool:
