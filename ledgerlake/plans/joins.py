@@ -74,24 +74,32 @@ def join_checked(big: DataFrame, small: DataFrame, on, how: str = "left",
     return big.join(side, on, how)
 
 
-# Most keys that a split join treats as frequent, and items its sketch tracks.
-FREQUENT_KEYS, TRACKED = 1000, 50_000
+# Most keys that a split join treats as frequent.
+FREQUENT_KEYS = 1000
 
 
-def frequent(df: DataFrame, key: Column, share: float) -> list[str]:
-    """Keys that hold at least about ``share`` of the rows, by a mergeable sketch."""
-    r = df.select(key.alias("k")).agg(
-        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {FREQUENT_KEYS}, {TRACKED})").alias("top")).first()
-    return [t["item"] for t in r["top"] or [] if t["item"] is not None and t["count"] >= max(1, share * r["n"])]
+def key_counts(df: DataFrame, key: Column) -> DataFrame:
+    """Rows of each key, null included: (_lk, rows)."""
+    return df.select(key.alias("_lk")).groupBy("_lk").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def frequent(df: DataFrame, key: Column, share: float, counts: DataFrame | None = None) -> list[str]:
+    """Keys that hold at least ``share`` of the rows, the ``FREQUENT_KEYS`` most frequent of
+    them; from ``counts`` where :func:`key_counts` has been taken already."""
+    counts = key_counts(df, key) if counts is None else counts
+    n = counts.agg(F.sum("rows")).first()[0] or 0
+    top = counts.where(F.col("_lk").isNotNull() & (F.col("rows") >= max(1, share * n)))
+    return [r["_lk"] for r in top.orderBy(F.desc("rows"), "_lk").limit(FREQUENT_KEYS).collect()]
 
 
 def left_join_keyed(big: DataFrame, key: Column, table: DataFrame, never: tuple[str, ...] = (),
                     limit: int | None = None) -> DataFrame:
     """``big`` left-joined with ``table`` (one row a key, in column ``_lk``) on ``key``.
 
-    ``table`` is broadcast if its measured size is under ``limit``; else it is cut to the
-    keys that ``big`` uses (a Bloom filter before any shuffle, then a semi-join) and
-    measured again.  Beyond that the rows are split: those of frequent keys, of the
+    ``table`` is broadcast if its measured size is under ``limit``; else the keys of
+    ``big`` are counted, once for all that follows, and the table is cut to those that
+    are used (a Bloom filter before any shuffle, then a semi-join) and measured again.
+    Beyond that the rows are split: those of frequent keys, of the
     ``never`` keys and without a key meet a broadcast of the few table rows they can
     match and are not shuffled, the rest is joined by sort-merge.
     """
@@ -99,17 +107,19 @@ def left_join_keyed(big: DataFrame, key: Column, table: DataFrame, never: tuple[
     lim = broadcast_limit(spark) if limit is None else limit
     m, _, nbytes = measure(table)
     if nbytes > lim:
-        used, n, _ = measure(big.select(key.alias("_lk")).where(F.col("_lk").isNotNull()).distinct())
+        counts, n, _ = measure(key_counts(big, key))
+        used = counts.where(F.col("_lk").isNotNull()).select("_lk")
         m, _, nbytes = measure(bloom.cut(m, "_lk", used, n, DEFAULT_LIMIT).join(used, "_lk", "left_semi"))
     if nbytes <= lim:
         return big.join(F.broadcast(m), key == F.col("_lk"), "left").drop("_lk")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = sorted({*never, *frequent(big, key, 1 / (4 * width))})
+    hot = sorted({*never, *frequent(big, key, 1 / (4 * width), counts)})
     few, _, size = measure(m.where(F.col("_lk").isin(*hot)) if hot else m.limit(0))
     if size > max(lim, DEFAULT_LIMIT):  # a few huge rows: only keys that match nothing stay apart
         hot = list(never)
         few = m.where(F.col("_lk").isin(*hot)) if hot else m.limit(0)
-    apart = key.isNull() | key.isin(*hot) if hot else key.isNull()
+    # The key is evaluated once: it may be dear, and a filter shares nothing.
+    apart = F.coalesce(key.isin(*hot), F.lit(True)) if hot else key.isNull()
     near = big.where(apart).join(F.broadcast(few), key == F.col("_lk"), "left")
     far = big.where(~apart).join(m.where(~F.col("_lk").isin(*hot)) if hot else m, key == F.col("_lk"), "left")
     return near.unionByName(far).drop("_lk")
