@@ -98,8 +98,8 @@ def frequent_shingles(docs: DataFrame, size: int, limit: int, tables: Tables) ->
 
     A shingle counts in a block of ``COUNT_BLOCK`` when two of its documents
     have it; what is rarer than once per block may be missed and is then
-    ordered among the rare ones.  The least count kept is the total over
-    ``limit``, which bounds the list whatever the input.
+    ordered among the rare ones.  The least count kept is the lowest that
+    ``limit`` shingles or fewer reach, which bounds the list whatever the input.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -108,8 +108,7 @@ def frequent_shingles(docs: DataFrame, size: int, limit: int, tables: Tables) ->
             t, c = np.unique(np.concatenate(held), return_counts=True)
             more = c > 1
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.append(t[more], 0).astype(np.int64)), pa.array(np.append(c[more], n)),
-                 pa.array(np.append(np.zeros(more.sum(), bool), True))], names=["t", "c", "total"])
+                [pa.array(t[more].astype(np.int64)), pa.array(c[more].astype(np.int64))], names=["t", "c"])
 
         for b in blocks(batches, "text"):
             for s in shingle_sets(*text_bytes(b.column("text")), size):
@@ -121,10 +120,14 @@ def frequent_shingles(docs: DataFrame, size: int, limit: int, tables: Tables) ->
         if n:
             yield counted()
 
-    counts = tables.settle(docs.select("text").mapInArrow(run, "t long, c long, total boolean")
-                           .groupBy("total", "t").agg(F.sum("c").alias("c")))
-    total = counts.where("total").agg(F.sum("c")).first()[0] or 0
-    rows = counts.where(~F.col("total") & (F.col("c") > max(3, total // limit))).select("t", "c").toArrow()
+    counts = tables.settle(docs.select("text").mapInArrow(run, "t long, c long")
+                           .groupBy("t").agg(F.sum("c").alias("c")))
+    # Counts of a power of two and more, so the list of these sums has 64 rows at most.
+    steps = dict(counts.groupBy(F.floor(F.log2("c")).cast("int").alias("step")).count().collect())
+    least, held = max(steps, default=0) + 1, 0
+    while least > 1 and held + steps.get(least - 1, 0) <= limit:
+        least, held = least - 1, held + steps.get(least - 1, 0)
+    rows = counts.where(F.floor(F.log2("c")) >= least).select("t", "c").toArrow()
     t, c = rows.column(0).to_numpy(), rows.column(1).to_numpy()
     tables.drop(counts)
     order = np.argsort(t)
@@ -211,17 +214,20 @@ class Distances:
         self.sets, self.classes, self.percent, self.small = sets, classes, percent, small
         self.tables = tables
 
-    def _both(self, pairs: DataFrame, column: str) -> DataFrame:
-        """``pairs`` (a, b, ...) with ``column`` of both classes.
+    def of(self, keys: DataFrame, *columns: str) -> DataFrame:
+        """(key, *columns) of the classes in ``keys``.
 
         The rows needed are found by key, then fetched by row number, so
         copies of a class are never read for it.
         """
-        keys = self.tables.settle(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-                                  .join(self.classes.select("key", "row"), "key"))
-        few = keys.count() <= self.small
-        side = F.broadcast(keys) if few else keys  # measured: 16 bytes a row
-        got = self.sets.select("row", column).join(side, "row").select("key", column)
+        found = self.tables.settle(keys.distinct().join(self.classes.select("key", "row"), "key"))
+        few = found.count() <= self.small
+        side = F.broadcast(found) if few else found  # measured: 16 bytes a row
+        return self.sets.select("row", *columns).join(side, "row").select("key", *columns)
+
+    def _both(self, pairs: DataFrame, column: str) -> DataFrame:
+        """``pairs`` (a, b, ...) with ``column`` of both classes."""
+        got = self.of(pairs.select(F.col("a").alias("key")).union(pairs.select("b")), column)
         return (pairs.join(got.select(F.col("key").alias("a"), F.col(column).alias("x")), "a")
                 .join(got.select(F.col("key").alias("b"), F.col(column).alias("y")), "b"))
 
@@ -271,18 +277,38 @@ class Distances:
 
 
 def initial_regions(sets: DataFrame, tables: Tables, small: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of two-document regions, and (rid, key) of the larger ones."""
+    """Pairs of two-document regions, and (rid, key) of the larger ones.
+
+    Copies of a passage share many shingles, so many regions have the same
+    members; one of these is kept, told by two hashes over its members.
+    """
     posted = sets.where(F.col("key").isNotNull()).select(F.explode("region").alias("rid"), "key")
     groups = tables.settle(posted.groupBy("rid").agg(
         F.count(F.lit(1)).alias("m"), F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b"))
     pairs = tables.settle(groups.where("m = 2").select("a", "b"))
     larger = groups.where("m > 2").select("rid")
     side = F.broadcast(larger) if larger.count() <= small else larger  # measured: 8 bytes a row
-    members = tables.settle(posted.join(side, "rid").distinct())
-    tables.drop(groups)
+    every = tables.settle(posted.join(side, "rid").distinct())
+    alike = every.groupBy("rid").agg(
+        F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("key")).alias("h"),
+        F.bit_xor(F.xxhash64("key", F.lit(1))).alias("i"))
+    kept = tables.settle(alike.groupBy("m", "h", "i").agg(F.min("rid").alias("rid")).select("rid"))
+    side = F.broadcast(kept) if kept.count() <= small else kept
+    members = tables.settle(every.join(side, "rid"))
+    tables.drop(groups, every, kept)
     return pairs, members
 
 
+def live_members(members: DataFrame, labels: DataFrame, tables: Tables) -> DataFrame:
+    """(rid, size, key, label) of the regions with two components or more."""
+    m = (members.join(labels, "key", "left")
+         .select("rid", "key", F.coalesce("label", "key").alias("label")))
+    sizes = (m.groupBy("rid").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("lo"),
+                                  F.max("label").alias("hi"))
+             .where("lo <> hi").select("rid", "size"))
+    return tables.settle(m.join(sizes, "rid"))
+
+
 def split_round(members: DataFrame, labels: DataFrame, leaf: int, turn: int, tables: Tables):
     """Live members with labels and region size, and (rid, pivot) of regions over ``leaf``."""
     m = (members.join(labels, "key", "left")
@@ -384,8 +410,7 @@ def possible(bitmaps: list[bytes], n: np.ndarray, labels: np.ndarray, blocks: np
             yield i, best
 
 
-def block_pairs(members: DataFrame, sets: DataFrame, classes: DataFrame, percent: int, block: int,
-                closest: bool = False) -> DataFrame:
+def block_pairs(members: DataFrame, measure: Distances, block: int, closest: bool = False) -> DataFrame:
     """(a, b) of the members of large regions that bitmaps do not rule out.
 
     A region is dealt into blocks of about ``block`` members and every pair of
@@ -398,9 +423,8 @@ def block_pairs(members: DataFrame, sets: DataFrame, classes: DataFrame, percent
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
              .select("rid", "key", "label", "own", F.least("own", "other").alias("i"),
                      F.greatest("own", "other").alias("j")))
-    maps = (sets.select("row", "bitmap", "n").join(
-        members.select("key").distinct().join(classes.select("key", "row"), "key"), "row")
-        .select("key", "n", "bitmap"))
+    maps = measure.of(members.select("key"), "bitmap", "n")
+    percent = measure.percent
 
     def run(t: pa.Table) -> pa.Table:
         key = t.column("key").to_numpy()
@@ -478,12 +502,12 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # Nearest first, every document in one region a turn (the largest, then others by a
     # hash): what they connect needs naming no more, and bitmaps move once a turn.
     for turn in range(near_turns):
-        live, _ = split_round(members, labels, leaf, rounds + turn, tables)
+        live = live_members(members, labels, tables)
         order = F.col("size") if turn == 0 else F.xxhash64("rid", F.lit(turn))
         one = (live.where(F.col("size") > leaf).groupBy("key")
                .agg(F.max(F.struct(order.alias("order"), "rid", "size", "label")).alias("r"))
                .select("r.rid", "key", "r.label", "r.size"))
-        near = block_pairs(one, sets, classes, percent, block, closest=True)
+        near = block_pairs(tables.settle(one), measure, block, closest=True)
         linked = measure.links(measure.bounded(near).where("may"))
         if linked.isEmpty():
             break
@@ -491,10 +515,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         for _ in range(3):
             labels = relabel(labels, linked, tables)
         tables.only(sets, classes, pairs, members, labels, *links)
-    live, _ = split_round(members, labels, leaf, rounds, tables)
+    live = live_members(members, labels, tables)
     tables.drop(members, labels)
     pairs = pairs.union(leaf_pairs(live, leaf)).union(
-        block_pairs(live.where(F.col("size") > leaf), sets, classes, percent, block))
+        block_pairs(live.where(F.col("size") > leaf), measure, block))
     links.append(measure.links(measure.bounded(pairs).where("may")))
     tables.only(sets, classes, *links)
     every = links[0]
