@@ -18,6 +18,7 @@ from ledgerlake.llm import oracles as O
 from ledgerlake.llm import quality_classifier as Q
 from ledgerlake.llm import quality_rules as R
 from ledgerlake.llm import suffix_dedup as S
+from ledgerlake.llm.tables import Tables
 
 SF = "/root/testdata/sf0.001"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi pi rho".split()
@@ -128,6 +129,25 @@ def test_jaccard_components_awkward_and_recursive(spark, awkward):
     assert J.jaccard_components(df.limit(0)).count() == 0
 
 
+def test_jaccard_regions_of_equal_members_stand_once(spark):
+    base = prose(6, 60)
+    data = [(i, f"{base} own{i} a{i} b{i} c{i} d{i} e{i}") for i in range(4)]
+    own = spark.createDataFrame(data, "doc_id long, text string").coalesce(1)
+    tables = Tables(spark, "regions")
+    often = J.frequent_shingles(own, 5, 1000, tables)
+    assert (often[1] == 4).sum() == 56                   # counts below the old least one of 4 + 1
+    few = J.frequent_shingles(own, 5, 3, tables)
+    assert len(few[0]) <= 3
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    sets = J.write_sets(own, 5, 50, none, tables)
+    pairs, members = J.initial_regions(sets, tables, 100)
+    shared = sets.select(F.explode("region").alias("rid")).groupBy("rid").count().where("count = 4").count()
+    assert shared > 1 and members.groupBy("rid").count().where("count = 4").count() == 1
+    labels = sets.select("key", F.lit(1).cast("long").alias("label"))
+    assert J.live_members(members, labels, tables).count() == 0
+    assert J.live_members(members, labels.limit(0), tables).count() == members.count()
+
+
 def test_jaccard_bounds_never_exclude_a_link():
     rng = np.random.Generator(np.random.PCG64(4))
     for _ in range(200):
