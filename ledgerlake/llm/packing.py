@@ -40,7 +40,7 @@ PIECES = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, offset long")
 
 _CHUNK = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
-_CACHE_ENTRIES, _KEPT_ENTRIES = 600_000, 150_000
+_CACHE_ENTRIES, _KEPT_ENTRIES = 400_000, 100_000
 _ENCODERS: dict = {}
 
 
@@ -48,12 +48,11 @@ class ChunkEncoder:
     """Texts to ids as little-endian bytes, chunk by chunk; known chunks are kept."""
 
     def __init__(self, path: str):
-        self.chunks: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {"": b""}
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.parts: dict[str, bytes] = {"": b""}
         suffix = self.tokenizer.model.end_of_word_suffix
         self.last = None
         if suffix:
@@ -77,44 +76,46 @@ class ChunkEncoder:
             raw = ids.tobytes()
             a = 0
             for word, b in zip(words, (4 * ends).tolist()):
-                self.parts[word] = raw[a:b]
+                self.chunks[word] = raw[a:b]
                 a = b
         else:
-            self.parts.update((w, self._ids(w)) for w in words)
+            self.chunks.update((w, self._ids(w)) for w in words)
 
     def _add(self, new: set[str]) -> None:
-        chunks, parts, split = self.chunks, self.parts, []
+        chunks, split = self.chunks, []
         for chunk in new:
-            m = _CHUNK.fullmatch(chunk)
-            if m is None:
-                chunks[chunk] = self._ids(chunk)
-            else:
+            if chunk.isascii() and chunk.isalpha():
+                split.append((chunk, chunk.lower(), ""))
+            elif m := _CHUNK.fullmatch(chunk):
                 split.append((chunk, m[1].lower(), m[2]))
-        words = list({word for _, word, _ in split}.difference(parts))
+            else:
+                chunks[chunk] = self._ids(chunk)
+        words = [word for word in {word for _, word, _ in split} if word not in chunks]
         if len(words) > 1:
             self._learn(words)
         for chunk, word, tail in split:
             for part in (word, tail):
-                if part not in parts:
-                    parts[part] = self._ids(part)
-            chunks[chunk] = parts[word] + parts[tail] if tail else parts[word]
+                if part not in chunks:
+                    chunks[part] = self._ids(part)
+            chunks[chunk] = chunks[word] + chunks[tail] if tail else chunks[word]
 
     def trim(self, limit: int | None = None) -> None:
-        """Called between texts and at a task's end: the caches stay under a fixed size.
+        """Called between texts and at a task's end: the cache stays under a fixed size.
 
         What came first stays: frequent chunks come early.
         """
-        for name in ("chunks", "parts"):
-            held = getattr(self, name)
-            if len(held) > (_CACHE_ENTRIES if limit is None else limit):
-                setattr(self, name, dict(islice(held.items(), _KEPT_ENTRIES)))
+        if len(self.chunks) > (_CACHE_ENTRIES if limit is None else limit):
+            self.chunks = dict(islice(self.chunks.items(), _KEPT_ENTRIES))
 
     def encode(self, text: str) -> bytes:
         chunks = text.replace("\n", " ").split(" ")
-        new = set(chunks).difference(self.chunks)
-        if new:
-            self._add(new)
-        return b"".join(map(self.chunks.__getitem__, chunks))
+        ids = list(map(self.chunks.get, chunks))
+        if None in ids:
+            new = [i for i, b in enumerate(ids) if b is None]
+            self._add({chunks[i] for i in new})
+            for i in new:
+                ids[i] = self.chunks[chunks[i]]
+        return b"".join(ids)
 
 
 def chunk_encoder(path: str) -> ChunkEncoder:

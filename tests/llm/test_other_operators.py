@@ -170,6 +170,17 @@ def test_packing_is_best_fit_and_tight():
     assert sum(2048 - n for n in lengths if n & (n - 1)) < 0.02 * sum(lengths)
 
 
+def test_packing_encoder_keeps_one_bounded_cache(monkeypatch):
+    enc = K.ChunkEncoder(WORD_BPE)
+    text = " ".join(f"{a}{b}x{tail}" for a in "abcdeFGH" for b in "klmNOPé" for tail in ("", ",", "!)")) + "\n\n12 ﬁx  Ünï"
+    for t in (text, text.upper(), text):
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == reference_ids(t)[:-1]
+    monkeypatch.setattr(K, "_KEPT_ENTRIES", 10)
+    enc.trim(0)
+    assert sum(len(x) for x in vars(enc).values() if isinstance(x, dict)) == 10
+    assert np.frombuffer(enc.encode(text), "<u4").tolist() == reference_ids(text)[:-1]
+
+
 # ---------------------------------------------------------------- operator 9
 def test_rollups_are_additive_and_idempotent(spark, texts):
     df = texts.withColumn("source", F.when(~F.col("doc_id").eqNullSafe(3), F.lit("s"))).withColumn("lang", F.lit("en"))
