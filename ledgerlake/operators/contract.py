@@ -17,11 +17,12 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import bloom
 from ledgerlake.plans.joins import DEFAULT_LIMIT, measure
+from ledgerlake.session import shuffles_dropped
 
 # Check names (fixed values, in report order).
 CHECKS = ("dup_block_number", "dup_event_key", "tx_without_block",
@@ -92,6 +93,9 @@ class ContractState:
     only ever appended, each under its update's version, and the list of days, written
     last, says which version of a day counts: an update that breaks off leaves nothing
     behind that is read.
+
+    Rows meet by their tx hash packed (:func:`_packed`); what an update shuffles goes step by
+    step, and its keys and filters go within it.
     """
 
     def __init__(self, spark: SparkSession, lake: str):
@@ -120,7 +124,11 @@ class ContractState:
 
     def update(self) -> list[str]:
         """Bring the state up to the lake; returns the days done."""
-        from ledgerlake.streaming.ingest import read_lake
+        with shuffles_dropped(self.spark):
+            return self._update()
+
+    def _update(self) -> list[str]:
+        from ledgerlake.streaming.ingest import _fs, read_lake
         days, now = self.changed()
         if not days:
             return []
@@ -133,35 +141,58 @@ class ContractState:
                "events": _event_keys(e)}
         for name, df in new.items():
             df.withColumn("version", F.lit(version)).write.mode("append").parquet(f"{self.lake}/_contract/{name}")
-        pairs = self._mismatches(t, e, txs, events.where(~of("date")))
-        kept = self._stored("pairs").where(~of("event_date") & ~of("tx_date"))
-        kept.union(pairs).checkpoint().write.mode("overwrite").parquet(f"{self.lake}/_contract/pairs")
+        filters = f"{self.lake}/_contract/_filters-{version}"
+        try:
+            pairs = self._mismatches(t, e, txs, events.where(~of("date")), filters)
+            kept = self._stored("pairs").where(~of("event_date") & ~of("tx_date"))
+            kept.union(pairs).checkpoint().write.mode("overwrite").parquet(f"{self.lake}/_contract/pairs")
+        finally:
+            fs, p = _fs(self.spark, filters)
+            fs.delete(p, True)
         same = self._stored("days").where(~F.col("date").isin(*days))
         done = now.where(F.col("date").isin(*days)).withColumn("version", F.lit(version))
         same.unionByName(done).checkpoint().write.mode("overwrite").parquet(f"{self.lake}/_contract/days")
         return days
 
     def _mismatches(self, changed_txs: DataFrame, changed_events: DataFrame, txs: DataFrame,
-                    other_events: DataFrame) -> DataFrame:
-        """(event_date, tx_date, n, ex) of pairs of days with a changed one among them."""
+                    other_events: DataFrame, filters: str) -> DataFrame:
+        """(event_date, tx_date, n, ex) of pairs of days with a changed one among them; the
+        Bloom filters it needs are written under ``filters``."""
+        from ledgerlake.streaming.ingest import _fs
+        hashed = F.col("tx_hash").isNotNull()
+
         def tx_side(df):
-            return df.select("tx_hash", F.col("block_number").alias("tx_block"), F.col("date").alias("tx_date"))
+            return df.where(hashed).select(_packed("tx_hash").alias("tx"), F.col("block_number").alias("tx_block"),
+                                           F.col("date").alias("tx_date"))
 
         def event_side(df):
-            return df.groupBy("tx_hash", "block_number", F.col("date").alias("event_date")).agg(
-                F.count(F.lit(1)).alias("n"))
-
-        def cut(df, keys):
-            used, n, _ = measure(keys.select("tx_hash").where(F.col("tx_hash").isNotNull()).distinct())
-            return bloom.cut(df, "tx_hash", used, n, DEFAULT_LIMIT)
-
-        both = event_side(changed_events).join(tx_side(cut(txs, changed_events)), "tx_hash").union(
-            event_side(cut(other_events, changed_txs)).join(tx_side(changed_txs), "tx_hash"))
+            return df.where(hashed).groupBy(_packed("tx_hash").alias("tx"), "block_number", F.col("date").alias(
+                "event_date")).agg(F.count(F.lit(1)).alias("n"))
+
+        def cut(df, keys, name):
+            path = f"{filters}/{name}"
+            (keys.where(hashed).select(_packed("tx_hash").alias("tx")).distinct()
+             .write.option("compression", "zstd").parquet(f"{path}-keys"))
+            used = self.spark.read.schema("tx binary").parquet(f"{path}-keys")
+            blocks = bloom.blocks_for(used.count())
+            if blocks * bloom.BLOCK_BYTES <= DEFAULT_LIMIT:
+                bloom.build(used.select(_unpacked("tx").alias("tx_hash")), "tx_hash", blocks).write.parquet(path)
+                df = bloom.may_hold(df, "tx_hash", self.spark.read.parquet(path), blocks)
+            fs, p = _fs(self.spark, f"{path}-keys")
+            fs.delete(p, True)
+            return df
+
+        both = event_side(changed_events).join(tx_side(cut(txs, changed_events, "events")), "tx").union(
+            event_side(cut(other_events, changed_txs, "txs")).join(tx_side(changed_txs), "tx"))
         return (both.where(F.col("block_number") != F.col("tx_block")).groupBy("event_date", "tx_date")
-                .agg(F.sum("n").alias("n"), F.min("tx_hash").alias("ex")))
+                .agg(F.sum("n").alias("n"), F.min(_unpacked("tx")).alias("ex")))
 
     def report(self) -> DataFrame:
         """(check, violations, example), equal to :func:`contract_checks` over the lake."""
+        with shuffles_dropped(self.spark):
+            return self._report()
+
+    def _report(self) -> DataFrame:
         from ledgerlake.streaming.ingest import read_lake
         blocks, txs, events = (self._state(k) for k in ("blocks", "txs", "events"))
         pairs = self._stored("pairs")
@@ -185,6 +216,21 @@ class ContractState:
         return reduce(DataFrame.unionByName, parts)
 
 
+def _packed(column: str) -> Column:
+    """The text as bytes, half as long where it is lower-case hex after ``0x``; the first byte
+    tells which, so different texts stay different.  Null is no bytes at all."""
+    text = F.col(column)
+    hexed = text.startswith("0x") & (F.length(text) % 2 == 0) & (F.lower(text) == text)
+    raw = F.unhex(F.substring(text, F.lit(3), F.length(text)))
+    return F.coalesce(F.concat(F.lit(b"\x01"), F.when(hexed, raw)), F.concat(F.lit(b"\x00"), text.cast("binary")), F.lit(b""))
+
+
+def _unpacked(column: str) -> Column:
+    """The text that :func:`_packed` was given."""
+    first, rest = (F.hex(F.substring(column, 1, 1)), F.substring(column, 2, 1 << 30))
+    return F.when(first == "01", F.concat(F.lit("0x"), F.lower(F.hex(rest)))).when(first == "00", rest.cast("string"))
+
+
 def _event_keys(events: DataFrame) -> DataFrame:
     """Per day and block: rows, an example, keys that occur more than once and the least."""
     key = F.concat_ws(":", F.col("block_number").cast("string"), F.col("log_index").cast("string"))
